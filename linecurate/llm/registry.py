@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from . import near_dedup
+from . import decontaminate, license_scan, line_dedup, mixing, near_dedup, page_text, substring_dedup
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_near_dedup": near_dedup.op3_near_dedup,
+    "op4_substring_dedup": substring_dedup.op4_substring_dedup,
+    "op6_license_scan": license_scan.op6_license_scan,
+    "op7_mixing": mixing.op7_mixing,
+    "op8_page_text": page_text.op8_page_text,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
+}
