@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, line_dedup, mixing, near_dedup, page_text, substring_dedup
+from . import decontaminate, license_scan, line_dedup, mixing, near_dedup, nearest, page_text, substring_dedup, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -12,6 +12,8 @@ QUERIES = {
     "op6_license_scan": license_scan.op6_license_scan,
     "op7_mixing": mixing.op7_mixing,
     "op8_page_text": page_text.op8_page_text,
+    "op9_nearest": nearest.op9_nearest,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
