@@ -7,26 +7,64 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linecurate.llm import near_dedup
+from linecurate.llm import decontaminate, line_dedup, mixing, near_dedup, toxicity
+from linecurate.llm.runtime import cut
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Rows of docs whose doc_id is (left_semi) or isn't (left_anti) among ids; null is an id too."""
+    ids = ids.select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]), how).select(*COLUMNS)
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects the documents that the classifier predicts to be toxic."""
+    scores = toxicity.toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _only(docs, scores.where("predicted = 1"), "left_anti")
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes boilerplate lines from texts, whose n_chars follow; every document stays."""
+    out = line_dedup.drop_boilerplate(docs)
+    return out.withColumn("n_chars", F.when(F.col("lines_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates (five-word shingles, 0.8)."""
-    kept = near_dedup.near_duplicates(docs, width=5, threshold=0.8).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return _only(docs, near_dedup.near_duplicates(docs, width=5, threshold=0.8).where("not kept"), "left_anti")
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects the documents that hold a passage of the benchmark."""
+    return _only(docs, decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "left_anti")
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training mix: each document as often as it was drawn, with its number of copies."""
+    drawn = mixing.mix(docs).where("copies > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("copies"))
+    mixed = docs.join(drawn, docs["doc_id"].eqNullSafe(F.col("__id"))).select(*COLUMNS, "copies")
+    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity_stage),
+    ("line_dedup", line_dedup_stage),
     ("near_dedup", near_dedup_stage),
+    ("decontaminate", decontaminate_stage),
+    ("mixing", mixing_stage),
 ]
 
-#: Sketches, alignments, a trained classifier and hashed draws: not expressible in SQL.
+#: A trained classifier, sketches, alignments and hashed draws: SQL can't express these stages.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table, chained."""
+    """All stages over the documents table; what each stage keeps is checkpointed for the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = cut(docs)
     return docs
