@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, line_dedup, mixing, near_dedup, nearest, page_text, substring_dedup, toxicity
+from . import decontaminate, license_scan, line_dedup, lm_scoring, mixing, near_dedup, nearest, page_text, substring_dedup, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_near_dedup": near_dedup.op3_near_dedup,
     "op4_substring_dedup": substring_dedup.op4_substring_dedup,
+    "op5_lm_scoring": lm_scoring.op5_lm_scoring,
     "op6_license_scan": license_scan.op6_license_scan,
     "op7_mixing": mixing.op7_mixing,
     "op8_page_text": page_text.op8_page_text,
