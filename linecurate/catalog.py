@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from .queries import text_queries
+
+QUERIES: dict = {**text_queries.QUERIES}
+ORACLE_SQL: dict[str, str] = {**text_queries.ORACLE_SQL}
