@@ -143,9 +143,15 @@ MEASURES = (
 )
 
 
+def _frame(rows: list[dict], key: str) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=[key, *(c.split()[0] for c in MEASURES.split(", "))])
+    out["error"] = pd.Series([r.get("error") for r in rows], dtype=object)
+    floats = {c: "float64" for c in out.columns if c not in (key, "error")}
+    return out.astype(floats | {n: "Int64" for n in ("micro_pauses", "long_pauses", "blips")})
+
+
 def measure_files(files: DataFrame, key: str = "path", content: str = "content") -> DataFrame:
     """One row a WAV file of (key, content): its measures, or an error."""
-    names = [c.split()[0] for c in MEASURES.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -155,15 +161,13 @@ def measure_files(files: DataFrame, key: str = "path", content: str = "content")
                     rows.append({key: k, **measure(*read_wav(raw))})
                 except SignalError as e:
                     rows.append({key: k, "error": str(e)})
-            out = pd.DataFrame(rows, columns=[key, *names])
-            yield out.astype({n: "Int64" for n in ("micro_pauses", "long_pauses", "blips")})
+            yield _frame(rows, key)
 
     return files.select(key, content).mapInPandas(run, f"{key} {files.schema[key].dataType.simpleString()}, {MEASURES}")
 
 
 def measure_arrays(df: DataFrame, key: str, samples: str, rate: int = 8000) -> DataFrame:
     """measure() of signals that are arrays of numbers; an error for silent or empty ones."""
-    names = [c.split()[0] for c in MEASURES.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -175,6 +179,6 @@ def measure_arrays(df: DataFrame, key: str, samples: str, rate: int = 8000) -> D
                     rows.append({key: k, **measure(np.asarray(x, np.float32), rate)})
                 except SignalError as e:
                     rows.append({key: k, "error": str(e)})
-            yield pd.DataFrame(rows, columns=[key, *names]).astype({n: "Int64" for n in ("micro_pauses", "long_pauses", "blips")})
+            yield _frame(rows, key)
 
     return df.select(key, samples).mapInPandas(run, f"{key} {df.schema[key].dataType.simpleString()}, {MEASURES}")
