@@ -36,7 +36,7 @@ def read_wav(content: bytes) -> tuple[np.ndarray, int]:
             channels, rate, width, packing = w.getnchannels(), w.getframerate(), w.getsampwidth(), w.getcomptype()
             payload = w.readframes(w.getnframes())
     except (EOFError, wave.Error) as e:
-        raise SignalError(str(e)) from e
+        raise SignalError(str(e) or "cut off") from e
     if packing != "NONE" or channels < 1 or rate < 8000 or not payload:
         raise SignalError("not a PCM file")
     samples = decode_pcm(payload, width)

@@ -168,6 +168,8 @@ def read_archives(spark: SparkSession, path: str, wanted: set[int] | None = None
                         row["error"] = str(e)
                     rows.append(row)
             out = pd.DataFrame(rows, columns=names)
+            for n in ("path", "codec", "media_sha256", "companion_sha256", "error"):
+                out[n] = pd.Series([r.get(n) for r in rows], dtype=object)
             yield out.astype({n: "Int64" for n in ("entry_index", "ident", "ident_high", "channels", "rate", "trailer_kind", "media_bytes", "companion_bytes")} | {"has_seek": "boolean"})
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
