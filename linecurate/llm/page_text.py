@@ -180,7 +180,9 @@ def _difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["page_id", "url", "text", "n_chars", "lines_shared", "partner_id"]).astype({"page_id": "Int64", "partner_id": "Int64"})
+    out = pd.DataFrame(rows, columns=["page_id", "url", "text", "n_chars", "lines_shared", "partner_id"]).astype({"page_id": "Int64", "partner_id": "Int64"})
+    # plain objects, so that a null stays one
+    return out.assign(url=pd.Series([r[1] if isinstance(r[1], str) else None for r in rows], dtype=object), text=pd.Series([r[2] for r in rows], dtype=object))
 
 
 def extract(pages: DataFrame) -> DataFrame:
