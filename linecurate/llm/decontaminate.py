@@ -96,17 +96,23 @@ def edits_within(pattern: bytes, text: bytes, budget: int) -> tuple[int, int] |
     return int(row[c]), len(p) + c - budget
 
 
-def _stretches(at: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
-    """Item ranges [a, b) whose windows hold enough q-gram hits (at: their sorted item offsets)."""
+def _stretches(at: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """Starts of the item's windows that hold enough q-gram hits (at: their sorted item offsets),
+    those with most hits first; windows that overlap come together."""
     n = min(size, WINDOW)
-    need = n - Q + 1 - int(EDITS * n) * Q
-    many = np.searchsorted(at, at + n - Q, "right") - np.arange(len(at))
-    starts = np.minimum(at[many >= max(1, need)], size - n)
-    if not len(starts):
+    need = max(1, n - Q + 1 - int(EDITS * n) * Q)
+    if len(at) < need:
         return
-    split = np.flatnonzero(np.diff(starts) > n)
-    for a, b in zip(starts[np.concatenate(([0], split + 1))], starts[np.concatenate((split, [len(starts) - 1]))]):
-        yield int(a), int(b) + n
+    # a window holds hits i to i + need - 1 if it starts between these
+    low, high = np.maximum(at[need - 1 :] - (n - Q), 0), np.minimum(at[: len(at) - need + 1], size - n)
+    opens = np.zeros(size + 2, np.int64)
+    np.add.at(opens, low[low <= high], 1)
+    np.add.at(opens, high[low <= high] + 1, -1)
+    starts = np.flatnonzero(np.cumsum(opens) > 0)
+    for part in np.split(starts, np.flatnonzero(np.diff(starts) > n) + 1):
+        if len(part):
+            hits = np.searchsorted(at, part + n - Q, "right") - np.searchsorted(at, part, "left")
+            yield part[np.argsort(-hits, kind="stable")]
 
 
 def passages(raw: bytes, index: Index) -> list[tuple[int, int, int, int, int]]:
@@ -133,9 +139,8 @@ def passages(raw: bytes, index: Index) -> list[tuple[int, int, int, int, int]]:
             size, own = len(index.texts[item]), int(max(1, EDITS * min(len(index.texts[item]), WINDOW)))
             if high - low < min(size, WINDOW) - Q + 1 - int(EDITS * min(size, WINDOW)) * Q:
                 continue
-            for a, b in _stretches(np.unique(at[low:high]), size):
-                base = int(band[low]) * own
-                got = _verify(raw, index.texts[item], base, a, b, own)
+            for starts in _stretches(np.unique(at[low:high]), size):
+                got = _verify(raw, index.texts[item], int(band[low]) * own, starts, own)
                 if got:
                     key = (item, got[0] // max(1, size))
                     if key not in found or (found[key][4], -found[key][3]) > (got[3], -got[2]):
@@ -143,10 +148,11 @@ def passages(raw: bytes, index: Index) -> list[tuple[int, int, int, int, int]]:
     return list(found.values())
 
 
-def _verify(raw: bytes, item: bytes, base: int, a: int, b: int, budget: int) -> tuple[int, int, int, int] | None:
-    """Aligns the whole stretch, else its windows one after another."""
+def _verify(raw: bytes, item: bytes, base: int, starts: np.ndarray, budget: int) -> tuple[int, int, int, int] | None:
+    """Aligns the stretch that these windows cover, else one window after another."""
     n = min(len(item), WINDOW)
-    for x, y in [(a, b), *((s, s + n) for s in range(a, b - n + 1, max(1, n // 4)) if b - a > n)]:
+    whole = (int(starts.min()), int(starts.max()) + n)
+    for x, y in [whole, *((int(s), int(s) + n) for s in starts if whole[1] - whole[0] > n)]:
         allowed = max(budget, int(EDITS * (y - x)))
         start = max(0, base + x - allowed)
         text = raw[start : max(0, base + y + 3 * allowed)]
