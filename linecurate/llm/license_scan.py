@@ -154,7 +154,8 @@ def scan(text: str | None, index: Index, min_coverage: float = MIN_COVERAGE) ->
         if common and common >= min_coverage * len(pattern):
             found.append((index.names[owner], common / len(pattern), common, len(pattern), int(starts[begin + first]), int(ends[begin + end - 1])))
     # a template inside a longer match of another one is that one's
-    return [x for x in found if not any(y[2] > x[2] and y[4] <= x[4] and x[5] <= y[5] for y in found)]
+    found = [x for x in found if not any(y[2] > x[2] and y[4] <= x[4] and x[5] <= y[5] for y in found)]
+    return sorted(found, key=lambda x: (x[4], x[5], x[0]))
 
 
 def _scan(templates: dict[str, str], min_coverage: float):
