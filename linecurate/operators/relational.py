@@ -113,3 +113,16 @@ def systematic_sample(df: DataFrame, key: str, value: str, n: int, mandatory: Se
         places = df.sparkSession.range(slots).select(step.cast("long").alias("rank"))
     chosen = ranked.where(F.col("__one") == 1).join(places, "rank", "left_semi")
     return chosen.unionByName(ranked.where(F.col("__one") == 0)).drop("__one")
+
+
+def annotated(df: DataFrame, notes: DataFrame, key: str, tag: str, default: str) -> DataFrame:
+    """Adds `tag` from hand-made notes, the default where there are none, and `conflict` where they differ (the smallest is taken)."""
+    marks = notes.groupBy(key).agg(F.min(tag).alias(tag), (F.min(tag) != F.max(tag)).alias("conflict"))
+    return df.join(marks, key, "left").withColumns({tag: F.coalesce(F.col(tag), F.lit(default)), "conflict": F.coalesce(F.col("conflict"), F.lit(False))})
+
+
+def paired_in_order(left: DataFrame, right: DataFrame, key: str, order: str) -> DataFrame:
+    """(key, left_place, right_place, moved) of two ordered lists: whether a key stands at another place, or on one side only."""
+    place = lambda df, name: running_total(df.select(key, order).withColumn("__one", F.lit(1).cast("long")), "__one", order, into=name).select(key, name)
+    both = place(left, "left_place").join(place(right, "right_place"), key, "full_outer")
+    return both.withColumn("moved", ~F.col("left_place").eqNullSafe(F.col("right_place")))

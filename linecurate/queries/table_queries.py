@@ -139,14 +139,14 @@ FROM (SELECT DISTINCT o_orderkey AS k FROM orders) a FULL JOIN (SELECT DISTINCT
 
 def merge_with_policy(spark, d):
     base = _t(spark, d, "labels").select(F.col("doc_id").alias("id"), F.when(F.col("quality") == 1, "gerar").otherwise("usar_original").alias("action"), F.col("toxic").cast("string").alias("text"), F.lit("base").alias("reason"))
-    docs = _t(spark, d, "documents").where("doc_id % 5 = 0")
+    docs = _t(spark, d, "documents")
     over = docs.select(F.col("doc_id").alias("id"), F.lit("gerar").alias("action"), (F.col("n_chars") % 2).cast("string").alias("text"), F.when(F.col("doc_id") % 2 == 0, "base").otherwise("novo").alias("reason"))
     return relational.merge_corrections(base, over)
 
 
 MERGE_SQL = """
 WITH b AS (SELECT doc_id AS id, CASE WHEN quality = 1 THEN 'gerar' ELSE 'usar_original' END AS action, toxic::VARCHAR AS text, 'base' AS reason FROM labels),
-o AS (SELECT doc_id AS id, 'gerar' AS action, (n_chars % 2)::VARCHAR AS text, CASE WHEN doc_id % 2 = 0 THEN 'base' ELSE 'novo' END AS reason FROM documents WHERE doc_id % 5 = 0),
+o AS (SELECT doc_id AS id, 'gerar' AS action, (n_chars % 2)::VARCHAR AS text, CASE WHEN doc_id % 2 = 0 THEN 'base' ELSE 'novo' END AS reason FROM documents),
 m AS (SELECT coalesce(b.id, o.id) AS id, b.action AS ba, b.text AS bt, b.reason AS br, o.action AS oa, o.text AS ot, o.reason AS orr, CASE WHEN o.id IS NULL THEN 'base' WHEN b.id IS NULL THEN 'adicionado'
   WHEN b.action = 'usar_original' AND o.action = 'gerar' THEN 'conflito_mantido_base' WHEN b.action = o.action AND b.text = o.text THEN 'inalterado' ELSE 'atualizado' END AS status FROM b FULL JOIN o ON b.id = o.id)
 SELECT id, CASE WHEN status IN ('base', 'conflito_mantido_base') THEN ba ELSE oa END AS action, CASE WHEN status IN ('base', 'conflito_mantido_base') THEN bt ELSE ot END AS text,
@@ -155,11 +155,11 @@ SELECT id, CASE WHEN status IN ('base', 'conflito_mantido_base') THEN ba ELSE oa
 
 def overlay_precedence(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "source", "n_chars")
-    layers = [docs, docs.where("doc_id % 2 = 0").withColumn("source", F.lit("second")), docs.where("doc_id % 6 = 0").withColumn("source", F.lit("third"))]
+    layers = [docs, docs.where("n_chars >= 500").withColumn("source", F.lit("second")), docs.where("n_chars >= 1500").withColumn("source", F.lit("third"))]
     return relational.overlay(layers, "doc_id").select("doc_id", "source", "n_chars", F.col("layer").cast("int").alias("layer"))
 
 
-OVERLAY_SQL = """SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN 'third' WHEN doc_id % 2 = 0 THEN 'second' ELSE source END AS source, n_chars, CASE WHEN doc_id % 6 = 0 THEN 2 WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS layer FROM documents"""
+OVERLAY_SQL = """SELECT doc_id, CASE WHEN n_chars >= 1500 THEN 'third' WHEN n_chars >= 500 THEN 'second' ELSE source END AS source, n_chars, CASE WHEN n_chars >= 1500 THEN 2 WHEN n_chars >= 500 THEN 1 ELSE 0 END AS layer FROM documents"""
 
 
 def fallback_union(spark, d):
@@ -271,14 +271,14 @@ ECDF_SQL = "SELECT event_id, round(cume_dist() OVER (ORDER BY value) * 100, 6) A
 
 
 def ecdf_vs_baseline(spark, d):
-    e = _t(spark, d, "events").select("event_id", "value")
-    return stats.ecdf_against(e.where("event_id % 2 = 1"), "value", e.where("event_id % 2 = 0"), "value").select("event_id", F.round("percentile", 6).alias("percentile"))
+    e = _t(spark, d, "events").select("event_id", "event_type", "value")
+    return stats.ecdf_against(e, "value", e.where("event_type = 'view'"), "value").select("event_id", F.round("percentile", 6).alias("percentile"))
 
 
 BASELINE_SQL = """
-WITH m AS (SELECT event_id, value, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS b FROM events),
+WITH m AS (SELECT event_id, value, CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS b FROM events),
 c AS (SELECT *, sum(b) OVER (ORDER BY value RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n, sum(b) OVER () AS total FROM m)
-SELECT event_id, round(100.0::DOUBLE * n / total, 6) AS percentile FROM c WHERE b = 0"""
+SELECT event_id, round(100.0::DOUBLE * n / total, 6) AS percentile FROM c"""
 
 
 def priority_bands(spark, d):

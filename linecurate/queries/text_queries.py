@@ -59,10 +59,10 @@ FROM documents"""
 
 
 def normalize_text(spark: SparkSession, d: str) -> DataFrame:
-    return _docs(spark, d).select("doc_id", T.fold("text").alias("folded"), T.normalize_term(F.substring("text", 1, 80)).alias("term"))
+    return _docs(spark, d).select("doc_id", T.fold("text").alias("folded"), T.normalize_term("text").alias("term"))
 
 
-NORMALIZE_SQL = f"""SELECT doc_id, {FOLD_SQL.format('text')} AS folded, trim(regexp_replace(replace(substring(text, 1, 80), '’', ''''), '\\s+', ' ', 'g')) AS term FROM documents"""
+NORMALIZE_SQL = f"""SELECT doc_id, {FOLD_SQL.format('text')} AS folded, trim(regexp_replace(replace(text, '’', ''''), '\\s+', ' ', 'g')) AS term FROM documents"""
 
 
 def clean_markup_spacing(spark: SparkSession, d: str) -> DataFrame:
@@ -247,7 +247,7 @@ def line_manifest(spark: SparkSession, d: str) -> DataFrame:
     lines = docs.select(F.col("doc_id").alias("ident"), "text", F.col("doc_id").alias("line_no"))
     labels = spark.read.parquet(f"{d}/labels.parquet")
     corrections = labels.where("quality = 0").select(F.col("doc_id").alias("ident"), F.lit("usar_original").alias("action"), F.lit("").alias("text"), F.lit("baixa qualidade").alias("reason"))
-    durations = docs.where("doc_id % 3 <> 0").select(F.col("doc_id").alias("ident"), (F.col("n_chars") / 15.0).alias("duration"))
+    durations = docs.where("lang <> 'de'").select(F.col("doc_id").alias("ident"), (F.col("n_chars") / 15.0).alias("duration"))
     out = prepare.manifest(lines, corrections.join(lines.select("ident"), "ident", "left_semi"), durations, strict=False)
     return out.select("ident", "action", "final_text", "review", "detail", F.round("duration", 6).alias("duration"))
 
