@@ -23,7 +23,8 @@ from .runtime import bounded_batches, cut, shuffle_partitions
 
 SKETCH_BITS = 1024
 MISS = 1e-6  # chance at most that a pair at the threshold shares no band
-BLOCK = 512  # members of a bucket that one task holds from each side
+BLOCK = 512  # members of a bucket that one task holds from each side, about
+BLOCK_SHINGLES = 4_000_000  # and so many of their shingles, unless a single text has more
 
 
 class Banding:
@@ -164,11 +165,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     named = signs.where("n_shingles > 0 and doc_id is not null")
     classes = cut(named.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
 
-    posted = classes.select("rep", F.explode("bands").alias("key"))
-    buckets = posted.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("rep")).alias("f1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("f2")).where("size > 1")
+    posted = classes.select("rep", "n_shingles", F.explode("bands").alias("key"))
+    buckets = posted.groupBy("key").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("shingles"), F.bit_xor(F.xxhash64("rep")).alias("f1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("f2")).where("size > 1")
     # bands that gathered the very same documents are compared once
-    buckets = buckets.groupBy("size", "f1", "f2").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    members = posted.join(buckets, "key").withColumn("own", F.pmod(F.xxhash64("rep", F.lit(2)), F.col("blocks")).cast("int"))
+    blocks = F.ceil(F.least(F.col("size"), F.greatest(F.col("size") / BLOCK, F.col("shingles") / BLOCK_SHINGLES))).cast("int")
+    buckets = buckets.groupBy("size", "shingles", "f1", "f2").agg(F.min("key").alias("key")).select("key", blocks.alias("blocks"))
+    members = posted.select("key", "rep").join(buckets, "key").withColumn("own", F.pmod(F.xxhash64("rep", F.lit(2)), F.col("blocks")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     members = members.select("key", "rep", "own", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"))
     texts = docs.join(members.select("rep").distinct(), docs["doc_id"] == F.col("rep"), "left_semi").select(F.col("doc_id").alias("rep"), "text")
