@@ -9,6 +9,7 @@ from ..functions import portuguese as P
 from ..functions import text as T
 from ..operators import classify, integrity, relational
 from ..plans import prepare
+from ..sources.tables import spread
 
 LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]"
 WORD = f"{LETTERS}+(?:[''’-]{LETTERS}+)?"  # for SQL, the quote doubled
@@ -18,7 +19,7 @@ TABLE_LEXICON = {"investigacao_observacional": (("the*", 1.0), ("and", 1.5)), "c
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/documents.parquet")
+    return spread(spark.read.parquet(f"{d}/documents.parquet"))
 
 
 FOLD_SQL = f"trim(regexp_replace(lower(translate({{}}, '{T.ACCENTED}', '{T.PLAIN}')), '[^a-z0-9]+', ' ', 'g'))"

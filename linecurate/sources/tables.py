@@ -11,6 +11,13 @@ from pyspark.sql import types as T
 from ..functions.text import normalize_id, parse_ident
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt out over all cores if it comes in fewer partitions than there are cores (one small
+    file, say), for work that costs more than moving the rows; a larger input isn't moved."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(line_no, line) of text files of which each fits one row; numbers start at 1 in each file.
 
