@@ -100,8 +100,9 @@ def _attend(model: Model, inputs: np.ndarray):
 
 
 def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    if z.max(initial=0) > 60 or z.min(initial=0) < -60:
+        z -= z.max(axis=1, keepdims=True)
+    z -= np.log(np.exp(z) @ np.ones((z.shape[1], 1), z.dtype))
     return z
 
 
@@ -187,7 +188,7 @@ def gradients(model: Model, inputs: np.ndarray, targets: np.ndarray) -> tuple[di
     dz /= n
     g = {"wc": o.T @ dz, "bc": dz.sum(axis=0), "wp": np.zeros_like(p["wp"]), "bp": np.zeros_like(p["bp"])}
     do = dz @ p["wc"].T
-    order = np.argsort(kind, kind="stable")
+    order = np.argsort(kind.astype(np.int16), kind="stable")
     edge = np.searchsorted(kind[order], np.arange(p["wc"].shape[1] + 1))
     for c in range(len(edge) - 1):
         own = order[edge[c] : edge[c + 1]]
@@ -204,37 +205,42 @@ def gradients(model: Model, inputs: np.ndarray, targets: np.ndarray) -> tuple[di
     dh[real] = do * (h > 0)
     dh = dh.reshape(len(ids), STEP, WIDTH)
 
-    def scatter(at: np.ndarray, d: np.ndarray) -> np.ndarray:
-        order = np.argsort(at, kind="stable")
-        first = np.flatnonzero(np.diff(at[order], prepend=-1))
-        out = np.zeros((model.size + 1, d.shape[1]), np.float32)
-        out[at[order][first]] = np.add.reduceat(d[order], first, axis=0)
-        return out
+    def scatter(at: np.ndarray, *parts: np.ndarray) -> list[np.ndarray]:
+        small = at.astype(np.int16) if model.size < 1 << 15 else at  # short numbers are sorted by radix
+        order = np.argsort(small, kind="stable")
+        placed = at[order]
+        first = np.flatnonzero(np.diff(placed, prepend=-1))
+        outs = []
+        for d in parts:
+            d = d.reshape(len(at), -1)
+            out = np.zeros((model.size + 1, d.shape[1]), np.float32)
+            out[placed[first]] = np.add.reduceat(np.take(d, order, axis=0), first, axis=0)
+            outs.append(out)
+        return outs
 
-    own = ids[:, STEP:].ravel()
-    g["self"] = scatter(own, dh.reshape(-1, WIDTH))
     dw = dh @ values.transpose(0, 2, 1)
-    g["value"] = scatter(ids.ravel(), (weights.transpose(0, 2, 1) @ dh).reshape(-1, WIDTH))
     ds = weights * (dw - (dw * weights).sum(axis=2, keepdims=True))
     g["lag"] = np.bincount(np.clip(_LAG, 0, None).ravel(), weights=np.where(_LAG >= 0, ds.sum(axis=0), 0).ravel(), minlength=2 * STEP)[: 2 * STEP].astype(np.float32)
     ds *= np.float32(KEY**-0.5)
-    g["query"] = scatter(own, (ds @ keys).reshape(-1, KEY))
-    g["key"] = scatter(ids.ravel(), (ds.transpose(0, 2, 1) @ queries).reshape(-1, KEY))
+    g["self"], g["query"] = scatter(ids[:, STEP:].ravel(), dh, ds @ keys)
+    g["value"], g["key"] = scatter(ids.ravel(), weights.transpose(0, 2, 1) @ dh, ds.transpose(0, 2, 1) @ queries)
     return g, float(loss) / n
 
 
 def train(model: Model, inputs: np.ndarray, targets: np.ndarray, steps: int, rate: float, batch: int = 192, seed: int = 5) -> Model:
-    """Adam over random batches of windows; the rate falls to a tenth of its start."""
+    """Adam over random batches of windows; the rate falls to a tenth of its start.
+
+    Each pass sees every window once, in batches of nearly equal size, batch at most.
+    """
     rng = np.random.default_rng(seed)
     parts = {k: v.copy() for k, v in model.parts.items()}
     model = Model(parts)
     m1, m2 = {k: np.zeros_like(v) for k, v in parts.items()}, {k: np.zeros_like(v) for k, v in parts.items()}
-    order, at = rng.permutation(len(inputs)), 0
+    picks: list[np.ndarray] = []
     for t in range(1, steps + 1):
-        if at + batch > len(order):
-            order, at = rng.permutation(len(inputs)), 0
-        pick = order[at : at + batch]
-        at += batch
+        if not picks:
+            picks = np.array_split(rng.permutation(len(inputs)), -(-len(inputs) // batch))
+        pick = picks.pop()
         g, _ = gradients(model, inputs[pick], targets[pick])
         now = rate * (1 - 0.9 * t / steps)
         for k, d in g.items():

@@ -1,8 +1,9 @@
 """Language-model scores of whole texts: a unigram base and a causal self-attention model.
 
 The base counts every training word of the corpus. The model (module attention) reads subword
-ids of a public tokenizer: it is started on one shard of the training documents, trained further
-on shards that grow with the corpus, and the shards' models are averaged, in a tree of tasks.
+ids of a public tokenizer: it is started on one shard of the training documents, then every
+training document improves it in one of the shards, whose number grows with the corpus, and the
+shards' models are averaged, in a tree of tasks.
 """
 
 from __future__ import annotations
@@ -23,8 +24,7 @@ from .runtime import bounded_batches, cut
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 ITEMS = 1024  # the model's items: most frequent ids, one for all others, one for a text's end
 COMMON = 1e-6  # words of this share of all tokens or more are broadcast: 1 / COMMON at most
-START_WORDS = 500_000  # words of a shard, about; the first shard starts the model
-SAMPLE = 0.02  # share of the training documents that train the model, besides the first shard
+START_WORDS = 500_000  # words of a shard, about, and of the sample that starts the model
 EPOCHS = 4.0
 _MEMO = 600_000
 _FLUSH = 1 << 22
@@ -156,8 +156,8 @@ def _improve(shared):
         texts = [tokens(r) for batch in batches for r in _raws(batch["text"])]
         if texts:
             inputs, targets, _ = at.windows(texts, model.size)
-            model = at.train(model, inputs, targets, max(1, len(inputs) // 192), 4e-3)
-            yield pd.DataFrame({"n": [1], "model": [model.to_bytes()]})
+            model = at.train(model, inputs, targets, -(-len(inputs) // 192), 4e-3)
+            yield pd.DataFrame({"n": [len(inputs)], "model": [model.to_bytes()]})
 
     return run
 
@@ -175,29 +175,30 @@ def _average(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def train_model(training: DataFrame, words: int, ranks) -> tuple[np.ndarray, at.Model]:
     """(ids in order of frequency, model) learned from training (doc_id, text), of so many words.
 
-    Shards are chosen by a hash of doc_id: the first holds about START_WORDS words, the others
-    together a share of SAMPLE, each about START_WORDS. What is gathered is one model (of fixed
-    size) a shard, averaged 16 to 1 by tasks until one is left.
+    The same two steps at every size: documents of about START_WORDS words (one at least), chosen
+    by a hash of doc_id, start the model; then all training documents, those too, are dealt into
+    shards of about START_WORDS words, and each shard goes on from the start in one pass over all
+    of its windows. What is gathered is one model (of fixed size) a shard, weighted by windows and
+    averaged 16 to 1 by tasks until one is left.
     """
     spark = training.sparkSession
     draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
-    first = START_WORDS / max(1, words)
-    got = training.where(draw < first).select("text").repartition(1).mapInPandas(_start(ranks), "items binary, model binary").first()
-    if got is None:
+    least = training.agg(F.min(draw)).first()[0]
+    if least is None:
         order = np.zeros(0, np.int64)
         return order, at.Model.fresh(np.ones(2))
+    first = max(least, START_WORDS / max(1, words))
+    got = training.where(draw <= first).select("text").repartition(1).mapInPandas(_start(ranks), "items binary, model binary").first()
     order = np.frombuffer(got["items"], np.int32)
     model = at.Model.from_bytes(got["model"], at.Model.fresh(np.ones(len(order) + 2)))
-    if first >= 1:
-        return order, model
-    shards = max(1, math.ceil(SAMPLE * words / START_WORDS))
+    shards = max(1, math.ceil(words / START_WORDS))
     shared = spark.sparkContext.broadcast((ranks.value, order, model))
-    models = training.where((draw >= first) & (draw < first + SAMPLE)).select("doc_id", "text").repartition(shards, F.xxhash64("doc_id", F.lit(6))).mapInPandas(_improve(shared), "n long, model binary")
-    while shards > 1:
+    models = training.select("doc_id", "text").repartition(shards, F.xxhash64("doc_id", F.lit(6))).mapInPandas(_improve(shared), "n long, model binary")
+    while True:
         shards = math.ceil(shards / 16)
         models = models.repartition(shards).mapInPandas(_average, "n long, model binary")
-    last = models.first()
-    return order, at.Model.from_bytes(last["model"], model) if last else model
+        if shards == 1:
+            return order, at.Model.from_bytes(models.first()["model"], model)
 
 
 def _score(shared):

@@ -93,6 +93,31 @@ def test_scores_of_odd_rows(spark, odd_documents, no_documents):
     assert [r["base_score"] for r in nothing_learned] == [0.0]
 
 
+def test_a_pass_sees_every_window(monkeypatch):
+    seen, real = [], attention.gradients
+    monkeypatch.setattr(attention, "gradients", lambda model, inputs, targets: seen.extend(targets[:, 0].tolist()) or real(model, inputs, targets))
+    inputs, targets, _ = attention.windows([np.array([i], np.int32) for i in range(383)], 384)
+    attention.train(attention.Model.fresh(np.ones(384)), inputs, targets, 2, 1e-2)
+    assert sorted(seen) == list(range(383))
+
+
+def test_every_training_document_is_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "START_WORDS", 300)
+    with open(lm_scoring.TOKENIZER, "rb") as file:
+        ranks = spark.sparkContext.broadcast(file.read())
+
+    def learned(changed):
+        rows = [(i, prose(i + 500 * (i == changed), 50)) for i in range(60)]
+        return lm_scoring.train_model(spark.createDataFrame(rows, "doc_id long, text string"), 3000, ranks)[1]
+
+    plain = learned(None)
+    for i in (5, 23, 41, 58):
+        other = learned(i)
+        assert max(np.abs(other.parts[k] - plain.parts[k]).max() for k in attention.Model.names) > 1e-5
+    monkeypatch.setattr(lm_scoring, "START_WORDS", 1)  # no document is drawn for so short a start
+    assert len(lm_scoring.train_model(spark.createDataFrame([(1, prose(1, 50)), (2, prose(2, 50))], "doc_id long, text string"), 100, ranks)[0])
+
+
 def test_label_model_finds_accurate_voters():
     rng = np.random.default_rng(3)
     y = rng.random(4000) < 0.15
