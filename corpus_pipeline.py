@@ -13,16 +13,14 @@ from linecurate.llm.runtime import cut
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of docs whose doc_id is (left_semi) or isn't (left_anti) among ids; null is an id too."""
-    ids = ids.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]), how).select(*COLUMNS)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number each, checkpointed, so that a row has the same number whenever it is read."""
+    return cut(docs.select(*COLUMNS).withColumn("__row", F.monotonically_increasing_id()))
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects the documents that the classifier predicts to be toxic."""
-    scores = toxicity.toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _only(docs, scores.where("predicted = 1"), "left_anti")
+    return toxicity.not_toxic(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,19 +30,25 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates (five-word shingles, 0.8)."""
-    return _only(docs, near_dedup.near_duplicates(docs, width=5, threshold=0.8).where("not kept"), "left_anti")
+    """Keeps one document of each group of near duplicates (five-word shingles, 0.8): the smallest doc_id, null last."""
+    rows = _numbered(docs)
+    groups = near_dedup.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), width=5, threshold=0.8)
+    placed = cut(groups.select(F.col("doc_id").alias("__row"), "component_id").join(rows.select("__row", "doc_id"), "__row"))
+    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row"))["__row"].alias("first"), F.count("*").alias("n")).where("n > 1")
+    rest = placed.join(first, "component_id").where("__row <> first").select("__row")
+    return rows.join(rest, "__row", "left_anti").select(*COLUMNS)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects the documents that hold a passage of the benchmark."""
-    return _only(docs, decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "left_anti")
+    return decontaminate.uncontaminated(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training mix: each document as often as it was drawn, with its number of copies."""
-    drawn = mixing.mix(docs).where("copies > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("copies"))
-    mixed = docs.join(drawn, docs["doc_id"].eqNullSafe(F.col("__id"))).select(*COLUMNS, "copies")
+    rows = _numbered(docs)
+    drawn = mixing.mix(rows, keys=["__row"]).where("copies > 0").select("__row", "copies")
+    mixed = rows.join(drawn, "__row").select(*COLUMNS, "copies")
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
 
 

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -178,6 +179,15 @@ def _search(shared):
     return run
 
 
+def _clean(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array([not passages(normal(t), index) for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return run
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Passages of benchmark items in docs: doc_id, item_id, first_word, end_word, matched_bytes, edits.
 
@@ -194,23 +204,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bounded_batches(spark)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, item_id long, first_word long, end_word long, matched_bytes long, edits long"
-    parts, ids, texts = [], [], []
+    parts = [source.mapInPandas(_search(spark.sparkContext.broadcast(index)), schema) for index in _blocks(benchmark)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Rows of docs, with all columns, in which contaminated finds no passage; each row is judged by itself."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    docs = docs.withColumn("text", F.col("text").cast("string"))
+    for index in _blocks(benchmark):
+        docs = docs.mapInArrow(_clean(spark.sparkContext.broadcast(index)), docs.schema)
+    return docs
 
-    def close() -> None:
-        parts.append(source.mapInPandas(_search(spark.sparkContext.broadcast(Index(ids, texts))), schema))
 
+def _blocks(benchmark: DataFrame) -> Iterator[Index]:
+    """Indexes of the benchmark's items, BLOCK_BYTES each; one at least."""
+    ids, texts, some = [], [], False
     for row in benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct().toLocalIterator():
         ids.append(row["item_id"])
         texts.append(normal(row["text"]))
         if sum(map(len, texts)) >= BLOCK_BYTES:
-            close()
-            ids, texts = [], []
-    if texts or not parts:
-        close()
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.union(part)
-    return out
+            yield Index(ids, texts)
+            ids, texts, some = [], [], True
+    if texts or not some:
+        yield Index(ids, texts)
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:

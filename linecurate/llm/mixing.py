@@ -75,25 +75,26 @@ def systematic(rows: DataFrame, group: str, order: Sequence[Column], expected: C
     return rows.withColumn("copies", copies).drop("__cell", "__units", "__g", "__c", "__p", "__piece", "__before", "__to")
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = 7) -> DataFrame:
-    """One row for each row of docs: doc_id, source, size, source_size, target, copies, taken.
+def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = 7, keys: Sequence[str] = ()) -> DataFrame:
+    """One row for each row of docs: doc_id, source, size, source_size, target, copies, taken, and keys.
 
     size is the text's number of words (null: 0), taken what the mix takes of it, repeats counted
     (at most ceil(cap) times size). Every document of a source has the same expectation,
     target / source_size; a source without words takes none. Null sources form a source of their
     own, in last place. Rows that repeat a doc_id are drawn each for itself. An empty table gives
-    an empty result. Columns other than doc_id, source and text are ignored. Checkpoints one
+    an empty result. Columns other than doc_id, source, text and keys are ignored; keys also break ties
+    of the order. Checkpoints one
     narrow row a document (no text).
     """
     size = F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit(_WORD))).cast("long")
-    sized = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size")))
+    sized = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), *keys))
     aims = cut(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap))
     aims = aims.select(F.col("source").alias("__s"), "source_size", "target")
     rows = sized.join(F.broadcast(aims), F.col("source").eqNullSafe(F.col("__s"))).drop("__s") if aims.count() <= 100_000 else sized.join(aims, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     by_size = F.floor(F.log2(F.col("size") + 1.0) * 8).cast("long")
-    drawn = systematic(rows, "source", [by_size, F.col("size"), F.xxhash64(F.lit(seed), F.col("doc_id")), F.col("doc_id")], expected, seed)
-    return drawn.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    drawn = systematic(rows, "source", [by_size, F.col("size"), F.xxhash64(F.lit(seed), F.col("doc_id")), F.col("doc_id"), *map(F.col, keys)], expected, seed)
+    return drawn.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *keys)
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:

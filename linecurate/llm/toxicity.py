@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -166,13 +167,26 @@ def _score(features: list[bytes], weights: np.ndarray, bias: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         look = Lookup(features)
         for batch in batches:
-            z = np.array([bias + weights[look(t)].sum() for t in batch["text"]], np.float64)
-            batch["score"] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            batch["score"] = _scores(look, batch["text"], weights, bias)
             yield batch.drop(columns="text").astype({"doc_id": "Int64"})
 
     return run
 
 
+def _scores(look: Lookup, texts, weights: np.ndarray, bias: float) -> np.ndarray:
+    z = np.array([bias + weights[look(t)].sum() for t in texts], np.float64)
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def _clean(features: list[bytes], weights: np.ndarray, bias: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = Lookup(features)
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(look, batch.column("text").to_pylist(), weights, bias) < 0.5))
+
+    return run
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[bytes], np.ndarray, float]:
     """Features, weights and bias, from at most `sample` labelled rows of docs.
 
@@ -218,6 +232,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def not_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """Rows of docs, with all columns, that toxicity doesn't predict to be toxic; each row is judged by itself."""
+    bounded_batches(docs.sparkSession)
+    docs = docs.withColumn("text", F.col("text").cast("string"))
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return docs.mapInArrow(_clean(*learn(known, labels, sample)), docs.schema)
+
+
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
     """Toxicity of every row of `documents`."""
     return toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))

@@ -194,3 +194,33 @@ def test_pipeline_of_odd_rows(spark, odd_documents, small):
         docs = stage(spark, docs, small)
     rows = docs.collect()
     assert {r["doc_id"] for r in rows} <= {None, 1, 2, 3, 4, 5, 6, 7, 9, -4}
+
+
+def test_pipeline_decides_by_row(spark, tmp_path):
+    """Rows without a doc_id, and rows that share one, are judged each for itself."""
+    import corpus_pipeline as cp
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    table = lambda rows: spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], schema)
+    kept = lambda docs: sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=str)
+    docs, labels = labelled(spark, 300)
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    bad = " ".join(["Vilely", "scumble", *prose(900, 40).split(), "Vilely", "scumble"])
+    odd = [(i, t) for i in (None, 1) for t in (prose(901, 40), bad)]
+    got = kept(cp.toxicity_stage(spark, table([*docs.collect(), *odd]), str(tmp_path)))
+    assert {(i, t) for i, t in odd if t != bad} <= set(got) and not any(t == bad for _, t in got) and len(got) > 200
+
+    spark.createDataFrame([(1, prose(77, 60))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    odd = [(i, t) for i in (None, 1) for t in (prose(5, 40), prose(77, 60) + " more", prose(6, 40), None)]
+    want = sorted([(i, t) for i, t in odd if not (t or "").endswith("more")], key=str)
+    assert kept(cp.decontaminate_stage(spark, table(odd), str(tmp_path))) == want
+
+    a, b, c = (prose(i, 60) for i in (1, 2, 3))
+    rows = [(None, a), (6, a), (6, b), (5, a), (None, c), (None, c), (6, None), (None, "")]
+    assert kept(cp.near_dedup_stage(spark, table(rows), "")) == sorted([(5, a), (6, b), (None, c), (6, None), (None, "")], key=str)
+
+    rows = table([((None, 1)[i % 2], prose(i, 30)) for i in range(90)])
+    out = cp.mixing_stage(spark, rows, "").collect()
+    drawn = cp.mixing.mix(rows).selectExpr("sum(copies)").first()[0]
+    assert len(out) == drawn and {r["text"] for r in out} == {r["text"] for r in rows.collect()}
+    assert all(r["copies"] in (1, 2) for r in out) and sum(r["copies"] == 2 for r in out) < len(out)
