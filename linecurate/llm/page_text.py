@@ -1,7 +1,7 @@
 """Main text of web pages by differencing each page with the nearest page of its host.
 
 Pages of a host are put in order of URL path; a page's partner is the neighbour with the longer
-common path prefix. Text lines of both are aligned by longest common subsequence, and lines that
+common path prefix, copies of the page passed over. Text lines of both are aligned by longest common subsequence, and lines that
 both share are deleted: that is the site's furniture. Markup overrides the differences where it
 is plain: lines of an article or main element stay although the partner has them too (sites
 repeat articles), and menus, headers, footers, sidebars, notices, adverts, forms and reader
@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import bounded_batches, shuffle_partitions
+from .runtime import BATCH_BYTES, bounded_batches, shuffle_partitions
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)", re.S)
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=\s|/|$)""", re.I)
@@ -158,25 +158,46 @@ def _prefix(a: str, b: str) -> int:
 
 
 def _difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Walks pages in order of host and path; holds three pages at a time."""
+    """Walks pages in order of host and path. Pages of a host that follow each other with equal lines are copies and
+    form a run (host, lines, pages); the partner is a page of the run before or after. Holds three runs' lines at a
+    time, and id, url, path and kinds of lines of the copies."""
 
     def emit(before, now, after):
-        near = [x for x in (before, after) if x is not None and x[2] == now[2]]
-        partner = max(near, key=lambda x: _prefix(x[3], now[3])) if near else None
-        text, shared = main_text(now[4], partner and partner[4])
-        return now[0], now[1], text, len(text), shared, partner[0] if partner else None
+        host, lines, pages = now
+        near = [(run[2][at], run[1]) for run, at in ((before, -1), (after, 0)) if run is not None and run[0] == host]
+        done = {}
+        for page_id, url, path, kinds in pages:
+            partner, other = max(near, key=lambda x: _prefix(x[0][2], path)) if near else (None, None)
+            key = (kinds, id(other))
+            if key not in done:
+                done[key] = main_text(list(zip(lines, kinds)), other and [(x, 0) for x in other])
+            text, shared = done[key]
+            yield page_id, url, text, len(text), shared, partner[0] if partner else None
 
     before = now = None
+    out, size = [], 0
     for batch in batches:
-        out = []
-        for page in zip(batch["page_id"].astype("Int64"), batch["url"], batch["host"], batch["path"], batch["html"]):
-            page = (*page[:4], blocks(page[4]))
-            if now is not None:
-                out.append(emit(before, now, page))
-            before, now = now, page
-        yield _frame(out)
-    if now is not None:
-        yield _frame([emit(before, now, None)])
+        for page_id, url, host, path, page in zip(batch["page_id"].astype("Int64"), batch["url"], batch["host"], batch["path"], batch["html"]):
+            found = blocks(page)
+            lines, own = [x for x, _ in found], (page_id, url, path, bytes(kind for _, kind in found))
+            if now is not None and now[0] == host and now[1] == lines:
+                now[2].append(own)
+                continue
+            after = (host, lines, [own])
+            for row in emit(before, now, after) if now is not None else ():
+                out.append(row)
+                size += len(row[2])
+                if size > BATCH_BYTES:
+                    yield _frame(out)
+                    out, size = [], 0
+            before, now = now and (*now[:2], now[2][-1:]), after
+    for row in emit(before, now, None) if now is not None else ():
+        out.append(row)
+        size += len(row[2])
+        if size > BATCH_BYTES:
+            yield _frame(out)
+            out, size = [], 0
+    yield _frame(out)
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
@@ -191,8 +212,9 @@ def extract(pages: DataFrame) -> DataFrame:
     Lines are the text of block elements (br ends one), with character references decoded and
     white space collapsed, joined by line feeds. Null and empty html gives an empty text. Null and
     malformed urls form a host of their own; a host with one page has no partner, and nothing of
-    it counts as shared. Null page_ids and repeated rows are extracted like others. Columns other
-    than page_id, url and html are ignored.
+    it counts as shared. Null page_ids and repeated rows are extracted like others: a page with
+    the same lines is no partner, the nearest one that differs is. Columns other than page_id, url
+    and html are ignored.
 
     Pages are dealt by ranges of (host, path, page_id), so a host of any size spreads over tasks;
     at the edge of a range a page has the neighbour on the other side only.

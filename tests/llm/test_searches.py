@@ -201,6 +201,21 @@ def test_differences_clean_unmarked_pages(spark, odd_documents):
     assert page_text.extract(df.limit(0)).count() == 0
 
 
+def test_copies_are_no_partners(spark):
+    page = lambda i: f"<html><body><div>Site name</div><div>Links here</div><div>{prose(i, 12)}</div><div>Imprint</div></body></html>"
+    rows = [(10 * i + k, f"http://h.example/a/{i}?v={k % 2}", page(i)) for i in range(3) for k in range(4)] + [(1, "http://h.example/a/0?v=1", page(0))]
+    df = spark.createDataFrame(rows + [(90 + k, "http://copies.example/x", page(9)) for k in range(3)], "page_id long, url string, html string")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # hosts in one range
+    try:
+        out = page_text.extract(df).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted(r["page_id"] for r in out) == sorted([*(r[0] for r in rows), 90, 91, 92])
+    assert all(r["text"] == prose(r["page_id"] // 10, 12) and r["lines_shared"] == 3 for r in out if r["page_id"] < 90)
+    assert all(r["partner_id"] // 10 != r["page_id"] // 10 for r in out if r["page_id"] < 90)
+    assert all(r["partner_id"] is None and r["text"].count("\n") == 3 for r in out if r["page_id"] >= 90)
+
+
 def test_op8_query(spark, small):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
     out = registry.QUERIES["op8_page_text"](spark, small).collect()
