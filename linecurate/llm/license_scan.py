@@ -19,6 +19,7 @@ from .runtime import bounded_batches
 
 K = 3  # words in a fingerprint; shorter templates aren't looked for
 WINDOW = 4  # any WINDOW + K - 1 shared words share a fingerprint
+SHORT = 12  # words; of shorter templates every K-gram is posted
 BAND = 8  # words by which an alignment may leave the candidate's diagonal
 MIN_COVERAGE = 0.8  # of the template's words
 
@@ -61,15 +62,15 @@ def plain(text: str | None) -> bytes:
 
 
 def fingerprints(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Winnowed (hash, place) of the word K-grams: the last smallest of every WINDOW of them."""
+    """Winnowed (hash, place) of the word K-grams: the last smallest of every WINDOW of them; all of short templates."""
     n = len(words) - K + 1
     if n <= 0:
         return words[:0], np.zeros(0, np.int64)
     grams = np.zeros(n, np.uint64)
     for i in range(K):
         grams = tb.mix(grams + words[i : i + n] + np.uint64(i + 1))
-    if n <= WINDOW:
-        at = np.array([n - 1 - int(np.argmin(grams[::-1]))])
+    if len(words) < SHORT:
+        at = np.arange(n)
     else:
         views = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)[:, ::-1]
         at = np.unique(np.arange(len(views)) + WINDOW - 1 - np.argmin(views, axis=1))
@@ -143,15 +144,15 @@ def scan(text: str | None, index: Index, min_coverage: float = MIN_COVERAGE) ->
     starts, ends = tb.word_bounds(raw)
     found = []
     hits = [(int(index.owners[j]), int(p) - int(index.places[j])) for p in at for j in range(low[p], np.searchsorted(index.grams, grams[p], "right"))]
-    last: dict[int, int] = {}
+    done: dict[int, int] = {}  # past the last match's end
     for owner, diagonal in sorted(set(hits)):
-        if owner in last and diagonal <= last[owner] + BAND:
-            continue  # inside the band that the candidate before covered
-        last[owner] = diagonal
         pattern = index.words[owner]
-        begin = max(0, diagonal - BAND)
-        common, first, end = align(pattern, words[begin : diagonal + len(pattern) + BAND], BAND)
+        begin, stop = max(0, diagonal - BAND, done.get(owner, 0)), min(len(words), diagonal + len(pattern) + BAND)
+        if stop - begin < min_coverage * len(pattern):
+            continue
+        common, first, end = align(pattern, words[begin:stop], BAND)
         if common and common >= min_coverage * len(pattern):
+            done[owner] = begin + end
             found.append((index.names[owner], common / len(pattern), common, len(pattern), int(starts[begin + first]), int(ends[begin + end - 1])))
     # a template inside a longer match of another one is that one's
     found = [x for x in found if not any(y[2] > x[2] and y[4] <= x[4] and x[5] <= y[5] for y in found)]
@@ -173,7 +174,8 @@ def license_spans(docs: DataFrame, templates: dict[str, str] | None = None, min_
     start_byte, end_byte (of the text's UTF-8).
 
     One row for each place of each template whose words are covered to min_coverage, in order,
-    within BAND words of a diagonal; case (A-Z) and ASCII punctuation but - don't count. A match
+    within BAND words of a diagonal, the next one after the end of the one before; a place shares
+    K words in a row with a template of fewer than SHORT words; case (A-Z) and ASCII punctuation but - don't count. A match
     inside a longer match of another template is left out. Null, empty and short texts give no
     row; null doc_ids are carried along; repeated rows are scanned again. Other columns are
     ignored. The templates are code, so the index that goes to the executors is of fixed size.

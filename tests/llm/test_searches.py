@@ -93,6 +93,14 @@ def test_licences(spark, odd_documents, no_documents):
     assert license_scan.license_spans(odd_documents).count() == 0 and license_scan.license_spans(no_documents).count() == 0
 
 
+def test_licences_in_a_row_and_with_a_changed_word():
+    index = license_scan.Index(license_scan.TEMPLATES)
+    text = "Foo. All rights reserved. All rights reserved. All rights reserved. Bar"
+    assert [(f[0], text[f[4] : f[5]]) for f in license_scan.scan(text, index)] == [("all-rights-reserved", "All rights reserved")] * 3
+    for text in ("Distributed under the MIT License", "Released under the MIT terms"):
+        assert ("MIT-notice", 0.8) in [f[:2] for f in license_scan.scan("Foo. " + text + ". Bar", index)]
+
+
 def test_licence_alignment_is_a_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(40):
