@@ -3,8 +3,11 @@
 Each document's MinHash samples are folded into a parity bitmap (an odd sketch): sample j with
 value x flips bit hash(j, x). Two sketches differ only where samples differ, so the population
 count of their XOR gives the number of differing samples, hence the similarity, most precisely
-when that is high. Documents that share a band of samples form a bucket; inside a bucket pairs
-are ranked by sketch, and pairs that no confirmed link joins yet are compared on full shingle sets.
+when that is high. Documents that share a band of samples form a bucket, and buckets with the same
+most popular member (the hub) one group. A group is cut into blocks, each with the hub; inside a
+block pairs are ranked by sketch, and pairs that no confirmed link joins yet are compared on full
+shingle sets. What the links leave outside a group's largest component is then compared with the
+group's other blocks.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
@@ -23,7 +26,7 @@ from .runtime import bounded_batches, cut, shuffle_partitions
 
 SKETCH_BITS = 1024
 MISS = 1e-6  # chance at most that a pair at the threshold shares no band
-BLOCK = 512  # members of a bucket that one task holds from each side, about
+BLOCK = 2048  # members of a group that are compared with each other in one place, about
 BLOCK_SHINGLES = 4_000_000  # and so many of their shingles, unless a single text has more
 
 
@@ -80,7 +83,7 @@ def _signatures(width: int, threshold: float):
                 prints[full, 1] = np.bitwise_xor.reduceat(tb.mix(values + np.uint64(77)), starts).view(np.int64)
                 for row, i in enumerate(full):
                     bands[i], sketches[i] = keys[row], odd[row].tobytes()
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_shingles": sizes, "fp1": prints[:, 0], "fp2": prints[:, 1], "bands": bands, "sketch": sketches})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "t": batch["t"], "n_shingles": sizes, "fp1": prints[:, 0], "fp2": prints[:, 1], "bands": bands, "sketch": sketches})
 
     return run
 
@@ -92,30 +95,26 @@ def _overlaps(one: np.ndarray, many: list[np.ndarray]) -> np.ndarray:
     return np.add.reduceat((one[at] == flat).astype(np.int64), np.concatenate(([0], np.cumsum([len(m) for m in many])[:-1])))
 
 
-def _link_group(group: pd.DataFrame, width: int, per_mille: int, most_bits: float) -> list[tuple[int, int]]:
-    """Links that span the components of one bucket's block pair; every other pair of the block
-    pair is either joined through these or was excluded by sketch or by its full sets."""
-    group = group.drop_duplicates("rep")
-    ids, side = group["rep"].to_numpy(np.int64), (group["own"] == group["b1"]).to_numpy()
-    same = bool((group["b1"] == group["b2"]).iloc[0])
-    words, counts = tb.word_hashes([tb.lowered(t) for t in group["text"]])
+def _link_block(block: pd.DataFrame, width: int, per_mille: int, most_bits: float) -> list[tuple[int, int]]:
+    """Links that span the components of one block (cid, comp, asks, answers, minor, n_shingles, sketch, text).
+
+    Rows that ask are compared with rows that answer, a minor one of those only if its cid is
+    smaller; pairs that comp or earlier links join already, or that sketch or sizes exclude, are
+    passed over.
+    """
+    block = block.drop_duplicates(["cid", "asks"])
+    ids, asks, answers, minor = block["cid"].to_numpy(np.int64), *(block[c].to_numpy(bool) for c in ("asks", "answers", "minor"))
+    words, counts = tb.word_hashes([tb.lowered(t) for t in block["text"]])
     ends = np.cumsum(counts)
     sets = [tb.shingles(words[e - c : e], width) for c, e in zip(counts, ends)]
     sizes = np.array([len(s) for s in sets], np.int64)
-    valid = sizes == group["n_shingles"].to_numpy(np.int64)  # a row that reuses a doc_id isn't its class's text
-    bits = np.frombuffer(b"".join(group["sketch"]), np.uint64).reshape(len(ids), -1)
-    root, found = np.arange(len(ids)), []
-    order = np.argsort(ids, kind="stable")
-    for i in order:
-        if not valid[i]:
-            continue
-        far = np.bitwise_count(bits ^ bits[i]).sum(axis=1)
-        may = (far <= most_bits) & valid & (1000 * np.minimum(sizes, sizes[i]) >= per_mille * np.maximum(sizes, sizes[i]))
-        may &= (root != root[i]) & (ids < ids[i])
-        if not same:
-            may &= side != side[i]
-        rest = np.flatnonzero(may)
-        rest = rest[np.lexsort((ids[rest], far[rest]))]
+    bits = np.frombuffer(b"".join(block["sketch"]), np.uint64).reshape(len(ids), -1)
+    root, found = np.unique(block["comp"].to_numpy(), return_inverse=True)[1], []
+    for i in np.flatnonzero(asks)[np.argsort(ids[asks], kind="stable")]:
+        rest = np.flatnonzero(answers & (root != root[i]) & (~minor | (ids < ids[i])) & (1000 * np.minimum(sizes, sizes[i]) >= per_mille * np.maximum(sizes, sizes[i])))
+        far = np.bitwise_count(bits[rest] ^ bits[i]).sum(axis=1)
+        rest, far = rest[far <= most_bits], far[far <= most_bits]
+        rest = rest[np.lexsort((ids[rest], far))]
         take = 4
         while len(rest):
             now, rest = rest[:take], rest[take:]
@@ -134,16 +133,65 @@ def _link(width: int, per_mille: int, most_bits: float):
         for batch in batches:
             held = batch if held is None else pd.concat([held, batch], ignore_index=True)
             last = held.iloc[-1]
-            open_ = (held["key"] == last["key"]) & (held["b1"] == last["b1"]) & (held["b2"] == last["b2"])
+            open_ = (held["hub"] == last["hub"]) & (held["part"] == last["part"]) & (held["block"] == last["block"])
             done, held = held[~open_], held[open_].reset_index(drop=True)
-            out = [x for _, g in done.groupby(["key", "b1", "b2"], sort=False) for x in _link_group(g, width, per_mille, most_bits)]
+            out = [x for _, g in done.groupby(["hub", "part", "block"], sort=False) for x in _link_block(g, width, per_mille, most_bits)]
             yield pd.DataFrame(out, columns=["u", "v"], dtype="int64")
         if held is not None and len(held):
-            yield pd.DataFrame(_link_group(held, width, per_mille, most_bits), columns=["u", "v"], dtype="int64")
+            yield pd.DataFrame(_link_block(held, width, per_mille, most_bits), columns=["u", "v"], dtype="int64")
 
     return run
 
 
+_ROW = ("hub", "part", "block", "cid", "comp", "asks", "answers", "minor")
+
+
+def _blocks(n: Column) -> Column:
+    """Blocks for n members (a column of their number, one of all their shingles)."""
+    return F.ceil(F.least(n, F.greatest(n / BLOCK, F.col("shingles") / BLOCK_SHINGLES))).cast("int")
+
+
+def _each(blocks: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), blocks - 1))
+
+
+def _groups(classes: DataFrame) -> DataFrame:
+    """(hub, cid, block, blocks): every class that shares a band with others, under each of its bands' hubs.
+
+    A bucket's hub is the member that shares most bands with most classes (the sum of the sizes of
+    its buckets). Two classes that share a band are in one group at least. A group's members are
+    dealt into blocks by hash; the hub is a member of each.
+    """
+    posted = classes.select("cid", F.explode("bands").alias("key"))
+    shared = cut(posted.join(posted.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key"))
+    popular = shared.groupBy("cid").agg(F.sum("size").alias("pop"))
+    hubs = shared.join(popular, "cid").groupBy("key").agg(F.max(F.struct("pop", "cid"))["cid"].alias("hub"))
+    members = shared.select("key", "cid").join(hubs, "key").where("cid <> hub").select("hub", "cid").distinct()
+    members = cut(members.join(classes.select("cid", "n_shingles"), "cid"))
+    sizes = members.groupBy("hub").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")).select("hub", _blocks(F.col("n")).alias("blocks"))
+    dealt = members.join(sizes, "hub").select("hub", "cid", F.pmod(F.xxhash64("cid", F.lit(2)), F.col("blocks")).cast("int").alias("block"), "blocks")
+    return dealt.union(sizes.select("hub", F.col("hub").alias("cid"), _each(F.col("blocks")).alias("block"), "blocks"))
+
+
+def _apart(groups: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Comparisons left in groups of several blocks: each member outside the group's largest
+    component (a part of BLOCK of them at a time) against every block. Rows are the members of a
+    group once a part, and its outsiders once a block."""
+    wide = groups.where("blocks > 1").join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
+    wide = cut(wide.join(sizes, "cid"))
+    once = wide.where("cid <> hub or block = 0")
+    count = once.groupBy("hub", "comp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    most = count.groupBy("hub").agg(F.max(F.struct("n", "comp"))["comp"].alias("most"), F.sum("n").alias("all"), F.sum("shingles").alias("whole"), F.max(F.struct("n", "comp", "shingles")).alias("top"))
+    most = most.select("hub", "most", (F.col("all") - F.col("top.n")).alias("n"), (F.col("whole") - F.col("top.shingles")).alias("shingles")).where("n > 0")
+    most = most.select("hub", "most", _blocks(F.col("n")).alias("parts"))
+    left = wide.join(most, "hub").withColumn("minor", F.col("comp") != F.col("most"))
+    yes, no = F.lit(True), F.lit(False)
+    asking = left.where("minor and (cid <> hub or block = 0)").withColumn("part", F.pmod(F.xxhash64("cid", F.lit(4)), F.col("parts")).cast("int")).withColumn("block", _each(F.col("blocks")))
+    asking = asking.select("hub", "part", "block", "cid", "comp", yes.alias("asks"), no.alias("answers"), "minor")
+    answering = left.where("cid <> hub or block = 0").withColumn("part", _each(F.col("parts"))).select("hub", "part", "block", "cid", "comp", no.alias("asks"), yes.alias("answers"), "minor")
+    return asking.union(answering)
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id, kept.
 
@@ -153,36 +201,48 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
 
     Null, empty and wordless texts have no shingles and are linked with nothing. A row without a
     doc_id is linked with nothing, has a null component_id and is kept. Rows that repeat a doc_id
-    are one node. Of docs only doc_id and text are read; other columns, whatever their names, are
-    ignored. Copies with equal sets collapse to one class before any comparison; buckets are
-    compared in blocks of BLOCK by BLOCK members, whose links are thinned to a spanning forest.
+    are one node, with the links of all its texts (but a wordless one). Of docs only doc_id and text are read; other
+    columns, whatever their names, are ignored.
+
+    Copies with equal sets collapse to one class before any comparison. Each class is sent once for
+    each hub of its bands, however large its groups are; only what a group's links leave outside its
+    largest component is sent again, to the group's blocks. Links are thinned to a spanning forest.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     banding, per_mille = Banding(threshold), round(1000 * threshold)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signs = cut(docs.mapInPandas(_signatures(width, threshold), "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>, sketch binary"))
+    text = F.col("text").cast("string")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("t"), text.alias("text"))
+    signs = cut(docs.mapInPandas(_signatures(width, threshold), "doc_id long, t long, n_shingles long, fp1 long, fp2 long, bands array<long>, sketch binary"))
     named = signs.where("n_shingles > 0 and doc_id is not null")
-    classes = cut(named.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
-
-    posted = classes.select("rep", "n_shingles", F.explode("bands").alias("key"))
-    buckets = posted.groupBy("key").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("shingles"), F.bit_xor(F.xxhash64("rep")).alias("f1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("f2")).where("size > 1")
-    # bands that gathered the very same documents are compared once
-    blocks = F.ceil(F.least(F.col("size"), F.greatest(F.col("size") / BLOCK, F.col("shingles") / BLOCK_SHINGLES))).cast("int")
-    buckets = buckets.groupBy("size", "shingles", "f1", "f2").agg(F.min("key").alias("key")).select("key", blocks.alias("blocks"))
-    members = posted.select("key", "rep").join(buckets, "key").withColumn("own", F.pmod(F.xxhash64("rep", F.lit(2)), F.col("blocks")).cast("int"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("key", "rep", "own", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"))
-    texts = docs.join(members.select("rep").distinct(), docs["doc_id"] == F.col("rep"), "left_semi").select(F.col("doc_id").alias("rep"), "text")
-    full = members.join(classes.select("rep", "n_shingles", "sketch"), "rep").join(texts, "rep")
-    full = full.repartition(max(shuffle_partitions(spark), 8), "key", "b1", "b2").sortWithinPartitions("key", "b1", "b2")
-    links = full.select("key", "b1", "b2", "own", "rep", "n_shingles", "sketch", "text").mapInPandas(_link(width, per_mille, banding.most_bits), "u long, v long")
+    same_set = ["fp1", "fp2", "n_shingles"]
+    classes = named.groupBy(*same_set).agg(F.min(F.struct("doc_id", "t")).alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = cut(classes.withColumn("cid", F.monotonically_increasing_id()))
+
+    def linked(rows: DataFrame) -> DataFrame:
+        wanted = classes.join(rows.select("cid").distinct(), "cid", "left_semi").select("cid", "sketch", F.col("rep.doc_id").alias("doc_id"), F.col("rep.t").alias("t"))
+        told = wanted.join(docs, ["doc_id", "t"]).select("cid", "sketch", "text").dropDuplicates(["cid"])
+        dealt = rows.join(told, "cid").repartition(max(shuffle_partitions(spark), 8), "hub", "part", "block").sortWithinPartitions("hub", "part", "block")
+        return cut(dealt.select(*_ROW, "sketch", "text").mapInPandas(_link(width, per_mille, banding.most_bits), "u long, v long"))
+
+    groups = cut(_groups(classes))
+    every = F.lit(True)
+    links = linked(groups.select("hub", F.lit(0).alias("part"), "block", "cid", F.col("cid").alias("comp"), every.alias("asks"), every.alias("answers"), every.alias("minor")))
+    # a doc_id with several texts is one node
+    sets = named.groupBy("doc_id").agg(F.min(F.struct(*same_set)).alias("low"), F.max(F.struct(*same_set)).alias("high")).where("low <> high").select("doc_id", F.col("low").alias("set"))
+    named_sets = sets.union(named.join(sets.select("doc_id"), "doc_id", "left_semi").select("doc_id", F.struct(*same_set).alias("set"))).select("doc_id", "set.*")
+    texts = named_sets.distinct().join(classes.select("cid", *same_set), same_set).select("doc_id", "cid")
+    links = links.union(texts.join(texts.groupBy("doc_id").agg(F.min("cid").alias("v")), "doc_id").select(F.col("cid").alias("u"), "v"))
     roots = components(links)
+    left = cut(_apart(groups, roots, classes.select("cid", "n_shingles")))
+    if not left.isEmpty():
+        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(linked(left)))
 
-    placed = classes.select("fp1", "fp2", "n_shingles", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("fp1", "fp2", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
-    linked = named.select("doc_id", "n_shingles", "fp1", "fp2").join(placed, ["fp1", "fp2", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
+    placed = classes.join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left").select(*same_set, F.col("rep.doc_id").alias("least"), F.coalesce("root", "cid").alias("comp"))
+    placed = placed.join(placed.groupBy("comp").agg(F.min("least").alias("component_id")), "comp").select(*same_set, "component_id")
+    near = named.select("doc_id", *same_set).join(placed, same_set).select("doc_id", "n_shingles", "component_id")
     alone = signs.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.union(alone).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return near.union(alone).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def op3_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -95,6 +95,27 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert got == classes(list(range(60)), texts, 3, 85)
 
 
+def test_near_duplicates_of_chains_in_blocks(spark, monkeypatch):
+    """A chain of texts, each near the next alone, so that no hub links a group."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 6)
+    words = prose(31, 400).split()
+    texts = [" ".join(words[2 * i : 2 * i + 100]) for i in range(50)]
+    random.Random(1).shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(df, 3, 0.85).collect()}
+    assert got == classes(list(range(50)), texts, 3, 85)
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    """All texts of a doc_id count, whichever row comes first."""
+    a, b = prose(61, 100), prose(62, 100)
+    rows = [(1, a), (1, b), (2, a.rsplit(" ", 2)[0]), (3, b.rsplit(" ", 2)[0]), (3, b.rsplit(" ", 2)[0]), (4, prose(63, 100)), (9, prose(63, 100)), (9, "")]
+    for parts in (1, 3, 8):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = sorted((r["doc_id"], r["component_id"]) for r in near_dedup.near_duplicates(df, 3, 0.85).collect())
+        assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (3, 1), (4, 4), (9, 4), (9, 9)]
+
+
 def test_op3_query(spark, small):
     rows = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
     got = registry.QUERIES["op3_near_dedup"](spark, small).collect()
