@@ -14,7 +14,11 @@ STEP = 16
 KEY = 16
 WIDTH = 32
 PLACES = 32  # items of a class
+RUN = 8  # windows that training takes one after another
+RUNS = 32  # such runs in a batch
 _CLOSED = np.float32(-1e4)
+_MOST = np.float32(60)  # above this a score counts as this, so that its exponential is finite
+_TABLES = ("query", "key", "value", "self")
 _LAG = np.arange(STEP)[:, None] + STEP - np.arange(2 * STEP)[None, :]  # how far a key lies before a query
 
 
@@ -76,36 +80,12 @@ def windows(texts: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray
     return inputs, targets, np.repeat(np.arange(len(texts)), many)
 
 
-def _mask(model: Model) -> np.ndarray:
+def _lags(model: Model) -> np.ndarray:
+    """What a key's place adds to its score, by query and key; closed for keys after the query."""
     bias = model.parts["lag"][np.clip(_LAG, 0, 2 * STEP - 1)]
     return np.where(_LAG >= 0, bias, _CLOSED)
 
 
-def _attend(model: Model, inputs: np.ndarray):
-    p = model.parts
-    empty = inputs == model.size + 1
-    ids = np.where(empty, model.size, inputs)
-    queries, keys, values = p["query"][ids[:, STEP:]], p["key"][ids], p["value"][ids]
-    scores = queries @ keys.transpose(0, 2, 1)
-    scores *= np.float32(KEY**-0.5)
-    scores += _mask(model)
-    if empty.any():
-        scores += np.where(empty, _CLOSED, np.float32(0))[:, None, :]
-    scores -= scores.max(axis=2, keepdims=True)
-    np.exp(scores, out=scores)
-    scores /= scores.sum(axis=2, keepdims=True)
-    mixed = scores @ values
-    mixed += p["self"][ids[:, STEP:]]
-    return ids, queries, keys, values, scores, mixed.reshape(-1, WIDTH)
-
-
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    if z.max(initial=0) > 60 or z.min(initial=0) < -60:
-        z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z) @ np.ones((z.shape[1], 1), z.dtype))
-    return z
-
-
 class Scorer:
     """A model's tables laid out for scoring.
 
@@ -119,7 +99,7 @@ class Scorer:
         self.places = n + 2
         dots = np.minimum(p["query"] @ p["key"].T * np.float32(KEY**-0.5), 60)
         self.weights = np.concatenate((np.exp(dots), np.zeros((n + 1, 1), np.float32)), axis=1).ravel()
-        self.lag = np.exp(_mask(model))
+        self.lag = np.exp(_lags(model))
         self.values = np.concatenate((np.concatenate((p["value"], np.ones((n + 1, 1), np.float32)), axis=1), np.zeros((1, WIDTH + 1), np.float32)))
         self.own = np.concatenate((p["self"], np.zeros((n + 1, 1), np.float32)), axis=1)
         self.kinds = np.concatenate((p["wc"], p["bc"][None]))
@@ -170,81 +150,140 @@ def log_probs(model: Model, inputs: np.ndarray, targets: np.ndarray) -> np.ndarr
     return Scorer(model)(inputs, targets)
 
 
-def gradients(model: Model, inputs: np.ndarray, targets: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
-    """Gradients of the mean negative log probability, and that mean."""
-    p = model.parts
-    ids, queries, keys, values, weights, h0 = _attend(model, inputs)
+def _gradients(parts: dict[str, np.ndarray], lags: np.ndarray, ids: np.ndarray, opens: np.ndarray, targets: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
+    """Gradients of the summed negative log probability of targets, divided by their number; and that mean.
+
+    ids (runs, 1 + windows, STEP) are the inputs of windows that follow each other, with those in
+    front of the first; opens marks windows without inputs in front. parts has the item tables
+    side by side, as "table": query, key, value, self.
+    """
+    table, n = parts["table"], targets.shape[0] * targets.shape[1] * STEP
+    scale = np.float32(KEY**-0.5)
+    x = np.take(table, ids, axis=0)
+    q, k, v, own = x[:, 1:, :, :KEY], x[..., KEY : 2 * KEY], x[..., 2 * KEY : 2 * KEY + WIDTH], x[:, 1:, :, 2 * KEY + WIDTH :]
+    q = q * scale
+    weights = []
+    for half, at in ((0, k[:, :-1]), (1, k[:, 1:])):
+        w = q @ at.swapaxes(2, 3)
+        w += lags[:, half * STEP : (half + 1) * STEP]
+        weights.append(np.exp(np.minimum(w, _MOST, out=w), out=w))
+    before, now = weights
+    before[opens] = 0
+    ones = np.ones((STEP, 1), np.float32)
+    total = before @ ones
+    total += now @ ones
+    mixed = before @ v[:, :-1]
+    mixed += now @ v[:, 1:]
+    mixed /= total
+    h = (mixed + own).reshape(n, WIDTH)
     flat = targets.ravel()
-    real = np.flatnonzero(flat >= 0)
-    wanted, n = flat[real], max(1, len(real))
-    h = h0[real]
-    o = np.maximum(h, 0)
-    kind, place = wanted // PLACES, wanted % PLACES
-    lc = _log_softmax(o @ p["wc"] + p["bc"])
-    rows = np.arange(len(real))
-    loss = -lc[rows, kind].sum()
-    dz = np.exp(lc)
-    dz[rows, kind] -= 1
-    dz /= n
-    g = {"wc": o.T @ dz, "bc": dz.sum(axis=0), "wp": np.zeros_like(p["wp"]), "bp": np.zeros_like(p["bp"])}
-    do = dz @ p["wc"].T
+    kind = flat // PLACES
+    # in order of class; what has no target (class -1) comes first and is left out
     order = np.argsort(kind.astype(np.int16), kind="stable")
-    edge = np.searchsorted(kind[order], np.arange(p["wc"].shape[1] + 1))
-    for c in range(len(edge) - 1):
-        own = order[edge[c] : edge[c + 1]]
-        if len(own):
-            lp = _log_softmax(o[own] @ p["wp"][c] + p["bp"][c])
-            i = np.arange(len(own))
-            loss -= lp[i, place[own]].sum()
-            d = np.exp(lp)
-            d[i, place[own]] -= 1
-            d /= n
-            g["wp"][c], g["bp"][c] = o[own].T @ d, d.sum(axis=0)
-            do[own] += d @ p["wp"][c].T
-    dh = np.zeros_like(h0)
-    dh[real] = do * (h > 0)
-    dh = dh.reshape(len(ids), STEP, WIDTH)
-
-    def scatter(at: np.ndarray, *parts: np.ndarray) -> list[np.ndarray]:
-        small = at.astype(np.int16) if model.size < 1 << 15 else at  # short numbers are sorted by radix
-        order = np.argsort(small, kind="stable")
-        placed = at[order]
-        first = np.flatnonzero(np.diff(placed, prepend=-1))
-        outs = []
-        for d in parts:
-            d = d.reshape(len(at), -1)
-            out = np.zeros((model.size + 1, d.shape[1]), np.float32)
-            out[placed[first]] = np.add.reduceat(np.take(d, order, axis=0), first, axis=0)
-            outs.append(out)
-        return outs
-
-    dw = dh @ values.transpose(0, 2, 1)
-    ds = weights * (dw - (dw * weights).sum(axis=2, keepdims=True))
-    g["lag"] = np.bincount(np.clip(_LAG, 0, None).ravel(), weights=np.where(_LAG >= 0, ds.sum(axis=0), 0).ravel(), minlength=2 * STEP)[: 2 * STEP].astype(np.float32)
-    ds *= np.float32(KEY**-0.5)
-    g["self"], g["query"] = scatter(ids[:, STEP:].ravel(), dh, ds @ keys)
-    g["value"], g["key"] = scatter(ids.ravel(), weights.transpose(0, 2, 1) @ dh, ds.transpose(0, 2, 1) @ queries)
-    return g, float(loss) / n
-
-
-def train(model: Model, inputs: np.ndarray, targets: np.ndarray, steps: int, rate: float, batch: int = 192, seed: int = 5) -> Model:
-    """Adam over random batches of windows; the rate falls to a tenth of its start.
-
-    Each pass sees every window once, in batches of nearly equal size, batch at most.
+    order = order[np.searchsorted(kind[order], 0) :]
+    real, kind = max(1, len(order)), kind[order]
+    place = flat[order] - kind * PLACES
+    o = np.maximum(np.take(h, order, axis=0), 0)
+    rows = np.arange(len(order))
+    z = _softmax(o @ parts["wc"] + parts["bc"])
+    loss = -np.log(z[rows, kind]).sum(dtype=np.float64)
+    z[rows, kind] -= 1
+    g = {"wc": o.T @ z, "bc": np.ones(len(z), np.float32) @ z, "wp": np.zeros_like(parts["wp"]), "bp": np.zeros_like(parts["bp"])}
+    do = z @ parts["wc"].T
+    edge = np.searchsorted(kind, np.arange(parts["wc"].shape[1] + 1))
+    for c in np.flatnonzero(np.diff(edge)):
+        a, b = edge[c], edge[c + 1]
+        z = _softmax(o[a:b] @ parts["wp"][c] + parts["bp"][c])
+        loss -= np.log(z[rows[: b - a], place[a:b]]).sum(dtype=np.float64)
+        z[rows[: b - a], place[a:b]] -= 1
+        g["wp"][c], g["bp"][c] = o[a:b].T @ z, np.ones(b - a, np.float32) @ z
+        do[a:b] += z @ parts["wp"][c].T
+    do *= o > 0
+    dx = np.zeros_like(x)
+    dh = np.zeros((n, WIDTH), np.float32)
+    dh[order] = do
+    dh = dh.reshape(mixed.shape)
+    dx[:, 1:, :, 2 * KEY + WIDTH :] = dh
+    dh = dh / total
+    level = (dh * mixed) @ np.ones((WIDTH, 1), np.float32)
+    dlag = []
+    for w, at in ((before, slice(0, -1)), (now, slice(1, None))):
+        dx[:, at, :, 2 * KEY : 2 * KEY + WIDTH] += w.swapaxes(2, 3) @ dh
+        ds = dh @ v[:, at].swapaxes(2, 3)
+        ds -= level
+        ds *= w
+        dlag.append((np.ones(n // STEP, np.float32) @ ds.reshape(n // STEP, STEP * STEP)).reshape(STEP, STEP))
+        dx[:, at, :, KEY : 2 * KEY] += ds.swapaxes(2, 3) @ q
+        dx[:, 1:, :, :KEY] += ds @ k[:, at]
+    dx[:, 1:, :, :KEY] *= scale
+    g["lag"] = np.bincount(np.clip(_LAG, 0, None).ravel(), weights=np.where(_LAG >= 0, np.concatenate(dlag, axis=1), 0).ravel(), minlength=2 * STEP)[: 2 * STEP].astype(np.float32)
+    places = ids.ravel()
+    order = np.argsort(places.astype(np.int16) if len(table) < 1 << 15 else places, kind="stable")  # short numbers are sorted by radix
+    places = places[order]
+    first = np.flatnonzero(np.diff(places, prepend=-1))
+    g["table"] = np.zeros_like(table)
+    g["table"][places[first]] = np.add.reduceat(np.take(dx.reshape(-1, table.shape[1]), order, axis=0), first, axis=0)
+    for d in g.values():
+        d /= np.float32(real)
+    return g, float(loss) / real
+
+
+def _softmax(z: np.ndarray) -> np.ndarray:
+    np.exp(np.minimum(z, _MOST, out=z), out=z)
+    z /= z @ np.ones((z.shape[1], 1), z.dtype)
+    return z
+
+
+def _joined(model: Model) -> dict[str, np.ndarray]:
+    """Copies of the parts, the item tables side by side."""
+    rest = {k: model.parts[k].copy() for k in ("lag", "wc", "bc", "wp", "bp")}
+    return {"table": np.concatenate([model.parts[k] for k in _TABLES], axis=1), **rest}
+
+
+def _parted(parts: dict[str, np.ndarray]) -> Model:
+    tables = np.split(parts["table"], (KEY, 2 * KEY, 2 * KEY + WIDTH), axis=1)
+    return Model({**{k: v for k, v in parts.items() if k != "table"}, **dict(zip(_TABLES, tables))})
+
+
+def gradients(model: Model, inputs: np.ndarray, targets: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
+    """Gradients of the mean negative log probability of any windows, and that mean."""
+    ids = np.minimum(inputs, model.size).reshape(-1, 2, STEP)
+    g, loss = _gradients(_joined(model), _lags(model), ids, (inputs[:, 0] > model.size)[:, None], targets[:, None])
+    return _parted(g).parts, loss
+
+
+def train(model: Model, inputs: np.ndarray, targets: np.ndarray, passes: float, rate: float, seed: int = 5) -> Model:
+    """Adam over random batches of RUNS runs of RUN windows; the rate falls to a tenth of its start.
+
+    Each pass sees every window once. Windows are in the order in which windows() gives them.
     """
     rng = np.random.default_rng(seed)
-    parts = {k: v.copy() for k, v in model.parts.items()}
-    model = Model(parts)
+    count = len(inputs)
+    runs = -(-count // RUN)
+    now = np.full((runs * RUN, STEP), model.size, np.int32)
+    now[:count] = inputs[:, STEP:]
+    front = np.concatenate((now[:1], now[RUN - 1 : -1 : RUN])).reshape(runs, 1, STEP)
+    ids = np.concatenate((front, now.reshape(runs, RUN, STEP)), axis=1)
+    opens, wanted = np.ones(runs * RUN, bool), np.full((runs * RUN, STEP), -1, np.int32)
+    opens[:count], wanted[:count] = inputs[:, 0] > model.size, targets
+    opens, wanted = opens.reshape(runs, RUN), wanted.reshape(runs, RUN, STEP)
+    parts = _joined(model)
     m1, m2 = {k: np.zeros_like(v) for k, v in parts.items()}, {k: np.zeros_like(v) for k, v in parts.items()}
+    batches = -(-runs // RUNS)
+    steps = max(1, round(passes * batches))
     picks: list[np.ndarray] = []
     for t in range(1, steps + 1):
         if not picks:
-            picks = np.array_split(rng.permutation(len(inputs)), -(-len(inputs) // batch))
+            picks = np.array_split(rng.permutation(runs), batches)
         pick = picks.pop()
-        g, _ = gradients(model, inputs[pick], targets[pick])
-        now = rate * (1 - 0.9 * t / steps)
+        g, _ = _gradients(parts, _lags(Model({"lag": parts["lag"], "wp": parts["wp"]})), ids[pick], opens[pick], wanted[pick])
+        step = np.float32(rate * (1 - 0.9 * t / steps) / (1 - 0.9**t))
+        late = np.float32(1 / (1 - 0.99**t))
         for k, d in g.items():
             m1[k] += (d - m1[k]) * np.float32(0.1)
-            m2[k] += (d * d - m2[k]) * np.float32(0.01)
-            parts[k] -= np.float32(now / (1 - 0.9**t)) * m1[k] / (np.sqrt(m2[k] / np.float32(1 - 0.99**t)) + np.float32(1e-8))
-    return model
+            np.square(d, out=d)
+            m2[k] += (d - m2[k]) * np.float32(0.01)
+            np.sqrt(m2[k] * late, out=d)
+            d += np.float32(1e-8)
+            parts[k] -= step * m1[k] / d
+    return _parted(parts)

@@ -19,13 +19,15 @@ from pyspark.sql import functions as F
 
 from . import attention as at
 from . import textblocks as tb
-from .runtime import bounded_batches, cut
+from .runtime import bounded_batches, cut, steady_memory
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"  # of the query, unless the session names another
+TOKENIZER_SETTING = "spark.linecurate.tokenizer"
 ITEMS = 1024  # the model's items: most frequent ids, one for all others, one for a text's end
 COMMON = 1e-6  # words of this share of all tokens or more are broadcast: 1 / COMMON at most
-START_WORDS = 500_000  # words of a shard, about, and of the sample that starts the model
-EPOCHS = 4.0
+SHARD_WORDS = 500_000  # words of a shard, about, and of the documents that start the model
+START_PASSES = 4
+START_RATE, RATE = 2e-2, 8e-3
 _MEMO = 600_000
 _FLUSH = 1 << 22
 
@@ -35,75 +37,73 @@ class _Memo(dict):
     encoded by themselves. Keeps up to _MEMO words."""
 
     def __init__(self, tokens: Tokens):
-        self.encode, self.tokens = tokens.encoding.encode_ordinary, tokens
+        self.encode, self.number = tokens.encoding.encode_ordinary, tokens.number
 
     def __missing__(self, word: bytes) -> bytes:
         text = " " + word.decode("utf-8", "replace")
         ids = self.encode(text) if len(text) <= 256 else [i for k in range(0, len(text), 256) for i in self.encode(text[k : k + 256])]
-        number = self.tokens.number
-        got = (np.array(ids, np.int32) if number is None else number[ids]).tobytes()
+        got = self.number[ids].tobytes()
         if len(self) < _MEMO and len(word) <= 64:
             self[word] = got
         return got
 
 
 class Tokens:
-    """Numbers (0..ITEMS-1) of a text's subwords, then the end. Built from a tokenizer's file."""
+    """Subwords of a text, numbered by falling count (without counts: by id). Built from a tokenizer's file.
 
-    def __init__(self, ranks: bytes, order: np.ndarray | None = None):
+    The first `items` numbers are items of the model, all others one item, `items`; the share that
+    a number has of that one comes from the counts too, each plus one.
+    """
+
+    def __init__(self, ranks: bytes, counts: np.ndarray | None = None):
         import tiktoken
 
         table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
-        self.encoding = tiktoken.Encoding("words", pat_str=r" ?\S+", mergeable_ranks=table, special_tokens={})
-        self.ids = max(table.values()) + 1
-        self.number: np.ndarray | None = None
+        # a word is one piece, whatever it holds
+        self.encoding = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=table, special_tokens={})
+        ids = max(table.values()) + 1
+        counts = np.zeros(ids, np.int64) if counts is None else counts
+        order = np.argsort(-counts, kind="stable")
+        self.number = np.empty(ids, np.int32)
+        self.number[order] = np.arange(ids, dtype=np.int32)
+        self.items = min(ITEMS - 2, max(1, int((counts > 0).sum())))
+        rest = counts[order][self.items :] + 1.0
+        self.logs = np.concatenate((np.zeros(self.items), np.log(rest / rest.sum())))
         self.memo = _Memo(self)
-        if order is not None:
-            self.ordered(order)
-
-    def ordered(self, order: np.ndarray) -> Tokens:
-        """From now on ids count by their place in order; those not in it are one item."""
-        self.order, self.memo = order, _Memo(self)
-        self.number = np.full(self.ids, len(order), np.int32)
-        self.number[order] = np.arange(len(order), dtype=np.int32)
-        return self
-
-    @property
-    def end(self) -> int:
-        return len(self.order) + 1
 
     def __call__(self, raw: bytes) -> np.ndarray:
-        ids = np.frombuffer(b"".join(map(self.memo.__getitem__, raw.split())), np.int32)
-        return ids if self.number is None else np.append(ids, np.int32(self.end))
+        return np.frombuffer(b"".join(map(self.memo.__getitem__, raw.split())), np.int32)
+
+    def model_items(self, numbers: np.ndarray) -> np.ndarray:
+        """The model's items of a text's numbers, then the end."""
+        return np.append(np.minimum(numbers, self.items), np.int32(self.items + 1))
 
 
 _BUILT: dict[bytes, Tokens] = {}
 
 
-def _tokens(ranks: bytes, order: np.ndarray) -> Tokens:
-    """The process's Tokens of this order, with what it remembers from earlier tasks."""
-    key = order.tobytes()
+def _tokens(ranks: bytes, counts: np.ndarray) -> Tokens:
+    """The process's Tokens of these counts, with what it remembers from earlier tasks."""
+    key = counts.tobytes()
     if key not in _BUILT:
         _BUILT.clear()
-        _BUILT[key] = Tokens(ranks, order)
+        _BUILT[key] = Tokens(ranks, counts)
     return _BUILT[key]
 
 
 def score_texts(model: at.Scorer, tokens: Tokens, raws: list[bytes]) -> np.ndarray:
     """log10 probability of each text's subwords and its end."""
     texts = [tokens(r) for r in raws]
-    total = np.zeros(len(texts))
-    rest = max(1, tokens.ids - len(tokens.order))
+    total = np.array([tokens.logs[t].sum() for t in texts], np.float64)
     i = 0
     while i < len(texts):
         j, size = i, 0
         while j < len(texts) and (j == i or size < 1 << 17):
             size += len(texts[j])
             j += 1
-        inputs, targets, owner = at.windows(texts[i:j], len(model.own) - 1)
+        inputs, targets, owner = at.windows([tokens.model_items(t) for t in texts[i:j]], len(model.own) - 1)
         sums = np.concatenate([model(inputs[a : a + 512], targets[a : a + 512]).sum(axis=1, dtype=np.float64) for a in range(0, len(inputs), 512)])
-        total[i:j] = np.bincount(owner, weights=sums, minlength=j - i)
-        total[i:j] -= [math.log(rest) * int((t == len(tokens.order)).sum()) for t in texts[i:j]]
+        total[i:j] += np.bincount(owner, weights=sums, minlength=j - i)
         i = j
     return total / math.log(10)
 
@@ -112,99 +112,127 @@ def _raws(texts) -> list[bytes]:
     return [tb.lowered(t) for t in texts]
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held, size = [], 0
+def _count(ranks):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        steady_memory()
+        held, size, tokens = [], 0, Tokens(ranks.value)
+        subwords = np.zeros(len(tokens.number), np.int64)
 
-    def flush() -> pd.DataFrame:
-        value, count = np.unique(np.concatenate([*held, np.zeros(0, np.uint64)]), return_counts=True)
-        held.clear()
-        return pd.DataFrame({"h": value.view(np.int64), "c": count.astype(np.int64)})
+        def flush() -> pd.DataFrame:
+            value, count = np.unique(np.concatenate([*held, np.zeros(0, np.uint64)]), return_counts=True)
+            held.clear()
+            return pd.DataFrame({"kind": 0, "h": value.view(np.int64), "c": count.astype(np.int64)})
 
-    for batch in batches:
-        words, _ = tb.word_hashes(_raws(batch["text"]))
-        held.append(words)
-        size += len(words)
-        if size >= _FLUSH:
-            yield flush()
-            size = 0
-    yield flush()
+        for batch in batches:
+            raws = _raws(batch["text"])
+            words, _ = tb.word_hashes(raws)
+            for raw in raws:
+                subwords += np.bincount(tokens(raw), minlength=len(subwords))
+            held.append(words)
+            size += len(words)
+            if size >= _FLUSH:
+                yield flush()
+                size = 0
+        yield flush()
+        seen = np.flatnonzero(subwords)
+        yield pd.DataFrame({"kind": 1, "h": seen, "c": subwords[seen]})
+
+    return run
 
 
-def _start(ranks):
+def _shards(batches: Iterator[pd.DataFrame], tokens: Tokens) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(first row's key, texts as items) of about SHARD_WORDS words at a time; more than once only
+    where very many rows are equal or texts are very long."""
+    key, held, size = None, [], 0
+    for batch in batches:
+        for own, raw in zip(batch["key"], _raws(batch["text"])):
+            key = int(own) if key is None else key
+            held.append(tokens.model_items(tokens(raw)))
+            size += len(held[-1])
+            if size > 16 * SHARD_WORDS:
+                yield key, held
+                key, held, size = None, [], 0
+    if held:
+        yield key, held
+
+
+def _start(shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        plain = Tokens(ranks.value)
-        texts = [plain(r) for batch in batches for r in _raws(batch["text"])]
-        if not texts:
-            return
-        counts = np.bincount(np.concatenate(texts), minlength=plain.ids)
-        order = np.argsort(-counts, kind="stable")[: min(ITEMS - 2, int((counts > 0).sum()))]
-        tokens = plain.ordered(order)
-        rows = [np.append(tokens.number[t], np.int32(tokens.end)) for t in texts]
-        seen = np.concatenate((counts[order], [counts.sum() - counts[order].sum(), len(texts)]))
-        model = at.Model.fresh(seen)
-        inputs, targets, _ = at.windows(rows, model.size)
-        model = at.train(model, inputs, targets, max(20, int(EPOCHS * len(inputs) / 192)), 1e-2)
-        yield pd.DataFrame({"items": [order.astype(np.int32).tobytes()], "model": [model.to_bytes()]})
+        steady_memory()
+        tokens, model = _tokens(*shared.value), None
+        for _, texts in _shards(batches, tokens):
+            seen = np.bincount(np.concatenate(texts), minlength=tokens.items + 2)
+            model = at.Model.fresh(seen) if model is None else model
+            inputs, targets, _ = at.windows(texts, model.size)
+            model = at.train(model, inputs, targets, max(START_PASSES, 20 * at.RUN * at.RUNS / len(inputs)), START_RATE)
+        if model is not None:
+            yield pd.DataFrame({"model": [model.to_bytes()]})
 
     return run
 
 
 def _improve(shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ranks, order, model = shared.value
-        tokens = _tokens(ranks, order)
-        texts = [tokens(r) for batch in batches for r in _raws(batch["text"])]
-        if texts:
-            inputs, targets, _ = at.windows(texts, model.size)
-            model = at.train(model, inputs, targets, -(-len(inputs) // 192), 4e-3)
-            yield pd.DataFrame({"n": [len(inputs)], "model": [model.to_bytes()]})
+        steady_memory()
+        ranks, counts, start = shared.value
+        tokens = _tokens(ranks, counts)
+        for key, texts in _shards(batches, tokens):
+            inputs, targets, _ = at.windows(texts, start.size)
+            yield pd.DataFrame({"key": [key], "n": [len(inputs)], "model": [at.train(start, inputs, targets, 1, RATE).to_bytes()]})
 
     return run
 
 
 def _average(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total, n = None, 0
+    total, n, first = None, 0, None
     for batch in batches:
-        for k, raw in zip(batch["n"], batch["model"]):
+        for key, k, raw in zip(batch["key"], batch["n"], batch["model"]):
             own = np.frombuffer(raw, np.float32) * np.float64(k)
             total, n = own if total is None else total + own, n + int(k)
+            first = key if first is None else first
     if n:
-        yield pd.DataFrame({"n": [n], "model": [(total / n).astype(np.float32).tobytes()]})
+        yield pd.DataFrame({"key": [first], "n": [n], "model": [(total / n).astype(np.float32).tobytes()]})
 
 
-def train_model(training: DataFrame, words: int, ranks) -> tuple[np.ndarray, at.Model]:
-    """(ids in order of frequency, model) learned from training (doc_id, text), of so many words.
+def train_model(training: DataFrame, words: int, ranks: bytes, counts: np.ndarray) -> at.Model:
+    """The model learned from training (doc_id, text) of so many words, whose subwords have these counts.
 
-    The same two steps at every size: documents of about START_WORDS words (one at least), chosen
-    by a hash of doc_id, start the model; then all training documents, those too, are dealt into
-    shards of about START_WORDS words, and each shard goes on from the start in one pass over all
-    of its windows. What is gathered is one model (of fixed size) a shard, weighted by windows and
-    averaged 16 to 1 by tasks until one is left.
+    The same two steps at every size: documents of about SHARD_WORDS words (one at least), chosen
+    by a hash of doc_id and text, start the model; then all training documents, those too, are
+    dealt by another hash into shards of about SHARD_WORDS words, and each shard goes on from the
+    start in one pass over all of its windows. What is gathered is one model (of fixed size) a
+    shard, weighted by windows and averaged 16 to 1 by tasks until one is left. Rows are sorted
+    before they are learned from, and models before they are added up, so that reruns agree.
     """
     spark = training.sparkSession
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
+    tokens = Tokens(ranks, counts)
+    like = at.Model.fresh(np.ones(tokens.items + 2))
+    row = training.select("doc_id", "text", F.xxhash64("doc_id", "text", F.lit(6)).alias("key"))
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
     least = training.agg(F.min(draw)).first()[0]
     if least is None:
-        order = np.zeros(0, np.int64)
-        return order, at.Model.fresh(np.ones(2))
-    first = max(least, START_WORDS / max(1, words))
-    got = training.where(draw <= first).select("text").repartition(1).mapInPandas(_start(ranks), "items binary, model binary").first()
-    order = np.frombuffer(got["items"], np.int32)
-    model = at.Model.from_bytes(got["model"], at.Model.fresh(np.ones(len(order) + 2)))
-    shards = max(1, math.ceil(words / START_WORDS))
-    shared = spark.sparkContext.broadcast((ranks.value, order, model))
-    models = training.select("doc_id", "text").repartition(shards, F.xxhash64("doc_id", F.lit(6))).mapInPandas(_improve(shared), "n long, model binary")
+        return like
+    first = max(least, SHARD_WORDS / max(1, words))
+    order = ("key", "doc_id", "text")
+    shared = spark.sparkContext.broadcast((ranks, counts))
+    got = row.where(draw <= first).repartition(1).sortWithinPartitions(*order).select("key", "text").mapInPandas(_start(shared), "model binary").collect()[0]
+    start = at.Model.from_bytes(got["model"], like)
+    shards = max(1, math.ceil(words / SHARD_WORDS))
+    shared = spark.sparkContext.broadcast((ranks, counts, start))
+    schema = "key long, n long, model binary"
+    models = row.repartition(shards, "key").sortWithinPartitions(*order).select("key", "text").mapInPandas(_improve(shared), schema)
     while True:
         shards = math.ceil(shards / 16)
-        models = models.repartition(shards).mapInPandas(_average, "n long, model binary")
+        models = models.repartition(shards, "key").sortWithinPartitions("key", "n", "model").mapInPandas(_average, schema)
         if shards == 1:
-            return order, at.Model.from_bytes(models.first()["model"], model)
+            return at.Model.from_bytes(models.collect()[0]["model"], like)
 
 
 def _score(shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ranks, order, model, common, logs = shared.value
-        tokens, scorer = _tokens(ranks, order), at.Scorer(model)
+        steady_memory()
+        ranks, subwords, model, common, logs = shared.value
+        tokens, scorer = _tokens(ranks, subwords), at.Scorer(model)
         for batch in batches:
             raws = _raws(batch["text"])
             words, counts = tb.word_hashes(raws)
@@ -226,13 +254,15 @@ def _score(shared):
     return run
 
 
-def lm_scores(docs: DataFrame, held_out: int = 2, folds: int = 7, tokenizer: str = TOKENIZER) -> DataFrame:
+def lm_scores(docs: DataFrame, tokenizer: str, held_out: int = 2, folds: int = 7) -> DataFrame:
     """One row for each row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Training documents are those whose crc32(doc_id as text) mod folds isn't held_out. Tokens are
     words after lower-casing A-Z, and one end a text; base_score is their add-one unigram log10
     probability. score is the attention model's log10 probability of the subwords of the same
-    words, and the end. A null text is empty: its only token is the end. Rows without a doc_id
+    words, and the end; tokenizer is the file of the subwords (base64 bytes and their rank on each
+    line), read on the driver. Subwords that aren't among the model's items are told apart by their
+    counts in the training documents. A null text is empty: its only token is the end. Rows without a doc_id
     are scored, but neither learned from nor held out; repeated rows are counted and scored each.
     Without training documents the base is 0 and the model knows one item. Other columns are
     ignored. Words are counted by 64-bit hashes.
@@ -245,7 +275,10 @@ def lm_scores(docs: DataFrame, held_out: int = 2, folds: int = 7, tokenizer: str
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
     training = docs.where(fold != held_out)
-    counts = cut(training.mapInPandas(_count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
+    with open(tokenizer, "rb") as file:
+        ranks = file.read()
+    counted = cut(training.mapInPandas(_count(spark.sparkContext.broadcast(ranks)), "kind int, h long, c long").groupBy("kind", "h").agg(F.sum("c").alias("c")))
+    counts = counted.where("kind = 0").select("h", "c")
     ends = training.count()
     words, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     total = words + ends
@@ -255,10 +288,11 @@ def lm_scores(docs: DataFrame, held_out: int = 2, folds: int = 7, tokenizer: str
     hashes = frequent["h"].to_numpy(np.int64).view(np.uint64)
     by = np.argsort(hashes)
     common, logs = hashes[by], np.log10(frequent["c"].to_numpy(np.float64)[by] + 1)
-    with open(tokenizer, "rb") as file:
-        ranks = spark.sparkContext.broadcast(file.read())
-    order, model = train_model(training, words, ranks)
-    shared = spark.sparkContext.broadcast((ranks.value, order, model, common, logs))
+    ids = counted.where("kind = 1").toPandas()  # as many rows as the tokenizer has ids, at most
+    subwords = np.zeros(len(Tokens(ranks).number), np.int64)
+    subwords[ids["h"].to_numpy(np.int64)] = ids["c"].to_numpy(np.int64)
+    model = train_model(training, words, ranks, subwords)
+    shared = spark.sparkContext.broadcast((ranks, subwords, model, common, logs))
     schema = "doc_id long, n_words long, common_sum double, common_known long, score double, rest array<long>, many array<int>"
     scored = cut(docs.mapInPandas(_score(shared), schema).withColumn("row", F.monotonically_increasing_id()))
     rest = scored.select("row", F.explode(F.arrays_zip("rest", "many")).alias("x")).select("row", F.col("x.rest").alias("h"), F.col("x.many").alias("many"))
@@ -278,4 +312,4 @@ def lm_scores(docs: DataFrame, held_out: int = 2, folds: int = 7, tokenizer: str
 
 def op5_lm_scoring(spark, sf_dir: str) -> DataFrame:
     """Language-model scores of all `documents`."""
-    return lm_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return lm_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.conf.get(TOKENIZER_SETTING, TOKENIZER))

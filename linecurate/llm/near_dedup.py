@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import textblocks as tb
 from .components import components
-from .runtime import bounded_batches, cut, shuffle_partitions
+from .runtime import bounded_batches, cut, shuffle_partitions, steady_memory
 
 SKETCH_BITS = 1024
 MISS = 1e-6  # chance at most that a pair at the threshold shares no band
@@ -62,6 +62,7 @@ def odd_sketches(samples: np.ndarray) -> np.ndarray:
 
 def _signatures(width: int, threshold: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        steady_memory()
         banding = Banding(threshold)
         for batch in batches:
             words, counts = tb.word_hashes([tb.lowered(t) for t in batch["text"]])
@@ -129,6 +130,7 @@ def _link_block(block: pd.DataFrame, width: int, per_mille: int, most_bits: floa
 
 def _link(width: int, per_mille: int, most_bits: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        steady_memory()
         held = None
         for batch in batches:
             held = batch if held is None else pd.concat([held, batch], ignore_index=True)

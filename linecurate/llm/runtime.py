@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import ctypes
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,16 +18,32 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialises df in the shared checkpoint folder, so that lost executors lose none of it.
+    """Materialises df in the session's checkpoint folder, so that lost executors lose none of it.
 
-    The folder is the session's spark.checkpoint.dir; only where that is unset (single-machine
-    tests) a temporary folder is used.
+    The folder is spark.checkpoint.dir, or what SparkContext.setCheckpointDir was given; it must be
+    shared by all machines, so without one a cluster raises an error. Only a session whose master
+    is local gets a temporary folder, removed when the session's process ends.
     """
     context = df.sparkSession.sparkContext
     if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="linecurate-"))
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir isn't set: it has to name a folder that all machines share")
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 
+def steady_memory() -> None:
+    """Lets this process keep up to 128 MB of freed memory, where the C library can be told so.
+
+    Else each large array's pages go back to the system and have to be mapped anew for the next one.
+    """
+    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
+    if mallopt is not None:
+        mallopt(-3, 64 << 20)  # M_MMAP_THRESHOLD
+        mallopt(-1, 128 << 20)  # M_TRIM_THRESHOLD
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

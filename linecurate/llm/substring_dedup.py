@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .runtime import bounded_batches, cut
+from .runtime import bounded_batches, cut, steady_memory
 
 MIN_SENTENCES = 3
 MIN_WORDS = 16

@@ -11,6 +11,7 @@ from llm_texts import prose
 from pyspark.sql import functions as F
 
 from linecurate.llm import attention, lm_scoring, toxicity
+from linecurate.llm import textblocks as tb
 from linecurate.llm.textblocks import lowered
 
 
@@ -63,7 +64,7 @@ def test_training_learns_what_follows():
     model = attention.Model.fresh(np.bincount(text, minlength=32))
     inputs, targets, _ = attention.windows([text], model.size)
     before = attention.gradients(model, inputs, targets)[1]
-    after = attention.gradients(attention.train(model, inputs, targets, 120, 1e-2, batch=8), inputs, targets)[1]
+    after = attention.gradients(attention.train(model, inputs, targets, 120, 1e-2), inputs, targets)[1]
     assert after < 0.3 * before
 
 
@@ -75,47 +76,78 @@ def base_by_hand(rows):
 
 
 def test_base_scores(spark, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "START_WORDS", 2000)
+    monkeypatch.setattr(lm_scoring, "SHARD_WORDS", 2000)
     monkeypatch.setattr(lm_scoring, "COMMON", 1e-3)
     rows = [(i, prose(i % 30, 20 + i % 50)) for i in range(120)]
-    out = lm_scoring.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    out = lm_scoring.lm_scores(spark.createDataFrame(rows, "doc_id long, text string"), lm_scoring.TOKENIZER).orderBy("doc_id").collect()
     for r, (i, tokens, known, total, base) in zip(out, base_by_hand(rows)):
         assert (r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (i, tokens, known, total) and r["base_score"] == pytest.approx(base)
         assert r["held_out"] == (zlib.crc32(str(i).encode()) % 7 == 2) and r["score"] < 0
 
 
 def test_scores_of_odd_rows(spark, odd_documents, no_documents):
-    out = lm_scoring.lm_scores(odd_documents).collect()
+    out = lm_scoring.lm_scores(odd_documents, lm_scoring.TOKENIZER).collect()
     assert len(out) == odd_documents.count() and all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in out)
     assert {r["n_tokens"] for r in out if r["doc_id"] in (2, 3, 4)} == {1}
-    assert lm_scoring.lm_scores(no_documents).count() == 0
-    nothing_learned = lm_scoring.lm_scores(odd_documents.where("doc_id is null")).collect()
+    assert lm_scoring.lm_scores(no_documents, lm_scoring.TOKENIZER).count() == 0
+    nothing_learned = lm_scoring.lm_scores(odd_documents.where("doc_id is null"), lm_scoring.TOKENIZER).collect()
     assert [r["base_score"] for r in nothing_learned] == [0.0]
 
 
 def test_a_pass_sees_every_window(monkeypatch):
-    seen, real = [], attention.gradients
-    monkeypatch.setattr(attention, "gradients", lambda model, inputs, targets: seen.extend(targets[:, 0].tolist()) or real(model, inputs, targets))
+    seen, real = [], attention._gradients
+    monkeypatch.setattr(attention, "_gradients", lambda parts, lags, ids, opens, targets: seen.extend(targets[..., 0].ravel().tolist()) or real(parts, lags, ids, opens, targets))
     inputs, targets, _ = attention.windows([np.array([i], np.int32) for i in range(383)], 384)
-    attention.train(attention.Model.fresh(np.ones(384)), inputs, targets, 2, 1e-2)
-    assert sorted(seen) == list(range(383))
+    attention.train(attention.Model.fresh(np.ones(384)), inputs, targets, 1, 1e-2)
+    assert sorted(x for x in seen if x >= 0) == list(range(383))
 
 
-def test_every_training_document_is_learned_from(spark, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "START_WORDS", 300)
+def ranks():
     with open(lm_scoring.TOKENIZER, "rb") as file:
-        ranks = spark.sparkContext.broadcast(file.read())
+        return file.read()
+
+
+def subword_counts(texts):
+    plain = lm_scoring.Tokens(ranks())
+    return np.bincount(np.concatenate([plain(tb.lowered(t)) for t in texts]), minlength=len(plain.number))
+
+
+def test_every_character_is_a_subword():
+    tokens = lm_scoring.Tokens(ranks())
+    ids = np.argsort(tokens.number)
+    for text in ("a\u00a0b\u3000c", "\u2028", "x\u0085y " + "\u00a0" * 700, "ção 你好"):
+        assert tokens.encoding.decode([int(ids[n]) for n in tokens(tb.lowered(text))]) == "".join(" " + w.decode() for w in tb.lowered(text).split())
+
+
+def test_every_training_document_is_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SHARD_WORDS", 300)
 
     def learned(changed):
         rows = [(i, prose(i + 500 * (i == changed), 50)) for i in range(60)]
-        return lm_scoring.train_model(spark.createDataFrame(rows, "doc_id long, text string"), 3000, ranks)[1]
+        return lm_scoring.train_model(spark.createDataFrame(rows, "doc_id long, text string"), 3000, ranks(), subword_counts([t for _, t in rows]))
 
     plain = learned(None)
     for i in (5, 23, 41, 58):
         other = learned(i)
-        assert max(np.abs(other.parts[k] - plain.parts[k]).max() for k in attention.Model.names) > 1e-5
-    monkeypatch.setattr(lm_scoring, "START_WORDS", 1)  # no document is drawn for so short a start
-    assert len(lm_scoring.train_model(spark.createDataFrame([(1, prose(1, 50)), (2, prose(2, 50))], "doc_id long, text string"), 100, ranks)[0])
+        assert max(np.abs(other.parts[k] - plain.parts[k]).max() for k in ("wc", "wp")) > 1e-5
+    monkeypatch.setattr(lm_scoring, "SHARD_WORDS", 1)  # no document is drawn for so short a start
+    rows = [(1, prose(1, 50)), (2, prose(2, 50))]
+    assert lm_scoring.train_model(spark.createDataFrame(rows, "doc_id long, text string"), 100, ranks(), subword_counts([t for _, t in rows])).size >= 20
+
+
+def test_scores_of_held_out_texts_beat_unigrams(spark, small):
+    """Against the same subwords' add-one unigram probabilities; and reruns on other partitions agree."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").where("text is not null")
+    texts = {r["doc_id"]: tb.lowered(r["text"]) for r in docs.collect()}
+    held = {i for i in texts if zlib.crc32(str(i).encode()) % 7 == 2}
+    plain = lm_scoring.Tokens(ranks())
+    counts = np.bincount(np.concatenate([plain(t) for i, t in texts.items() if i not in held]), minlength=len(plain.number))
+    ends = len(texts) - len(held)
+    space = counts.sum() + ends + len(counts) + 1
+    unigram = {i: (np.log10((counts[plain(texts[i])] + 1) / space).sum() + math.log10((ends + 1) / space)) for i in held}
+    runs = [{r["doc_id"]: r["score"] for r in lm_scoring.lm_scores(df, lm_scoring.TOKENIZER).collect()} for df in (docs, docs.repartition(3))]
+    assert runs[0] == pytest.approx(runs[1], rel=1e-6)  # batches of another size round otherwise
+    assert sum(runs[0][i] for i in held) > 0.9 * sum(unigram.values())
 
 
 def test_label_model_finds_accurate_voters():
