@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .runtime import bounded_batches
+from .runtime import bounded_batches, cut
 
 Q = 12
 WINDOW = 96  # bytes of an item that count as a passage; shorter items count whole
 EDITS = 0.05  # edits allowed for each byte of the passage
 BLOCK_BYTES = 4 << 20  # of benchmark text that one pass over the documents looks for
 _TABLE_BITS = 22
+_HITS = 1 << 22  # shared q-grams that are held at a time
 
 
 def normal(text: str | None) -> bytes:
@@ -41,16 +42,23 @@ def _grams(raw: bytes) -> np.ndarray:
 
 
 class Index:
-    """Q-grams of a block of benchmark items, sorted, with a bit table in front."""
+    """Q-grams of a block of benchmark items, sorted, with a bit table in front. Items with the same
+    text are looked for once; those of fewer than Q bytes are kept aside, whole."""
 
     def __init__(self, ids: list[int], texts: list[bytes]):
-        self.ids, self.texts = ids, texts
+        owners: dict[bytes, list[int]] = {}
+        for i, t in zip(ids, texts):
+            owners.setdefault(t, []).append(i)
+        self.short = {t: o for t, o in owners.items() if 0 < len(t) < Q}
+        texts = [t for t in owners if len(t) >= Q]
+        self.ids, self.texts = [owners[t] for t in texts], texts
         grams = [_grams(t) for t in texts]
         flat = np.concatenate([*grams, np.zeros(0, np.uint64)])
         order = np.argsort(flat, kind="stable")
         self.grams = flat[order]
         self.items = np.repeat(np.arange(len(texts)), [len(g) for g in grams])[order]
         self.at = np.concatenate([*(np.arange(len(g)) for g in grams), np.zeros(0, np.int64)])[order].astype(np.int64)
+        self.sizes = np.array([len(t) for t in texts], np.int64)
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         self.table[self._slot(flat)] = True
 
@@ -58,15 +66,18 @@ class Index:
     def _slot(grams: np.ndarray) -> np.ndarray:
         return (grams * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - _TABLE_BITS)
 
-    def hits(self, raw: bytes, start: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(item, item offset, document offset) of the q-grams shared by raw[start:end]."""
+    def shared(self, raw: bytes, start: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document offset, first posting, number of postings) of the q-grams shared by raw[start:end]."""
         grams = _grams(raw[start : end + Q - 1])
         at = np.flatnonzero(self.table[self._slot(grams)])
         low, high = np.searchsorted(self.grams, grams[at], "left"), np.searchsorted(self.grams, grams[at], "right")
-        many = high - low
-        at, low, many = at[many > 0], low[many > 0], many[many > 0]
+        on = high > low
+        return at[on] + start, low[on], (high - low)[on]
+
+    def hits(self, at: np.ndarray, low: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, item offset, document offset) of these postings."""
         where = np.repeat(low - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
-        return self.items[where], self.at[where], np.repeat(at, many) + start
+        return self.items[where], self.at[where], np.repeat(at, many)
 
 
 def edits_within(pattern: bytes, text: bytes, budget: int) -> tuple[int, int] | None:
@@ -116,19 +127,31 @@ def _stretches(at: np.ndarray, size: int) -> Iterator[np.ndarray]:
             yield part[np.argsort(-hits, kind="stable")]
 
 
+def _pieces(raw: bytes, index: Index) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Hits of raw in pieces that overlap by two windows, so that no stretch is cut in two; a piece has
+    at most _HITS of them, unless so many share a few windows."""
+    step, last = 1 << 20, len(raw) - Q + 1
+    for start in range(0, max(1, last), step):
+        todo = [(max(0, start - 2 * WINDOW), min(start + step, last))]
+        while todo:
+            a, b = todo.pop()
+            at, low, many = index.shared(raw, a, b)
+            if many.sum() > _HITS and b - a > 8 * WINDOW:
+                middle = (a + b) // 2
+                todo += [(middle - 2 * WINDOW, b), (a, middle)]
+            elif len(at):
+                yield index.hits(at, low, many)
+
+
 def passages(raw: bytes, index: Index) -> list[tuple[int, int, int, int, int]]:
-    """(item number, first and past-the-end byte in raw, bytes of the item matched, edits).
+    """(item number, first and past-the-end byte in raw, bytes of the item matched, edits), in order.
 
-    Of each item and stretch the verified part with the fewest edits is given, once.
+    Verified stretches of an item that share half of their bytes in raw or more are one passage, of
+    which the stretch with the fewest edits, then the longest, is given.
     """
-    found: dict[tuple[int, int], tuple[int, int, int, int, int]] = {}
-    step = 1 << 20
-    for start in range(0, max(1, len(raw) - Q + 1), step):
-        # slices overlap by a window, so that no stretch is cut in two
-        items, at, where = index.hits(raw, max(0, start - 2 * WINDOW), min(start + step, len(raw) - Q + 1))
-        if not len(items):
-            continue
-        budget = np.maximum(1, (EDITS * np.minimum([len(index.texts[i]) for i in items], WINDOW)).astype(np.int64))
+    found: set[tuple[int, int, int, int, int]] = set()
+    for items, at, where in _pieces(raw, index):
+        budget = np.maximum(1, (EDITS * np.minimum(index.sizes[items], WINDOW)).astype(np.int64))
         band = (where - at) // budget
         items, at, where, band = (np.concatenate((x, x)) for x in (items, at, where, band))
         band[len(band) // 2 :] -= 1
@@ -141,19 +164,21 @@ def passages(raw: bytes, index: Index) -> list[tuple[int, int, int, int, int]]:
             if high - low < min(size, WINDOW) - Q + 1 - int(EDITS * min(size, WINDOW)) * Q:
                 continue
             for starts in _stretches(np.unique(at[low:high]), size):
-                got = _verify(raw, index.texts[item], int(band[low]) * own, starts, own)
-                if got:
-                    key = (item, got[0] // max(1, size))
-                    if key not in found or (found[key][4], -found[key][3]) > (got[3], -got[2]):
-                        found[key] = (item, *got)
-    return list(found.values())
-
-
-def _verify(raw: bytes, item: bytes, base: int, starts: np.ndarray, budget: int) -> tuple[int, int, int, int] | None:
-    """Aligns the stretch that these windows cover, else one window after another."""
+                found.update((item, *got) for got in _verify(raw, index.texts[item], int(band[low]) * own, starts, own))
+    kept: dict[int, list[tuple[int, int, int, int, int]]] = {}
+    for x in sorted(found, key=lambda x: (x[0], x[4], -x[3], x[1])):
+        own = kept.setdefault(x[0], [])
+        if all(2 * (min(x[2], y[2]) - max(x[1], y[1])) < min(x[2] - x[1], y[2] - y[1]) for y in own):
+            own.append(x)
+    return sorted(x for own in kept.values() for x in own)
+
+
+def _verify(raw: bytes, item: bytes, base: int, starts: np.ndarray, budget: int) -> Iterator[tuple[int, int, int, int]]:
+    """Aligns the stretch that these windows cover; if that fails, one window after another, but for
+    those that overlap one found before."""
     n = min(len(item), WINDOW)
-    whole = (int(starts.min()), int(starts.max()) + n)
-    for x, y in [whole, *((int(s), int(s) + n) for s in starts if whole[1] - whole[0] > n)]:
+
+    def aligned(x: int, y: int) -> tuple[int, int, int, int] | None:
         allowed = max(budget, int(EDITS * (y - x)))
         start = max(0, base + x - allowed)
         text = raw[start : max(0, base + y + 3 * allowed)]
@@ -161,19 +186,35 @@ def _verify(raw: bytes, item: bytes, base: int, starts: np.ndarray, budget: int)
         got = (0, exact + y - x) if exact >= 0 else edits_within(item[x:y], text, allowed)
         if got and got[0] <= int(EDITS * (y - x)):
             return max(0, start + got[1] - (y - x)), start + got[1], y - x, got[0]
-    return None
+        return None
+
+    whole = (int(starts.min()), int(starts.max()) + n)
+    if got := aligned(*whole):
+        yield got
+    elif whole[1] - whole[0] > n:
+        done: list[int] = []
+        for x in map(int, starts):
+            if all(abs(x - y) >= n for y in done) and (got := aligned(x, x + n)):
+                done.append(x)
+                yield got
+
+
+def _finds(text: str | None, index: Index) -> Iterator[tuple[int, int, int, int, int]]:
+    """(item_id, first word, past-the-end word, matched bytes, edits) of a whole text."""
+    raw = normal(text)
+    for item_id in index.short.get(raw, ()):
+        yield item_id, 0, raw.count(b" ") + 1, len(raw), 0
+    for item, start, end, matched, edits in passages(raw, index):
+        first = raw.count(b" ", 0, start)
+        for item_id in index.ids[item]:
+            yield item_id, first, first + raw.count(b" ", start, end) + 1, matched, edits
 
 
 def _search(shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = shared.value
         for batch in batches:
-            out = []
-            for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"]):
-                raw = normal(text)
-                for item, start, end, matched, edits in passages(raw, index):
-                    first = raw.count(b" ", 0, start)
-                    out.append((doc_id, index.ids[item], first, first + raw.count(b" ", start, end) + 1, matched, edits))
+            out = [(doc_id, *x) for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"]) for x in _finds(text, index)]
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "first_word", "end_word", "matched_bytes", "edits"]).astype({"doc_id": "Int64", "item_id": "int64"})
 
     return run
@@ -183,7 +224,7 @@ def _clean(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            yield batch.filter(pa.array([not passages(normal(t), index) for t in batch.column("text").to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([next(_finds(t, index), None) is None for t in batch.column("text").to_pylist()], pa.bool_()))
 
     return run
 
@@ -191,23 +232,29 @@ def _clean(shared):
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Passages of benchmark items in docs: doc_id, item_id, first_word, end_word, matched_bytes, edits.
 
-    A passage is a whole item of fewer than WINDOW bytes (but Q at least), or any WINDOW bytes of
-    a longer one, found within EDITS edits a byte; case (A-Z) and the kind and amount of white
-    space don't count. A document without passages gives no row; one with several gives several.
-    Null or empty texts and items match nothing, as do null item ids; null doc_ids are carried
-    along; repeated rows are searched again. Columns other than doc_id, text, item_id are ignored.
+    A passage is a whole item of fewer than WINDOW bytes, or any WINDOW bytes of a longer one,
+    found within EDITS edits a byte; an item of fewer than Q bytes must be the whole document. Case
+    (A-Z) and the kind and amount of white space don't count. A document without passages gives
+    no row; one with several gives several, one row each. Null or empty texts and items match
+    nothing, as do null item ids; null doc_ids are carried along; repeated rows are searched again.
+    Columns other than doc_id, text, item_id are ignored.
 
-    The benchmark is the stated query set. It is read on the driver in blocks of BLOCK_BYTES, and
-    each block is broadcast (its size is bound by that) and looked for in one pass over docs.
+    The benchmark is the stated query set. It goes to the executors in blocks of BLOCK_BYTES, each
+    of which costs one pass over docs. The driver holds one block at a time: with several, each
+    one's finds are checkpointed and its broadcast is given up before the next.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, item_id long, first_word long, end_word long, matched_bytes long, edits long"
-    parts = [source.mapInPandas(_search(spark.sparkContext.broadcast(index)), schema) for index in _blocks(benchmark)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.union(part)
+    out = None
+    for index, last in _blocks(benchmark):
+        shared = spark.sparkContext.broadcast(index)
+        part = source.mapInPandas(_search(shared), schema)
+        if not last or out is not None:
+            part = cut(part)
+            shared.unpersist()
+        out = part if out is None else out.union(part)
     return out
 
 
@@ -216,22 +263,27 @@ def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.withColumn("text", F.col("text").cast("string"))
-    for index in _blocks(benchmark):
-        docs = docs.mapInArrow(_clean(spark.sparkContext.broadcast(index)), docs.schema)
+    for index, last in _blocks(benchmark):
+        shared = spark.sparkContext.broadcast(index)
+        docs = docs.mapInArrow(_clean(shared), docs.schema)
+        if not last:
+            docs = cut(docs)
+            shared.unpersist()
     return docs
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[Index]:
-    """Indexes of the benchmark's items, BLOCK_BYTES each; one at least."""
-    ids, texts, some = [], [], False
-    for row in benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct().toLocalIterator():
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[Index, bool]]:
+    """Indexes of the benchmark's items, BLOCK_BYTES each, and whether it is the last; one at least."""
+    wanted = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    ids, texts, size = [], [], 0
+    for row in wanted.distinct().toLocalIterator():
+        if size >= BLOCK_BYTES:
+            yield Index(ids, texts), False
+            ids, texts, size = [], [], 0
         ids.append(row["item_id"])
         texts.append(normal(row["text"]))
-        if sum(map(len, texts)) >= BLOCK_BYTES:
-            yield Index(ids, texts)
-            ids, texts, some = [], [], True
-    if texts or not some:
-        yield Index(ids, texts)
+        size += len(texts[-1])
+    yield Index(ids, texts), True
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -82,9 +82,9 @@ class Tokens:
 _BUILT: dict[bytes, Tokens] = {}
 
 
-def _tokens(ranks: bytes, counts: np.ndarray) -> Tokens:
+def _tokens(ranks: bytes, counts: np.ndarray | None) -> Tokens:
     """The process's Tokens of these counts, with what it remembers from earlier tasks."""
-    key = counts.tobytes()
+    key = b"" if counts is None else counts.tobytes()
     if key not in _BUILT:
         _BUILT.clear()
         _BUILT[key] = Tokens(ranks, counts)
@@ -115,7 +115,7 @@ def _raws(texts) -> list[bytes]:
 def _count(ranks):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         steady_memory()
-        held, size, tokens = [], 0, Tokens(ranks.value)
+        held, size, tokens = [], 0, _tokens(ranks.value, None)
         subwords = np.zeros(len(tokens.number), np.int64)
 
         def flush() -> pd.DataFrame:
@@ -126,8 +126,7 @@ def _count(ranks):
         for batch in batches:
             raws = _raws(batch["text"])
             words, _ = tb.word_hashes(raws)
-            for raw in raws:
-                subwords += np.bincount(tokens(raw), minlength=len(subwords))
+            subwords += np.bincount(np.concatenate([np.zeros(0, np.int32), *map(tokens, raws)]), minlength=len(subwords))
             held.append(words)
             size += len(words)
             if size >= _FLUSH:

@@ -1,8 +1,8 @@
 """Repeated passages by sliding runs of consecutive sentences.
 
 Every sentence starts a run: the shortest stretch of consecutive sentences with MIN_SENTENCES and
-MIN_WORDS, or with LONG_WORDS (so that a few very long sentences are several enough). Runs are
-hashed and matched over all documents; each occurrence but the first marks its sentences, and
+MIN_WORDS, or with two sentences and LONG_WORDS (so that very long sentences are several enough).
+Runs are hashed (128 bits) and matched over all documents; each occurrence but the first marks its sentences, and
 marked sentences are removed.
 """
 
@@ -22,6 +22,7 @@ MIN_SENTENCES = 3
 MIN_WORDS = 16
 LONG_WORDS = 24
 
+_ODD = np.uint64(0xD1342543DE82EF95)
 _CLOSES = np.zeros(256, bool)
 _CLOSES[list(b".!?")] = True
 _CAPITAL = np.zeros(256, bool)
@@ -53,32 +54,36 @@ def sentences(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return tb.mix(total + words.astype(np.uint64)), words, starts[first], ends[first + words - 1]
 
 
-def runs(hashes: np.ndarray, words: np.ndarray, least: int, min_words: int, long_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first sentence, past-the-end sentence) of the run that starts at each sentence."""
+def runs(hashes: np.ndarray, words: np.ndarray, least: int, min_words: int, long_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(two hashes, first sentence, past-the-end sentence) of the run that starts at each sentence."""
     n = len(hashes)
     upto = np.concatenate(([0], np.cumsum(words)))
     at = np.arange(n)
     by_words = np.searchsorted(upto, upto[:-1] + min_words)
-    end = np.minimum(np.maximum(by_words, at + least), np.searchsorted(upto, upto[:-1] + long_words))
+    by_length = np.maximum(np.searchsorted(upto, upto[:-1] + long_words), at + 2)
+    end = np.minimum(np.maximum(by_words, at + least), by_length)
     at, end = at[end <= n], end[end <= n]
-    value = np.zeros(len(at), np.uint64)
+    value, other = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
     for step in range(int((end - at).max()) if len(at) else 0):
-        on = at + step < end
-        value[on] = tb.mix(value[on] + hashes[at[on] + step] + np.uint64(step + 1))
-    return value, at, end
+        on = np.flatnonzero(at + step < end)
+        own = hashes[at[on] + step] + np.uint64(step + 1)
+        value[on] = tb.mix(value[on] + own)
+        other[on] = other[on] * _ODD + tb.mix(own ^ _ODD)
+    return value, other, at, end
 
 
 def _find(least: int, min_words: int, long_words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        steady_memory()
         for batch in batches:
-            parts = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                raw = (text or "").encode("utf-8", "replace")
-                hashes, words, _, _ = sentences(raw)
-                value, at, end = runs(hashes, words, least, min_words, long_words)
-                parts.append(pd.DataFrame({"doc_id": doc_id, "run": value.view(np.int64), "at": at.astype(np.int32), "end": end.astype(np.int32)}))
-            if parts:
-                yield pd.concat(parts, ignore_index=True).astype({"doc_id": "int64"})
+            found = [runs(*sentences((text or "").encode("utf-8", "replace"))[:2], least, min_words, long_words) for text in batch["text"]]
+            many = [len(x[0]) for x in found]
+            if sum(many):
+                value, other, at, end = (np.concatenate(x) for x in zip(*found))
+                yield pd.DataFrame({
+                    "doc_id": batch["doc_id"].astype("Int64").repeat(many).array, "t": np.repeat(batch["t"].to_numpy(np.int64), many),
+                    "r1": value.view(np.int64), "r2": other.view(np.int64), "at": at.astype(np.int32), "end": end.astype(np.int32),
+                })
 
     return run
 
@@ -108,7 +113,7 @@ def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         done = [cut_out(t or "", np.array([(s["at"], s["end"]) for s in spans], np.int64).reshape(-1, 2)) for t, spans in zip(batch["text"], batch["spans"])]
         yield pd.DataFrame({
-            "doc_id": batch["doc_id"], "sentences_removed": [d[1] for d in done], "words_removed": [d[2] for d in done],
+            "doc_id": batch["doc_id"].astype("Int64"), "sentences_removed": [d[1] for d in done], "words_removed": [d[2] for d in done],
             "first_doc_ids": batch["first_doc_ids"], "text": [d[0] for d in done],
         })
 
@@ -117,22 +122,28 @@ def repeated_passages(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_w
     """The documents of docs that hold a repeated run, with its sentences taken out of `text`:
     doc_id, sentences_removed, words_removed, first_doc_ids (where the runs come first), text.
 
-    The first occurrence of a run is that with the smallest (doc_id, sentence number); it stays,
-    and a document in which nothing goes gives no row. Null, empty and short texts have no runs.
-    Rows without a doc_id are left alone; of rows that repeat a doc_id the runs count as one
-    document's, so only repeats at other places are removed. Other columns are ignored.
+    The first occurrence of a run is that with the smallest (doc_id, text's hash, sentence number),
+    rows without a doc_id last; it stays, and a document in which nothing goes gives no row. Null,
+    empty and short texts have no runs. Rows that repeat a doc_id and its text are one place, so
+    only repeats at other places are removed from them; different texts of one doc_id, or of rows
+    without one, are different places. Other columns are ignored.
 
-    Two shuffles carry (hash, doc_id, place) of every run, pre-aggregated the first time; one join
-    by doc_id carries the texts of the documents to be changed.
+    Two shuffles carry (hash, doc_id, text's hash, place) of every run, pre-aggregated the first
+    time; one join carries the texts of the documents to be changed.
     """
     bounded_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    found = docs.mapInPandas(_find(min_sentences, min_words, long_words), "doc_id long, run long, at int, end int")
-    firsts = cut(found.groupBy("run").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1").select("run", "first"))
-    again = found.join(firsts, "run").where(~(F.struct("doc_id", "at") == F.col("first")))
-    marks = again.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("at", "end"))).alias("spans"), F.array_sort(F.collect_set("first.doc_id")).alias("first_doc_ids"))
+    text = F.col("text").cast("string")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("t"), text.alias("text"))
+    found = docs.mapInPandas(_find(min_sentences, min_words, long_words), "doc_id long, t long, r1 long, r2 long, at int, end int")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t", "at")
+    firsts = found.groupBy("r1", "r2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    firsts = cut(firsts.select("r1", "r2", "first"))
+    again = found.join(firsts, ["r1", "r2"]).where(~(place == F.col("first")))
+    marks = again.groupBy("doc_id", "t").agg(F.array_sort(F.collect_set(F.struct("at", "end"))).alias("spans"), F.array_sort(F.array_compact(F.collect_set("first.doc_id"))).alias("first_doc_ids"))
+    marks = marks.withColumnsRenamed({"doc_id": "__d", "t": "__t"})
     schema = "doc_id long, sentences_removed long, words_removed long, first_doc_ids array<long>, text string"
-    return docs.join(marks, "doc_id").select("doc_id", "text", "spans", "first_doc_ids").mapInPandas(_remove, schema)
+    changed = docs.join(marks, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("t") == F.col("__t")))
+    return changed.select("doc_id", "text", "spans", "first_doc_ids").mapInPandas(_remove, schema)
 
 
 def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:

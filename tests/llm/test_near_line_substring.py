@@ -172,7 +172,7 @@ def passages_by_hand(docs, least=3, min_words=16, long_words=24):
             n = 0
             for j in range(i, len(ss)):
                 n += len(ss[j])
-                if j - i + 1 >= least and n >= min_words or n >= long_words:
+                if j - i + 1 >= least and n >= min_words or j > i and n >= long_words:
                     key = tuple(map(tuple, ss[i : j + 1]))
                     if key in seen:
                         gone[doc_id] |= set(range(i, j + 1))
@@ -181,6 +181,37 @@ def passages_by_hand(docs, least=3, min_words=16, long_words=24):
     return {d: len(g) for d, g in gone.items()}
 
 
+def passages_of(rows, least=3, min_words=16, long_words=24):
+    """Sentences removed from each document, by strings and one dictionary of runs."""
+    seen, out = {}, {}
+    for doc_id, text in sorted((r["doc_id"], r["text"] or "") for r in rows):
+        ss = []
+        for line in re.split("\n", text):
+            now = []
+            for w in re.findall(r"[^\x20\x09-\x0d]+", line):
+                if now and (now[-1][-1] in ".!?" or opening(w) and not opening(now[-1])):
+                    ss.append(now)
+                    now = []
+                now.append(w)
+            ss += [now] if now else []
+        gone = set()
+        for i in range(len(ss)):
+            for j in range(i + 1, len(ss)):
+                n = sum(map(len, ss[i : j + 1]))
+                if j - i + 1 >= least and n >= min_words or n >= long_words:
+                    key = tuple(tuple(w.encode().translate(LOWER) for w in x) for x in ss[i : j + 1])
+                    if seen.setdefault(key, (doc_id, i)) != (doc_id, i):
+                        gone |= set(range(i, j + 1))
+                    break
+        if gone:
+            out[doc_id] = len(gone)
+    return out
+
+
+def opening(word):
+    return "A" <= word[0] <= "Z" or "\u00c0" <= word[0] <= "\u00de" and word[0] != "\u00d7"
+
+
 def test_passages(spark):
     shared = prose(99, 60)
     shared = shared[: shared.rindex(".") + 1]
@@ -200,6 +231,22 @@ def test_passage_inside_a_sentence(spark):
     assert set(out) == {1} and out[1]["text"].split() == "some words in lower case and so on.".split()
 
 
+def test_a_single_sentence_is_no_run(spark):
+    long = "One sentence of " + "very " * 40 + "many words."
+    docs = [(i, f"Lead {i} alone here. {long} Tail {i} it is {i}.") for i in range(4)]
+    assert substring_dedup.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).count() == 0
+
+
+def test_passages_of_repeated_ids_and_rows_without_one(spark):
+    """Only the text that holds a repeat loses it; rows without a doc_id come last."""
+    shared = prose(99, 60).rsplit(".", 1)[0] + "."
+    own = prose(12, 60).rsplit(".", 1)[0] + "."
+    docs = [(1, shared), (2, "Some lead in here. " + shared), (2, own), (None, "Another lead. " + shared), (2, own)]
+    for parts in (1, 4):
+        out = substring_dedup.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string").repartition(parts)).collect()
+        assert sorted(((r["doc_id"], r["text"].strip(), r["first_doc_ids"]) for r in out), key=str) == [(2, "Some lead in here.", [1]), (None, "Another lead.", [1])]
+
+
 def test_line_feeds_stay(spark):
     text = "Kept one.\nGone a b c. Gone d e f.\nKept two."
     assert substring_dedup.cut_out(text, np.array([[1, 3]]))[0] == "Kept one.\nKept two."
@@ -209,7 +256,7 @@ def test_line_feeds_stay(spark):
 
 def test_passages_of_odd_rows(odd_documents, no_documents):
     out = substring_dedup.repeated_passages(odd_documents).collect()
-    assert {r["doc_id"] for r in out} <= {1, 6} and all(r["sentences_removed"] > 0 for r in out)
+    assert {r["doc_id"] for r in out} <= {None, 1, 6} and all(r["sentences_removed"] > 0 for r in out)
     assert substring_dedup.repeated_passages(no_documents).count() == 0
 
 
@@ -218,3 +265,4 @@ def test_op4_query(name, spark, small):
     ids = {r["doc_id"] for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id").collect()}
     rows = registry.QUERIES[name](spark, small).collect()
     assert rows and {r["doc_id"] for r in rows} <= ids and all(set(r["first_doc_ids"]) <= ids for r in rows)
+    assert {r["doc_id"]: r["sentences_removed"] for r in rows} == passages_of(spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect())

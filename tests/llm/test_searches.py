@@ -74,6 +74,38 @@ def test_benchmark_in_blocks(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, items).collect()} == {(i, i) for i in range(8)}
 
 
+def test_each_passage_of_an_item_is_a_row(spark):
+    """Parts of a long item that stand apart, and an item that is found twice, give a row each."""
+    item = prose(5, 500)
+    a, b = item[1000:1120], item[1540:1660]
+    text = prose(21, 30) + " " + a + " " + prose(22, 10) + " " + b + " " + prose(23, 30) + " " + a
+    index = decontaminate.Index([7], [decontaminate.normal(item)])
+    raw = decontaminate.normal(text)
+    found = decontaminate.passages(raw, index)
+    assert len(found) == 3 and all(f[4] <= 0.05 * f[3] for f in found)
+    assert [f[1] // 60 for f in found] == sorted(f[1] // 60 for f in found) and all(x[2] <= y[1] + 24 for x, y in zip(found, found[1:]))
+    out = decontaminate.contaminated(spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame([(7, item), (8, item)], "item_id long, text string")).collect()
+    assert sorted(r["item_id"] for r in out) == [7, 7, 7, 8, 8, 8]
+
+
+def test_short_items_are_whole_documents(spark):
+    items = spark.createDataFrame([(1, "Tiny one"), (2, "x"), (3, "")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "tiny  ONE\n"), (2, "a tiny one"), (3, "x"), (4, ""), (5, None)], "doc_id long, text string")
+    out = decontaminate.contaminated(docs, items).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["first_word"], r["end_word"], r["edits"]) for r in out) == [(1, 1, 0, 2, 0), (3, 2, 0, 1, 0)]
+    assert sorted(r["doc_id"] for r in decontaminate.uncontaminated(docs, items).collect()) == [2, 4, 5]
+
+
+def test_hits_in_small_pieces(monkeypatch):
+    """A q-gram that is common in both texts is looked up piece by piece, with the same finds."""
+    item = decontaminate.normal("the same few words " * 60 + prose(8, 100))
+    raw = decontaminate.normal(prose(9, 300) + " " + "the same few words " * 100 + prose(8, 100))
+    index = decontaminate.Index([1], [item])
+    want = {x[0] for x in decontaminate.passages(raw, index)}
+    monkeypatch.setattr(decontaminate, "_HITS", 500)
+    assert want == {x[0] for x in decontaminate.passages(raw, index)} == {0}
+
+
 def test_op2_query(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").collect()
     items = [(r["item_id"], decontaminate.normal(r["text"])) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
