@@ -10,18 +10,21 @@ comments go although they differ from page to page.
 
 from __future__ import annotations
 
+import hashlib
 import html
+import json
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import BATCH_BYTES, bounded_batches, shuffle_partitions
+from .runtime import BATCH_BYTES, bounded_batches, cut, shuffle_partitions
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)", re.S)
+_OPENS = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)|!--|[!?])")
+_STOPS = re.compile(r">|=\s*([\"'])")
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=\s|/|$)""", re.I)
 _RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,12 +60,30 @@ def _furniture(tag: str, attributes: str, in_main: bool) -> bool:
     return False
 
 
+def _tag_end(page: str, at: int, last: dict[str, int]) -> int:
+    """Where the > of a tag stands whose name ends at `at`, quoted values passed over; -1 if nowhere.
+    last: where each quote stands last; one that isn't closed is a letter like others."""
+    while m := _STOPS.search(page, at):
+        if m[1] is None:
+            return m.start()
+        at = m.end()
+        if at <= last[m[1]]:
+            at = page.index(m[1], at) + 1
+    return -1
+
+
 def blocks(page: str | None) -> list[tuple[str, int]]:
-    """Text lines of a page, in order, each with 0 (furniture), 1 (unmarked) or 2 (article)."""
+    """Text lines of a page, in order, each with 0 (furniture), 1 (unmarked) or 2 (article).
+
+    A tag that never ends is text, with all that follows. Takes time in proportion to the page,
+    whatever it holds: what fails to close is looked for once.
+    """
     page = page or ""
     out: list[tuple[str, int]] = []
     line: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, furniture in or above it, article in or above it
+    count: dict[str, int] = {}  # of the stack's tags
+    last = {q: page.rfind(q) for q in "\"'"}
     dropped = in_main = False
 
     def close() -> None:
@@ -71,44 +92,54 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
             out.append((text, 0 if dropped else 2 if in_main else 1))
         line.clear()
 
+    def pop(depth: int) -> None:
+        for t, _, _ in stack[depth:]:
+            count[t] -= 1
+        del stack[depth:]
+
     at, end = 0, len(page)
     while at < end:
-        m = _TOKEN.search(page, at)
+        m = _OPENS.search(page, at)
         if not m:
             line.append(page[at:])
             break
         line.append(page[at : m.start()])
-        at = m.end()
         if not m[2]:
+            stop = page.find("-->", m.end()) + 2 if m[0] == "<!--" else page.find(">", m.end())
+            at = stop + 1 if stop >= m.end() else end
             continue
-        tag = m[2].lower()
+        stop = _tag_end(page, m.end(), last)
+        if stop < 0:
+            line.append(page[m.start() :])
+            break
+        tag, attributes, at = m[2].lower(), page[m.end() : stop], stop + 1
         if tag in _BLOCK:
             close()
         if m[1]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    close()
-                    del stack[depth:]
-                    break
+            if count.get(tag):
+                close()
+                pop(max(d for d in range(len(stack)) if stack[d][0] == tag) if stack[-1][0] != tag else len(stack) - 1)
         elif tag in _RAW:
-            stop = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
-            at = stop.end() if stop else end
+            found = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
+            at = found.end() if found else end
             continue
-        elif tag not in _VOID and not m[3].rstrip().endswith("/"):
-            if tag in _CLOSES_P or tag == "li":
+        elif tag not in _VOID and not attributes.rstrip().endswith("/"):
+            closes = "li" if tag == "li" else "p" if tag in _CLOSES_P else ""
+            if closes and count.get(closes):
                 for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] == ("li" if tag == "li" else "p"):
-                        del stack[depth:]
+                    if stack[depth][0] == closes:
+                        pop(depth)
                         break
                     if stack[depth][0] in _BLOCK:
                         break
                 dropped, in_main = stack[-1][1:] if stack else (False, False)
             inside = tag in _MAIN or in_main
             # an article opened in an unclosed menu or header isn't part of it
-            own = _furniture(tag, m[3], in_main) or dropped and not (tag in _MAIN and stack and stack[-1][0] in ("nav", "header", "li", "ul", "a"))
+            own = _furniture(tag, attributes, in_main) or dropped and not (tag in _MAIN and stack and stack[-1][0] in ("nav", "header", "li", "ul", "a"))
             if own != dropped or inside != in_main:
                 close()
             stack.append((tag, own, inside))
+            count[tag] = count.get(tag, 0) + 1
         dropped, in_main = stack[-1][1:] if stack else (False, False)
     close()
     return out
@@ -157,10 +188,58 @@ def _prefix(a: str, b: str) -> int:
     return next((i for i in range(n) if a[i] != b[i]), n)
 
 
+def _lines_hash(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        made = [hashlib.blake2b("\n".join(x for x, _ in blocks(page)).encode("utf-8", "replace"), digest_size=8).digest() for page in batch["html"]]
+        yield batch[["host", "path", "h"]].assign(page_id=batch["page_id"].astype("Int64"), lines=[int.from_bytes(x, "little", signed=True) for x in made])[["host", "path", "page_id", "h", "lines"]]
+
+
+def _key(row) -> tuple:
+    """A page's place in the order, as Spark sorts host, path, page_id and h."""
+    return row["host"].encode("utf-8", "replace"), row["path"].encode("utf-8", "replace"), -(1 << 63) - 1 if row["page_id"] is None else row["page_id"], row["h"]
+
+
+def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of a range's pages: the first, the one that starts its host's second run, the one that ends its
+    host's run before the last, the last (a run: pages of a host with equal lines; null: none)."""
+    first = second = before = last = None
+    for batch in batches:
+        for row in batch.to_dict("records"):
+            row["page_id"] = None if pd.isna(row["page_id"]) else int(row["page_id"])
+            if first is None:
+                first = row
+            elif last["host"] != row["host"]:
+                second, before = second or {}, None
+            elif last["lines"] != row["lines"]:
+                second, before = row if second is None else second, last
+            last = row
+    if first is not None:
+        yield pd.DataFrame({"edges": [json.dumps([first, second, before, last])]})
+
+
+def _contexts(ranges: list[list[dict]]) -> list[tuple]:
+    """(range, side, host, path, page_id, h) of the pages outside a range that its first and last runs
+    have to be paired with: the nearest of the host with other lines."""
+    out = []
+    for i, (first, _, _, last) in enumerate(ranges):
+        for side, own, step, outer, inner in ((0, first, -1, 3, 2), (2, last, 1, 0, 1)):
+            j = i + step
+            while 0 <= j < len(ranges) and ranges[j][outer]["host"] == own["host"]:
+                # a range is passed over if all of it is the same run; {}: there is another host behind that run
+                got = ranges[j][outer] if ranges[j][outer]["lines"] != own["lines"] else ranges[j][inner]
+                if got or ranges[j][0]["host"] != ranges[j][3]["host"]:
+                    if got:
+                        out.append((i, side, got["host"], got["path"], got["page_id"], got["h"]))
+                    break
+                j += step
+    return out
+
+
 def _difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Walks pages in order of host and path. Pages of a host that follow each other with equal lines are copies and
-    form a run (host, lines, pages); the partner is a page of the run before or after. Holds three runs' lines at a
-    time, and id, url, path and kinds of lines of the copies."""
+    """Walks the pages of each range in order. Pages of a host that follow each other with equal lines are copies and
+    form a run (host, lines, pages); the partner is a page of the run before or after, which may be a page of another
+    range (side 0 or 2) that is here as a partner only. Holds three runs' lines at a time, and id, url, path and kinds
+    of lines of the copies."""
 
     def emit(before, now, after):
         host, lines, pages = now
@@ -174,24 +253,31 @@ def _difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             text, shared = done[key]
             yield page_id, url, text, len(text), shared, partner[0] if partner else None
 
-    before = now = None
-    out, size = [], 0
-    for batch in batches:
-        for page_id, url, host, path, page in zip(batch["page_id"].astype("Int64"), batch["url"], batch["host"], batch["path"], batch["html"]):
-            found = blocks(page)
-            lines, own = [x for x, _ in found], (page_id, url, path, bytes(kind for _, kind in found))
-            if now is not None and now[0] == host and now[1] == lines:
-                now[2].append(own)
-                continue
-            after = (host, lines, [own])
-            for row in emit(before, now, after) if now is not None else ():
-                out.append(row)
-                size += len(row[2])
-                if size > BATCH_BYTES:
-                    yield _frame(out)
-                    out, size = [], 0
-            before, now = now and (*now[:2], now[2][-1:]), after
-    for row in emit(before, now, None) if now is not None else ():
+    out, size, state = [], 0, [None, None, None]  # range, run before, run now
+
+    def step(part, after, real: bool):
+        """The rows of the run now, which `after` follows; then takes that as the run now."""
+        nonlocal state
+        at, before, now = state
+        same = at == part
+        if now is not None:
+            yield from emit(before, now, after if same else None)
+            before = (*now[:2], now[2][-1:])
+        state = [part, (before if same else None) if real else after, after if real else None]
+
+    def rows():
+        for batch in batches:
+            for part, side, page_id, url, host, path, page in zip(*(batch[c] for c in ("part", "side")), batch["page_id"].astype("Int64"), batch["url"], batch["host"], batch["path"], batch["html"]):
+                found = blocks(page)
+                lines, own = [x for x, _ in found], (page_id, url, path, bytes(kind for _, kind in found))
+                at, _, now = state
+                if side == 1 and at == part and now is not None and now[0] == host and now[1] == lines:
+                    now[2].append(own)
+                else:
+                    yield from step(part, (host, lines, [own]), side == 1)
+        yield from step(None, None, False)
+
+    for row in rows():
         out.append(row)
         size += len(row[2])
         if size > BATCH_BYTES:
@@ -216,19 +302,38 @@ def extract(pages: DataFrame) -> DataFrame:
     the same lines is no partner, the nearest one that differs is. Columns other than page_id, url
     and html are ignored.
 
-    Pages are dealt by ranges of (host, path, page_id), so a host of any size spreads over tasks;
-    at the edge of a range a page has the neighbour on the other side only.
+    Pages are dealt by ranges of (host, path, page_id, hash of html), so a host of any size spreads
+    over tasks. Where a range begins and ends is found on narrow rows first; the pages of other
+    ranges that its first and last runs are paired with, two a range at most, are sent along. So
+    the result doesn't depend on the ranges.
     """
     spark = pages.sparkSession
     bounded_batches(spark)
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     address = F.regexp_replace(url, r"[?#].*$", "")
+    text = F.col("html").cast("string")
     pages = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"),
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), text.alias("html"),
         F.lower(F.regexp_extract(address, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/]*)", 1)).alias("host"),
         F.regexp_extract(address, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*)?(.*)$", 1).alias("path"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"),
     )
-    dealt = pages.repartitionByRange(shuffle_partitions(spark), "host", "path", "page_id").sortWithinPartitions("host", "path", "page_id")
+    parts, order = shuffle_partitions(spark), ("host", "path", "page_id", "h")
+    narrow = cut(pages.select("host", "path", "page_id", "h", "html").mapInPandas(_lines_hash, "host string, path string, page_id long, h long, lines long"))
+    ranged = narrow.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ranges = sorted((json.loads(r["edges"]) for r in ranged.mapInPandas(_edges, "edges string").collect()), key=lambda x: _key(x[0]))
+    starts = spark.sparkContext.broadcast([_key(x[0]) for x in ranges])
+
+    @F.pandas_udf("int")
+    def part(host: pd.Series, path: pd.Series, page_id: pd.Series, h: pd.Series) -> pd.Series:
+        rows = zip(host, path, (None if pd.isna(x) else int(x) for x in page_id), h)
+        return pd.Series([bisect_right(starts.value, _key(dict(zip(order, x)))) - 1 for x in rows], dtype="int32")
+
+    contexts = F.broadcast(spark.createDataFrame(_contexts(ranges), "part int, side int, __host string, __path string, __page_id long, __h long"))
+    own = pages.withColumn("part", part(*order)).withColumn("side", F.lit(1))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in order]
+    beside = pages.join(contexts, same[0] & same[1] & same[2] & same[3]).select(own.columns).dropDuplicates(["part", "side"])
+    dealt = own.union(beside).repartition(parts, "part").sortWithinPartitions("part", "side", *order)
     return dealt.mapInPandas(_difference, "page_id long, url string, text string, n_chars long, lines_shared long, partner_id long")
 
 
