@@ -339,6 +339,36 @@ def test_query_blocks(spark, monkeypatch):
     assert nearest.nearest(df, "vec_id % 10 = 0").groupBy("query_id").count().where("count = 10").count() == 9
 
 
+def brute_force(ids, x, queries, k=10):
+    out = {}
+    for q in queries:
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        out[int(ids[q])] = {int(i) for i in ids[np.lexsort((ids, d))[:k]]}
+    return out
+
+
+def test_recall_over_several_blocks(spark, monkeypatch):
+    """The index decides: a query is compared with a fraction of each of several blocks."""
+    monkeypatch.setattr(nearest, "BLOCK_ROWS", 1000)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(6000, 24))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest.nearest(df, "vec_id % 100 = 0").collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = brute_force(np.arange(6000), x, range(0, 6000, 100))
+    assert nearest.RERANKED / 6000**0.5 < 0.21
+    assert sum(len(got[q] & want[q]) for q in want) >= 0.9 * 10 * len(want)
+
+
+def test_dimensions_and_large_components(spark):
+    rows = [(0, [1.0, 1.0]), (1, [1.0, 2.0]), (2, [1e200, 1.0]), (3, [-1e200, 1.0]), (4, [1.5e308, 0.0]), (5, [-1.5e308, 0.0]), (100, [1.0, 1.0, 1.0]), (101, [2.0, 1.0, 1.0]), (102, [9.0])]
+    out = nearest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 100 = 0").collect()
+    assert [r["vec_id"] for r in sorted(out, key=lambda r: r["rank"]) if r["query_id"] == 0] == [1, 2, 3, 4, 5]
+    assert [(r["vec_id"], r["score"]) for r in out if r["query_id"] == 100] == [(101, 1.0)]
+
+
 def test_op9_recall(spark, small):
     rows = spark.read.parquet(f"{small}/embeddings.parquet").collect()
     ids, x = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], float)
