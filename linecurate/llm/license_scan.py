@@ -43,6 +43,13 @@ TEMPLATES: dict[str, str] = {
     "GPL-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     "LGPL-3.0": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version.",
     "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "MIT-warranty": "The Software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the Software or the use or other dealings in the Software.",
+    "BSD-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "BSD-3-endorsement": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "BSD-warranty": "This software is provided by the copyright holders and contributors \"as is\" and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed. In no event shall the copyright holder or contributors be liable for any direct, indirect, incidental, special, exemplary, or consequential damages (including, but not limited to, procurement of substitute goods or services; loss of use, data, or profits; or business interruption) however caused and on any theory of liability, whether in contract, strict liability, or tort (including negligence or otherwise) arising in any way out of the use of this software, even if advised of the possibility of such damage.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    "GPL-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "ISC-warranty": "The software is provided \"as is\" and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness. In no event shall the author be liable for any special, direct, indirect, or consequential damages or any damages whatsoever resulting from loss of use, data or profits, whether in an action of contract, negligence or other tortious action, arising out of or in connection with the use or performance of this software.",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
 }
@@ -143,9 +150,11 @@ def scan(text: str | None, index: Index, min_coverage: float = MIN_COVERAGE) ->
         return []
     starts, ends = tb.word_bounds(raw)
     found = []
-    hits = [(int(index.owners[j]), int(p) - int(index.places[j])) for p in at for j in range(low[p], np.searchsorted(index.grams, grams[p], "right"))]
+    many = np.searchsorted(index.grams, grams[at], "right") - low[at]
+    posted = np.repeat(low[at] - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
+    hits = np.unique(np.stack((index.owners[posted], np.repeat(at, many) - index.places[posted])), axis=1)
     done: dict[int, int] = {}  # past the last match's end
-    for owner, diagonal in sorted(set(hits)):
+    for owner, diagonal in hits.T.tolist():
         pattern = index.words[owner]
         begin, stop = max(0, diagonal - BAND, done.get(owner, 0)), min(len(words), diagonal + len(pattern) + BAND)
         if stop - begin < min_coverage * len(pattern):
@@ -176,7 +185,8 @@ def license_spans(docs: DataFrame, templates: dict[str, str] | None = None, min_
     One row for each place of each template whose words are covered to min_coverage, in order,
     within BAND words of a diagonal, the next one after the end of the one before; a place shares
     K words in a row with a template of fewer than SHORT words; case (A-Z) and ASCII punctuation but - don't count. A match
-    inside a longer match of another template is left out. Null, empty and short texts give no
+    inside a longer match of another template is left out. Licences of many clauses are templates by
+    clause, so that a clause that is left out or changed leaves the others found. Null, empty and short texts give no
     row; null doc_ids are carried along; repeated rows are scanned again. Other columns are
     ignored. The templates are code, so the index that goes to the executors is of fixed size.
     """

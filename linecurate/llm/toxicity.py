@@ -9,6 +9,7 @@ linear classifier, which scores every text.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,28 +19,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblocks as tb
-from .runtime import bounded_batches
+from .runtime import bounded_batches, cut
 
 SAMPLE = 20_000  # labelled rows at most that anything is learned from
-VOTERS = 128
 FEATURES = 512
 PRECISION = 0.5  # share of class 1 at least among the documents with a feature
-WORTH = 14.0  # least evidence (log likelihood) for a feature, above what many tries reach by chance
-LEAST = 5  # documents of the sample in which a feature must occur
+WORTH = 11.0  # least evidence (log likelihood) for a feature, above what many tries reach by chance
+LEAST = 4  # documents of the sample in which a feature must occur
 BEGINNINGS = (4, 5, 6)  # bytes
 _OUTER = b".,;:!?\"'()[]{}<>*$%&#@-_/\\+=|~`^"
 _CACHE = 200_000
+_LONG = 64  # bytes
+_RUN = 4  # characters
+_CUTS = re.compile(rb"[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8b\xa8\xa9\xaf]|\xe3\x80[\x80-\x82]")
 
 
-def _word_features(word: bytes) -> tuple[bytes, ...]:
+def _word_features(word: bytes) -> Iterator[bytes]:
     """The word itself and its beginnings, without outer punctuation; a beginning keeps its length
-    in front, so that it differs from a whole word."""
-    word = word.strip(_OUTER)[:64]
-    return (b"=" + word, *(b"%d^%s" % (n, word[:n]) for n in BEGINNINGS if len(word) > n)) if word else ()
+    in front, so that it differs from a whole word. A word of over _LONG bytes (text without
+    blanks) counts by its pieces between punctuation and blanks of all kinds; what is still
+    longer by all its runs of _RUN characters."""
+    word = word.strip(_OUTER)
+    if len(word) <= _LONG:
+        if word:
+            yield b"=" + word
+            yield from (b"%d^%s" % (n, word[:n]) for n in BEGINNINGS if len(word) > n)
+        return
+    for piece in _CUTS.split(word):
+        if len(piece) <= _LONG:
+            if piece:
+                yield b"=" + piece
+                yield from (b"%d^%s" % (n, piece[:n]) for n in BEGINNINGS if len(piece) > n)
+        else:
+            letters = piece.decode("utf-8", "replace")
+            yield from {b"~" + letters[i : i + _RUN].encode() for i in range(len(letters) - _RUN + 1)}
 
 
 def text_features(text: str | None) -> set[bytes]:
-    """All features of a whole text (a word of over 64 bytes counts by its first 64)."""
+    """All features of a whole text."""
     return {f for w in set(tb.lowered(text).split()) for f in _word_features(w)}
 
 
@@ -68,7 +85,7 @@ class Lookup:
                 if len(words) >= _CACHE:
                     words.clear()
                 got = tuple(number[f] for f in _word_features(w) if f in number)
-                if len(w) <= 64:
+                if len(w) <= _LONG:
                     words[w] = got
             found.update(got)
         return sorted(found)
@@ -78,7 +95,7 @@ def _vote(features: list[bytes]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         look = Lookup(features)
         for batch in batches:
-            yield pd.DataFrame({"toxic": batch["toxic"], "found": [look(t) for t in batch["text"]]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "t": batch["t"], "found": [look(t) for t in batch["text"]]})
 
     return run
 
@@ -190,29 +207,33 @@ def _clean(features: list[bytes], weights: np.ndarray, bias: float):
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[bytes], np.ndarray, float]:
     """Features, weights and bias, from at most `sample` labelled rows of docs.
 
-    Labelled rows are taken in order of a hash of doc_id, those whose crc32(doc_id as text) mod 5
-    is 0 and those without a label left out; a doc_id that has several labels takes the highest.
-    The driver gets counts of the FEATURES best features and the sample's rows as lists of their
-    numbers, nothing else. Without rows of both classes there are no features.
+    Labelled rows are taken in order of a hash of doc_id and text, rows that repeat both once;
+    those whose crc32(doc_id as text) mod 5 is 0 and those without a label are left out; a doc_id
+    that has several labels takes the highest. The sample is checkpointed. The driver gets counts
+    of the FEATURES best features and the sample's rows as lists of their numbers, nothing else.
+    Without rows of both classes there are no features.
     """
     known = labels.where("doc_id is not null and toxic is not null and crc32(cast(cast(doc_id as bigint) as string)) % 5 <> 0")
     known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.join(F.broadcast(known), "doc_id").select("text", (F.col("toxic") > 0).cast("int").alias("toxic"))
+    keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"), "text")
+    picked = keyed.select("doc_id", "t").join(F.broadcast(known), "doc_id").distinct().orderBy(F.xxhash64("doc_id", "t"), "doc_id", "t").limit(sample)
+    rows = keyed.join(F.broadcast(picked), ["doc_id", "t"]).dropDuplicates(["doc_id", "t"])
+    rows = cut(rows.select("doc_id", "t", "text", (F.col("toxic") > 0).cast("int").alias("toxic")))
     n0, n1 = rows.agg(F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1)).first()
     if not n0 or not n1:
         return [], np.zeros(0), -8.0 if not n1 else 8.0
-    counts = rows.mapInPandas(_count, "feature binary, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counts = rows.select("text", "toxic").mapInPandas(_count, "feature binary, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     share = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
     counts = counts.where(F.col("n0") + F.col("n1") >= LEAST).where(share >= max(PRECISION, 2 * n1 / (n0 + n1)))
     worth = F.col("n1") * F.log(share * (n0 + n1) / n1)
     # whole words and the longest beginnings first among equals
     features = [bytes(r["feature"]) for r in counts.where(worth >= WORTH).orderBy(worth.desc(), F.desc("feature")).limit(FEATURES).collect()]
-    got = rows.mapInPandas(_vote(features), "toxic int, found array<int>").select("found").toPandas()["found"]
+    got = rows.mapInPandas(_vote(features), "doc_id long, t long, found array<int>").toPandas().sort_values(["doc_id", "t"])["found"]
     x = np.zeros((len(got), len(features)), np.float32)
     for i, found in enumerate(got):
         x[i, np.asarray(found, np.int64)] = 1
-    q, _, _ = label_model(x[:, :VOTERS], min(0.99, n1 / (n0 + n1)))
+    q, _, _ = label_model(x, min(0.99, n1 / (n0 + n1)))
     weights, bias = logistic(x, q)
     return features, weights, bias
 

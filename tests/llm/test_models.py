@@ -150,6 +150,30 @@ def test_scores_of_held_out_texts_beat_unigrams(spark, small):
     assert sum(runs[0][i] for i in held) > 0.9 * sum(unigram.values())
 
 
+def test_words_without_blanks_count_whole():
+    """A term counts wherever it stands in a run of letters without blanks."""
+    long = "字" * 60 + "、" + "trash" + "\u00a0" + "文" * 60
+    found = toxicity.text_features(long)
+    assert b"=trash" in found and "~字字字字".encode() in found and "~文文文文".encode() in found
+    assert "~坏词坏词".encode() in toxicity.text_features("字" * 100 + "坏词坏词" + "字" * 100)
+    assert toxicity.text_features("x" * 300_000) == {b"~xxxx"}
+
+
+def test_sample_is_bounded_by_rows(spark):
+    """A doc_id with very many rows gives no more rows than the sample has."""
+    rows = [(1, prose(i % 50, 20)) for i in range(400)] + [(i, "trash " + prose(i, 20)) for i in range(2, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i > 1)) for i in range(1, 60)], "doc_id long, toxic int")
+    seen, real = [], toxicity.label_model
+    toxicity.label_model = lambda x, prior: seen.append(len(x)) or real(x, prior)
+    try:
+        toxicity.learn(docs, labels, sample=30)
+        toxicity.learn(docs, labels)
+    finally:
+        toxicity.label_model = real
+    assert seen[0] <= 30 and 50 < seen[1] <= 50 + 58
+
+
 def test_label_model_finds_accurate_voters():
     rng = np.random.default_rng(3)
     y = rng.random(4000) < 0.15

@@ -135,6 +135,41 @@ def test_licences_in_a_row_and_with_a_changed_word():
         assert ("MIT-notice", 0.8) in [f[:2] for f in license_scan.scan("Foo. " + text + ". Bar", index)]
 
 
+def scan_by_hand(text, templates, least=0.8):
+    """(template, first word, past-the-end word) by comparing every stretch as long as the template with it."""
+    words = re.findall(r"[^\s]+", re.sub(r"[!-,./:-@\[-`{-~]", " ", text.lower()))
+    out = []
+    for name, template in templates.items():
+        want = re.findall(r"[^\s]+", re.sub(r"[!-,./:-@\[-`{-~]", " ", template.lower()))
+        i = 0
+        while i + len(want) <= len(words):
+            same = [a == b for a, b in zip(words[i : i + len(want)], want)]
+            if sum(same) >= least * len(want) and same[0] and same[-1] and any(all(same[k : k + 3]) for k in range(len(same) - 2)):
+                out.append((name, i, i + len(want), sum(same)))
+                i += len(want)
+            else:
+                i += 1
+    return sorted(x[:3] for x in out if not any(y[3] > x[3] and y[1] <= x[1] and x[2] <= y[2] for y in out))
+
+
+def test_licences_like_brute_force():
+    """Every template, verbatim or with some words exchanged, in prose; word places are compared."""
+    rng, index = random.Random(4), license_scan.Index(license_scan.TEMPLATES)
+    for trial in range(30):
+        parts = []
+        planted = rng.sample(sorted(license_scan.TEMPLATES), 4)
+        for name in planted:
+            w = license_scan.TEMPLATES[name].split()
+            for _ in range(len(w) // 12):
+                w[rng.randrange(1, len(w) - 1)] = "qx%d" % rng.randrange(99)
+            parts += [prose(trial * 9 + len(parts), 20), " ".join(w)]
+        text = " ".join(parts)
+        plain = license_scan.plain(text)
+        got = sorted((f[0], len(plain[: f[4]].split()), len(plain[: f[5]].split())) for f in license_scan.scan(text, index))
+        want = {x for x in scan_by_hand(text, license_scan.TEMPLATES) if x[0] in planted}
+        assert len(want) >= 3 and want <= set(got)
+
+
 def test_licence_alignment_is_a_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(40):
