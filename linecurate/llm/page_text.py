@@ -333,7 +333,11 @@ def extract(pages: DataFrame) -> DataFrame:
     own = pages.withColumn("part", part(*order)).withColumn("side", F.lit(1))
     same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in order]
     beside = pages.join(contexts, same[0] & same[1] & same[2] & same[3]).select(own.columns).dropDuplicates(["part", "side"])
-    dealt = own.union(beside).repartition(parts, "part").sortWithinPartitions("part", "side", *order)
+    # numbers whose hashes deal each range to a partition of its own
+    slots = spark.range(16 * parts + 64).groupBy(F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias("at")).agg(F.min(F.col("id").cast("int")).alias("slot"))
+    slot = {r["at"]: r["slot"] for r in slots.collect()}
+    slot_of = F.get(F.array(*[F.lit(slot.get(i, i)) for i in range(parts)]), F.col("part"))
+    dealt = own.union(beside).withColumn("slot", slot_of).repartition(parts, "slot").drop("slot").sortWithinPartitions("part", "side", *order)
     return dealt.mapInPandas(_difference, "page_id long, url string, text string, n_chars long, lines_shared long, partner_id long")
 
 
