@@ -2,14 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import unicodedata
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
-ACCENTED = "ÀÁÂÃÄÅàáâãäåÇçÈÉÊËèéêëÌÍÎÏìíîïÑñÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿ"
-PLAIN = "AAAAAAaaaaaaCcEEEEeeeeIIIIiiiiNnOOOOOoooooUUUUuuuuYyy"
+
+
+def _plain_forms() -> tuple[str, str, dict[str, str]]:
+    """Characters whose compatibility decomposition without combining marks is another character, those
+    characters (one fewer for each that is nothing but a mark), and what decomposes into several."""
+    one, marks, several = [], [], {}
+    for c in map(chr, (*range(0x80, 0xAC00), *range(0xF900, 0x10000))):
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if plain == c:
+            continue
+        if not plain:
+            marks.append(c)
+        elif len(plain) == 1:
+            one.append((c, plain))
+        elif any(x.isascii() and x.isalnum() for x in plain):
+            several[c] = plain
+    return "".join([a for a, _ in one] + marks), "".join(b for _, b in one), several
+
+
+ACCENTED, PLAIN, SEVERAL = _plain_forms()
 
 
 def col(c: Column | str) -> Column:
@@ -40,14 +59,44 @@ def parse_ident(text: Column | str) -> Column:
 # --- folding and spacing
 
 
+def plain(text: Column | str) -> Column:
+    """Letters without their accents, precomposed or not, and compatibility forms as plain ones."""
+    several = F.str_to_map(F.lit("\u0002".join(f"{a}\u0003{b}" for a, b in SEVERAL.items())), F.lit("\u0002"), F.lit("\u0003"))
+    pattern = "[" + "".join(SEVERAL) + "]"
+    t = col(text)
+    t = F.when(t.rlike(pattern), replace_each(t, pattern, lambda m: F.element_at(several, m))).otherwise(t)
+    return F.translate(t, ACCENTED, PLAIN)
+
+
+def replace_each(text: Column, pattern: Column | str, new: Callable[[Column], Column], *groups: int) -> Column:
+    """text with each match of pattern replaced by new(match), or new(struct of the match, g1, g2 ...) if groups are asked for."""
+    regex = F.lit(pattern) if isinstance(pattern, str) else pattern
+    found = F.regexp_extract_all(text, regex, F.lit(0))
+    if groups:
+        found = F.arrays_zip(found.alias("g0"), *[F.regexp_extract_all(text, regex, F.lit(g)).alias(f"g{g}") for g in groups])
+    between = F.split(text, regex, -1)
+    after = F.zip_with(found, F.slice(between, F.lit(2), F.size(between)), lambda m, rest: F.concat(new(m), rest))
+    return F.concat(F.get(between, F.lit(0)), F.array_join(after, ""))
+
+
+def given(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def strip(text: Column) -> Column:
+    """Without white space at the ends, line feeds included."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def fold(text: Column | str) -> Column:
     """Accents dropped, lower case, runs of anything but a-z and 0-9 as one blank, trimmed."""
-    return F.trim(F.regexp_replace(F.lower(F.translate(col(text), ACCENTED, PLAIN)), "[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(F.lower(plain(text)), "[^a-z0-9]+", " "))
 
 
 def fold_spacing(text: Column | str) -> Column:
     """Accents dropped, lower case, white space collapsed."""
-    return F.trim(F.regexp_replace(F.lower(F.translate(col(text), ACCENTED, PLAIN)), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.lower(plain(text)), r"\s+", " "))
 
 
 def normalize_term(text: Column | str) -> Column:
@@ -56,7 +105,7 @@ def normalize_term(text: Column | str) -> Column:
 
 def safe_name(text: Column | str, default: str = "termo") -> Column:
     """File-name form: ASCII, other characters than A-Za-z0-9._'- as _, at most 70 characters."""
-    ascii_ = F.regexp_replace(F.translate(col(text), ACCENTED, PLAIN), r"[^\x00-\x7F]", "")
+    ascii_ = F.regexp_replace(plain(text), r"[^\x00-\x7F]", "")
     name = F.left(F.btrim(F.regexp_replace(ascii_, "[^A-Za-z0-9._'-]+", "_"), F.lit("_.")), F.lit(70))
     return F.coalesce(F.nullif(name, F.lit("")), F.lit(default))
 
@@ -90,17 +139,15 @@ def markup_tokens(text: Column | str, known: bool, sounds: Sequence[str] = NONVE
 
 def preserve_case(old: Column, new: Column) -> Column:
     """new in the case of old: all upper, capitalised, or as it is."""
-    upper = (F.upper(old) == old) & (F.lower(old) != old) & (F.length(old) > 1)
+    upper = (F.upper(old) == old) & (F.lower(old) != old)
     capital = F.upper(F.left(old, F.lit(1))) == F.left(old, F.lit(1))
     return F.when(upper, F.upper(new)).when(capital & (F.lower(F.left(old, F.lit(1))) != F.left(old, F.lit(1))), F.concat(F.upper(F.left(new, F.lit(1))), F.substr(new, F.lit(2)))).otherwise(new)
 
 
-def replace_word(text: Column | str, old: str, new: str) -> Column:
-    """Whole words, in upper case, capitalised and lower case, each keeping its case."""
-    t = col(text)
-    for a, b in dict.fromkeys(((old.upper(), new.upper()), (old[:1].upper() + old[1:], new[:1].upper() + new[1:]), (old, new))):
-        t = F.regexp_replace(t, rf"(?U)\b\Q{a}\E\b", b)
-    return t
+def replace_word(text: Column | str, old: Column | str, new: Column | str) -> Column:
+    """Each whole word old, whatever its case, as new in the case of what it replaces; old and new are strings or columns."""
+    of = lambda x: F.lit(x) if isinstance(x, str) else x
+    return replace_each(col(text), F.concat(F.lit(r"(?iuU)\b\Q"), of(old), F.lit(r"\E\b")), lambda m: preserve_case(m, of(new)))
 
 
 def word_pattern(term: Column | str) -> Column:

@@ -96,7 +96,10 @@ def fragment_score(folded: Column, fragments: Sequence[tuple[str, float]]) -> Co
 
 def style_scores(text: Column, duration: Column, lexicon: Mapping[str, Sequence[tuple[str, float]]] = LEXICON) -> Column:
     """Array of (name, score) structs in catalogue order; a duration of 0 means it is missing."""
-    folded, count = T.fold(text), T.alnum_words(text)
+    return T.given(F.struct(T.fold(text).alias("folded"), T.alnum_words(text).alias("count")), lambda x: _style_scores(text, x["folded"], x["count"], duration, lexicon))
+
+
+def _style_scores(text: Column, folded: Column, count: Column, duration: Column, lexicon: Mapping[str, Sequence[tuple[str, float]]]) -> Column:
     ask, cry, dots = text.contains("?"), text.contains("!"), text.rlike(r"\.\.\.|…")
     parts = F.greatest(F.lit(1), F.regexp_count(text, F.lit("[.!?]+")))
     given = lambda condition, points: F.when(condition, points).otherwise(0.0)
@@ -123,29 +126,50 @@ def style_scores(text: Column, duration: Column, lexicon: Mapping[str, Sequence[
     return F.array(*[F.struct(F.lit(s).alias("name"), scores[s].cast("double").alias("score")) for s in STYLES])
 
 
-def decide(scores: Column, neutral: str = "conversa_neutra") -> Column:
-    """(style, second, top, margin, confidence, priority) of a score vector in catalogue order.
+def decide(scores: Column, pilot: Column | None = None, neutral: str = "conversa_neutra") -> Column:
+    """(style, second, top, margin, confidence, review, priority, origin) of a score vector in catalogue order.
 
     The best style but neutral wins (ties: catalogue order) if it reaches 2, else neutral. The
-    second is the best of all others. Review priority: margin under 0.35 is alta, low confidence
-    media, a near miss of 1.9 by a specific style baixa, else empty.
+    second is the best of all others. A specific style is to be reviewed with priority alta if its
+    margin is under 0.35, media if its confidence is low; neutral with priority baixa if a specific
+    style came to 1.9 or more; else nenhuma. A line's style in pilot (null: none) overrides all that.
     """
     ranked = lambda xs: F.array_sort(F.transform(xs, lambda x, i: F.struct((-x["score"]).alias("k"), i.alias("i"), x["name"].alias("name"))))
-    best = ranked(F.filter(scores, lambda x: x["name"] != neutral))
-    # positions after filtering keep catalogue order
-    lead = F.get(best, F.lit(0))
-    points = -lead["k"]
-    plain = points < 2.0
-    style = F.when(plain, F.lit(neutral)).otherwise(lead["name"])
-    top = F.when(plain, F.get(F.filter(scores, lambda x: x["name"] == neutral), F.lit(0))["score"]).otherwise(points)
-    second = F.get(ranked(F.filter(scores, lambda x: x["name"] != style)), F.lit(0))
-    margin = top + second["k"]
-    confidence = (
-        F.when(plain, F.when(points < 1.5, "media").otherwise("baixa"))
-        .when((top >= 5) & (margin >= 2), "alta").when((top >= 2.3) & (margin >= 0.70), "media").otherwise("baixa")
-    )
-    priority = F.when(margin < 0.35, "alta").when(confidence == "baixa", "media").when(plain & (points >= 1.9), "baixa").otherwise("")
-    return F.struct(style.alias("style"), second["name"].alias("second"), top.alias("top"), margin.alias("margin"), confidence.alias("confidence"), priority.alias("priority"))
+
+    def chosen(x: Column) -> Column:
+        # positions after filtering keep catalogue order
+        lead = F.get(ranked(F.filter(x["scores"], lambda s: s["name"] != neutral)), F.lit(0))
+        own = F.get(F.filter(x["scores"], lambda s: s["name"] == neutral), F.lit(0))["score"]
+        return F.struct(x["scores"].alias("scores"), x["pilot"].alias("pilot"), (-lead["k"]).alias("points"), lead["name"].alias("lead"), own.alias("own"))
+
+    def compared(x: Column) -> Column:
+        plain = x["points"] < 2.0
+        style = F.coalesce(x["pilot"], F.when(plain, F.lit(neutral)).otherwise(x["lead"]))
+        top = F.when(plain, x["own"]).otherwise(x["points"])
+        return T.given(F.struct(x["scores"].alias("scores"), style.alias("style"), top.alias("top"), plain.alias("plain"), x["points"].alias("points"), x["pilot"].alias("pilot")), lambda y: F.struct(
+            y["style"].alias("style"), y["top"].alias("top"), y["plain"].alias("plain"), y["points"].alias("points"), y["pilot"].alias("pilot"),
+            F.get(ranked(F.filter(y["scores"], lambda s: s["name"] != y["style"])), F.lit(0)).alias("second")))
+
+    def judged(x: Column) -> Column:
+        margin = x["top"] + x["second"]["k"]
+        confidence = (
+            F.when(x["plain"], F.when(x["points"] < 1.5, "media").otherwise("baixa"))
+            .when((x["top"] >= 5) & (margin >= 2), "alta").when((x["top"] >= 2.3) & (margin >= 0.70), "media").otherwise("baixa")
+        )
+        priority = (
+            F.when(~x["plain"] & (margin < 0.35), "alta").when(~x["plain"] & (confidence == "baixa"), "media")
+            .when(x["plain"] & (x["points"] >= 1.9), "baixa").otherwise("nenhuma")
+        )
+        known = x["pilot"].isNotNull()
+        unless = lambda value, other: F.when(known, other).otherwise(value)
+        return F.struct(
+            x["style"].alias("style"), x["second"]["name"].alias("second"), unless(x["top"], 99.0).alias("top"), unless(margin, 99.0).alias("margin"), unless(confidence, "alta").alias("confidence"),
+            unless(F.when(priority == "nenhuma", "não").otherwise("sim"), "não").alias("review"), unless(priority, "nenhuma").alias("priority"),
+            unless(F.lit("regras_semanticas_duracao"), "piloto_confirmado").alias("origin"),
+        )
+
+    start = F.struct(scores.alias("scores"), (F.lit(None).cast("string") if pilot is None else pilot).alias("pilot"))
+    return T.given(start, lambda x: T.given(chosen(x), lambda y: T.given(compared(y), judged)))
 
 
 def candidate_quality(style: Column, score: Column, margin: Column, duration: Column, count: Column) -> Column:

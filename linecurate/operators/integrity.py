@@ -77,11 +77,124 @@ def occurrence_status(df: DataFrame, key: str, variant: str, order: Sequence[str
     return grouped.select(key, status.alias("status"), "rows", "variants", "chosen")
 
 
+def wanted_status(wanted: DataFrame, places: DataFrame, key: str, variant: str, order: Sequence[str], fields: Sequence[str], failed: str | None = None, keep: str = "last") -> DataFrame:
+    """(key, status, rows, chosen) of each wanted key: where it is taken from among its places.
+
+    ausente: it has none. erro: a place of it couldn't be read (failed is true). duplicado_divergente:
+    places differ in a field (variant doesn't count). duplicado_resolvido: several equal ones. ok: one.
+    chosen is the kept place's order; null without one. A wanted key that repeats counts once.
+    """
+    found = occurrence_status(places, key, variant, order, fields, keep).select(key, "rows", "chosen", (F.col("status") == "duplicado_divergente").alias("__apart"))
+    bad = places.groupBy(key).agg(F.max(F.coalesce(F.col(failed), F.lit(False)) if failed else F.lit(False)).alias("__failed"))
+    status = F.when(F.col("rows").isNull(), "ausente").when(F.col("__failed"), "erro").when(F.col("__apart"), "duplicado_divergente").when(F.col("rows") > 1, "duplicado_resolvido").otherwise("ok")
+    out = wanted.select(key).distinct().join(found, key, "left").join(bad, key, "left").withColumn("status", status)
+    return out.select(key, "status", F.coalesce("rows", F.lit(0)).alias("rows"), F.when(F.col("status").isin("ok", "duplicado_resolvido"), F.col("chosen")).alias("chosen"))
+
+
+# Which states of a mapping are good, and bytes of an archive's parts.
+COMPATIBLE = ("ok", "duplicado_equivalente", "id_high_expandido")
+ARCHIVE_HEAD, ARCHIVE_ENTRY, MEDIA_EXTRA = 12, 40, 12
+
+
+def mapping_summary(mapped: DataFrame) -> DataFrame:
+    """One row: counts by status, the lowest and highest change of duration, and the bytes of an archive of it all.
+
+    mapped: status, entries, delta_pct, media_bytes, aside_bytes. The size has a head with a count of
+    six bits in the first byte and seven in each further one, and for each entry its index and both parts.
+    """
+    is_ = lambda *names: F.count_if(F.col("status").isin(*names))
+    taken = F.col("status").isin(*COMPATIBLE)
+    out = mapped.agg(
+        is_(*COMPATIBLE).alias("compatible"), F.coalesce(F.sum(F.when(taken, F.col("entries"))), F.lit(0)).alias("entries"), is_("ausente").alias("missing"), is_("duplicado_equivalente").alias("duplicates"),
+        is_("id_high_expandido").alias("expanded"), is_("duplicado_divergente").alias("divergent"), is_("incompatível", "erro").alias("incompatible"), is_("ignorado").alias("ignored"),
+        F.min(F.when(taken, F.col("delta_pct"))).alias("least_delta"), F.max(F.when(taken, F.col("delta_pct"))).alias("most_delta"),
+        F.coalesce(F.sum(F.when(taken, F.col("entries") * (F.col("media_bytes") + MEDIA_EXTRA + F.col("aside_bytes")))), F.lit(0)).alias("payload"),
+    )
+    count_bytes = F.when(F.col("entries") < 64, 1).otherwise(1 + F.ceil((F.floor(F.log2(F.col("entries"))) + 1 - 6) / 7))
+    size = ARCHIVE_HEAD + count_bytes + ARCHIVE_ENTRY * F.col("entries") + F.col("payload")
+    return out.withColumn("bytes", F.when(F.col("entries") > 0, size).cast("long")).drop("payload")
+
+
+def payload_mismatches(written: DataFrame, sources: DataFrame, key: Sequence[str], payloads: Sequence[str], numbers: Mapping[str, float]) -> DataFrame:
+    """(key, problem) of written entries that aren't their source byte by byte: missing, extra, or differing parts.
+
+    payloads are compared by their SHA-256 (binary columns, hashed where they are), numbers within
+    a tolerance.
+    """
+    parts = lambda df: [F.sha2(F.col(c), 256).alias(f"__{c}") for c in payloads] + [F.col(c).cast("double").alias(f"__{c}") for c in numbers]
+    a, b = written.select(*key, *parts(written), F.lit(True).alias("__in")), sources.select(*key, *parts(sources), F.lit(True).alias("__in"))
+    both = a.alias("a").join(b.alias("b"), list(key), "full")
+    flags = [F.when(~F.col(f"a.__{c}").eqNullSafe(F.col(f"b.__{c}")), c) for c in payloads]
+    flags += [F.when(F.coalesce(F.abs(F.col(f"a.__{c}") - F.col(f"b.__{c}")) > t, ~F.col(f"a.__{c}").eqNullSafe(F.col(f"b.__{c}"))), c) for c, t in numbers.items()]
+    problem = F.when(F.col("a.__in").isNull(), "missing").when(F.col("b.__in").isNull(), "extra").otherwise(F.array_join(F.array_compact(F.array(*flags)), "|"))
+    return both.select(*key, problem.alias("problem")).where("problem <> ''")
+
+
+def too_small(files: DataFrame, length: str = "length", least: int = 44) -> DataFrame:
+    """Files that hold no more than `least` bytes (a header alone), or are missing (null)."""
+    return files.where(F.coalesce(F.col(length), F.lit(0)) <= least)
+
+
+def join_unique(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join by a key that must be unique on the right; raises if it isn't."""
+    require_none(duplicates(right, key), f"{key} repeats")
+    return left.join(right, key)
+
+
+def most_common(df: DataFrame, *columns: str, n: int | None = None) -> DataFrame:
+    """(columns, rows) by falling count, ties by the columns; the n first, if given."""
+    out = df.groupBy(*columns).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), *columns)
+    return out if n is None else out.limit(n)
+
+
 def coverage(labelled: DataFrame, key: str, label: str, names: Sequence[str]) -> DataFrame:
-    """(categoria, quantidade, ids): one row a name, also where nothing bears it; ids sorted, joined by a blank."""
-    have = labelled.select(F.col(label).alias("categoria"), key).distinct().groupBy("categoria").agg(F.count("*").alias("quantidade"), F.array_join(F.array_sort(F.collect_list(F.col(key).cast("string"))), " ").alias("ids"))
+    """(categoria, quantidade): distinct keys of each name, also where nothing bears it."""
+    have = labelled.select(F.col(label).alias("categoria"), key).distinct().groupBy("categoria").agg(F.count("*").alias("quantidade"))
     every = labelled.sparkSession.createDataFrame([(n,) for n in names], "categoria string")
-    return every.join(have, "categoria", "left").select("categoria", F.coalesce("quantidade", F.lit(0)).alias("quantidade"), F.coalesce("ids", F.lit("")).alias("ids"))
+    return every.join(have, "categoria", "left").select("categoria", F.coalesce("quantidade", F.lit(0)).alias("quantidade"))
+
+
+def coverage_ids(labelled: DataFrame, key: str, label: str, names: Sequence[str], joiner: str = ",") -> DataFrame:
+    """coverage with all sorted ids of a name in one text, for reports that hold few: a name's ids must fit one cell."""
+    ids = labelled.select(F.col(label).alias("categoria"), key).distinct().groupBy("categoria").agg(F.array_join(F.array_sort(F.collect_list(F.col(key).cast("string"))), joiner).alias("ids"))
+    return coverage(labelled, key, label, names).join(ids, "categoria", "left").withColumn("ids", F.coalesce("ids", F.lit("")))
+
+
+# What the coverage gate takes as good.
+GOOD_MAPPING, GOOD_PROCESSING = ("ok", "duplicado_equivalente", "id_high_expandido", "ignorado"), ("ok", "aviso_curta", "aviso_longa")
+
+
+def coverage_labels(manifest: DataFrame, recorded: DataFrame, packed: DataFrame, mapping: DataFrame, processing: DataFrame) -> DataFrame:
+    """(ident, categoria): all that a coverage report counts.
+
+    manifest: ident, action, review; recorded and packed: ident; mapping and processing: ident,
+    status. An empty mapping or processing isn't checked.
+    """
+    generate = manifest.where("action = 'gerar'").select("ident").distinct()
+    named = lambda df, name: df.select("ident", F.lit(name).alias("categoria")).distinct()
+
+    def bad(report: DataFrame, good: Sequence[str], name: str) -> DataFrame:
+        some = report.limit(1).select(F.lit(True).alias("__some"))
+        known = generate.join(report.select("ident", "status"), "ident", "left").where(~F.coalesce("status", F.lit("ausente")).isin(*good))
+        return named(known.join(F.broadcast(some)), name)
+
+    parts = [
+        named(generate, "gerar"), named(manifest.where("action = 'usar_original'"), "usar_original"), named(manifest.where("trim(review) <> ''"), "revisao_pendente"),
+        named(generate.join(recorded, "ident", "left_anti"), "wav_faltando"), named(generate.join(packed, "ident", "left_anti"), "wem_faltando"),
+        named(recorded.join(generate, "ident", "left_anti"), "wav_extra"), named(packed.join(generate, "ident", "left_anti"), "wem_extra"),
+        bad(processing, GOOD_PROCESSING, "pos_processamento_invalido"), bad(mapping, GOOD_MAPPING, "mapeamento_invalido"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def coverage_gate(labels: DataFrame) -> None:
+    """Raises while a line to be generated lacks a file or has a bad state, then while one waits for review; extra files pass."""
+    failing = labels.where(F.col("categoria").isin("wav_faltando", "wem_faltando", "mapeamento_invalido", "pos_processamento_invalido"))
+    require_none(failing, "coverage is incomplete")
+    require_none(labels.where("categoria = 'revisao_pendente'"), "lines wait for review")
 
 
 def fixed_domain_counts(df: DataFrame, column: str, names: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .integrity import duplicates, require_none
 from .stats import running_total
 
 
@@ -126,3 +127,28 @@ def paired_in_order(left: DataFrame, right: DataFrame, key: str, order: str) ->
     place = lambda df, name: running_total(df.select(key, order).withColumn("__one", F.lit(1).cast("long")), "__one", order, into=name).select(key, name)
     both = place(left, "left_place").join(place(right, "right_place"), key, "full_outer")
     return both.withColumn("moved", ~F.col("left_place").eqNullSafe(F.col("right_place")))
+
+
+# How decisions on styles are marked, and styles whose reference is still to be tried.
+DECIDED, PENDING_STYLES = "decisao_contextual_final", ("combate_agressivo", "tristeza_contida")
+
+
+def apply_decisions(classified: DataFrame, decisions: DataFrame, styles: Sequence[str]) -> DataFrame:
+    """classified (ident, style, confidence, review, priority, origin, ...) with decisions (ident, style, confidence, reason) applied.
+
+    A decision sets the style, its confidence (media if blank), origin and reason, and ends the
+    review. reference_status follows the final style of every row. Decisions on unknown or repeated
+    lines and of unknown styles raise.
+    """
+    require_none(duplicates(classified, "ident"), "repeated lines")
+    require_none(missing(decisions, classified, "ident"), "decisions on unknown lines")
+    require_none(decisions.where(~F.col("style").isin(*styles)), "unknown styles")
+    made = decisions.select("ident", F.struct("style", F.coalesce(F.nullif(F.trim("confidence"), F.lit("")), F.lit("media")).alias("confidence"), "reason").alias("__d"))
+    out = classified.join(made, "ident", "left")
+    on = F.col("__d").isNotNull()
+    pick = lambda name, value: F.when(on, value).otherwise(F.col(name)).alias(name)
+    set_ = {"style": F.col("__d.style"), "confidence": F.col("__d.confidence"), "review": F.lit("não"), "priority": F.lit("nenhuma"), "origin": F.lit(DECIDED)}
+    kept = [pick(c, set_[c]) if c in set_ else F.col(c) for c in classified.columns]
+    final = F.when(on, F.col("__d.style")).otherwise(F.col("style"))
+    status = F.when(final.isin(*PENDING_STYLES), "prompt_criado_teste_pendente").otherwise("aprovada_piloto")
+    return out.select(*kept, F.col("__d.reason").alias("reason"), status.alias("reference_status"))

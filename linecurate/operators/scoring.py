@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import cents_apart, clip, reasons
+from ..functions.text import LETTER, cents_apart, clip, reasons
 
 
 def points(*rules: tuple[Column, float]) -> Column:
@@ -54,13 +54,17 @@ def percentile_priority(percentile: Column, hard_failure: Column) -> Column:
     return F.when(hard_failure, "alta").when(percentile >= 99, "alta").when(percentile >= 97.5, "media").when(percentile >= 95, "baixa").otherwise("ok")
 
 
-def identity_risk(f0: Column, under160: Column, under170: Column, z: Column) -> Column:
-    return clip(clip((185 - f0) / 45, 0.0, 1.0) * 45 + under160 * 30 + under170 * 15 + clip((-z - 1.5) / 3, 0.0, 1.0) * 10, 0.0, 100.0)
+def identity_risk(f0: Column, under160: Column, under170: Column, z: Column, known: Column | None = None, failed: Column | None = None) -> Column:
+    """0 to 100; 100 for lines known by ear to be wrong and for those whose recording couldn't be read."""
+    sure = F.coalesce(known, F.lit(False)) if known is not None else F.lit(False)
+    sure = sure | F.coalesce(failed, F.lit(False)) if failed is not None else sure
+    points = clip((185 - f0) / 45, 0.0, 1.0) * 45 + under160 * 30 + under170 * 15 + clip((-z - 1.5) / 3, 0.0, 1.0) * 10
+    return F.when(sure, 100.0).otherwise(clip(points, 0.0, 100.0))
 
 
-def identity_priority(f0: Column, u160: Column, u170: Column, u180: Column, z: Column, known: Column) -> Column:
+def identity_priority(f0: Column, u160: Column, u170: Column, u180: Column, z: Column, known: Column, failed: Column | None = None) -> Column:
     return (
-        F.when(known, "alta").when((f0 <= 155) & (u160 >= 0.70), "alta").when((f0 <= 168) & (u170 >= 0.70), "media")
+        F.when(known if failed is None else known | failed, "alta").when((f0 <= 155) & (u160 >= 0.70), "alta").when((f0 <= 168) & (u170 >= 0.70), "media")
         .when((f0 <= 180) & (u180 >= 0.70), "baixa").when((z <= -3.5) & (u170 >= 0.45), "baixa").otherwise("ok")
     )
 
@@ -74,15 +78,26 @@ def version_priority(words: Column, duration: Column, current: Column, gap: Colu
     )
 
 
+# Names of decisions and review folders.
+DECISIONS = ("vocalizacao_curta_inconclusiva", "forte_suspeita_masculina", "suspeita_moderada", "pitch_insuficiente", "provavel_falso_positivo")
+FOLDERS = ("01_forte_suspeita_masculina", "02_falas_revisao_manual", "03_vocalizacoes_curtas", "04_falsos_positivos_pyin")
+
+
 def pitch_decision(words: Column, duration: Column, frames: Column, median: Column, share: Column) -> Column:
+    short, strong, moderate, few, none = DECISIONS
+    enough = frames >= 8
     return (
-        F.when((words <= 1) | (duration < 0.8), "curta").when((frames >= 8) & (median <= 155) & (share >= 0.65), "forte")
-        .when((frames >= 8) & (median <= 172) & (share >= 0.55), "moderada").when(frames < 8, "insuficiente").otherwise("falso_positivo")
+        F.when((words <= 1) | (duration < 0.8), short).when(enough & (median <= 155) & (share >= 0.65), strong)
+        .when(enough & (median <= 172) & (share >= 0.55), moderate).when(frames < 8, few).otherwise(none)
     )
 
 
-def review_folder(decision: Column) -> Column:
-    return F.when(decision == "forte", "01_forte").when(decision == "moderada", "02_moderada").when(decision.isin("curta", "insuficiente"), "03_ouvir").otherwise("04_controle")
+def review_folder(decision: Column, text: Column) -> Column:
+    """Lines with too little pitch go to the manual folder if they have two words and aren't laughter, else to the short ones."""
+    short, strong, moderate, few, _ = DECISIONS
+    first, manual, brief, rest = FOLDERS
+    spoken = (F.regexp_count(text, F.lit(f"{LETTER}+")) >= 2) & ~F.contains(F.lower(text), F.lit("ha, ha"))
+    return F.when(decision == strong, first).when((decision == moderate) | (decision == few) & F.coalesce(spoken, F.lit(False)), manual).when(decision.isin(few, short), brief).otherwise(rest)
 
 
 def attempt_score(median: Column, target: Column, share: Column, frames: Column, probability: Column, duration: Column, original: Column) -> Column:

@@ -61,27 +61,78 @@ def payload(plan: DataFrame, references: DataFrame, default: str, with_duration:
     return out.select(T.hex_id("ident").alias("id"), F.col("final_text").alias("text"), "ref_audio", *(["duration"] if with_duration else []))
 
 
-def audit_findings(lines: DataFrame, edits: DataFrame | None = None) -> DataFrame:
-    """(ident, seq, category, priority, action, before, after, note): 0 to 4 findings of each line.
+# Masculine articles before feminine words, and what findings are called and say.
+SUSPICIOUS = r"\b(?:um|o|esse|seu|nenhum)\s+(?:bruxa|amiga|bandida|assassina|inimiga|aluna|forasteira|convidada|criada|prisioneira|soldada)\b"
+NOTHING_SPOKEN = "; fala sem conteúdo verbal restante"
+CONFIRMED = " (contexto confirmado por ID)"
 
-    lines: ident, action, text, marked. Order of emission: a line marked as handled (informativa);
-    sounds (alta; usar_original if no word is left); gender after first-person cues, on the cleaned
-    text (alta); a masculine article before a feminine noun (media, revisar, on the text as it is).
+
+def _markers(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(P.STAR), F.lit(1)), T.strip)
+
+
+def audit_findings(lines: DataFrame, edits: DataFrame | None = None, reviews: DataFrame | None = None, strict: bool = True) -> DataFrame:
+    """(ident, seq, category, priority, action, before, after, note): 0 to 5 findings of each line.
+
+    lines: ident, action, original, text; edits: ident, seq, old, new; reviews: ident, old, new,
+    note. Order of emission: a marker that was treated before (informativa); then, for lines to be
+    generated, sounds (alta; usar_original if no word is left); gender, on the cleaned text: the
+    line's own edits, then words after first-person cues (alta); the line's review (media); a
+    masculine article before a feminine word (media). The last two look at the text as it is. If
+    strict, edits and reviews whose fragment isn't in the line's text raise.
     """
-    w = lines.withColumn("v", P.without_sounds_udf(F.col("text"))).withColumn("g", P.feminine_udf(F.col("v.text")))
-    on = F.col("action") == "gerar"
-    words_left = F.regexp_count(F.col("v.text"), F.lit(T.LETTER)) >= 2
-    one = lambda seq, condition, category, priority, action, after, note: F.when(condition, F.struct(
-        F.lit(seq).alias("seq"), F.lit(category).alias("category"), F.lit(priority).alias("priority"), action.alias("action"), F.col("text").alias("before"), after.alias("after"), note.alias("note")))
+    spark = lines.sparkSession
+    none = spark.createDataFrame([], "ident long, seq int, old string, new string, note string").withColumn("ident", F.lit(None).cast(lines.schema["ident"].dataType))
+    edits = none.select("ident", "seq", "old", "new") if edits is None else edits
+    reviews = none.select("ident", "old", "new", "note") if reviews is None else reviews
+    w = lines.select("ident", (F.lower(T.strip(F.coalesce("action", F.lit("")))) == "gerar").alias("on"), T.strip(F.coalesce("original", F.lit(""))).alias("original"), T.strip(F.coalesce("text", F.lit(""))).alias("text"))
+    w = w.withColumn("v", P.without_sounds(F.col("text"))).withColumn("base", F.when(F.size("v.notes") > 0, F.col("v.text")).otherwise(F.col("text")))
+    w = P.apply_rules(w, edits, "ident", "base", "own").withColumnRenamed("notes", "own_notes").withColumn("g", P.feminine(F.col("own")))
+    w = w.join(reviews.select("ident", F.struct("old", "new", "note").alias("r")), "ident", "left")
+    if strict:
+        integrity.require_none(w.where("on and absent is not null").select("ident", "absent"), "fragment of an edit is missing")
+        integrity.require_none(w.where("on and r is not null").where(~F.contains("text", F.col("r.old"))).select("ident", "r.old"), "fragment of a review is missing")
+    on, silent = F.col("on"), ~F.col("v.text").rlike(T.LETTER + "{2,}")
+    gender = F.concat(F.transform("own_notes", lambda n: F.concat(n, F.lit(CONFIRMED))), F.col("g.notes"))
+    one = lambda seq, condition, category, priority, action, before, after, note: F.when(condition, F.struct(
+        F.lit(seq).alias("seq"), F.lit(category).alias("category"), F.lit(priority).alias("priority"), action.alias("action"), before.alias("before"), after.alias("after"), note.alias("note")))
     found = F.array(
-        one(0, F.col("marked"), "marcador_ja_tratado", "informativa", F.lit("nenhuma"), F.col("text"), F.lit("")),
-        one(1, on & (F.size("v.notes") > 0), "vocalizacao_ou_acao", "alta", F.when(words_left, "gerar").otherwise("usar_original"), F.when(words_left, F.col("v.text")).otherwise(""), F.array_join("v.notes", "; ")),
-        one(2, on & words_left & (F.size("g.notes") > 0), "concordancia_feminina", "alta", F.lit("gerar"), F.col("g.text"), F.array_join("g.notes", "; ")),
-        one(3, on & F.col("text").rlike(r"(?iuU)\b(?:o|um|meu|seu)\s+(?:mulher|bruxa|garota|moça|dama|amiga)\b"), "artigo_suspeito", "media", F.lit("revisar"), F.col("text"), F.lit("artigo masculino")),
+        one(0, (F.size(_markers(F.col("original"))) > 0) & (F.size(_markers(F.col("text"))) == 0), "marcacao_ja_tratada", "informativa", F.lit("nenhuma"), F.col("original"), F.col("text"),
+            F.concat(F.lit("marcação removida na preparação: "), F.array_join(_markers(F.col("original")), ", "))),
+        one(1, on & (F.size("v.notes") > 0), "vocalizacao_ou_acao", "alta", F.when(silent, "usar_original").otherwise("gerar"), F.col("text"), F.when(silent, "").otherwise(F.col("v.text")),
+            F.concat(F.array_join("v.notes", "; "), F.when(silent, NOTHING_SPOKEN).otherwise(""))),
+        one(2, on & (F.size(gender) > 0), "concordancia_feminina", "alta", F.lit("gerar"), F.col("base"), F.col("g.text"), F.array_join(gender, "; ")),
+        one(3, on & F.col("r").isNotNull(), "concordancia_contextual", "media", F.lit("revisar"), F.col("text"), F.replace("text", F.col("r.old"), F.col("r.new")), F.col("r.note")),
+        one(4, on & F.col("text").rlike("(?iuU)" + SUSPICIOUS), "concordancia_suspeita", "media", F.lit("revisar"), F.col("text"), F.lit(""), F.lit("artigo ou possessivo masculino antes de termo feminino")),
     )
     return w.select("ident", F.explode(F.array_compact(found)).alias("f")).select("ident", "f.*")
 
 
+# Reasons and names of gender decisions.
+CHANGED, APPROVED = "Concordância feminina da personagem jogável: ", "Aprovado sem alteração: termo não se refere à personagem jogável."
+
+
+def gender_decisions(lines: DataFrame, rules: DataFrame, reasons: DataFrame, absent: DataFrame) -> DataFrame:
+    """(ident, classification, action, original, final, reason, flag) of lines that are flagged, have rules, or are absent.
+
+    lines: ident, text, flag; rules: ident, seq, kind, old, new (functions.portuguese.apply_rules);
+    reasons: ident, reason, in place of the usual one; absent: ident, reason, of lines that keep
+    their recording. A rule for an unknown line, and a fragment that isn't there, raise.
+    """
+    integrity.require_none(relational.missing(rules.select("ident").union(absent.select("ident")).distinct(), lines, "ident"), "decisions on unknown lines")
+    known = rules.select("ident").distinct().withColumn("ruled", F.lit(True))
+    chosen = lines.join(known, "ident", "left").join(absent.select("ident", F.col("reason").alias("gone")), "ident", "left").where("coalesce(flag, '') <> '' or ruled or gone is not null")
+    edited = P.apply_rules(chosen, rules, "ident", "text", "final")
+    integrity.require_none(edited.where("absent is not null and gone is null").select("ident", "absent"), "fragment of a rule is missing")
+    edited = edited.join(reasons.select("ident", F.col("reason").alias("own")), "ident", "left")
+    gone, changed = F.col("gone").isNotNull(), F.col("final") != F.col("text")
+    reason = F.when(gone, F.col("gone")).when(F.col("own").isNotNull(), F.col("own")).when(changed, F.concat(F.lit(CHANGED), F.array_join("notes", "; "), F.lit("."))).otherwise(APPROVED)
+    return edited.select(
+        "ident", F.when(gone, "usar_original").when(changed, "corrigido").otherwise("aprovado_sem_alteracao").alias("classification"), F.when(gone, "usar_original").otherwise("gerar").alias("action"),
+        F.col("text").alias("original"), F.when(gone, "").otherwise(F.col("final")).alias("final"), reason.alias("reason"), "flag",
+    )
+
+
 def safe_fixes(findings: DataFrame, legacy_order: bool = False) -> DataFrame:
     """(ident, action, text, reason): the last automatic fix of each line, reasons joined.
 
@@ -93,18 +144,22 @@ def safe_fixes(findings: DataFrame, legacy_order: bool = False) -> DataFrame:
     return fixes.select("ident", F.element_at("s", -1)["action"].alias("action"), F.element_at("s", -1)["after"].alias("text"), F.array_join(F.transform("s", lambda x: x["note"]), " | ").alias("reason"))
 
 
-def name_statistics(lines: DataFrame, ident: str, text: str, least_ratio: float = 0.68, least_single: float = 0.78) -> DataFrame:
-    """(name, lines, inside, ratio, examples) of accepted proper names.
+def name_statistics(lines: DataFrame, ident: str, text: str, least_ratio: float = 0.68, least_single: float = 0.78, examples: int = 5) -> DataFrame:
+    """(name, lines, ratio, inside, examples) of accepted proper names.
 
-    Names come from runs of capitalised words. A name's ratio is the lowest share in which one of
-    its words is capitalised wherever it occurs; it needs evidence inside a sentence, or two lines.
+    Names come from runs of capitalised words. Of a name's words but connectors, ratio is the
+    lowest share in which one is capitalised wherever it occurs, and inside tells whether one is so
+    within a sentence. A name needs the least ratio (least_single if it is one word), no stop-word,
+    and evidence inside or two lines. examples are the smallest idents, in order.
     """
-    token = lines.select(F.explode(F.regexp_extract_all(F.col(text), F.lit("[A-Za-zÀ-ÖØ-öø-ÿ][A-Za-zÀ-ÖØ-öø-ÿ'’-]*"), 0)).alias("t"))
-    shares = token.groupBy(F.lower("t").alias("part")).agg((F.count_if(F.substring("t", 1, 1) != F.lower(F.substring("t", 1, 1))) / F.count("*")).alias("share"))
-    chunks = lines.select(F.col(ident).alias("i"), F.explode(P.name_chunks_udf(F.col(text))).alias("c")).select("i", "c.name", "c.opens")
-    by_line = chunks.groupBy("name", "i").agg(F.max((~F.col("opens")).cast("int")).alias("inside"))
-    names = by_line.groupBy("name").agg(F.count("*").alias("lines"), F.sum("inside").alias("inside"), F.min("i").alias("example"))
-    parts = names.select("name", F.explode(F.filter(F.split("name", "[ ,]+"), lambda p: p.rlike("^[A-ZÀ-ÖØ-Þ]"))).alias("p"))
-    ratio = parts.join(shares, F.lower("p") == F.col("part")).groupBy("name").agg(F.min("share").alias("ratio"), F.count("*").alias("parts"))
-    out = names.join(ratio, "name")
-    return out.where((F.col("ratio") >= F.when(F.col("parts") == 1, least_single).otherwise(least_ratio)) & ((F.col("inside") > 0) | (F.col("lines") >= 2))).drop("parts")
+    token = lines.select(F.explode(P.tokens(F.col(text))).alias("x")).select(F.lower(T.normalize_term(F.col("x.token"))).alias("part"), F.col("x.token").rlike(f"^{P.CAPITAL}").alias("capital"), (~F.col("x.opens")).alias("within"))
+    shares = token.groupBy("part").agg((F.count_if("capital") / F.count("*")).alias("share"), F.max(F.col("capital") & F.col("within")).alias("within"))
+    chunks = lines.select(F.col(ident).alias("i"), F.explode(F.array_distinct(F.transform(P.name_chunks(F.col(text)), lambda c: c["name"]))).alias("name"))
+    counts = chunks.groupBy("name").agg(F.count("*").alias("lines"))
+    # each task keeps its few smallest, so a frequent name's lines are never in one place
+    few = chunks.groupBy("name", F.pmod(F.xxhash64("i"), F.lit(64)).alias("bin")).agg(F.slice(F.array_sort(F.collect_set("i")), 1, examples).alias("some"))
+    few = few.groupBy("name").agg(F.slice(F.array_sort(F.flatten(F.collect_list("some"))), 1, examples).alias("examples"))
+    parts = counts.select("name", F.explode(F.filter(F.split(F.lower("name"), " "), lambda p: ~p.isin(*sorted(P.CONNECTORS)))).alias("part"))
+    judged = parts.join(shares, "part").groupBy("name").agg(F.min("share").alias("ratio"), F.max("within").alias("inside"), F.count("*").alias("parts"), F.max(F.col("part").isin(*sorted(P.STOPWORDS))).alias("common"))
+    out = counts.join(judged, "name").join(few, "name").where(~F.col("common") & (F.col("ratio") >= F.when(F.col("parts") == 1, least_single).otherwise(least_ratio)) & (F.col("inside") | (F.col("lines") >= 2)))
+    return out.select("name", "lines", F.round("ratio", 4).alias("ratio"), "inside", "examples")

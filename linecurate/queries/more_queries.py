@@ -35,8 +35,8 @@ def safe_names(spark, d):
 
 
 SAFE_SQL = f"""
-SELECT doc_id, coalesce(nullif(left(trim(regexp_replace(regexp_replace(translate(text, '{T.ACCENTED}', '{T.PLAIN}'), '[^\\x00-\\x7F]', '', 'g'), '[^A-Za-z0-9._''-]+', '_', 'g'), '_.'), 70), ''), 'termo') AS name, lang AS chosen,
-  trim(regexp_replace(lower(translate(text, '{T.ACCENTED}', '{T.PLAIN}')), '\\s+', ' ', 'g')) AS folded FROM documents"""
+SELECT doc_id, coalesce(nullif(left(trim(regexp_replace(regexp_replace(strip_accents(text), '[^\\x00-\\x7F]', '', 'g'), '[^A-Za-z0-9._''-]+', '_', 'g'), '_.'), 70), ''), 'termo') AS name, lang AS chosen,
+  trim(regexp_replace(lower(strip_accents(text)), '\\s+', ' ', 'g')) AS folded FROM documents"""
 
 
 def human_sizes(spark, d):

@@ -196,7 +196,7 @@ def coverage_report(spark, d):
     for name, rows in sets.items():
         rows = rows.withColumn("categoria", F.lit(name))
         tagged = rows if tagged is None else tagged.unionByName(rows)
-    return integrity.coverage(tagged, "doc_id", "categoria", [*sets, "nada"])
+    return integrity.coverage_ids(tagged, "doc_id", "categoria", [*sets, "nada"], " ")
 
 
 COVERAGE_SQL = """
@@ -385,24 +385,32 @@ SELECT user_id, ((CASE WHEN ex >= 3 THEN 38 WHEN ex = 2 THEN 24 WHEN ex = 1 THEN
   CASE WHEN de THEN 'densidade' END, CASE WHEN rp OR fp THEN 'pausas' END, CASE WHEN cl THEN 'clipping' END, CASE WHEN NOT cl AND user_id % 40 >= 28 THEN 'salto' END, CASE WHEN du THEN 'duração' END) AS reasons FROM x"""
 
 
+SPOKEN = ("Vamos embora", "Ha, ha, ha", "Oi", "", "São três")
+
+
 def identity_scores(spark, d):
     z = stats.group_z(_t(spark, d, "events").select("event_id", "event_type", "value"), "event_type", "value")
     f0, u = F.col("value") + 130, lambda limit: F.when(F.col("value") + 130 < limit, 0.9).otherwise(0.1)
+    known, failed = F.col("event_id") % 997 == 0, F.col("event_id") % 89 == 5
+    spoken = F.element_at(F.array(*map(F.lit, SPOKEN)), F.pmod(F.col("event_id"), F.lit(len(SPOKEN))).cast("int") + 1)
     return z.select(
-        "event_id", F.round(scoring.identity_risk(f0, u(160), u(170), F.col("z")), 6).alias("risk"), scoring.identity_priority(f0, u(160), u(170), u(180), F.col("z"), F.col("event_id") % 997 == 0).alias("priority"),
+        "event_id", F.round(scoring.identity_risk(f0, u(160), u(170), F.col("z"), known, failed), 6).alias("risk"), scoring.identity_priority(f0, u(160), u(170), u(180), F.col("z"), known, failed).alias("priority"),
         scoring.version_priority(F.col("event_id") % 6, F.col("value") / 50, f0, 200 - f0).alias("version"), scoring.pitch_decision(F.col("event_id") % 6, F.col("value") / 50, F.col("event_id") % 20, f0, u(160)).alias("decision"),
-    ).withColumn("folder", scoring.review_folder(F.col("decision")))
+    ).withColumn("folder", scoring.review_folder(F.col("decision"), spoken))
 
 
-IDENTITY_SQL = """
+IDENTITY_SQL = f"""
 WITH m AS (SELECT event_type, median(value) AS m, greatest(1.4826 * mad(value), 5) AS s FROM events GROUP BY 1),
 x AS (SELECT event_id, value, value + 130 AS f, (value - m) / s AS z, CASE WHEN value + 130 < 160 THEN 0.9::DOUBLE ELSE 0.1::DOUBLE END AS a, CASE WHEN value + 130 < 170 THEN 0.9::DOUBLE ELSE 0.1::DOUBLE END AS b,
   CASE WHEN value + 130 < 180 THEN 0.9::DOUBLE ELSE 0.1::DOUBLE END AS c, event_id % 6 AS w, value / 50 AS du, event_id % 20 AS fr FROM events JOIN m USING (event_type)),
-y AS (SELECT event_id, round(least(greatest(least(greatest((185 - f) / 45, 0), 1) * 45 + a * 30 + b * 15 + least(greatest((-z - 1.5) / 3, 0), 1) * 10, 0), 100), 6) AS risk,
-  CASE WHEN event_id % 997 = 0 THEN 'alta' WHEN f <= 155 AND a >= 0.7 THEN 'alta' WHEN f <= 168 AND b >= 0.7 THEN 'media' WHEN f <= 180 AND c >= 0.7 THEN 'baixa' WHEN z <= -3.5 AND b >= 0.45 THEN 'baixa' ELSE 'ok' END AS priority,
+y AS (SELECT event_id, CASE WHEN event_id % 997 = 0 OR event_id % 89 = 5 THEN 100 ELSE round(least(greatest(least(greatest((185 - f) / 45, 0), 1) * 45 + a * 30 + b * 15 + least(greatest((-z - 1.5) / 3, 0), 1) * 10, 0), 100), 6) END AS risk,
+  CASE WHEN event_id % 997 = 0 OR event_id % 89 = 5 THEN 'alta' WHEN f <= 155 AND a >= 0.7 THEN 'alta' WHEN f <= 168 AND b >= 0.7 THEN 'media' WHEN f <= 180 AND c >= 0.7 THEN 'baixa' WHEN z <= -3.5 AND b >= 0.45 THEN 'baixa' ELSE 'ok' END AS priority,
   CASE WHEN w >= 2 AND du >= 0.8 AND f <= 160 AND 200 - f >= 35 THEN 'alta' WHEN w >= 2 AND du >= 0.8 AND f <= 175 AND 200 - f >= 30 THEN 'media' WHEN NOT (w >= 2 AND du >= 0.8) AND f <= 165 AND 200 - f >= 35 THEN 'curta' ELSE 'ok' END AS version,
-  CASE WHEN w <= 1 OR du < 0.8 THEN 'curta' WHEN fr >= 8 AND f <= 155 AND a >= 0.65 THEN 'forte' WHEN fr >= 8 AND f <= 172 AND a >= 0.55 THEN 'moderada' WHEN fr < 8 THEN 'insuficiente' ELSE 'falso_positivo' END AS decision FROM x)
-SELECT *, CASE decision WHEN 'forte' THEN '01_forte' WHEN 'moderada' THEN '02_moderada' WHEN 'curta' THEN '03_ouvir' WHEN 'insuficiente' THEN '03_ouvir' ELSE '04_controle' END AS folder FROM y"""
+  CASE WHEN w <= 1 OR du < 0.8 THEN 'vocalizacao_curta_inconclusiva' WHEN fr >= 8 AND f <= 155 AND a >= 0.65 THEN 'forte_suspeita_masculina'
+  WHEN fr >= 8 AND f <= 172 AND a >= 0.55 THEN 'suspeita_moderada' WHEN fr < 8 THEN 'pitch_insuficiente' ELSE 'provavel_falso_positivo' END AS decision FROM x)
+SELECT *, CASE WHEN decision = 'forte_suspeita_masculina' THEN '01_forte_suspeita_masculina' WHEN decision = 'suspeita_moderada' THEN '02_falas_revisao_manual'
+  WHEN decision = 'pitch_insuficiente' AND event_id % 5 IN (0, 4) THEN '02_falas_revisao_manual' WHEN decision IN ('pitch_insuficiente', 'vocalizacao_curta_inconclusiva') THEN '03_vocalizacoes_curtas'
+  ELSE '04_falsos_positivos_pyin' END AS folder FROM y"""
 
 
 def duration_plan(spark, d):

@@ -22,7 +22,7 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
     return spread(spark.read.parquet(f"{d}/documents.parquet"))
 
 
-FOLD_SQL = f"trim(regexp_replace(lower(translate({{}}, '{T.ACCENTED}', '{T.PLAIN}')), '[^a-z0-9]+', ' ', 'g'))"
+FOLD_SQL = "trim(regexp_replace(lower(strip_accents({})), '[^a-z0-9]+', ' ', 'g'))"
 
 
 def hex_id_text_metrics(spark: SparkSession, d: str) -> DataFrame:
@@ -95,46 +95,65 @@ s AS (SELECT CASE WHEN {has('ironia_seca')} THEN 'ironia_seca' WHEN {has('confro
 SELECT style, CASE WHEN style IN ('alerta_tenso', 'pergunta_cautelosa', 'conversa_neutra') THEN 'media' ELSE 'alta' END AS confidence, count(*) AS lines FROM s GROUP BY style"""
 
 
+#: Lines that hold fragments of the lexicon, one put before each text.
+SPOKEN = (
+    "Há pegadas e sangue perto da caverna.", "Sinto falta dela. Descanse em paz.", "Me sinto muito bem hoje.", "Perdi tudo?", "De acordo com ele, você mente!", "Que ótimo... claro.", "Cuidado! Atrás de você!",
+    "Vou te matar, morra!", "Quem é você?", "Siga o rastro até a casa.", "Não acredito em você, saia daqui.",
+)
+
+
+def _lexicon() -> dict:
+    return {style: (*classify.LEXICON.get(style, ()), *TABLE_LEXICON.get(style, ())) for style in classify.STYLES}
+
+
 def style_scored_argmax(spark: SparkSession, d: str) -> DataFrame:
-    scored = _docs(spark, d).select("doc_id", classify.style_scores(F.col("text"), F.lit(0.0), TABLE_LEXICON).alias("scores")).withColumn("x", classify.decide(F.col("scores")))
-    return scored.select("doc_id", "x.style", "x.second", F.round("x.top", 6).alias("top"), F.round("x.margin", 6).alias("margin"), "x.confidence", "x.priority")
+    spoken = F.element_at(F.array(*map(F.lit, SPOKEN)), (F.col("doc_id") % len(SPOKEN)).cast("int") + 1)
+    lines = _docs(spark, d).select("doc_id", F.when(F.col("doc_id") % 3 == 0, spoken).otherwise(F.concat_ws(" ", spoken, "text")).alias("line"), F.when(F.col("lang") == "de", 0.0).otherwise(F.col("n_chars") / 400).alias("seconds"))
+    pilot = F.when(F.col("doc_id") % 50 == 7, "ironia_seca")
+    scored = lines.select("doc_id", classify.decide(classify.style_scores(F.col("line"), F.col("seconds"), _lexicon()), pilot).alias("x"))
+    return scored.select("doc_id", "x.style", "x.second", F.round("x.top", 6).alias("top"), F.round("x.margin", 6).alias("margin"), "x.confidence", "x.review", "x.priority", "x.origin")
 
 
 def _scored_sql() -> str:
     def lex(style: str) -> str:
         parts = []
-        for f, w in TABLE_LEXICON.get(style, ()):
+        for f, w in _lexicon().get(style, ()):
             token = f.rstrip("*")
             pattern = f"(^| ){token}" + ("[a-z0-9]*" if f.endswith("*") else "") + "( |$)"
-            parts.append(f"CASE WHEN regexp_matches(folded, '{pattern}') THEN {w} ELSE 0 END")
+            parts.append(f"CASE WHEN regexp_matches(folded, '{pattern}') THEN {w}::DOUBLE ELSE 0 END")
         return " + ".join(parts) or "0"
 
+    spoken = "list_extract([" + ", ".join(f"'{x}'" for x in SPOKEN) + f"], (doc_id % {len(SPOKEN)} + 1)::INT)"
     order = {s: i for i, s in enumerate(classify.STYLES)}
     return f"""
-WITH t AS (SELECT doc_id, {FOLD_SQL.format('text')} AS folded, contains(text, '?') AS ask, contains(text, '!') AS cry, regexp_matches(text, '\\.\\.\\.|…') AS dots,
-  len(regexp_extract_all(text, '[A-Za-zÀ-ÖØ-öø-ÿ0-9]+')) AS n, greatest(1, len(regexp_extract_all(text, '[.!?]+'))) AS parts FROM documents),
+WITH l AS (SELECT doc_id, {spoken} AS spoken, text, CASE WHEN lang = 'de' THEN 0 ELSE n_chars / 400 END AS dur FROM documents),
+m AS (SELECT doc_id, dur, CASE WHEN doc_id % 3 = 0 THEN spoken ELSE concat_ws(' ', spoken, text) END AS line FROM l),
+t AS (SELECT doc_id, dur, {FOLD_SQL.format('line')} AS folded, contains(line, '?') AS ask, contains(line, '!') AS cry, regexp_matches(line, '\\.\\.\\.|…') AS dots,
+  len(regexp_extract_all(line, '[A-Za-zÀ-ÖØ-öø-ÿ0-9]+')) AS n, greatest(1, len(regexp_extract_all(line, '[.!?]+'))) AS parts FROM m),
 b AS (SELECT *, {lex('investigacao_observacional')} AS inv,
   CASE WHEN contains(folded, 'me sinto muito') THEN greatest(0, {lex('tristeza_contida')} - 4.5) ELSE {lex('tristeza_contida')} END AS sad,
   CASE WHEN contains(folded, 'de acordo com') THEN greatest(0, {lex('confronto_firme')} - 1) ELSE {lex('confronto_firme')} END AS firm FROM t),
 s AS (
   SELECT doc_id, 'conversa_neutra' AS style, 1 + CASE WHEN n BETWEEN 4 AND 22 AND NOT cry THEN 0.5 ELSE 0 END AS score FROM b
   UNION ALL SELECT doc_id, 'investigacao_observacional', inv FROM b
-  UNION ALL SELECT doc_id, 'pergunta_cautelosa', CASE WHEN ask THEN 2.4 ELSE 0 END FROM b
+  UNION ALL SELECT doc_id, 'pergunta_cautelosa', {lex('pergunta_cautelosa')} + CASE WHEN ask THEN 2.4 ELSE 0 END FROM b
   UNION ALL SELECT doc_id, 'confronto_firme', firm + CASE WHEN ask AND firm >= 2 THEN 0.8 ELSE 0 END FROM b
-  UNION ALL SELECT doc_id, 'ironia_seca', CASE WHEN dots THEN 0.4 ELSE 0 END FROM b
-  UNION ALL SELECT doc_id, 'narrativa_contida', CASE WHEN n >= 25 THEN 3 + least(2.0::DOUBLE, (n - 25) / 18.0::DOUBLE) ELSE 0 END + CASE WHEN parts >= 3 AND n >= 18 THEN 1.2 ELSE 0 END FROM b
-  UNION ALL SELECT doc_id, 'alerta_tenso', CASE WHEN ask AND n <= 4 THEN 2.0 WHEN ask AND dots AND n <= 8 THEN 1.5 ELSE 0 END + CASE WHEN cry THEN 1.5 ELSE 0 END + CASE WHEN n <= 3 AND NOT ask THEN 0.8 ELSE 0 END FROM b
-  UNION ALL SELECT doc_id, 'combate_agressivo', CASE WHEN cry THEN 0.8 ELSE 0 END FROM b
+  UNION ALL SELECT doc_id, 'ironia_seca', {lex('ironia_seca')} + CASE WHEN dots THEN 0.4 ELSE 0 END FROM b
+  UNION ALL SELECT doc_id, 'narrativa_contida', {lex('narrativa_contida')} + CASE WHEN dur >= 8 THEN 2.5 + least(1.5::DOUBLE, (dur - 8) / 8.0::DOUBLE) ELSE 0 END + CASE WHEN n >= 25 THEN 3 + least(2.0::DOUBLE, (n - 25) / 18.0::DOUBLE) ELSE 0 END + CASE WHEN parts >= 3 AND n >= 18 THEN 1.2 ELSE 0 END FROM b
+  UNION ALL SELECT doc_id, 'alerta_tenso', {lex('alerta_tenso')} + CASE WHEN dur > 0 AND n / dur >= 8.5 THEN 0.8 ELSE 0 END + CASE WHEN ask AND n <= 4 THEN 2.0 WHEN ask AND dots AND n <= 8 THEN 1.5 ELSE 0 END + CASE WHEN cry THEN 1.5 ELSE 0 END + CASE WHEN n <= 3 AND dur <= 1.5 AND NOT ask THEN 0.8 ELSE 0 END FROM b
+  UNION ALL SELECT doc_id, 'combate_agressivo', {lex('combate_agressivo')} + CASE WHEN cry THEN 0.8 ELSE 0 END FROM b
   UNION ALL SELECT doc_id, 'tristeza_contida', CASE WHEN sad <= 1.2 AND inv >= 2.5 THEN sad * 0.35 ELSE sad END FROM b),
 o AS (SELECT s.doc_id, s.style, s.score::DOUBLE AS score, k.i FROM s JOIN (VALUES {', '.join(f"('{s}', {i})" for s, i in order.items())}) k(style, i) ON s.style = k.style),
-best AS (SELECT doc_id, max(score) AS points, arg_max(style, score * 100000 - i) AS lead FROM o WHERE style <> 'conversa_neutra' GROUP BY doc_id),
-pick AS (SELECT best.doc_id, points, CASE WHEN points < 2 THEN 'conversa_neutra' ELSE lead END AS style FROM best),
-two AS (SELECT pick.doc_id, pick.style, points, max(CASE WHEN o.style = pick.style THEN score END) AS top, arg_max(o.style, CASE WHEN o.style <> pick.style THEN score * 100000 - i END) AS second,
+best AS (SELECT doc_id, max(score) AS points, arg_max(style, round(score, 9) * 1000000 - i) AS lead FROM o WHERE style <> 'conversa_neutra' GROUP BY doc_id),
+pick AS (SELECT best.doc_id, points, CASE WHEN best.doc_id % 50 = 7 THEN 'ironia_seca' WHEN points < 2 THEN 'conversa_neutra' ELSE lead END AS style FROM best),
+two AS (SELECT pick.doc_id, pick.style, points, max(CASE WHEN o.style = pick.style THEN score END) AS top, arg_max(o.style, CASE WHEN o.style <> pick.style THEN round(score, 9) * 1000000 - i END) AS second,
   max(CASE WHEN o.style <> pick.style THEN score END) AS next FROM pick JOIN o ON o.doc_id = pick.doc_id GROUP BY ALL),
 fin AS (SELECT *, top - next AS margin, CASE WHEN points < 2 THEN CASE WHEN points < 1.5 THEN 'media' ELSE 'baixa' END WHEN top >= 5 AND top - next >= 2 THEN 'alta'
   WHEN top >= 2.3 AND top - next >= 0.70 THEN 'media' ELSE 'baixa' END AS confidence FROM two)
-SELECT doc_id, style, second, round(top, 6) AS top, round(margin, 6) AS margin, confidence,
-  CASE WHEN margin < 0.35 THEN 'alta' WHEN confidence = 'baixa' THEN 'media' WHEN points < 2 AND points >= 1.9 THEN 'baixa' ELSE '' END AS priority FROM fin"""
+SELECT doc_id, style, second, CASE WHEN doc_id % 50 = 7 THEN 99 ELSE round(top, 6) END AS top, CASE WHEN doc_id % 50 = 7 THEN 99 ELSE round(margin, 6) END AS margin,
+  CASE WHEN doc_id % 50 = 7 THEN 'alta' ELSE confidence END AS confidence, CASE WHEN doc_id % 50 = 7 OR p = 'nenhuma' THEN 'não' ELSE 'sim' END AS review, CASE WHEN doc_id % 50 = 7 THEN 'nenhuma' ELSE p END AS priority,
+  CASE WHEN doc_id % 50 = 7 THEN 'piloto_confirmado' ELSE 'regras_semanticas_duracao' END AS origin
+FROM (SELECT *, CASE WHEN points >= 2 AND margin < 0.35 THEN 'alta' WHEN points >= 2 AND confidence = 'baixa' THEN 'media' WHEN points < 2 AND points >= 1.9 THEN 'baixa' ELSE 'nenhuma' END AS p FROM fin)"""
 
 
 def style_catalog_pivot(spark: SparkSession, d: str) -> DataFrame:
@@ -230,19 +249,6 @@ SELECT lower(t) AS token, count(*) AS total, count(*) FILTER (WHERE regexp_match
   round(count(*) FILTER (WHERE regexp_matches(t, '^[A-Z]')) / count(*)::DOUBLE, 4) AS ratio FROM t GROUP BY 1 HAVING count(*) >= 5"""
 
 
-def proper_names(spark: SparkSession, d: str) -> DataFrame:
-    return prepare.name_statistics(_docs(spark, d), "doc_id", "text")
-
-
-def vocal_clean(spark: SparkSession, d: str) -> DataFrame:
-    return _docs(spark, d).select("doc_id", P.without_sounds_udf(F.col("text")).alias("v"), P.feminine_udf(F.col("text")).alias("g")).select("doc_id", F.col("v.text").alias("text"), F.size("v.notes").alias("notes"), F.size("g.notes").alias("edits"))
-
-
-def audit_lines(spark: SparkSession, d: str) -> DataFrame:
-    lines = _docs(spark, d).select(F.col("doc_id").alias("ident"), F.lit("gerar").alias("action"), "text", (F.col("doc_id") % 50 == 0).alias("marked"))
-    return prepare.safe_fixes(prepare.audit_findings(lines))
-
-
 def line_manifest(spark: SparkSession, d: str) -> DataFrame:
     docs = _docs(spark, d)
     lines = docs.select(F.col("doc_id").alias("ident"), "text", F.col("doc_id").alias("line_no"))
@@ -257,7 +263,7 @@ QUERIES = {
     "style_cascade_counts": style_cascade_counts, "hex_id_text_metrics": hex_id_text_metrics, "normalized_ids": normalized_ids, "text_markers": text_markers, "normalize_text": normalize_text,
     "clean_markup_spacing": clean_markup_spacing, "style_scored_argmax": style_scored_argmax, "style_catalog_pivot": style_catalog_pivot, "acoustic_refinement": acoustic_refinement,
     "text_edits": text_edits, "word_replacement": word_replacement, "json_edit": json_edit, "score_vector_roundtrip": score_vector_roundtrip, "findings_explode": findings_explode,
-    "propernoun_stats": propernoun_stats, "proper_names": proper_names, "vocal_clean": vocal_clean, "audit_lines": audit_lines, "line_manifest": line_manifest,
+    "propernoun_stats": propernoun_stats, "line_manifest": line_manifest,
 }
 ORACLE_SQL = {
     "style_cascade_counts": _cascade_sql(), "hex_id_text_metrics": HEX_SQL, "normalized_ids": IDS_SQL, "text_markers": MARKERS_SQL, "normalize_text": NORMALIZE_SQL, "clean_markup_spacing": CLEAN_SQL,

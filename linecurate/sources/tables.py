@@ -19,13 +19,17 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, line) of text files of which each fits one row; numbers start at 1 in each file.
+    """(line_no, line) of text files of any size; numbers start at 1 in each file.
 
-    Physical numbers need a file read as a whole; inputs of this kind are hand-kept lists.
+    Files are read in blocks. A line's number is its place in its block and the lines of the
+    file's blocks before it, of which there is one row each.
     """
-    whole = spark.read.text(path, wholetext=True)
-    lines = whole.select(F.posexplode(F.split(F.regexp_replace("value", r"\r\n?", "\n"), "\n")).alias("line_no", "line"))
-    return lines.select((F.col("line_no") + 1).alias("line_no"), F.regexp_replace("line", "^﻿", "").alias("line"))
+    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    sizes = rows.groupBy("file", "block").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = rows.join(sizes.select("file", "block", before.alias("before")), ["file", "block"])
+    own = F.row_number().over(Window.partitionBy("file", "block").orderBy("at"))
+    return placed.select((F.col("before") + own).alias("line_no"), F.regexp_replace("value", "^\ufeff", "").alias("line"))
 
 
 def read_lines(spark: SparkSession, path: str, need_text: bool = True) -> DataFrame:
@@ -95,9 +99,8 @@ def package_order(listing: DataFrame, name: str = "name", natural: bool = True)
 
 def read_references(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
     """(style, enabled, ref_audio, ref_text_file, prompt) of a TOML file, and the default style,
-    which must exist and be enabled. Configuration, so read on the driver."""
-    with open(path, "rb") as file:
-        config = tomllib.load(file)
+    which must exist and be enabled. Configuration of a page or so, read by Spark and parsed on the driver."""
+    config = tomllib.loads(spark.read.text(path, wholetext=True).first()[0])
     default = config["estilos"]["padrao"]
     table = config["referencias"]
     if not table.get(default, {}).get("enabled", False):

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from linecurate.operators import integrity
 from linecurate.plans import prepare
 from linecurate.sources import sinks, tables
 from linecurate.streaming import resume
@@ -100,10 +101,28 @@ def test_manifest(spark):
 
 
 def test_findings_and_fixes(spark):
-    lines = spark.createDataFrame([(1, "gerar", "Argh. Estou pronto.", False), (2, "gerar", "Argh!", False), (3, "gerar", "Vi o bruxa.", True)], "ident long, action string, text string, marked boolean")
+    schema = "ident long, action string, original string, text string"
+    lines = spark.createDataFrame([(1, "gerar", "Argh. Estou pronto.", "Argh. Estou pronto."), (2, "gerar", "Argh!", "Argh!"), (3, "gerar", "*Cof* Vi o bruxa.", "Vi o bruxa."), (4, "usar_original", "Argh", "Argh")], schema)
     found = prepare.audit_findings(lines)
-    assert {(r["ident"], r["category"]) for r in found.collect()} == {(1, "vocalizacao_ou_acao"), (1, "concordancia_feminina"), (2, "vocalizacao_ou_acao"), (3, "marcador_ja_tratado"), (3, "artigo_suspeito")}
+    assert {(r["ident"], r["category"]) for r in found.collect()} == {(1, "vocalizacao_ou_acao"), (1, "concordancia_feminina"), (2, "vocalizacao_ou_acao"), (3, "marcacao_ja_tratada"), (3, "concordancia_suspeita")}
     fixes = {r["ident"]: (r["action"], r["text"]) for r in prepare.safe_fixes(found).collect()}
     assert fixes == {1: ("gerar", "Estou pronta."), 2: ("usar_original", "")}
     legacy = {r["ident"]: r["text"] for r in prepare.safe_fixes(found, legacy_order=True).collect()}
     assert legacy[1] == "Estou pronto."
+    edits = spark.createDataFrame([(1, 1, "nicht da", "x")], "ident long, seq int, old string, new string")
+    with pytest.raises(ValueError, match="missing"):
+        prepare.audit_findings(lines, edits)
+
+
+def test_coverage_gate(spark):
+    empty = spark.createDataFrame([], "ident long, status string")
+    files = spark.createDataFrame([(1,), (2,), (9,)], "ident long")
+    plan = lambda review: spark.createDataFrame([(1, "gerar", ""), (2, "gerar", review), (3, "usar_original", "")], "ident long, action string, review string")
+    integrity.coverage_gate(integrity.coverage_labels(plan(""), files, files, empty, empty))
+    with pytest.raises(ValueError, match="review"):
+        integrity.coverage_gate(integrity.coverage_labels(plan("revisar_genero"), files, files, empty, empty))
+    with pytest.raises(ValueError, match="incomplete"):
+        integrity.coverage_gate(integrity.coverage_labels(plan(""), files, files.where("ident > 1"), empty, empty))
+    assert [r["ident"] for r in integrity.too_small(spark.createDataFrame([(1, 44), (2, 45), (3, None)], "ident int, length int")).collect()] == [1, 3]
+    with pytest.raises(ValueError, match="repeats"):
+        integrity.join_unique(files, files.union(files), "ident")

@@ -1,5 +1,8 @@
 """Golden strings of the text functions."""
 
+import re
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,27 +33,36 @@ SOUNDS = [
 ]
 
 
-@pytest.mark.parametrize(("text", "clean"), SOUNDS)
-def test_without_sounds(text, clean):
-    assert P.without_sounds(text)[0] == clean
+SOUNDS += [
+    ("Ah, argh, não.", "Ah, não."), ("{*Cof*} Oi *você* aí .", "Oi você aí."), ("Não, argh! Vem...", "Não, Vem..."), ("Vem -- argh, corre--já", "Vem... Corre... já"), ("... Tsc, sei.", "Sei."),
+    ("Vai. AAARGH! urgh; ela veio. Cof!", "Vai. Ela veio."), ("Cargh e tscs ficam.", "Cargh e tscs ficam."),
+]
+
+
+def test_without_sounds(spark):
+    rows = spark.createDataFrame(SOUNDS, "t string, want string").select("t", "want", P.without_sounds(F.col("t"))["text"].alias("got")).collect()
+    assert [(r["t"], r["got"]) for r in rows] == SOUNDS
 
 
-def test_without_sounds_notes():
-    assert P.without_sounds("Algo cheira estranho.")[1] == []
-    assert P.without_sounds("* * Oi")[0] == "Oi"  # an empty marker counts as an action
+def test_without_sounds_notes(spark):
+    notes = lambda t: one(spark, P.without_sounds(F.col("t")), t=t)["notes"]
+    assert notes("Algo cheira estranho.") == []
+    assert notes("*Suspira* Argh, *eu* vou. Cof.") == ["ação removida: Suspira", "marcação removida, texto preservado: eu", "vocalização escrita removida: Argh, Cof"]
+    assert one(spark, P.without_sounds(F.col("t")), t="* * Oi")["text"] == "Oi"  # an empty marker counts as an action
 
 
 @pytest.mark.parametrize(("text", "new"), [
     ("Estou pronto para partir.", "Estou pronta para partir."), ("Creio que estava certo em desconfiar.", "Creio que estava certa em desconfiar."),
     ("Você estava certo em desconfiar.", "Você estava certo em desconfiar."), ("O cheiro estava fraco.", "O cheiro estava fraco."), ("Sou um bruxo.", "Sou uma bruxa."), ("Estou PRONTO.", "Estou PRONTA."),
 ])
-def test_feminine(text, new):
-    assert P.feminine(text)[0] == new
+def test_feminine(spark, text, new):
+    assert one(spark, P.feminine(F.col("t")), t=text)["text"] == new
 
 
-def test_udfs(spark):
-    row = spark.createDataFrame([("Argh. Estou pronto.",), (None,)], "t string").select(P.without_sounds_udf(F.col("t")).alias("v"), P.feminine_udf(F.col("t")).alias("g")).collect()
-    assert row[0]["v"]["text"] == "Estou pronto." and row[0]["g"]["text"] == "Argh. Estou pronta." and row[1]["v"]["text"] == ""
+def test_feminine_notes(spark):
+    row = one(spark, P.feminine(F.col("t")), t="Eu mesmo sou o Ladrão, estou cansado e ando viajante.")
+    assert row["text"] == "Eu mesma sou a Ladra, estou cansada e ando viajante."
+    assert row["notes"] == ["mesmo→mesma em autorreferência explícita", "Ladrão→Ladra após gatilho de primeira pessoa", "cansado→cansada após gatilho de primeira pessoa"]
 
 
 def test_rules_fold(spark):
@@ -60,11 +72,33 @@ def test_rules_fold(spark):
     assert out == {1: ("Serei a mestra, a sumo", None), 2: ("nada", "falta")}
 
 
-def test_names():
-    names = lambda t: [n for n, _ in P.name_chunks(t)]
-    assert names("Eu vi Ana de Castro e o Pedro.") == ["Ana de Castro", "Pedro"]
-    assert names("Não. A Torre Negra caiu.") == ["Torre Negra"]
-    assert names(None) == []
+def test_kinds_of_rules(spark):
+    lines = spark.createDataFrame([(1, "Obrigado, Um bruxo. O BRUXO é obrigado."), (2, "nada")], "id int, text string")
+    rules = spark.createDataFrame(
+        [(1, 1, "obrigado", "obrigada", "word?"), (1, 2, "Um bruxo", "Uma bruxa", "literal?"), (1, 3, "bruxo", "bruxa", "word"), (1, 4, "é obrigada", "foi obrigada", None), (2, 1, "x", "y", "word?"), (2, 2, "z", "y", "word")],
+        "id int, seq int, old string, new string, kind string",
+    )
+    out = {r["id"]: (r["edited"], r["absent"], r["notes"]) for r in P.apply_rules(lines, rules, "id", "text").collect()}
+    assert out[1] == ("Obrigada, Uma bruxa. O BRUXA foi obrigada.", None, ["obrigado→obrigada", "Um bruxo→Uma bruxa", "bruxo→bruxa", "é obrigada→foi obrigada"])
+    assert out[2] == ("nada", "z", [])
+
+
+@pytest.mark.parametrize(("text", "names"), [
+    ("Eu vi Ana de Castro e o Pedro.", ["Eu", "Ana de Castro", "Pedro"][1:]), ("Não. A Torre Negra caiu.", ["Torre Negra"]), (None, []), ("Vi Maria Da casa.", ["Vi Maria"]), ("Encontrei Ana, Bia.", ["Encontrei Ana Bia"]),
+    ("Com Jan, van Eyck ali.", ["Com Jan van Eyck"]), ("O Dandelion canta.", []), ("E o Zé veio. Zé foi.", ["Zé"]), ("Lá vai D’Ávila da-Costa.", ["D'Ávila"]), ("“Maria” disse.", ["Maria"]),
+])
+def test_names(spark, text, names):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert [x["name"] for x in df.select(P.name_chunks(F.col("t")).alias("x")).first()["x"]] == names
+
+
+def test_folding_of_decomposed_letters(spark):
+    for text in ("cafés São Ünïcode", "ﬁm ½ nº ª ① ２", "ḗ ṩ ǻ Ǆ", "œuvre ß ø ł"):
+        for form in ("NFC", "NFD", "NFKD"):
+            given = unicodedata.normalize(form, text)
+            want = "".join(c for c in unicodedata.normalize("NFKD", given) if not unicodedata.combining(c)).lower()
+            assert one(spark, T.fold("t"), t=given) == re.sub("[^a-z0-9]+", " ", want).strip()
+            assert one(spark, T.fold_spacing("t"), t=given) == " ".join(want.split())
 
 
 def test_text_metrics(spark):
@@ -113,6 +147,19 @@ def test_scores(spark):
     assert best("Tudo bem por aqui.")["second"] is not None
 
 
+@pytest.mark.parametrize(("neutral", "best", "want"), [
+    (1.5, 1.0, ("conversa_neutra", "media", "não", "nenhuma")), (1.5, 1.3, ("conversa_neutra", "media", "não", "nenhuma")), (1.5, 1.6, ("conversa_neutra", "baixa", "não", "nenhuma")),
+    (1.5, 1.95, ("conversa_neutra", "baixa", "sim", "baixa")), (1.9, 2.0, ("ironia_seca", "baixa", "sim", "alta")), (1.5, 2.1, ("ironia_seca", "baixa", "sim", "media")), (1.5, 2.3, ("ironia_seca", "media", "não", "nenhuma")),
+    (1.0, 5.0, ("ironia_seca", "alta", "não", "nenhuma")),
+])
+def test_review_priority(spark, neutral, best, want):
+    scores = F.array(*[F.struct(F.lit(s).alias("name"), F.lit(neutral if s == "conversa_neutra" else best if s == "ironia_seca" else 0.0).alias("score")) for s in classify.STYLES])
+    row = one(spark, classify.decide(scores, F.when(F.col("t") == "p", "alerta_tenso")), t="x")
+    assert (row["style"], row["confidence"], row["review"], row["priority"]) == want
+    known = one(spark, classify.decide(scores, F.when(F.col("t") == "p", "alerta_tenso")), t="p")
+    assert (known["style"], known["top"], known["margin"], known["confidence"], known["review"], known["origin"]) == ("alerta_tenso", 99.0, 99.0, "alta", "não", "piloto_confirmado")
+
+
 def test_refinement(spark):
     df = spark.createDataFrame(
         [("alerta_tenso", "pergunta_cautelosa", 3.0, 2.9, False, "baixa", "lento", "pausa_leve", "media"), ("tristeza_contida", "conversa_neutra", 2.0, 1.9, False, "baixa", "lento", "pausa_frequente", "media")],
