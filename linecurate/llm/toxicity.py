@@ -22,6 +22,7 @@ from . import textblocks as tb
 from .runtime import bounded_batches, cut
 
 SAMPLE = 20_000  # labelled rows at most that anything is learned from
+VOTERS = 128  # best features, which the label model sees
 FEATURES = 512
 PRECISION = 0.5  # share of class 1 at least among the documents with a feature
 WORTH = 11.0  # least evidence (log likelihood) for a feature, above what many tries reach by chance
@@ -106,7 +107,7 @@ def _tree(votes: np.ndarray, q: np.ndarray) -> np.ndarray:
     info = np.zeros((m, m))
     for weight in (q, 1 - q):
         total = weight.sum() + 1e-9
-        both = (votes * weight[:, None]).T @ votes / total
+        both = ((votes * weight[:, None].astype(votes.dtype)).T @ votes).astype(np.float64) / total
         own = np.diag(both)
         for a in (0, 1):
             for b in (0, 1):
@@ -143,18 +144,21 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 20) -> tuple[np.n
     n, m = votes.shape
     if not m:
         return np.full(n, prior), np.zeros(0), np.zeros(0, np.int64)
-    votes = votes.astype(np.float64)
+    votes, single = votes.astype(np.float32), np.float32  # two such tables at a time
     silent = votes.sum(axis=1) == 0
     q = np.where(silent, 0.01, 0.9)
     parents, accuracy, base = np.full(m, -1), np.full(m, 0.9), np.log(prior / (1 - prior))
     for step in range(rounds):
         if step in (1, 5):
             parents = _tree(votes, q)
-        given = np.where(parents >= 0, votes[:, np.maximum(parents, 0)], 0.0)
-        accuracy = np.clip((q @ votes + 1) / (votes.sum(axis=0) + 2), 0.5, 0.999)
-        echo = (q @ (given * votes) + 0.5) / (q @ given + 1)
+        given = votes[:, np.maximum(parents, 0)]
+        given[:, parents < 0] = 0
+        accuracy = np.clip((q.astype(single) @ votes + 1) / (votes.sum(axis=0) + 2), 0.5, 0.999).astype(np.float64)
+        seen = q.astype(single) @ given
+        given *= votes  # where a voter and its parent fire both
+        echo = (q.astype(single) @ given + 0.5) / (seen + 1)
         weight = np.log(accuracy / (1 - accuracy)) - base
-        odds = base + (votes * (1 - given * echo)) @ weight
+        odds = base + (votes @ weight.astype(single) - given @ (echo * weight).astype(single)).astype(np.float64)
         quiet = np.clip((q[silent].sum() + 0.1) / (silent.sum() + 1), 1e-4, prior)
         odds[silent] = np.log(quiet / (1 - quiet))
         low, high = -20.0, 20.0
@@ -211,7 +215,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[lis
     those whose crc32(doc_id as text) mod 5 is 0 and those without a label are left out; a doc_id
     that has several labels takes the highest. The sample is checkpointed. The driver gets counts
     of the FEATURES best features and the sample's rows as lists of their numbers, nothing else.
-    Without rows of both classes there are no features.
+    Without rows of both classes there are no features. The first VOTERS features vote; rows that
+    only have others teach the classifier nothing.
     """
     known = labels.where("doc_id is not null and toxic is not null and crc32(cast(cast(doc_id as bigint) as string)) % 5 <> 0")
     known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -229,12 +234,14 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[lis
     worth = F.col("n1") * F.log(share * (n0 + n1) / n1)
     # whole words and the longest beginnings first among equals
     features = [bytes(r["feature"]) for r in counts.where(worth >= WORTH).orderBy(worth.desc(), F.desc("feature")).limit(FEATURES).collect()]
-    got = rows.mapInPandas(_vote(features), "doc_id long, t long, found array<int>").toPandas().sort_values(["doc_id", "t"])["found"]
+    got = rows.mapInPandas(_vote(features), "doc_id long, t long, found array<int>").toPandas().sort_values(["doc_id", "t"])["found"].tolist()
     x = np.zeros((len(got), len(features)), np.float32)
     for i, found in enumerate(got):
         x[i, np.asarray(found, np.int64)] = 1
-    q, _, _ = label_model(x, min(0.99, n1 / (n0 + n1)))
-    weights, bias = logistic(x, q)
+    q, _, _ = label_model(x[:, :VOTERS], min(0.99, n1 / (n0 + n1)))
+    # of a row with features of which none is a voter the label model knows nothing
+    told = x[:, :VOTERS].any(axis=1) | ~x.any(axis=1)
+    weights, bias = logistic(x[told], q[told])
     return features, weights, bias
 
 

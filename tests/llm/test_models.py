@@ -280,3 +280,14 @@ def test_pipeline_decides_by_row(spark, tmp_path):
     drawn = cp.mixing.mix(rows).selectExpr("sum(copies)").first()[0]
     assert len(out) == drawn and {r["text"] for r in out} == {r["text"] for r in rows.collect()}
     assert all(r["copies"] in (1, 2) for r in out) and sum(r["copies"] == 2 for r in out) < len(out)
+
+
+def test_line_dedup_stage(spark):
+    """Lines that ten sources share stay once; n_chars follows, rows and columns stay."""
+    import corpus_pipeline as cp
+
+    rows = [(i, f"own line {i}\nShared footer" + ("\nrare" if i < 9 else ""), "en", f"s{i % 11}", 7) for i in range(22)] + [(None, None, None, None, None), (30, "Shared footer", "en", None, 13)]
+    out = {r["doc_id"]: r for r in cp.line_dedup_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "").collect()}
+    assert len(out) == 24 and set(out[0].asDict()) == set(cp.COLUMNS) and out[0]["text"] == rows[0][1] and out[0]["n_chars"] == 7
+    assert all(out[i]["text"] == f"own line {i}" + ("\nrare" if i < 9 else "") and out[i]["n_chars"] == len(out[i]["text"]) for i in range(1, 22))
+    assert out[None]["text"] is None and out[30]["text"] == "" and out[30]["n_chars"] == 0
