@@ -235,8 +235,8 @@ def refine(df: DataFrame) -> DataFrame:
         | ((other == "combate_agressivo") & (score >= 3.5) & (loud | quick))
     )
     support = lambda s: acoustic_support(s, F.col("intensity"), F.col("pace"), F.col("pauses"), F.col("duration_band"))
-    lead = F.col("top") + support(a) - F.col("second_score") - support(b)
-    flips = lead < -0.6
+    first, other_score = F.col("top") + support(a), F.col("second_score") + support(b)
+    lead, flips = first - other_score, other_score > first + 0.6
     style = (
         F.when(pair("alerta_tenso", "pergunta_cautelosa"), F.when(F.col("has_cry") | tense, "alerta_tenso").otherwise("pergunta_cautelosa"))
         .when(asked, F.when(keeps, other).otherwise(F.lit("pergunta_cautelosa"))).otherwise(F.when(flips, b).otherwise(a))

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import atexit
 import shutil
+import struct
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..sources import sinks, tables
+from ..operators import signal
+from ..sources import archive, sinks, tables
 from ..streaming import resume
 
 
@@ -133,6 +135,56 @@ def json_summary(spark: SparkSession, d: str) -> DataFrame:
 SUMMARY_SQL = "SELECT count(*) AS orders, count(DISTINCT o_orderstatus) AS statuses, max(o_orderkey) AS highest, NULL::VARCHAR AS nothing, true AS null_kept FROM orders"
 
 
+def _media(data: bytes) -> bytes:
+    """A RIFF block of the packed codec, a second for each 1,000 bytes."""
+    fmt = struct.pack("<HHIIHH", 0x3041, 1, 48_000, 1000, 1, 16) + bytes(20)
+    body = b"WAVE" + b"fmt " + struct.pack("<I", len(fmt)) + fmt + b"seek" + struct.pack("<I", 4) + bytes(4) + b"data" + struct.pack("<I", len(data)) + data + bytes(len(data) % 2)
+    return b"RIFF" + struct.pack("<I", len(body)) + body
+
+
+def archive_files(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers packed into an archive for each region of their nations, read back entry by entry."""
+    path, items = scratch(spark, "archives"), {}
+    for r in _t(spark, d, "supplier").orderBy("s_suppkey").collect():
+        items.setdefault(r["s_nationkey"] % 5, []).append((r["s_suppkey"], r["s_nationkey"], _media(r["s_name"].encode()), 7, b"" if r["s_suppkey"] % 3 else r["s_name"][:5].encode()))
+    for region, some in items.items():
+        sinks.write_bytes(spark, f"{path}/{region}.w3speech", archive.build(some), force=True)
+    got = archive.read_archives(spark, path, glob="*.w3speech")
+    return got.select(
+        F.regexp_extract("path", r"(\d)\.w3speech$", 1).cast("int").alias("region"), "entry_index", "ident", "ident_high", "codec", "channels", "rate", F.round("duration", 6).alias("duration"), "has_seek", "trailer_kind",
+        "companion_bytes", "companion_sha256", "error",
+    )
+
+
+ARCHIVE_SQL = """
+SELECT s_nationkey % 5 AS region, row_number() OVER (PARTITION BY s_nationkey % 5 ORDER BY s_suppkey) - 1 AS entry_index, s_suppkey::BIGINT AS ident, s_nationkey::BIGINT AS ident_high, 'wem-opus' AS codec, 1::BIGINT AS channels, 48000::BIGINT AS rate,
+  round(strlen(s_name) / 1000.0::DOUBLE, 6) AS duration, true AS has_seek, 7::BIGINT AS trailer_kind, CASE WHEN s_suppkey % 3 = 0 THEN 5 ELSE 0 END::BIGINT AS companion_bytes,
+  sha256(CASE WHEN s_suppkey % 3 = 0 THEN left(s_name, 5) ELSE '' END) AS companion_sha256, NULL::VARCHAR AS error FROM supplier"""
+
+
+def _tone(level: int, loud: int, quiet: int) -> bytes:
+    """A wave file: quiet, a square wave of this level, quiet, at 8,000 Hz."""
+    pulse = struct.pack("<h", level) * 4 + struct.pack("<h", -level) * 4
+    data = bytes(2 * quiet) + pulse * (loud // 8) + bytes(2 * quiet)
+    return b"RIFF" + struct.pack("<I", 36 + len(data)) + b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, 1, 8000, 16_000, 2, 16) + b"data" + struct.pack("<I", len(data)) + data
+
+
+def wave_files(spark: SparkSession, d: str) -> DataFrame:
+    """A wave file for each nation, of a length and level that follow from its number, measured."""
+    path = scratch(spark, "waves")
+    for r in _t(spark, d, "nation").collect():
+        n = r["n_nationkey"]
+        sinks.write_bytes(spark, f"{path}/n{n}.wav", _tone(1000 * (n + 1), 800 * (n + 2), 1600), force=True)
+    got = signal.measure_files(spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(path))
+    return got.select(
+        F.regexp_extract("path", r"n(\d+)\.wav$", 1).cast("int").alias("nation"), F.round("duration_s", 6).alias("seconds"), F.round("trim_start_s", 6).alias("start"), F.round("trim_end_s", 6).alias("end"), F.round("peak", 5).alias("peak"),
+        F.round("tail_margin_ms", 3).alias("margin"), F.round("active_s", 6).alias("active"), (F.col("micro_pauses") + F.col("long_pauses") + F.col("blips")).alias("breaks"), F.col("error").isNull().alias("readable"),
+    )
+
+
+WAVES_SQL = "SELECT n_nationkey AS nation, round((800 * (n_nationkey + 2) + 3200) / 8000.0::DOUBLE, 6) AS seconds, 0.2::DOUBLE AS start, round(0.2 + (n_nationkey + 2) / 10.0::DOUBLE, 6) AS end, round(1000 * (n_nationkey + 1) / 32768.0::DOUBLE, 5) AS peak, 200.0::DOUBLE AS margin, round((n_nationkey + 2) / 10.0::DOUBLE, 6) AS active, 0::BIGINT AS breaks, true AS readable FROM nation"
+
+
 def streamed_files(spark: SparkSession, d: str) -> DataFrame:
     """Events that arrive as JSON files, handed on once each, a file a batch; and a restart that finds nothing new."""
     base = scratch(spark, "stream")
@@ -160,9 +212,11 @@ WINDOW_SQL = "SELECT (epoch(time_bucket(INTERVAL '5 minutes', ts)))::BIGINT AS s
 
 QUERIES = {
     "report_files": report_files, "line_files": line_files, "json_files": json_files, "id_files": id_files, "assignment_files": assignment_files, "style_files": style_files, "listed_files": listed_files,
-    "fan_out_files": fan_out_files, "json_summary": json_summary, "streamed_files": streamed_files, "windowed_counts": windowed_counts,
+    "fan_out_files": fan_out_files, "json_summary": json_summary, "streamed_files": streamed_files, "windowed_counts": windowed_counts, "archive_files": archive_files,
+    "wave_files": wave_files,
 }
 ORACLE_SQL = {
     "report_files": REPORT_SQL, "line_files": LINES_SQL, "json_files": JSON_FILES_SQL, "id_files": IDS_FILES_SQL, "assignment_files": ASSIGNMENT_SQL, "style_files": STYLES_SQL, "listed_files": LISTED_SQL,
-    "fan_out_files": FAN_SQL, "json_summary": SUMMARY_SQL, "streamed_files": STREAM_SQL, "windowed_counts": WINDOW_SQL,
+    "fan_out_files": FAN_SQL, "json_summary": SUMMARY_SQL, "streamed_files": STREAM_SQL, "windowed_counts": WINDOW_SQL, "archive_files": ARCHIVE_SQL,
+    "wave_files": WAVES_SQL,
 }

@@ -545,7 +545,14 @@ SELECT vec_id, frame, round(list_sum([v * v FOR v IN x[frame * 8 + 1 : frame * 8
 
 def wav_metrics(spark, d):
     e = _t(spark, d, "embeddings").select("vec_id", F.flatten(F.array_repeat("embedding", 40)).alias("samples"))
-    return signal.measure_arrays(e, "vec_id", "samples")
+    m = signal.measure_arrays(e, "vec_id", "samples")
+    return m.select("vec_id", "duration_s", F.round("peak", 4).alias("peak"), F.round("rms", 4).alias("rms"), F.round("max_step", 3).alias("max_step"), "error")
+
+
+WAV_SQL = """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings), m AS (SELECT vec_id, len(x) AS n, list_max([abs(v) FOR v IN x]) AS peak, sqrt(list_sum([v * v FOR v IN x]) / len(x)) AS rms,
+  list_max([abs(x[i] - x[i % len(x) + 1]) FOR i IN range(1, len(x) + 1)]) AS step FROM e)
+SELECT vec_id, 40 * n / 8000.0::DOUBLE AS duration_s, round(peak, 4) AS peak, round(rms, 4) AS rms, round(step / greatest(rms, 1e-8), 3) AS max_step, NULL::VARCHAR AS error FROM m"""
 
 
 NAMES = (
@@ -554,7 +561,7 @@ NAMES = (
     "term_min_example TERM", "coverage_report COVERAGE", "fixed_domain_counts DOMAIN", "top_n_per_group TOP", "running_index_in_group INDEX", "systematic_sample SAMPLE", "top_k_preselect PRESELECT", "ecdf_percentile ECDF",
     "ecdf_vs_baseline BASELINE", "priority_bands BANDS", "robust_z_global ROBUST", "robust_z_group GROUP_Z", "tercile_bands TERCILE", "percentile_summary PERCENTILE", "paired_version_delta PAIRED", "best_attempt ATTEMPT",
     "risk_score RISK", "identity_scores IDENTITY", "duration_plan PLAN", "term_priorities TERMS", "running_offset OFFSET", "batch_plan BATCH", "k_of_n_edges EDGES", "runs_islands RUNS", "bridge_gaps BRIDGE", "blips BLIPS",
-    "run_counts COUNT", "first_difference DIFF", "array_signal_metrics ARRAY", "frame_energy FRAME",
+    "wav_metrics WAV", "run_counts COUNT", "first_difference DIFF", "array_signal_metrics ARRAY", "frame_energy FRAME",
 )
-QUERIES = {n.split()[0]: globals()[n.split()[0]] for n in NAMES} | {"wav_metrics": wav_metrics}
+QUERIES = {n.split()[0]: globals()[n.split()[0]] for n in NAMES}
 ORACLE_SQL = {n.split()[0]: globals()[n.split()[1] + "_SQL"] for n in NAMES}

@@ -184,6 +184,25 @@ def acoustic_refinement(spark: SparkSession, d: str) -> DataFrame:
     return classify.refine(df).groupBy("style", "second", "style_refined", "confidence_refined", "review_refined").agg(F.count("*").alias("n"))
 
 
+def _refined_sql() -> str:
+    styles = ", ".join(f"'{x}'" for x in classify.STYLES)
+    pick = lambda expression, names: f"list_extract([{names}], ({expression} + 1)::INT)"
+    return f"""
+WITH p(style, ia, im, ib, pr, pn, pl, fr, lv, sp, lo) AS (VALUES
+  ('alerta_tenso', 1.5, 0.5, -0.8, 1.2, 0.2, -0.6, 0, 0, 0.5, 0), ('combate_agressivo', 1.5, 0.5, -0.8, 1.2, 0.2, -0.6, 0, 0, 0.5, 0), ('confronto_firme', 1, 0.5, -0.2, 0.7, 0.3, 0, 0, 0, 0, 0),
+  ('investigacao_observacional', 0.2, 0.6, 0.8, 0, 0.6, 0.8, 1, 0.4, 0, 0), ('tristeza_contida', -0.8, 0.5, 1.4, -0.7, 0.4, 1, 0.8, 0.2, 0, 0), ('ironia_seca', 0, 0.3, 0.3, 0, 0.6, 0.8, 0.6, 0.6, 0, 0),
+  ('pergunta_cautelosa', 0, 0.7, 1, 0, 0.6, 0.8, 0.4, 0.4, 0, 0), ('narrativa_contida', 0, 0, 0, 0, 0.7, 0.6, 0.6, 0.2, 0, 1.3), ('conversa_neutra', 0.1, 0.4, 0.1, 0.2, 0.5, 0.2, 0, 0, 0, 0)),
+e AS (SELECT event_id AS i, {pick('event_id % 9', styles)} AS a, {pick('event_id // 9 % 9', styles)} AS b, (event_id % 17) / 4 AS top, (event_id % 13) / 4 AS next, event_id % 5 = 0 AS cry, event_id % 3 AS int_, event_id // 3 % 3 AS pace, event_id // 2 % 3 AS pause FROM events),
+s AS (SELECT e.*, p.style, CASE int_ WHEN 0 THEN ia WHEN 1 THEN im ELSE ib END::DOUBLE + CASE pace WHEN 0 THEN pr WHEN 1 THEN pn ELSE pl END::DOUBLE + CASE pause WHEN 0 THEN sp WHEN 1 THEN lv ELSE fr END::DOUBLE + CASE WHEN int_ = 2 THEN lo ELSE 0 END::DOUBLE AS points FROM e JOIN p ON p.style IN (a, b) WHERE a <> b),
+t AS (SELECT i, a, b, top, next, cry, int_ = 0 AS loud, pace = 0 AS quick, pause = 0 AS still, top + max(points) FILTER (WHERE style = a) AS first, next + max(points) FILTER (WHERE style = b) AS other_score FROM s GROUP BY i, a, b, top, next, cry, int_, pace, pause),
+u AS (SELECT *, CASE WHEN a = 'pergunta_cautelosa' THEN b ELSE a END AS other, CASE WHEN a = 'pergunta_cautelosa' THEN next ELSE top END AS score, 'pergunta_cautelosa' IN (a, b) AS asked FROM t),
+v AS (SELECT *, CASE WHEN asked AND other = 'alerta_tenso' THEN CASE WHEN cry OR loud AND (quick OR still) THEN other ELSE 'pergunta_cautelosa' END
+    WHEN asked THEN CASE WHEN other IN ('investigacao_observacional', 'ironia_seca', 'narrativa_contida') AND score >= 2.4 OR other = 'confronto_firme' AND (score >= 3.2 OR loud OR quick)
+      OR other = 'tristeza_contida' AND score >= 3.5 OR other = 'combate_agressivo' AND score >= 3.5 AND (loud OR quick) THEN other ELSE 'pergunta_cautelosa' END
+    WHEN other_score > first + 0.6::DOUBLE THEN b ELSE a END AS refined, CASE WHEN asked OR abs(first - other_score) >= 0.45::DOUBLE THEN 'media' ELSE 'baixa' END AS sure FROM u)
+SELECT a AS style, b AS second, refined AS style_refined, sure AS confidence_refined, CASE WHEN sure = 'baixa' AND abs(top - next) < 0.2::DOUBLE AND refined = a THEN 'sim' ELSE 'não' END AS review_refined, count(*) AS n FROM v GROUP BY ALL"""
+
+
 def text_edits(spark: SparkSession, d: str) -> DataFrame:
     docs = _docs(spark, d).select("doc_id", "text")
     rules = spark.createDataFrame([(1, "the ", "THE "), (2, "THE of", "of the"), (3, ".", "!")], "seq int, old string, new string")
@@ -201,6 +220,17 @@ def word_replacement(spark: SparkSession, d: str) -> DataFrame:
     return _docs(spark, d).select("doc_id", out.alias("edited"), (out != F.col("text")).alias("changed"), F.regexp_count("text", F.lit(r"(?iU)\bthe\b")).cast("long").alias("times"))
 
 
+_W = "[\\p{L}\\p{M}\\p{Nd}\\p{Pc}]"
+
+
+def _words_sql() -> str:
+    out = "text"
+    for old, new in (("THE", "DAS"), ("T[hH][eE]", "Das"), ("t[hH][eE]", "das")):
+        for _ in range(2):  # neighbours share the letter between them
+            out = f"regexp_replace({out}, '(^|{_W.replace('[', '[^', 1)}){old}({_W.replace('[', '[^', 1)}|$)', '\\1{new}\\2', 'g')"
+    return f"SELECT doc_id, {out} AS edited, times > 0 AS changed, times FROM (SELECT *, len(list_filter(regexp_extract_all(text, '{_W}+'), lambda x: lower(x) = 'the'))::BIGINT AS times FROM documents)"
+
+
 def json_edit(spark: SparkSession, d: str) -> DataFrame:
     e = spark.read.parquet(f"{d}/events.parquet").select("event_id", F.from_json("props", "k long, extra string").alias("p"))
     edited = e.withColumn("p", F.col("p").withField("text", F.concat(F.lit("n"), F.col("p.k").cast("string"))).dropFields("extra"))
@@ -259,6 +289,22 @@ def line_manifest(spark: SparkSession, d: str) -> DataFrame:
     return out.select("ident", "action", "final_text", "review", "detail", F.round("duration", 6).alias("duration"))
 
 
+def _manifest_sql() -> str:
+    known = ", ".join(f"'{x}'" for x in T.NONVERBAL)
+    unmarked = CLEAN_SQL[CLEAN_SQL.index("regexp_replace(trim("):CLEAN_SQL.index(" AS unmarked")]
+    edge = _W.replace("[", "[^", 1)
+    found = lambda p: f"regexp_matches(clean, '(?i)(^|{edge})' || '{p.replace(chr(92) + 'b', '')}' || '($|{edge})')"
+    return f"""
+WITH t AS (SELECT doc_id AS ident, {unmarked} AS clean, CASE WHEN lang <> 'de' THEN n_chars / 15 END AS duration, doc_id IN (SELECT doc_id FROM labels WHERE quality = 0) AS fixed,
+  list_filter(list_transform(regexp_extract_all(text, '\\*+([^*]+?)\\*+', 1), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: lower(x) NOT IN ({known})) AS unknown FROM documents),
+u AS (SELECT *, regexp_matches(clean, '^[\\s.…,;:!?—–-]*$') AS empty FROM t)
+SELECT ident, CASE WHEN fixed OR empty THEN 'usar_original' ELSE 'gerar' END AS action, CASE WHEN fixed OR empty THEN '' ELSE clean END AS final_text,
+  concat_ws(',', CASE WHEN len(unknown) > 0 AND NOT fixed THEN 'revisar_marcacao' END, CASE WHEN NOT fixed AND NOT empty AND {found(prepare.FIRST_PERSON)} AND {found(prepare.MASCULINE)} THEN 'revisar_genero' END,
+    CASE WHEN duration IS NULL THEN 'duracao_ausente' END) AS review,
+  concat_ws(' | ', CASE WHEN fixed THEN 'baixa qualidade' END, CASE WHEN NOT fixed AND empty THEN 'sem conteúdo lexical' END, CASE WHEN len(unknown) > 0 THEN 'marcação mantida: ' || array_to_string(unknown, ', ') END) AS detail, round(duration, 6) AS duration
+FROM u"""
+
+
 QUERIES = {
     "style_cascade_counts": style_cascade_counts, "hex_id_text_metrics": hex_id_text_metrics, "normalized_ids": normalized_ids, "text_markers": text_markers, "normalize_text": normalize_text,
     "clean_markup_spacing": clean_markup_spacing, "style_scored_argmax": style_scored_argmax, "style_catalog_pivot": style_catalog_pivot, "acoustic_refinement": acoustic_refinement,
@@ -268,5 +314,5 @@ QUERIES = {
 ORACLE_SQL = {
     "style_cascade_counts": _cascade_sql(), "hex_id_text_metrics": HEX_SQL, "normalized_ids": IDS_SQL, "text_markers": MARKERS_SQL, "normalize_text": NORMALIZE_SQL, "clean_markup_spacing": CLEAN_SQL,
     "style_scored_argmax": _scored_sql(), "style_catalog_pivot": _pivot_sql(), "text_edits": EDITS_SQL, "json_edit": JSON_SQL, "score_vector_roundtrip": VECTOR_SQL, "findings_explode": FINDINGS_SQL,
-    "propernoun_stats": NOUNS_SQL,
+    "propernoun_stats": NOUNS_SQL, "acoustic_refinement": _refined_sql(), "word_replacement": _words_sql(), "line_manifest": _manifest_sql(),
 }

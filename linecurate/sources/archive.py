@@ -8,8 +8,9 @@ size, the media, f32 duration, u32 kind.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -20,6 +21,10 @@ MAGIC, VERSION = b"CPSW", 163
 ENTRY_BYTES, BLOCK_EXTRA = 40, 12
 
 
+#: gives a file's bytes from an offset on, so many
+Fetch = Callable[[int, int], bytes]
+
+
 class FormatError(ValueError):
     pass
 
@@ -119,18 +124,19 @@ def parse_entries(raw: bytes) -> list[tuple[int, int, int, int, int, int, int]]:
     return out
 
 
-def occurrence(raw: bytes, offset: int, size: int, companion_offset: int, companion_size: int, header: int) -> dict:
-    """Media, trailer and hashes of one entry; raises where it leaves the file or overlaps."""
-    if size < BLOCK_EXTRA or offset < header or offset + size > len(raw) or companion_size and not offset + size <= companion_offset <= len(raw) - companion_size:
+def occurrence(fetch: Fetch, length: int, offset: int, size: int, companion_offset: int, companion_size: int, header: int) -> dict:
+    """Media, trailer and hashes of one entry; raises where it leaves the file or overlaps. fetch(offset, size) gives the file's bytes."""
+    if size < BLOCK_EXTRA or offset < header or offset + size > length or companion_size and not offset + size <= companion_offset <= length - companion_size:
         raise FormatError("entry out of bounds")
-    if struct.unpack_from("<I", raw, offset)[0] != size - BLOCK_EXTRA:
+    block = fetch(offset, size)
+    if struct.unpack_from("<I", block, 0)[0] != size - BLOCK_EXTRA:
         raise FormatError("block size differs")
-    body = raw[offset + 4 : offset + size - 8]
+    body = block[4:-8]
     media = parse_media(body)
-    seconds, kind = struct.unpack_from("<fI", raw, offset + size - 8)
+    seconds, kind = struct.unpack_from("<fI", block, size - 8)
     if abs(seconds - media.duration) > 0.02:
         raise FormatError("trailer duration differs")
-    companion = raw[companion_offset : companion_offset + companion_size] if companion_size else b""
+    companion = fetch(companion_offset, companion_size) if companion_size else b""
     return {
         "codec": media.family, "channels": media.channels, "rate": media.rate, "duration": media.duration, "has_seek": media.has_seek, "trailer_kind": kind,
         "media_bytes": media.size, "media_sha256": hashlib.sha256(body).hexdigest(), "companion_bytes": len(companion), "companion_sha256": hashlib.sha256(companion).hexdigest(),
@@ -143,37 +149,64 @@ _SCHEMA = (
 )
 
 
+_NAMES = [c.split()[0] for c in _SCHEMA.split(", ")]
+_TEXTS = ("path", "codec", "media_sha256", "companion_sha256", "error")
+_COUNTS = ("entry_index", "ident", "ident_high", "channels", "rate", "trailer_kind", "media_bytes", "companion_bytes")
+LARGE = 1 << 30  # bytes; longer archives are read range by range
+_ROWS = 1000
+
+
+def _entries(name: str, fetch: Fetch, length: int, wanted: set[int] | None) -> Iterator[dict]:
+    try:
+        start = fetch(0, min(length, 64))
+        end = decode_count(start, 10)[1] + ENTRY_BYTES * decode_count(start, 10)[0] + 2 if len(start) > 10 else 0
+        entries = parse_entries(start if end > length else fetch(0, max(end, len(start))))
+    except FormatError as e:
+        yield {"path": name, "error": str(e)}
+        return
+    for i, ident, high, offset, size, c_offset, c_size in entries:
+        if wanted is None or ident in wanted:
+            row = {"path": name, "entry_index": i, "ident": ident, "ident_high": high}
+            try:
+                row |= occurrence(fetch, length, offset, size, c_offset, c_size, end)
+            except FormatError as e:
+                row["error"] = str(e)
+            yield row
+
+
+def _frames(rows: Iterator[dict]) -> Iterator[pd.DataFrame]:
+    while some := list(itertools.islice(rows, _ROWS)):
+        out = pd.DataFrame(some, columns=_NAMES)
+        for n in _TEXTS:
+            out[n] = pd.Series([r.get(n) for r in some], dtype=object)
+        yield out.astype({n: "Int64" for n in _COUNTS} | {"has_seek": "boolean"})
+
+
 def read_archives(spark: SparkSession, path: str, wanted: set[int] | None = None, glob: str = "*") -> DataFrame:
     """One row an archive entry, of the wanted ids if given; entries that can't be used have an error
-    instead of media columns, and an archive that can't be read one row with an error."""
-    names = [c.split()[0] for c in _SCHEMA.split(", ")]
+    instead of media columns, and an archive that can't be read one row with an error.
+
+    An archive is one task's work, as it has 4 GiB at most. Those of more than LARGE bytes are
+    opened by their address where the work is done, and read one entry at a time.
+    """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
             for name, raw in zip(batch["path"], batch["content"]):
-                try:
-                    entries = parse_entries(raw)
-                except FormatError as e:
-                    rows.append({"path": name, "error": str(e)})
-                    continue
-                header = decode_count(raw, 10)[1] + ENTRY_BYTES * len(entries) + 2
-                for i, ident, high, offset, size, c_offset, c_size in entries:
-                    if wanted is not None and ident not in wanted:
-                        continue
-                    row = {"path": name, "entry_index": i, "ident": ident, "ident_high": high}
-                    try:
-                        row |= occurrence(raw, offset, size, c_offset, c_size, header)
-                    except FormatError as e:
-                        row["error"] = str(e)
-                    rows.append(row)
-            out = pd.DataFrame(rows, columns=names)
-            for n in ("path", "codec", "media_sha256", "companion_sha256", "error"):
-                out[n] = pd.Series([r.get(n) for r in rows], dtype=object)
-            yield out.astype({n: "Int64" for n in ("entry_index", "ident", "ident_high", "channels", "rate", "trailer_kind", "media_bytes", "companion_bytes")} | {"has_seek": "boolean"})
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
-    return files.mapInPandas(run, _SCHEMA)
+                yield from _frames(_entries(name, lambda at, n, raw=raw: raw[at : at + n], len(raw), wanted))
+
+    def ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for name, length in zip(batch["path"], batch["length"]):
+                system, inner = fs.FileSystem.from_uri(name.replace("file:/", "file:///", 1) if name.startswith("file:/") and not name.startswith("file://") else name)
+                with system.open_input_file(inner) as file:
+                    yield from _frames(_entries(name, lambda at, n, file=file: file.read_at(n, at), int(length), wanted))
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    small = files.where(F.col("length") <= LARGE).select("path", "content").mapInPandas(whole, _SCHEMA)
+    return small.union(files.where(F.col("length") > LARGE).select("path", "length").mapInPandas(ranges, _SCHEMA))
 
 
 def layout(selection: DataFrame, order: str) -> DataFrame:
@@ -194,13 +227,13 @@ def layout(selection: DataFrame, order: str) -> DataFrame:
 def build(items: list[tuple[int, int, bytes, int, bytes]]) -> bytes:
     """Archive of (id, id_high, media, kind, companion) items."""
     at = 10 + len(encode_count(len(items))) + ENTRY_BYTES * len(items) + 2
-    index, body = b"", b""
+    index, body = [], []
     for ident, high, media, kind, companion in items:
         size = len(media) + BLOCK_EXTRA
-        index += struct.pack("<10I", ident, high, at, 0, size, 0, at + size if companion else 0, 0, len(companion), 0)
-        body += struct.pack("<I", len(media)) + media + struct.pack("<fI", parse_media(media).duration, kind) + companion
+        index.append(struct.pack("<10I", ident, high, at, 0, size, 0, at + size if companion else 0, 0, len(companion), 0))
+        body += [struct.pack("<I", len(media)), media, struct.pack("<fI", parse_media(media).duration, kind), companion]
         at += size + len(companion)
-    return MAGIC + struct.pack("<IH", VERSION, 0) + encode_count(len(items)) + index + struct.pack("<H", 0) + body
+    return b"".join([MAGIC, struct.pack("<IH", VERSION, 0), encode_count(len(items)), *index, struct.pack("<H", 0), *body])
 
 
 def changed_payloads(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -59,3 +59,19 @@ def references_toml(rows: Sequence[Mapping[str, object]], default: str) -> str:
     for r in rows:
         parts.append(f"[referencias.{r['style']}]\n" + "".join(f"{k} = {quote(v)}\n" for k, v in r.items() if k != "style" and v is not None))
     return "\n".join(parts)
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes, force: bool = False) -> None:
+    """One file of bytes on whatever file system path names, written aside and then renamed; fails if it is there, but with force."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    partial = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".partial")
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(where) and not force:
+        raise FileExistsError(path)
+    out = system.create(partial, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    system.delete(where, False)
+    system.rename(partial, where)
