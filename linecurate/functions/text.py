@@ -62,9 +62,9 @@ def parse_ident(text: Column | str) -> Column:
 def plain(text: Column | str) -> Column:
     """Letters without their accents, precomposed or not, and compatibility forms as plain ones."""
     several = F.str_to_map(F.lit("\u0002".join(f"{a}\u0003{b}" for a, b in SEVERAL.items())), F.lit("\u0002"), F.lit("\u0003"))
-    pattern = "[" + "".join(SEVERAL) + "]"
-    t = col(text)
-    t = F.when(t.rlike(pattern), replace_each(t, pattern, lambda m: F.element_at(several, m))).otherwise(t)
+    letters, t = "".join(SEVERAL), col(text)
+    # dropping characters is much faster than looking for so many by a pattern
+    t = F.when(F.translate(t, letters, "") != t, replace_each(t, f"[{letters}]", lambda m: F.element_at(several, m))).otherwise(t)
     return F.translate(t, ACCENTED, PLAIN)
 
 
@@ -106,8 +106,8 @@ def normalize_term(text: Column | str) -> Column:
 def safe_name(text: Column | str, default: str = "termo") -> Column:
     """File-name form: ASCII, other characters than A-Za-z0-9._'- as _, at most 70 characters."""
     ascii_ = F.regexp_replace(plain(text), r"[^\x00-\x7F]", "")
-    name = F.left(F.btrim(F.regexp_replace(ascii_, "[^A-Za-z0-9._'-]+", "_"), F.lit("_.")), F.lit(70))
-    return F.coalesce(F.nullif(name, F.lit("")), F.lit(default))
+    name = F.left(F.regexp_replace(F.regexp_replace(ascii_, r"[^\w.'-]+", "_"), "^[_.]+|[_.]+$", ""), F.lit(70))
+    return given(name, lambda n: F.when(F.coalesce(n, F.lit("")) == "", default).otherwise(n))
 
 
 def clean_spacing(text: Column | str) -> Column:

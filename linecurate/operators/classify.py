@@ -62,7 +62,10 @@ def cascade(text: Column, markers: Column, duration: Column, fragments: Mapping[
     Irony, confrontation, long narration, investigation, alert, question, neutral. Fragments are
     looked for anywhere in the folded text, also inside words.
     """
-    folded, count = T.fold(text), F.regexp_count(text, F.lit(r"(?U)\w+"))
+    return T.given(F.struct(T.fold(text).alias("folded"), F.regexp_count(text, F.lit(r"(?U)\w+")).alias("count")), lambda x: _cascade(x["folded"], x["count"], markers, duration, fragments))
+
+
+def _cascade(folded: Column, count: Column, markers: Column, duration: Column, fragments: Mapping[str, Sequence[str]]) -> Column:
     holds = lambda style: F.exists(F.array(*[F.lit(f) for f in fragments[style]]), lambda f: F.contains(folded, f)) if fragments[style] else F.lit(False)
     has = lambda mark: F.array_contains(F.split(markers, "[|]"), mark)
     ask = has("pergunta")
@@ -84,13 +87,14 @@ def cascade(text: Column, markers: Column, duration: Column, fragments: Mapping[
 def fragment_score(folded: Column, fragments: Sequence[tuple[str, float]]) -> Column:
     """Sum of the weights of fragments that stand in a folded text as whole words (* : any ending).
 
-    A fragment that ends in a blank can't: after it no word may go on, yet folded texts have one
-    blank between words and none at the end.
+    Folded texts have one blank between words and none at the ends, so words are looked for
+    between blanks. A fragment that ends in a blank can't stand there: after it no word may go on.
     """
-    out = F.lit(0.0)
+    out, padded = F.lit(0.0), F.concat(F.lit(" "), folded, F.lit(" "))
     for fragment, weight in fragments:
-        token, ending = (fragment[:-1], r"\w*") if fragment.endswith("*") else (fragment, "")
-        out = out + F.when(folded.rlike(rf"(?<!\w)\Q{token}\E{ending}(?!\w)"), weight).otherwise(0.0)
+        token = fragment.rstrip("*")
+        there = F.lit(False) if token.endswith(" ") else F.contains(padded, F.lit(f" {token}" if fragment.endswith("*") else f" {token} "))
+        out = out + F.when(there, weight).otherwise(0.0)
     return out
 
 
