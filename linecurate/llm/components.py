@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import cut
+from .runtime import cut, drop
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -31,12 +31,13 @@ def components(edges: DataFrame) -> DataFrame:
 
     Self loops and repeated edges are allowed; an empty edge list gives an empty result. The number
     of rounds grows with the logarithm of the longest shortest path; each round's edges are
-    checkpointed, which also cuts the lineage.
+    checkpointed, which also cuts the lineage, and the round's before are removed.
     """
     now = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = None
     while True:
-        now = cut(_star(_star(now, large=True), large=False))
+        before, now = now, cut(_star(_star(now, large=True), large=False))
+        drop(before)
         new = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if new == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

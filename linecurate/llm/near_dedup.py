@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import textblocks as tb
 from .components import components
-from .runtime import bounded_batches, cut, shuffle_partitions, steady_memory
+from .runtime import bounded_batches, cut, drop, shuffle_partitions, steady_memory
 
 SKETCH_BITS = 1024
 MISS = 1e-6  # chance at most that a pair at the threshold shares no band
@@ -234,11 +234,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     sets = named.groupBy("doc_id").agg(F.min(F.struct(*same_set)).alias("low"), F.max(F.struct(*same_set)).alias("high")).where("low <> high").select("doc_id", F.col("low").alias("set"))
     named_sets = sets.union(named.join(sets.select("doc_id"), "doc_id", "left_semi").select("doc_id", F.struct(*same_set).alias("set"))).select("doc_id", "set.*")
     texts = named_sets.distinct().join(classes.select("cid", *same_set), same_set).select("doc_id", "cid")
+    found = links
     links = links.union(texts.join(texts.groupBy("doc_id").agg(F.min("cid").alias("v")), "doc_id").select(F.col("cid").alias("u"), "v"))
     roots = components(links)
     left = cut(_apart(groups, roots, classes.select("cid", "n_shingles")))
+    drop(groups, found)
     if not left.isEmpty():
-        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(linked(left)))
+        found = linked(left)
+        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found))
+        drop(found)
+    drop(left)
 
     placed = classes.join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left").select(*same_set, F.col("rep.doc_id").alias("least"), F.coalesce("root", "cid").alias("comp"))
     placed = placed.join(placed.groupBy("comp").agg(F.min("least").alias("component_id")), "comp").select(*same_set, "component_id")

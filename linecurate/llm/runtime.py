@@ -34,6 +34,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def drop(*frames: DataFrame) -> None:
+    """Removes the files of frames that cut gave and that nothing lazy reads any more, and lets go of the shuffles behind them."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if file.isDefined():
+            path = context._jvm.org.apache.hadoop.fs.Path(file.get())
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        context._jvm.System.gc()  # the context's cleaner removes files of shuffles that are out of reach
+
+
 def steady_memory() -> None:
     """Lets this process keep up to 128 MB of freed memory, where the C library can be told so.
 
