@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .integrity import duplicates, require_none
-from .stats import running_total
+from .scan import numbered, running_total
 
 
 def lookup(df: DataFrame, side: DataFrame, key: str, defaults: Mapping[str, object]) -> DataFrame:
@@ -124,7 +124,7 @@ def annotated(df: DataFrame, notes: DataFrame, key: str, tag: str, default: str)
 
 def paired_in_order(left: DataFrame, right: DataFrame, key: str, order: str) -> DataFrame:
     """(key, left_place, right_place, moved) of two ordered lists: whether a key stands at another place, or on one side only."""
-    place = lambda df, name: running_total(df.select(key, order).withColumn("__one", F.lit(1).cast("long")), "__one", order, into=name).select(key, name)
+    place = lambda df, name: numbered(df.select(key, order), order, into=name).select(key, name)
     both = place(left, "left_place").join(place(right, "right_place"), key, "full_outer")
     return both.withColumn("moved", ~F.col("left_place").eqNullSafe(F.col("right_place")))
 

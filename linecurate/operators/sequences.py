@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .stats import running_total
+from .scan import numbered, running_total
 
 
 def running_offset(df: DataFrame, size: str, order: str, base: int = 0, into: str = "offset") -> DataFrame:
@@ -17,8 +17,7 @@ def running_offset(df: DataFrame, size: str, order: str, base: int = 0, into: st
 
 def batches(df: DataFrame, order: str, size: int, into: str = "batch") -> DataFrame:
     """Adds the number, from 0, of each row's batch of `size` rows by (unique) order."""
-    counted = running_total(df.withColumn("__one", F.lit(1).cast("long")), "__one", order, into="__rank")
-    return counted.withColumn(into, F.floor(F.col("__rank") / size).cast("long")).drop("__one", "__rank")
+    return numbered(df, order, into="__rank").withColumn(into, F.floor(F.col("__rank") / size).cast("long")).drop("__rank")
 
 
 def running_index(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], into: str = "position") -> DataFrame:

@@ -2,34 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCKS = 256
-
-
-def ordered_blocks(df: DataFrame, key: str, blocks: int = BLOCKS, accuracy: int = 10_000) -> DataFrame:
-    """Adds __block: ranges of key of about equal numbers of rows, in order (null is the first).
-
-    Bounds come from one approximate-quantile pass over df. They are the way to run a global
-    window by pieces: windows go by block, and only the blocks' totals are summed in one task.
-    """
-    shares = [i / blocks for i in range(1, blocks)]
-    bounds = df.agg(F.percentile_approx(F.col(key).cast("double"), shares, accuracy).alias("b")).first()["b"]
-    if not bounds:
-        return df.withColumn("__block", F.lit(0))
-    cuts = F.array(*[F.lit(float(b)) for b in sorted(set(bounds))])
-    return df.withColumn("__block", F.coalesce(F.size(F.filter(cuts, lambda b: b <= F.col(key).cast("double"))), F.lit(0)))
-
-
-def running_total(df: DataFrame, value: str, order: str, *ties: str, into: str = "before", blocks: int = BLOCKS) -> DataFrame:
-    """Adds the sum of value over all rows that come earlier by (order, *ties), as `into`."""
-    cut = ordered_blocks(df, order, blocks)
-    totals = cut.groupBy("__block").agg(F.sum(value).alias("__sum"))
-    upto = totals.select("__block", F.coalesce(F.sum("__sum").over(Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
-    inside = Window.partitionBy("__block").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
-    # one row a block: `blocks` rows at most
-    return cut.join(F.broadcast(upto), "__block").withColumn(into, F.col("__base") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("__block", "__base")
+from .scan import running_total
 
 
 def distinct_cdf(df: DataFrame, value: str) -> DataFrame:
@@ -46,7 +22,7 @@ def ecdf(df: DataFrame, value: str, into: str = "percentile") -> DataFrame:
     return df.join(cdf, F.col(value) == F.col("__v"), "left").drop("__v")
 
 
-def ecdf_against(df: DataFrame, value: str, baseline: DataFrame, baseline_value: str, into: str = "percentile", blocks: int = BLOCKS) -> DataFrame:
+def ecdf_against(df: DataFrame, value: str, baseline: DataFrame, baseline_value: str, into: str = "percentile") -> DataFrame:
     """Adds the share in percent of the baseline's values that are no larger.
 
     Values of both sides are merged in order, with the baseline's counted 1; equal values take the
@@ -55,7 +31,7 @@ def ecdf_against(df: DataFrame, value: str, baseline: DataFrame, baseline_value:
     base = baseline.where(F.col(baseline_value).isNotNull()).groupBy(F.col(baseline_value).cast("double").alias("__v")).agg(F.count("*").alias("__n"))
     asked = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("__v"), F.lit(0).cast("long").alias("__n")).distinct()
     merged = base.unionByName(asked).groupBy("__v").agg(F.sum("__n").alias("__n"))
-    summed = running_total(merged, "__n", "__v", into="__below", blocks=blocks)
+    summed = running_total(merged, "__n", "__v", into="__below")
     total = base.agg(F.sum("__n").alias("__all"))
     share = summed.join(F.broadcast(total)).select("__v", (100.0 * (F.col("__below") + F.col("__n")) / F.col("__all")).alias(into))
     return df.join(share, F.col(value).cast("double") == F.col("__v"), "left").drop("__v")

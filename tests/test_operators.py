@@ -6,7 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from linecurate.operators import integrity, relational, scoring, sequences, stats
+from linecurate.operators import integrity, relational, scan, scoring, sequences, stats
 
 
 def plan(spark, original, trimmed):
@@ -51,7 +51,7 @@ def test_ecdf_and_running_total(spark):
     df = spark.createDataFrame(list(enumerate(values)), "i int, v int")
     got = {r["i"]: r["percentile"] for r in stats.ecdf(df, "v").collect()}
     assert all(got[i] == pytest.approx(100 * sum(w <= v for w in values) / len(values)) for i, v in enumerate(values))
-    total = {r["i"]: r["before"] for r in stats.running_total(df, "v", "i", blocks=7).collect()}
+    total = {r["i"]: r["before"] for r in scan.running_total(df, "v", "i", pieces=7).collect()}
     assert all(total[i] == sum(values[:i]) for i in range(len(values)))
 
 
