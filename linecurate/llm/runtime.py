@@ -6,6 +6,7 @@ import atexit
 import ctypes
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +35,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """df written once as a Parquet table in the checkpoint folder and read again, and the table's path.
+
+    Unlike a checkpoint this runs df's last stage only once. remove() deletes the table.
+    """
+    spark = df.sparkSession
+    cut(spark.range(0))  # there is a folder, or an error
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def drop(*frames: DataFrame) -> None:
     """Removes the files of frames that cut gave and that nothing lazy reads any more, and lets go of the shuffles behind them."""
     for df in frames:
