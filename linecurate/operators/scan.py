@@ -59,10 +59,16 @@ def numbered(df: DataFrame, *order: str | Column, into: str = "place", pieces: i
     return dealt.join(first, "__piece").withColumn(into, F.col("__base") + F.col("__at")).drop("__piece", "__at", "__base")
 
 
-def running_total(df: DataFrame, value: str, *order: str | Column, into: str = "before", pieces: int | None = None) -> DataFrame:
-    """Adds the sum of value over all rows that come earlier in the order, as `into`."""
+def placed_in_order(df: DataFrame, value: str, *order: str | Column, total_into: str, place_into: str | None = None, pieces: int | None = None) -> DataFrame:
+    """Adds the sum of value over all rows that come earlier in the order, and how many come earlier if place_into is given."""
     dealt = ranges(df, *order, pieces=pieces)
-    sums = dealt.groupBy("__piece").agg(F.coalesce(F.sum(value), F.lit(0)).alias("__base"))
-    first = F.broadcast(_before(sums, [], ["__base"]))  # one row a piece
+    sums = dealt.groupBy("__piece").agg(F.coalesce(F.sum(value), F.lit(0)).alias("__base"), F.count("*").alias("__first"))
+    first = F.broadcast(_before(sums, [], ["__base", "__first"]))  # one row a piece
     inside = Window.partitionBy("__piece").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
-    return dealt.join(first, "__piece").withColumn(into, F.col("__base") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("__piece", "__at", "__base")
+    out = dealt.join(first, "__piece").withColumn(total_into, F.col("__base") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return (out.withColumn(place_into, F.col("__first") + F.col("__at")) if place_into else out).drop("__piece", "__at", "__base", "__first")
+
+
+def running_total(df: DataFrame, value: str, *order: str | Column, into: str = "before", pieces: int | None = None) -> DataFrame:
+    """Adds the sum of value over all rows that come earlier in the order, as `into`."""
+    return placed_in_order(df, value, *order, total_into=into, pieces=pieces)

@@ -7,12 +7,12 @@ import shutil
 import struct
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import signal
-from ..sources import archive, sinks, tables
+from ..sources import archive, archive_source, sinks, tables
 from ..streaming import resume
 
 
@@ -135,33 +135,81 @@ def json_summary(spark: SparkSession, d: str) -> DataFrame:
 SUMMARY_SQL = "SELECT count(*) AS orders, count(DISTINCT o_orderstatus) AS statuses, max(o_orderkey) AS highest, NULL::VARCHAR AS nothing, true AS null_kept FROM orders"
 
 
-def _media(data: bytes) -> bytes:
-    """A RIFF block of the packed codec, a second for each 1,000 bytes."""
+def _le32(number: Column) -> Column:
+    """Four bytes, the lowest first."""
+    h = F.lpad(F.hex(number.cast("long")), 8, "0")
+    return F.unhex(F.concat(*[F.substring(h, i, 2) for i in (7, 5, 3, 1)]))
+
+
+def _media(data: Column, tag: str = "RIFF") -> Column:
+    """A RIFF block of the packed codec, a second for each 1,000 bytes of data (a text)."""
     fmt = struct.pack("<HHIIHH", 0x3041, 1, 48_000, 1000, 1, 16) + bytes(20)
-    body = b"WAVE" + b"fmt " + struct.pack("<I", len(fmt)) + fmt + b"seek" + struct.pack("<I", 4) + bytes(4) + b"data" + struct.pack("<I", len(data)) + data + bytes(len(data) % 2)
-    return b"RIFF" + struct.pack("<I", len(body)) + body
+    size = F.octet_length(data)
+    head = b"WAVEfmt " + struct.pack("<I", len(fmt)) + fmt + b"seek" + struct.pack("<I", 4) + bytes(4) + b"data"
+    odd = F.when(size % 2 == 1, F.lit(bytes(1))).otherwise(F.lit(b""))
+    return F.concat(F.lit(tag.encode()), _le32(len(head) + 4 + size + size % 2), F.lit(head), _le32(size), data.cast("binary"), odd)
 
 
 def archive_files(spark: SparkSession, d: str) -> DataFrame:
-    """Suppliers packed into an archive for each region of their nations, read back entry by entry."""
-    path, items = scratch(spark, "archives"), {}
-    for r in _t(spark, d, "supplier").orderBy("s_suppkey").collect():
-        items.setdefault(r["s_nationkey"] % 5, []).append((r["s_suppkey"], r["s_nationkey"], _media(r["s_name"].encode()), 7, b"" if r["s_suppkey"] % 3 else r["s_name"][:5].encode()))
-    for region, some in items.items():
-        sinks.write_bytes(spark, f"{path}/{region}.w3speech", archive.build(some), force=True)
-    got = archive.read_archives(spark, path, glob="*.w3speech")
-    return got.select(
-        F.regexp_extract("path", r"(\d)\.w3speech$", 1).cast("int").alias("region"), "entry_index", "ident", "ident_high", "codec", "channels", "rate", F.round("duration", 6).alias("duration"), "has_seek", "trailer_kind",
-        "companion_bytes", "companion_sha256", "error",
+    """Suppliers packed into an archive, in order of their keys, and read back in slices of 4 KB."""
+    path = f"{scratch(spark, 'archives')}/all.w3speech"
+    side = F.when(F.col("s_suppkey") % 3 == 0, F.substring("s_name", 1, 5)).otherwise("").cast("binary")
+    items = _t(spark, d, "supplier").select(
+        F.col("s_suppkey").cast("long").alias("ident"), F.col("s_nationkey").cast("long").alias("ident_high"), _media(F.col("s_name")).alias("media"), side.alias("companion"), (F.octet_length("s_name") / 1000).alias("duration"), F.lit(7).alias("trailer_kind")
     )
+    archive_source.write_archive(items, path, "ident", force=True)
+    got = archive_source.read_archives(spark, path, slice_bytes=4096)
+    return got.select("entry_index", "ident", "ident_high", "codec", "channels", "rate", F.round("duration", 6).alias("duration"), "has_seek", "trailer_kind", "companion_bytes", "companion_sha256", "error")
 
 
 ARCHIVE_SQL = """
-SELECT s_nationkey % 5 AS region, row_number() OVER (PARTITION BY s_nationkey % 5 ORDER BY s_suppkey) - 1 AS entry_index, s_suppkey::BIGINT AS ident, s_nationkey::BIGINT AS ident_high, 'wem-opus' AS codec, 1::BIGINT AS channels, 48000::BIGINT AS rate,
+SELECT row_number() OVER (ORDER BY s_suppkey) - 1 AS entry_index, s_suppkey::BIGINT AS ident, s_nationkey::BIGINT AS ident_high, 'wem-opus' AS codec, 1::BIGINT AS channels, 48000::BIGINT AS rate,
   round(strlen(s_name) / 1000.0::DOUBLE, 6) AS duration, true AS has_seek, 7::BIGINT AS trailer_kind, CASE WHEN s_suppkey % 3 = 0 THEN 5 ELSE 0 END::BIGINT AS companion_bytes,
   sha256(CASE WHEN s_suppkey % 3 = 0 THEN left(s_name, 5) ELSE '' END) AS companion_sha256, NULL::VARCHAR AS error FROM supplier"""
 
 
+def _damaged(spark: SparkSession, d: str) -> DataFrame:
+    """An archive of all customers in which some entries are damaged, by their key, read in slices of 64 KB."""
+    path = f"{scratch(spark, 'damaged')}/customers.w3speech"
+    key = F.col("c_custkey")
+    items = _t(spark, d, "customer").select(
+        key.cast("long").alias("ident"), F.lit(0).alias("ident_high"), F.when(key % 10 == 1, _media(F.col("c_name"), "RIFX")).otherwise(_media(F.col("c_name"))).alias("media"), F.lit(b"").alias("companion"),
+        (F.octet_length("c_name") / 1000 + F.when(key % 10 == 2, 1).otherwise(0)).alias("duration"), F.lit(1).alias("trailer_kind"),
+    ).withColumns({"media_bytes": F.length("media").cast("long"), "companion_bytes": F.lit(0).cast("long")})
+    placed = archive.layout(items, "ident")
+    columns = [F.col(c.split()[0]).cast(c.split()[1]) for c in archive_source.WRITTEN_SCHEMA.split(", ")]
+    spark.dataSource.register(archive_source.ArchiveSource)
+    placed.select(*columns).write.format("voice_archive").mode("overwrite").save(path)
+    return archive_source.read_archives(spark, path, slice_bytes=65_536)
+
+
+def damaged_archive(spark: SparkSession, d: str) -> DataFrame:
+    """How many entries of a damaged archive can't be used, by reason, and how many can."""
+    got = _damaged(spark, d)
+    bad = archive_source.skipped(got).select(F.col("error").alias("reason"), "n")
+    return bad.union(got.where("error is null").agg(F.lit("usable").alias("reason"), F.count("*").alias("n")))
+
+
+DAMAGED_SQL = """
+SELECT CASE WHEN c_custkey % 10 = 1 THEN 'no RIFF/WAVE' WHEN c_custkey % 10 = 2 THEN 'trailer duration differs' ELSE 'usable' END AS reason, count(*) AS n
+FROM customer GROUP BY 1"""
+
+
+def archive_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Entries of a damaged archive for wanted ids, which the reader takes in: their media's hash or what is wrong with them."""
+    path = f"{scratch(spark, 'damaged')}/customers.w3speech"
+    _damaged(spark, d)
+    wanted = {1, 2, 3, 7, 13, 42, 777, 10**9}
+    return archive_source.read_archives(spark, path, wanted=wanted, slice_bytes=65_536).select("ident", "duration", "media_bytes", "error")
+
+
+LOOKUP_SQL = """
+SELECT c_custkey::BIGINT AS ident, CASE WHEN c_custkey % 10 NOT IN (1, 2) THEN strlen(c_name) / 1000.0::DOUBLE END AS duration,
+  CASE WHEN c_custkey % 10 NOT IN (1, 2) THEN 76 + strlen(c_name) + strlen(c_name) % 2 END::BIGINT AS media_bytes,
+  CASE c_custkey % 10 WHEN 1 THEN 'no RIFF/WAVE' WHEN 2 THEN 'trailer duration differs' END AS error
+FROM customer WHERE c_custkey IN (1, 2, 3, 7, 13, 42, 777)"""
+
+
 def _tone(level: int, loud: int, quiet: int) -> bytes:
     """A wave file: quiet, a square wave of this level, quiet, at 8,000 Hz."""
     pulse = struct.pack("<h", level) * 4 + struct.pack("<h", -level) * 4
@@ -213,10 +261,10 @@ WINDOW_SQL = "SELECT (epoch(time_bucket(INTERVAL '5 minutes', ts)))::BIGINT AS s
 QUERIES = {
     "report_files": report_files, "line_files": line_files, "json_files": json_files, "id_files": id_files, "assignment_files": assignment_files, "style_files": style_files, "listed_files": listed_files,
     "fan_out_files": fan_out_files, "json_summary": json_summary, "streamed_files": streamed_files, "windowed_counts": windowed_counts, "archive_files": archive_files,
-    "wave_files": wave_files,
+    "wave_files": wave_files, "damaged_archive": damaged_archive, "archive_lookup": archive_lookup,
 }
 ORACLE_SQL = {
     "report_files": REPORT_SQL, "line_files": LINES_SQL, "json_files": JSON_FILES_SQL, "id_files": IDS_FILES_SQL, "assignment_files": ASSIGNMENT_SQL, "style_files": STYLES_SQL, "listed_files": LISTED_SQL,
     "fan_out_files": FAN_SQL, "json_summary": SUMMARY_SQL, "streamed_files": STREAM_SQL, "windowed_counts": WINDOW_SQL, "archive_files": ARCHIVE_SQL,
-    "wave_files": WAVES_SQL,
+    "wave_files": WAVES_SQL, "damaged_archive": DAMAGED_SQL, "archive_lookup": LOOKUP_SQL,
 }

@@ -8,17 +8,18 @@ size, the media, f32 duration, u32 kind.
 from __future__ import annotations
 
 import hashlib
-import itertools
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.scan import placed_in_order
+
 MAGIC, VERSION = b"CPSW", 163
 ENTRY_BYTES, BLOCK_EXTRA = 40, 12
+PIECE = 1 << 20  # bytes of a payload that are held at once
 
 
 #: gives a file's bytes from an offset on, so many
@@ -83,30 +84,35 @@ class Media:
         return known.get((self.tag, self.format_size)) or ("pcm" if self.tag == 0xFFFE else f"0x{self.tag:04x}")
 
 
-def parse_media(raw: bytes) -> Media:
-    """Header of a RIFF/WAVE block; chunks are padded to even sizes, fmt and data must be there."""
-    if raw[:4] != b"RIFF" or raw[8:12] != b"WAVE" or len(raw) < 20:
+def media_header(fetch: Fetch, start: int, length: int) -> Media:
+    """Header of a RIFF/WAVE block of this length; chunks are padded to even sizes, fmt and data must be there. Only the chunks' heads are fetched."""
+    head = fetch(start, min(length, 20))
+    if head[:4] != b"RIFF" or head[8:12] != b"WAVE" or len(head) < 20:
         raise FormatError("no RIFF/WAVE")
-    if struct.unpack_from("<I", raw, 4)[0] + 8 != len(raw):
+    if struct.unpack_from("<I", head, 4)[0] + 8 != length:
         raise FormatError("declared size differs")
     at, sizes, fmt = 12, {}, None
-    while at + 8 <= len(raw):
-        name, size = struct.unpack_from("<4sI", raw, at)
-        if at + 8 + size > len(raw):
-            raise FormatError(f"chunk {name!r} too long")
+    while at + 8 <= length:
+        name, size = struct.unpack("<4sI", fetch(start + at, 8))
+        if at + 8 + size > length:
+            raise FormatError("chunk too long")
         sizes[name] = size
         if name == b"fmt ":
             if size < 16:
                 raise FormatError("fmt too short")
-            fmt = struct.unpack_from("<HHIIHH", raw, at + 8)
+            fmt = struct.unpack("<HHIIHH", fetch(start + at + 8, 16))
         at += 8 + size + size % 2
     if fmt is None or b"data" not in sizes or fmt[3] <= 0:
         raise FormatError("fmt or data missing")
-    return Media(len(raw), fmt[0], sizes[b"fmt "], fmt[1], fmt[2], fmt[3], sizes[b"data"], sizes[b"data"] / fmt[3], b"seek" in sizes)
+    return Media(length, fmt[0], sizes[b"fmt "], fmt[1], fmt[2], fmt[3], sizes[b"data"], sizes[b"data"] / fmt[3], b"seek" in sizes)
 
 
-def parse_entries(raw: bytes) -> list[tuple[int, int, int, int, int, int, int]]:
-    """(index, id, id_high, wave offset, wave size, companion offset, companion size) of all entries."""
+def parse_media(raw: bytes) -> Media:
+    return media_header(lambda at, n: raw[at : at + n], 0, len(raw))
+
+
+def parse_entries(raw: bytes) -> list[tuple[int, int, int, int, int, int, int, bool]]:
+    """(index, id, id_high, wave offset, wave size, companion offset, companion size, reserved field set) of all entries."""
     if raw[:4] != MAGIC or len(raw) < 11:
         raise FormatError("no archive")
     version, key = struct.unpack_from("<IH", raw, 4)
@@ -114,114 +120,56 @@ def parse_entries(raw: bytes) -> list[tuple[int, int, int, int, int, int, int]]:
     end = at + many * ENTRY_BYTES
     if version != VERSION or end + 2 > len(raw) or key or struct.unpack_from("<H", raw, end)[0]:
         raise FormatError("unexpected version, key or length")
-    out = []
-    for i, e in enumerate(struct.iter_unpack("<10I", raw[at:end])):
-        if e[3] or e[5] or e[7] or e[9]:
-            raise FormatError(f"reserved field set in entry {i}")
-        out.append((i, e[0], e[1], e[2], e[4], e[6], e[8]))
-    if len({x[1:3] for x in out}) < len(out):
-        raise FormatError("repeated id")
-    return out
+    return [(i, e[0], e[1], e[2], e[4], e[6], e[8], bool(e[3] or e[5] or e[7] or e[9])) for i, e in enumerate(struct.iter_unpack("<10I", raw[at:end]))]
+
+
+def index_bytes(head: bytes) -> int:
+    """Length of an archive's index, from its first bytes; 0 if they are too few."""
+    return decode_count(head, 10)[1] + ENTRY_BYTES * decode_count(head, 10)[0] + 2 if len(head) > 10 else 0
+
+
+def _sha256(fetch: Fetch, start: int, length: int) -> str:
+    out = hashlib.sha256()
+    for at in range(start, start + length, PIECE):
+        out.update(fetch(at, min(PIECE, start + length - at)))
+    return out.hexdigest()
 
 
 def occurrence(fetch: Fetch, length: int, offset: int, size: int, companion_offset: int, companion_size: int, header: int) -> dict:
-    """Media, trailer and hashes of one entry; raises where it leaves the file or overlaps. fetch(offset, size) gives the file's bytes."""
-    if size < BLOCK_EXTRA or offset < header or offset + size > length or companion_size and not offset + size <= companion_offset <= length - companion_size:
+    """Media, trailer and hashes of one entry; raises where it leaves the file or overlaps. fetch(offset, size) gives the file's bytes, a piece at a time."""
+    if size < BLOCK_EXTRA or offset < header or offset + size > length:
         raise FormatError("entry out of bounds")
-    block = fetch(offset, size)
-    if struct.unpack_from("<I", block, 0)[0] != size - BLOCK_EXTRA:
+    if companion_size and not offset + size <= companion_offset <= length - companion_size:
+        raise FormatError("companion out of bounds")
+    if struct.unpack("<I", fetch(offset, 4))[0] != size - BLOCK_EXTRA:
         raise FormatError("block size differs")
-    body = block[4:-8]
-    media = parse_media(body)
-    seconds, kind = struct.unpack_from("<fI", block, size - 8)
+    media = media_header(fetch, offset + 4, size - BLOCK_EXTRA)
+    seconds, kind = struct.unpack("<fI", fetch(offset + size - 8, 8))
     if abs(seconds - media.duration) > 0.02:
         raise FormatError("trailer duration differs")
-    companion = fetch(companion_offset, companion_size) if companion_size else b""
     return {
         "codec": media.family, "channels": media.channels, "rate": media.rate, "duration": media.duration, "has_seek": media.has_seek, "trailer_kind": kind,
-        "media_bytes": media.size, "media_sha256": hashlib.sha256(body).hexdigest(), "companion_bytes": len(companion), "companion_sha256": hashlib.sha256(companion).hexdigest(),
+        "media_bytes": media.size, "media_sha256": _sha256(fetch, offset + 4, media.size), "companion_bytes": companion_size, "companion_sha256": _sha256(fetch, companion_offset, companion_size),
     }
 
 
-_SCHEMA = (
-    "path string, entry_index long, ident long, ident_high long, codec string, channels long, rate long, duration double, has_seek boolean, trailer_kind long, "
-    "media_bytes long, media_sha256 string, companion_bytes long, companion_sha256 string, error string"
-)
-
-
-_NAMES = [c.split()[0] for c in _SCHEMA.split(", ")]
-_TEXTS = ("path", "codec", "media_sha256", "companion_sha256", "error")
-_COUNTS = ("entry_index", "ident", "ident_high", "channels", "rate", "trailer_kind", "media_bytes", "companion_bytes")
-LARGE = 1 << 30  # bytes; longer archives are read range by range
-_ROWS = 1000
-
-
-def _entries(name: str, fetch: Fetch, length: int, wanted: set[int] | None) -> Iterator[dict]:
-    try:
-        start = fetch(0, min(length, 64))
-        end = decode_count(start, 10)[1] + ENTRY_BYTES * decode_count(start, 10)[0] + 2 if len(start) > 10 else 0
-        entries = parse_entries(start if end > length else fetch(0, max(end, len(start))))
-    except FormatError as e:
-        yield {"path": name, "error": str(e)}
-        return
-    for i, ident, high, offset, size, c_offset, c_size in entries:
-        if wanted is None or ident in wanted:
-            row = {"path": name, "entry_index": i, "ident": ident, "ident_high": high}
-            try:
-                row |= occurrence(fetch, length, offset, size, c_offset, c_size, end)
-            except FormatError as e:
-                row["error"] = str(e)
-            yield row
-
-
-def _frames(rows: Iterator[dict]) -> Iterator[pd.DataFrame]:
-    while some := list(itertools.islice(rows, _ROWS)):
-        out = pd.DataFrame(some, columns=_NAMES)
-        for n in _TEXTS:
-            out[n] = pd.Series([r.get(n) for r in some], dtype=object)
-        yield out.astype({n: "Int64" for n in _COUNTS} | {"has_seek": "boolean"})
-
-
-def read_archives(spark: SparkSession, path: str, wanted: set[int] | None = None, glob: str = "*") -> DataFrame:
-    """One row an archive entry, of the wanted ids if given; entries that can't be used have an error
-    instead of media columns, and an archive that can't be read one row with an error.
-
-    An archive is one task's work, as it has 4 GiB at most. Those of more than LARGE bytes are
-    opened by their address where the work is done, and read one entry at a time.
-    """
-
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, raw in zip(batch["path"], batch["content"]):
-                yield from _frames(_entries(name, lambda at, n, raw=raw: raw[at : at + n], len(raw), wanted))
-
-    def ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        for batch in batches:
-            for name, length in zip(batch["path"], batch["length"]):
-                system, inner = fs.FileSystem.from_uri(name.replace("file:/", "file:///", 1) if name.startswith("file:/") and not name.startswith("file://") else name)
-                with system.open_input_file(inner) as file:
-                    yield from _frames(_entries(name, lambda at, n, file=file: file.read_at(n, at), int(length), wanted))
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    small = files.where(F.col("length") <= LARGE).select("path", "content").mapInPandas(whole, _SCHEMA)
-    return small.union(files.where(F.col("length") > LARGE).select("path", "length").mapInPandas(ranges, _SCHEMA))
-
-
 def layout(selection: DataFrame, order: str) -> DataFrame:
-    """Adds wave_offset and companion_offset that a compact archive of these rows gets, in order.
+    """Adds entry_index, wave_offset and companion_offset that a compact archive of these rows gets, in order, and its number of entries and bytes.
 
-    selection has media_bytes and companion_bytes. One archive holds 4 GiB at most, so its index
-    is laid out by one window; a longer one has `fits` false from the first row that ends beyond.
+    selection has media_bytes and companion_bytes. Offsets are prefix sums by pieces; `fits` is
+    false from the first row that ends beyond 4 GiB.
     """
-    many = selection.count()
-    header = 10 + len(encode_count(many)) + ENTRY_BYTES * many + 2
     block = F.col("media_bytes") + BLOCK_EXTRA
-    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    out = selection.withColumn("wave_offset", F.lit(header) + F.coalesce(F.sum(block + F.col("companion_bytes")).over(before), F.lit(0)))
+    placed = selection.drop("entry_index").withColumn("__bytes", (block + F.col("companion_bytes")).cast("long"))
+    placed = placed_in_order(placed, "__bytes", order, total_into="wave_offset", place_into="entry_index")
+    whole = placed.agg(F.count("*").alias("entries"), F.coalesce(F.sum("__bytes"), F.lit(0)).alias("__payload"))
+    many = F.col("entries")
+    # the count takes 6 bits in its first byte and 7 in each further one
+    header = 10 + F.when(many < 64, 1).otherwise(1 + F.ceil((F.floor(F.log2(many)) - 5) / 7)) + ENTRY_BYTES * many + 2
+    out = placed.crossJoin(F.broadcast(whole.withColumn("__header", header.cast("long"))))  # one row
+    out = out.withColumn("wave_offset", F.col("__header") + F.col("wave_offset")).withColumn("archive_bytes", F.col("__header") + F.col("__payload"))
     out = out.withColumn("companion_offset", F.when(F.col("companion_bytes") > 0, F.col("wave_offset") + block).otherwise(0))
-    return out.withColumn("fits", F.col("wave_offset") + block + F.col("companion_bytes") <= 0xFFFFFFFF)
+    return out.withColumn("fits", F.col("wave_offset") + F.col("__bytes") <= 0xFFFFFFFF).drop("__bytes", "__header", "__payload")
 
 
 def build(items: list[tuple[int, int, bytes, int, bytes]]) -> bytes:

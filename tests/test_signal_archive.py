@@ -6,9 +6,10 @@ import wave
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from linecurate.operators import signal
-from linecurate.sources import archive
+from linecurate.sources import archive, archive_source
 
 
 def tone(rate, *parts):
@@ -85,20 +86,68 @@ def test_counts(n):
     assert archive.decode_count(raw) == (n, len(raw))
 
 
-@pytest.mark.parametrize("large", [1 << 30, 0])
-def test_archive_table(spark, tmp_path, monkeypatch, large):
-    """Whole files and ranges give the same rows."""
-    monkeypatch.setattr(archive, "LARGE", large)
+@pytest.mark.parametrize("slice_bytes", [1 << 30, 200])
+def test_archive_table(spark, tmp_path, slice_bytes):
+    """Whole files and slices give the same rows."""
     items = [(7, 0, media(), 5, b""), (8, 1, media(240), 5, b"side")]
     (tmp_path / "one.w3").write_bytes(archive.build(items))
     (tmp_path / "two.w3").write_bytes(archive.build([(7, 0, media(), 5, b""), (8, 1, media(360), 5, b"side")]))
     (tmp_path / "bad.w3").write_bytes(b"CPSW")
-    rows = archive.read_archives(spark, str(tmp_path)).collect()
+    read = lambda glob="*": archive_source.read_archives(spark, str(tmp_path), glob=glob, slice_bytes=slice_bytes)
+    assert read("one.w3").rdd.getNumPartitions() == (1 if slice_bytes > 1000 else 4)
+    rows = read().collect()
     one = [r for r in rows if r["path"].endswith("one.w3")]
-    assert [(r["ident"], r["codec"], r["error"]) for r in one] == [(7, "wem-opus", None), (8, "wem-opus", None)]
+    assert sorted((r["ident"], r["codec"], r["error"]) for r in one) == [(7, "wem-opus", None), (8, "wem-opus", None)]
     assert [r["error"] for r in rows if r["path"].endswith("bad.w3")] == ["no archive"]
-    old, new = (archive.read_archives(spark, str(tmp_path), glob=g) for g in ("one.w3", "two.w3"))
+    old, new = read("one.w3"), read("two.w3")
     assert [(r["ident"], r["change"]) for r in archive.changed_payloads(old, new).collect()] == [(8, "payload")]
-    placed = archive.layout(old, "entry_index").orderBy("entry_index").collect()
+    placed = archive.layout(old, "ident").orderBy("entry_index").collect()
     entries = archive.parse_entries((tmp_path / "one.w3").read_bytes())
     assert [(r["wave_offset"], r["companion_offset"]) for r in placed] == [(e[3], e[5]) for e in entries]
+    assert {r["archive_bytes"] for r in placed} == {len((tmp_path / "one.w3").read_bytes())}
+
+
+def test_damaged_entries_are_counted(spark, tmp_path):
+    items = [(i, 0, media(100 + i), 5, b"c" * (i % 2)) for i in range(6)] + [(0, 0, media(), 5, b"")]
+    raw = bytearray(archive.build(items))
+    entry = lambda i, field: 11 + 40 * i + 4 * field
+    struct.pack_into("<I", raw, entry(1, 2), 10**9)  # media out of bounds
+    struct.pack_into("<I", raw, entry(2, 3), 1)  # reserved
+    struct.pack_into("<I", raw, entry(3, 6), 0)  # companion out of bounds
+    raw[struct.unpack_from("<I", raw, entry(4, 2))[0]] ^= 1
+    (tmp_path / "a.w3").write_bytes(raw)
+    got = archive_source.read_archives(spark, str(tmp_path), slice_bytes=150)
+    assert {r["error"]: r["n"] for r in archive_source.skipped(got).collect()} == {"entry out of bounds": 1, "reserved field set": 1, "companion out of bounds": 1, "block size differs": 1, "repeated id": 1}
+    assert sorted(r["ident"] for r in got.where("error is null").collect()) == [0, 5]
+
+
+def test_wanted_ids_reach_the_reader(spark, tmp_path):
+    (tmp_path / "a.w3").write_bytes(archive.build([(i, 0, media(), 5, b"") for i in range(20)]))
+    assert sorted(r["ident"] for r in archive_source.read_archives(spark, str(tmp_path), wanted={3, 5, 99}).collect()) == [3, 5]
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        got = archive_source.read_archives(spark, str(tmp_path), slice_bytes=500).where("ident in (4, 6) and channels = 1")
+        assert sorted(r["ident"] for r in got.collect()) == [4, 6]
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    reader = archive_source.PushedArchiveReader({"path": str(tmp_path)})
+    other = archive_source.EqualTo(("rate",), 1)
+    assert list(reader.pushFilters([archive_source.In(("ident",), (1, 2)), other, archive_source.EqualTo(("ident",), 2)])) == [other] and reader.wanted == {2}
+
+
+def test_written_archive(spark, tmp_path):
+    rows = [(i, i % 3, bytearray(media(50 + i)), bytearray(b"side" * (i % 2)), (50 + i) / 12000, 4, -i) for i in range(100)]
+    items = spark.createDataFrame(rows, "ident long, ident_high long, media binary, companion binary, duration double, trailer_kind long, o int").repartition(5)
+    path = str(tmp_path / "new" / "all.w3")
+    archive_source.write_archive(items, path, "o")
+    raw = (tmp_path / "new" / "all.w3").read_bytes()
+    assert raw == archive.build([(r[0], r[1], bytes(r[2]), r[5], bytes(r[3])) for r in reversed(rows)])
+    with pytest.raises(Exception, match="FileExistsError"):
+        archive_source.write_archive(items, path, "o")
+    archive_source.write_archive(items.limit(0), path, "o", force=True)
+    assert (tmp_path / "new" / "all.w3").read_bytes() == archive.build([])
+    with pytest.raises(ValueError, match="repeated"):
+        archive_source.write_archive(items.unionAll(items.where("ident = 3")), path, "o", force=True)
+    with pytest.raises(RuntimeError, match="1 entries differ"):
+        archive_source.write_archive(items.withColumn("media", F.when(F.col("ident") == 3, F.lit(b"RIFX")).otherwise(F.col("media"))), path, "o", force=True)
+    assert not (tmp_path / "new" / "all.w3").exists()
