@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import normalize_id, parse_ident
+from .reports import read_in_blocks
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -42,9 +43,9 @@ def read_lines(spark: SparkSession, path: str, need_text: bool = True) -> DataFr
 
 def read_report(spark: SparkSession, path: str, schema: str | T.StructType, delimiter: str = ";", header: bool = True) -> DataFrame:
     """CSV with a header, doubled quotes and line feeds in cells; empty cells are empty texts. A
-    missing column fails; those that the schema doesn't name are left out."""
+    missing column fails; those that the schema doesn't name are left out. Files are read in blocks."""
     schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    texts = spark.read.csv(path, sep=delimiter, header=header, quote='"', escape='"', multiLine=True, encoding="UTF-8", mode="FAILFAST", inferSchema=False)
+    texts = read_in_blocks(spark, path, delimiter, header)
     if not header:
         texts = texts.toDF(*[f.name for f in schema.fields][: len(texts.columns)])
     absent = [f.name for f in schema.fields if f.name not in texts.columns]
