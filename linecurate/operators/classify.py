@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .lexicon import fragment_scores
 
 # Catalogue order decides ties.
 STYLES = (
@@ -84,30 +85,24 @@ def _cascade(folded: Column, count: Column, markers: Column, duration: Column, f
     return out.otherwise(F.struct(F.lit("conversa_neutra").alias("style"), F.lit("media").alias("confidence")))
 
 
-def fragment_score(folded: Column, fragments: Sequence[tuple[str, float]]) -> Column:
-    """Sum of the weights of fragments that stand in a folded text as whole words (* : any ending).
+def with_style_scores(lines: DataFrame, key: str, text: str, duration: Column, lexicon: DataFrame) -> DataFrame:
+    """lines with `scores`: an array of (name, score) structs in catalogue order; a duration of 0 means it is missing.
 
-    Folded texts have one blank between words and none at the ends, so words are looked for
-    between blanks. A fragment that ends in a blank can't stand there: after it no word may go on.
+    key is unique. The lexicon is a table as lexicon.table makes it, of any length.
     """
-    out, padded = F.lit(0.0), F.concat(F.lit(" "), folded, F.lit(" "))
-    for fragment, weight in fragments:
-        token = fragment.rstrip("*")
-        there = F.lit(False) if token.endswith(" ") else F.contains(padded, F.lit(f" {token}" if fragment.endswith("*") else f" {token} "))
-        out = out + F.when(there, weight).otherwise(0.0)
-    return out
+    folded = lines.withColumn("__folded", T.fold(F.col(text)))
+    hits = fragment_scores(folded, key, "__folded", lexicon)
+    joined = folded.join(hits, key, "left")
+    scores = T.given(F.struct(T.alnum_words(F.col(text)).alias("count"), F.map_from_entries(F.coalesce("hits", F.array().cast("array<struct<style:string,score:double>>"))).alias("base")), lambda x: _style_scores(
+        F.col(text), F.col("__folded"), x["count"], duration, x["base"]))
+    return joined.withColumn("scores", scores).drop("__folded", "hits")
 
 
-def style_scores(text: Column, duration: Column, lexicon: Mapping[str, Sequence[tuple[str, float]]] = LEXICON) -> Column:
-    """Array of (name, score) structs in catalogue order; a duration of 0 means it is missing."""
-    return T.given(F.struct(T.fold(text).alias("folded"), T.alnum_words(text).alias("count")), lambda x: _style_scores(text, x["folded"], x["count"], duration, lexicon))
-
-
-def _style_scores(text: Column, folded: Column, count: Column, duration: Column, lexicon: Mapping[str, Sequence[tuple[str, float]]]) -> Column:
+def _style_scores(text: Column, folded: Column, count: Column, duration: Column, found: Column) -> Column:
     ask, cry, dots = text.contains("?"), text.contains("!"), text.rlike(r"\.\.\.|…")
     parts = F.greatest(F.lit(1), F.regexp_count(text, F.lit("[.!?]+")))
     given = lambda condition, points: F.when(condition, points).otherwise(0.0)
-    base = {s: fragment_score(folded, lexicon.get(s, ())) for s in STYLES}
+    base = {s: F.coalesce(F.try_element_at(found, F.lit(s)), F.lit(0.0)) for s in STYLES}
     sad = F.when(folded.contains("me sinto muito"), F.greatest(F.lit(0.0), base["tristeza_contida"] - 4.5)).otherwise(base["tristeza_contida"])
     firm = F.when(folded.contains("de acordo com"), F.greatest(F.lit(0.0), base["confronto_firme"] - 1.0)).otherwise(base["confronto_firme"])
     clues = base["investigacao_observacional"]

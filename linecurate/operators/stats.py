@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scan import running_total
+from .quantiles import SMALL, quantiles
+from .scan import held, running_total
 
 
 def distinct_cdf(df: DataFrame, value: str) -> DataFrame:
@@ -39,19 +40,21 @@ def ecdf_against(df: DataFrame, value: str, baseline: DataFrame, baseline_value:
 
 def robust_z(df: DataFrame, value: str, into: str = "z") -> DataFrame:
     """Adds 0.6745 * (x - median) / MAD; (x - median) / standard deviation if the MAD is 0, else 0."""
-    middle = df.agg(F.median(value).alias("__m"), F.stddev_pop(value).alias("__s"))
-    spread = df.join(F.broadcast(middle)).agg(F.median(F.abs(F.col(value) - F.col("__m"))).alias("__mad"))
-    both = F.broadcast(middle.join(F.broadcast(spread)))  # one row
+    middle = quantiles(df, value, [0.5], small=SMALL).select(F.col("quantiles")[0].alias("__m")).crossJoin(df.agg(F.stddev_pop(value).alias("__s")))
+    apart = df.select(value).crossJoin(F.broadcast(middle)).select(F.abs(F.col(value) - F.col("__m")).alias("__d"))
+    spread = quantiles(apart, "__d", [0.5], small=SMALL).select(F.col("quantiles")[0].alias("__mad"))
+    both = F.broadcast(middle.crossJoin(spread))  # one row
     diff = F.col(value) - F.col("__m")
     z = F.when(F.col("__mad") > 1e-9, 0.6745 * diff / F.col("__mad")).when(F.col("__s") > 1e-9, diff / F.col("__s")).otherwise(0.0)
-    return df.join(both).withColumn(into, z).drop("__m", "__s", "__mad")
+    return df.crossJoin(both).withColumn(into, z).drop("__m", "__s", "__mad")
 
 
 def group_scale(df: DataFrame, group: str, value: str, least: float = 5.0) -> DataFrame:
     """(group, median, scale): scale is 1.4826 * MAD, but at least `least`."""
-    middle = df.groupBy(group).agg(F.median(value).alias("median"))
-    apart = df.join(middle, group).groupBy(group).agg(F.median(F.abs(F.col(value) - F.col("median"))).alias("mad"))
-    return middle.join(apart, group).select(group, "median", F.greatest(1.4826 * F.col("mad"), F.lit(least)).alias("scale"))
+    middle = held(quantiles(df, value, [0.5], group, small=SMALL).select(group, F.col("quantiles")[0].alias("median")))
+    apart = df.select(group, value).join(middle, group).select(group, F.abs(F.col(value) - F.col("median")).alias("__d"))
+    mad = quantiles(apart, "__d", [0.5], group, small=SMALL).select(group, F.col("quantiles")[0].alias("mad"))
+    return middle.join(mad, group).select(group, "median", F.greatest(1.4826 * F.col("mad"), F.lit(least)).alias("scale"))
 
 
 def group_z(df: DataFrame, group: str, value: str, least: float = 5.0, into: str = "z") -> DataFrame:
@@ -60,9 +63,9 @@ def group_z(df: DataFrame, group: str, value: str, least: float = 5.0, into: str
 
 def tercile_bands(df: DataFrame, value: str, into: str = "band", names: tuple[str, str, str] = ("baixa", "media", "alta")) -> DataFrame:
     """Adds the band of value among the exact 33.333 and 66.667 percentiles; the low test is first."""
-    cuts = df.agg(F.percentile(value, [0.33333, 0.66667]).alias("__c"))
+    cuts = quantiles(df, value, [0.33333, 0.66667], small=SMALL).select(F.col("quantiles").alias("__c"))
     band = F.when(F.col(value) <= F.col("__c")[0], names[0]).when(F.col(value) >= F.col("__c")[1], names[2]).otherwise(names[1])
-    return df.join(F.broadcast(cuts)).withColumn(into, band).drop("__c")
+    return df.crossJoin(F.broadcast(cuts)).withColumn(into, band).drop("__c")
 
 
 def percentiles(value: Column | str, shares: list[float]) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import portuguese as P
 from ..functions import text as T
-from ..operators import classify, integrity, relational
+from ..operators import classify, integrity, lexicon, relational
 from ..plans import prepare
 from ..sources.tables import spread
 
@@ -110,7 +110,8 @@ def style_scored_argmax(spark: SparkSession, d: str) -> DataFrame:
     spoken = F.element_at(F.array(*map(F.lit, SPOKEN)), (F.col("doc_id") % len(SPOKEN)).cast("int") + 1)
     lines = _docs(spark, d).select("doc_id", F.when(F.col("doc_id") % 3 == 0, spoken).otherwise(F.concat_ws(" ", spoken, "text")).alias("line"), F.when(F.col("lang") == "de", 0.0).otherwise(F.col("n_chars") / 400).alias("seconds"))
     pilot = F.when(F.col("doc_id") % 50 == 7, "ironia_seca")
-    scored = lines.select("doc_id", classify.decide(classify.style_scores(F.col("line"), F.col("seconds"), _lexicon()), pilot).alias("x"))
+    placed = classify.with_style_scores(lines, "doc_id", "line", F.col("seconds"), lexicon.table(spark, _lexicon()))
+    scored = placed.select("doc_id", classify.decide(F.col("scores"), pilot).alias("x"))
     return scored.select("doc_id", "x.style", "x.second", F.round("x.top", 6).alias("top"), F.round("x.margin", 6).alias("margin"), "x.confidence", "x.review", "x.priority", "x.origin")
 
 

@@ -1,5 +1,6 @@
 """Golden strings of the text functions."""
 
+import random
 import re
 import unicodedata
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linecurate.functions import portuguese as P
 from linecurate.functions import text as T
-from linecurate.operators import classify
+from linecurate.operators import classify, lexicon
 
 
 def one(spark, column, **values):
@@ -138,7 +139,9 @@ def test_cascade(spark, text, markers, duration, style, confidence):
 
 def test_scores(spark):
     def best(text, duration=2.0):
-        return one(spark, classify.decide(classify.style_scores(F.col("t"), F.col("d"))), t=text, d=duration)
+        lines = spark.createDataFrame([(1, text, duration)], "i int, t string, d double")
+        scored = classify.with_style_scores(lines, "i", "t", F.col("d"), lexicon.table(spark, classify.LEXICON))
+        return scored.select(classify.decide(F.col("scores")).alias("x")).first()["x"]
 
     assert best("Há pegadas e sangue perto da caverna.")["style"] == "investigacao_observacional"
     assert best("Sinto falta dela. Descanse em paz.")["style"] == "tristeza_contida"
@@ -167,3 +170,19 @@ def test_refinement(spark):
     )
     out = {r["style"]: r["style_refined"] for r in classify.refine(df).collect()}
     assert out == {"alerta_tenso": "pergunta_cautelosa", "tristeza_contida": "tristeza_contida"}
+
+
+def test_long_lexicon(spark):
+    """10,000 fragments of one to four words, some with any ending, against a search for each."""
+    draw = random.Random(5)
+    words = ["ab", "abc", "abcd", "b", "ba", "cab", "d", "dd", "x1"]
+    fragments = sorted({" ".join(draw.choices(words, k=draw.randrange(1, 5))) + draw.choice(["", "*", " ", "*"]) for _ in range(40_000)})[:10_000]
+    lists = {s: [(f, draw.randrange(1, 9) / 8) for f in fragments[i::2]] for i, s in enumerate(("one", "two"))}
+    lists["one"].append(lists["one"][0])  # a fragment that is listed twice counts twice
+    texts = [" ".join(draw.choices(words, k=draw.randrange(0, 12))) for _ in range(60)] + ["", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {(r["i"], h["style"]): h["score"] for r in lexicon.fragment_scores(df, "i", "t", lexicon.table(spark, lists)).collect() for h in r["hits"]}
+    stands = lambda f, t: not f.endswith(" ") and (f" {f[:-1]}" in f" {t} " if f.endswith("*") else f" {f} " in f" {t} ")
+    want = {(i, s): sum(w for f, w in fs if stands(f, t)) for i, t in enumerate(texts) if t is not None for s, fs in lists.items()}
+    assert got == {k: v for k, v in want.items() if v}
+    assert lexicon.fragment_scores(df, "i", "t", lexicon.table(spark, {"one": [("*", 1.0)]})).count() == 0
