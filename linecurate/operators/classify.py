@@ -93,8 +93,8 @@ def with_style_scores(lines: DataFrame, key: str, text: str, duration: Column, l
     folded = lines.withColumn("__folded", T.fold(F.col(text)))
     hits = fragment_scores(folded, key, "__folded", lexicon)
     joined = folded.join(hits, key, "left")
-    scores = T.given(F.struct(T.alnum_words(F.col(text)).alias("count"), F.map_from_entries(F.coalesce("hits", F.array().cast("array<struct<style:string,score:double>>"))).alias("base")), lambda x: _style_scores(
-        F.col(text), F.col("__folded"), x["count"], duration, x["base"]))
+    scores = T.given(F.struct(F.col("__folded").alias("folded"), T.alnum_words(F.col(text)).alias("count"), F.map_from_entries(F.coalesce("hits", F.array().cast("array<struct<style:string,score:double>>"))).alias("base")), lambda x: _style_scores(
+        F.col(text), x["folded"], x["count"], duration, x["base"]))
     return joined.withColumn("scores", scores).drop("__folded", "hits")
 
 

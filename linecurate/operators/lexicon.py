@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import given
+
 SMALL = 100_000  # fragments that are broadcast at most; they are counted
 
 
@@ -55,8 +57,8 @@ def fragment_scores(texts: DataFrame, key: str, folded: str, lexicon: DataFrame)
     kinds = [(r["words"], r["stem"]) for r in index.select("words", "stem").distinct().orderBy("words", "stem").collect()]
     if not kinds:
         return texts.select(key, F.array().cast("array<struct<style:string,score:double>>").alias("hits")).limit(0)
-    words = F.split(folded, " ")
-    grams = texts.where(F.col(folded).isNotNull()).select(key, F.explode(F.concat(*[_runs(words, n, stem) for n, stem in kinds])).alias("g")).select(key, "g.*")
+    grams = given(F.struct(F.split(folded, " ").alias("w")), lambda x: F.concat(*[_runs(x["w"], n, stem) for n, stem in kinds]))
+    grams = texts.where(F.col(folded).isNotNull()).select(key, F.explode(grams).alias("g")).select(key, "g.*")
     index = F.broadcast(index) if index.count() <= SMALL else index
     # a fragment occurs once in the index and once in a text's runs of its kind, so no hit repeats
     found = grams.join(index, ["words", "stem", "gram"]).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("style", "place", "weight"))).alias("found"))

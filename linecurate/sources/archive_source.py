@@ -34,7 +34,7 @@ _BATCH_ROWS, _BATCH_BYTES = 1000, 4 << 20
 _ARROW = {"string": pa.string(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
 
 
-def _file_system(path: str):
+def file_system(path: str):
     from pyarrow import fs
 
     if path.startswith("file:/"):
@@ -63,7 +63,7 @@ class ArchiveReader(DataSourceReader):
     def partitions(self) -> list[Slice]:
         from pyarrow import fs
 
-        system, inner = _file_system(self.path)
+        system, inner = file_system(self.path)
         scheme = self.path.removesuffix(inner) if "://" in self.path and not self.path.startswith("file:") else ""
         info = system.get_file_info(inner)
         found = [info] if info.type == fs.FileType.File else system.get_file_info(fs.FileSelector(inner, recursive=False))
@@ -71,7 +71,7 @@ class ArchiveReader(DataSourceReader):
         return [Slice(scheme + path, size, at, at + self.slice_bytes) for path, size in files for at in range(0, max(1, size), self.slice_bytes)]
 
     def _rows(self, part: Slice) -> Iterator[dict]:
-        system, inner = _file_system(part.path)
+        system, inner = file_system(part.path)
         with system.open_input_file(inner) as file:
             fetch = lambda at, n: file.read_at(n, at)
             try:
@@ -142,7 +142,7 @@ class ArchiveWriter(DataSourceArrowWriter):
     """Writes rows of WRITTEN_SCHEMA into path + '.partial', each at its offset, so that a task that runs twice writes the same bytes twice."""
 
     def __init__(self, options: dict[str, str], overwrite: bool):
-        system, self.path = _file_system(options["path"])
+        system, self.path = file_system(options["path"])
         if system.type_name != "local":
             raise ValueError("archives are written at offsets, so path has to name a folder that all machines mount (file:)")
         if os.path.exists(self.path) and not overwrite:
@@ -258,5 +258,5 @@ def write_archive(items: DataFrame, path: str, order: str, force: bool = False)
     source = sized.select(*key, F.sha2("media", 256).alias("a"), F.sha2("companion", 256).alias("b"))
     wrong = source.join(back, key, "full_outer").where(~(F.col("a").eqNullSafe(F.col("media_sha256")) & F.col("b").eqNullSafe(F.col("companion_sha256")))).count()
     if wrong:
-        os.remove(_file_system(path)[1])
+        os.remove(file_system(path)[1])
         raise RuntimeError(f"{wrong} entries differ from what was to be written")

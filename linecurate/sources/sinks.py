@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,3 +76,23 @@ def write_bytes(spark: SparkSession, path: str, data: bytes, force: bool = False
         out.close()
     system.delete(where, False)
     system.rename(partial, where)
+
+
+def write_files(df: DataFrame, folder: str, name: str, content: str) -> int:
+    """Writes each row's bytes as a file of its own, where the row is, aside and then renamed; returns how many. Names are unique."""
+    from .archive_source import file_system
+
+    def run(batches):
+        import pyarrow as pa
+
+        system, inner = file_system(folder)
+        system.create_dir(inner, recursive=True)
+        for batch in batches:
+            for file, data in zip(batch.column(0), batch.column(1)):
+                aside = f"{inner}/.{file.as_py()}.{uuid.uuid4().hex}"
+                with system.open_output_stream(aside) as out:
+                    out.write(data.as_py())
+                system.move(aside, f"{inner}/{file.as_py()}")
+            yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    return df.select(name, content).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
