@@ -3,9 +3,10 @@
 Pages of a host are put in order of URL path; a page's partner is the neighbour with the longer
 common path prefix, copies of the page passed over. Text lines of both are aligned by longest common subsequence, and lines that
 both share are deleted: that is the site's furniture. Markup overrides the differences where it
-is plain: lines of an article or main element stay although the partner has them too (sites
-repeat articles), and menus, headers, footers, sidebars, notices, adverts, forms and reader
-comments go although they differ from page to page.
+is plain: lines of an article (or main, or a block named as content) stay although the partner has
+them too (sites repeat articles), and menus, headers, footers, sidebars, notices, adverts, forms
+and reader comments go although they differ from page to page. Where an article holds less text
+than the unmarked lines that differ, these stay as well.
 """
 
 from __future__ import annotations
@@ -41,25 +42,61 @@ _FURNITURE = re.compile(
 )
 
 
+#: Words that go with them in the name of a whole block, as in comment-list; others, as in related-work, make it something else.
+_STRUCTURE = re.compile(r"^(?:list|item|body|box|bar|block|area|section|wrapper|wrap|container|inner|outer|content|header|footer|title|links?|buttons?|icons?|posts?|articles?|stories|form|unit|slot|top|bottom|left|right|main|page|site|user|reader|thread|media|meta)$")
+#: Names of an article that isn't the page's own.
+_OTHER = re.compile(r"^(?:comments?|replies|reply|respond|teasers?|promo(?:tion|s)?|related|recommend(?:ed|ations)?|sponsor(?:ed|s)?|ads?|adverts?|advertisements?)$")
+#: Names of the block that holds the text.
+_CONTENT = re.compile(r"^(?:content|(?:main|article|post|entry|page|story|body)[-_]?(?:content|body|text)|articlebody)$")
+_CONTAINERS = frozenset("div section aside ul ol dl table details blockquote figure fieldset".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+
+def _names(attributes: str) -> Iterator[tuple[str, str]]:
+    for m in _NAMED.finditer(attributes):
+        yield m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "").lower()
+
+
+def _whole_name(token: str, words: re.Pattern) -> bool:
+    """Whether a class or id consists of such words (one at least) and words of structure."""
+    parts = [w for w in re.split(r"[-_]+", token) if w]
+    return any(map(words.match, parts)) and all(words.match(w) or _STRUCTURE.match(w) for w in parts)
+
+
 def _furniture(tag: str, attributes: str, in_main: bool) -> bool:
+    """Whether an element is furniture. Within an article only containers are judged by their names, and by whole ones; a heading's id is an anchor."""
     if tag in _DROP or tag == "header" and not in_main:
         return True
-    if not attributes or tag in ("html", "body") or tag in _MAIN:
+    if not attributes or tag in ("html", "body"):
         return False
-    for m in _NAMED.finditer(attributes):
-        name, value = m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "").lower()
+    for name, value in _names(attributes):
         if name == "hidden" or name == "aria-hidden" and value == "true":
+            return tag not in _MAIN
+        if name == "role" and value.strip() in _ROLES and tag not in _MAIN:
             return True
-        if name == "role" and value.strip() in _ROLES:
-            return True
-        if name in ("class", "id"):
-            for token in value.split():
+        if name not in ("class", "id") or name == "id" and tag in _HEADINGS:
+            continue
+        for token in value.split():
+            if tag in _MAIN:
+                if _whole_name(token, _OTHER):
+                    return True
+            elif in_main:
+                if tag in _CONTAINERS and _whole_name(token, _FURNITURE):
+                    return True
+            elif not _CONTENT.match(token):
                 words = re.split(r"[-_]+", token)
-                if any(map(_FURNITURE.match, (token, words[0], words[-1]))) or not in_main and words[-1] == "header":
+                if any(map(_FURNITURE.match, (token, words[0], words[-1]))) or words[-1] == "header":
                     return True
     return False
 
 
+def _content(tag: str, attributes: str) -> bool:
+    """Whether an element is an article, or a container that is named as the page's text."""
+    if tag in _MAIN:
+        return True
+    return tag in ("div", "section", "td") and any(name == "role" and value == "main" or name in ("class", "id") and any(map(_CONTENT.match, value.split())) for name, value in _names(attributes))
+
+
 def _tag_end(page: str, at: int, last: dict[str, int]) -> int:
     """Where the > of a tag stands whose name ends at `at`, quoted values passed over; -1 if nowhere.
     last: where each quote stands last; one that isn't closed is a letter like others."""
@@ -81,10 +118,10 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
     page = page or ""
     out: list[tuple[str, int]] = []
     line: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, furniture in or above it, article in or above it
+    stack: list[tuple[str, int, bool]] = []  # tag, furniture in or above it (1: by an open menu or header, 2: for sure), article in or above it
     count: dict[str, int] = {}  # of the stack's tags
     last = {q: page.rfind(q) for q in "\"'"}
-    dropped = in_main = False
+    dropped, in_main = 0, False
 
     def close() -> None:
         text = " ".join(html.unescape("".join(line)).split())
@@ -132,15 +169,18 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
                         break
                     if stack[depth][0] in _BLOCK:
                         break
-                dropped, in_main = stack[-1][1:] if stack else (False, False)
-            inside = tag in _MAIN or in_main
-            # an article opened in an unclosed menu or header isn't part of it
-            own = _furniture(tag, attributes, in_main) or dropped and not (tag in _MAIN and stack and stack[-1][0] in ("nav", "header", "li", "ul", "a"))
+                dropped, in_main = stack[-1][1:] if stack else (0, False)
+            inside = in_main or _content(tag, attributes)
+            own = 0
+            if _furniture(tag, attributes, in_main):
+                own = 1 if tag in ("nav", "header") and dropped < 2 else 2
+            elif dropped and not (dropped == 1 and tag in _MAIN and stack and stack[-1][0] in ("nav", "header", "li", "ul", "a")):
+                own = dropped  # an article opened in an unclosed menu or header isn't part of it
             if own != dropped or inside != in_main:
                 close()
             stack.append((tag, own, inside))
             count[tag] = count.get(tag, 0) + 1
-        dropped, in_main = stack[-1][1:] if stack else (False, False)
+        dropped, in_main = stack[-1][1:] if stack else (0, False)
     close()
     return out
 
@@ -178,7 +218,9 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
 def main_text(lines: list[tuple[str, int]], partner: list[tuple[str, int]] | None) -> tuple[str, int]:
     """The page's text after differencing with its partner, and the number of lines deleted as shared."""
     shared = common_lines([x for x, _ in lines], [x for x, _ in partner]) if partner else set()
-    marked = any(kind == 2 for _, kind in lines)
+    own = sum(len(x) for x, kind in lines if kind == 2)
+    differing = sum(len(x) for i, (x, kind) in enumerate(lines) if kind == 1 and i not in shared)
+    marked = own >= max(1, differing)  # else the marked article is a small part of the page's own text
     kept = [x for i, (x, kind) in enumerate(lines) if kind == 2 or kind == 1 and not marked and i not in shared]
     return "\n".join(kept), len(shared)
 

@@ -267,6 +267,30 @@ def test_article():
         page_text.blocks(broken)
 
 
+COMMENTS = '<main><article><h1>Title</h1><p>The text of the page itself.</p></article></main><div id="comments"><ol class="comment-list"><li><article class="comment-body"><p>What a reader says at length, longer than the text.</p></article></li></ol></div>'
+ANCHORS = (
+    '<article><h2 id="related-work">Related work</h2><p class="ad-hoc">One</p><h2 id="social-impact">Impact</h2><p class="notice-period">Two</p><h3 id="share-prices">Prices</h3><p id="alert-levels">Three</p>'
+    '<div class="share-buttons">Share</div><section class="related-posts"><p>Read on</p></section><div class="ad">Buy</div><ul id="nav-paths"><li>Four</li></ul></article>'
+)
+TEASER = '<div class="menu">M</div><div class="content"><h1>Head</h1><p>Text of the page.</p></div><article class="teaser"><p>Another page</p></article>'
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (COMMENTS, "Title\nThe text of the page itself."),
+    ('<article><p>Own</p></article><article class="comment"><p>A comment</p></article>', "Own"),
+    ('<article class="post">Own<section id="comments"><article id="comment-12"><p>No</p></article></section></article>', "Own"),
+    (ANCHORS, "Related work\nOne\nImpact\nTwo\nPrices\nThree\nFour"),
+    (TEASER, "Head\nText of the page."),
+    ("<div class=text><p>A long text of the page, without a mark.</p><p>More of it.</p></div><article><p>Small</p></article>", "A long text of the page, without a mark.\nMore of it.\nSmall"),
+    ("<div>Odd lines</div><article><p>All that is said here is long enough.</p></article>", "All that is said here is long enough."),
+    ('<div class="sidebar"><article><p>No</p></article></div><div role="main"><p>Yes</p></div>', "Yes"),
+    ('<nav><ul><li><a href="x">Menu<article class="a b"><h1>In</h1></article>', "In"),
+    ('<div class="article-body"><div class="comment-list">No</div><p>Yes</p></div>', "Yes"),
+])
+def test_markup_of_articles(page, text):
+    assert page_text.main_text(page_text.blocks(f"<html><body>{page}</body></html>"), None)[0] == text
+
+
 def test_differences_clean_unmarked_pages(spark, odd_documents):
     page = lambda i: f"<html><body><div>Site name</div><div>Links here</div><div>{prose(i, 12)}</div><div>Imprint</div></body></html>"
     rows = [(i, f"http://h.example/a/{i}", page(i)) for i in range(20)] + [(99, "http://alone.example/", page(99)), (100, None, None), (None, "::", "<p>x")]
