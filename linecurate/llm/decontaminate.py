@@ -1,7 +1,8 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
 A text of n bytes within k edits of another shares at least n - Q + 1 - k*Q of its q-grams with
-it, all on diagonals at most k apart. So shared q-grams are counted in overlapping diagonal
+it, all on diagonals at most k apart. (Where that is none, one of k + 1 pieces is free of edits, and
+these are looked up instead.) So shared q-grams are counted in overlapping diagonal
 bands; only stretches that reach this bound are aligned, and only alignments within the edit
 budget count.
 """
@@ -23,6 +24,7 @@ Q = 12
 WINDOW = 96  # bytes of an item that count as a passage; shorter items count whole
 EDITS = 0.05  # edits allowed for each byte of the passage
 BLOCK_BYTES = 4 << 20  # of benchmark text that one pass over the documents looks for
+PIECE = 10  # bytes of each half by which items are found that one edit can rob of all their q-grams
 _TABLE_BITS = 22
 _HITS = 1 << 22  # shared q-grams that are held at a time
 
@@ -32,15 +34,22 @@ def normal(text: str | None) -> bytes:
     return b" ".join(tb.lowered(text).split())
 
 
-def _grams(raw: bytes) -> np.ndarray:
-    if len(raw) < Q:
+def _grams(raw: bytes, q: int = Q) -> np.ndarray:
+    """Hashes of all runs of q bytes (10 or 12)."""
+    if len(raw) < q:
         return np.zeros(0, np.uint64)
     buffer = np.frombuffer(raw, np.uint8)
-    first = np.ndarray((len(raw) - Q + 1,), "<u8", buffer, strides=(1,))
-    last = np.ndarray((len(raw) - Q + 1,), "<u4", buffer, offset=8, strides=(1,))
+    first = np.ndarray((len(raw) - q + 1,), "<u8", buffer, strides=(1,))
+    last = np.ndarray((len(raw) - q + 1,), f"<u{q - 8}", buffer, offset=8, strides=(1,))
     return first * np.uint64(0x9E3779B97F4A7C15) + tb.mix(last.astype(np.uint64))
 
 
+def _bound(size: int) -> int:
+    """Q-grams that a passage of an item of this size shares at least, whatever edits are allowed for it."""
+    n = min(size, WINDOW)
+    return n - Q + 1 - int(EDITS * n) * Q
+
+
 class Index:
     """Q-grams of a block of benchmark items, sorted, with a bit table in front. Items with the same
     text are looked for once; those of fewer than Q bytes are kept aside, whole."""
@@ -61,6 +70,13 @@ class Index:
         self.sizes = np.array([len(t) for t in texts], np.int64)
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         self.table[self._slot(flat)] = True
+        # one of two halves is free of a single edit
+        loose = [i for i, t in enumerate(texts) if int(EDITS * len(t)) and _bound(len(t)) < 1]
+        self.pieces: dict[int, list[tuple[int, int]]] = {}
+        for i in loose:
+            for at in (0, len(texts[i]) - PIECE):
+                self.pieces.setdefault(int(_grams(texts[i][at : at + PIECE], PIECE)[0]), []).append((i, at))
+        self.piece_grams = np.array(sorted(self.pieces), np.uint64)
 
     @staticmethod
     def _slot(grams: np.ndarray) -> np.ndarray:
@@ -111,8 +127,7 @@ def edits_within(pattern: bytes, text: bytes, budget: int) -> tuple[int, int] |
 def _stretches(at: np.ndarray, size: int) -> Iterator[np.ndarray]:
     """Starts of the item's windows that hold enough q-gram hits (at: their sorted item offsets),
     those with most hits first; windows that overlap come together."""
-    n = min(size, WINDOW)
-    need = max(1, n - Q + 1 - int(EDITS * n) * Q)
+    n, need = min(size, WINDOW), max(1, _bound(size))
     if len(at) < need:
         return
     # a window holds hits i to i + need - 1 if it starts between these
@@ -161,10 +176,18 @@ def passages(raw: bytes, index: Index) -> list[tuple[int, int, int, int, int]]:
         for low, high in zip(np.concatenate(([0], edge)), np.concatenate((edge, [len(items)]))):
             item = int(items[low])
             size, own = len(index.texts[item]), int(max(1, EDITS * min(len(index.texts[item]), WINDOW)))
-            if high - low < min(size, WINDOW) - Q + 1 - int(EDITS * min(size, WINDOW)) * Q:
+            if high - low < _bound(size):
                 continue
             for starts in _stretches(np.unique(at[low:high]), size):
                 found.update((item, *got) for got in _verify(raw, index.texts[item], int(band[low]) * own, starts, own))
+    if len(index.piece_grams):
+        for start in range(0, max(1, len(raw) - PIECE + 1), 1 << 20):
+            grams = _grams(raw[start : start + (1 << 20) + PIECE - 1], PIECE)
+            place = np.searchsorted(index.piece_grams, grams)
+            place[place == len(index.piece_grams)] = 0
+            for where in np.flatnonzero(index.piece_grams[place] == grams):
+                for item, at in index.pieces[int(grams[where])]:
+                    found.update((item, *got) for got in _verify(raw, index.texts[item], start + int(where) - at, np.zeros(1, np.int64), 1))
     kept: dict[int, list[tuple[int, int, int, int, int]]] = {}
     for x in sorted(found, key=lambda x: (x[0], x[4], -x[3], x[1])):
         own = kept.setdefault(x[0], [])

@@ -59,6 +59,47 @@ def test_passages_with_edits(edits):
     assert not decontaminate.passages(scattered, index)
 
 
+def fewest_edits(pattern, text):
+    """Of pattern against any part of text, by the whole table."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(pattern, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j - 1] + (a != b), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+@pytest.mark.parametrize("size", [12, 19, 20, 21, 22, 23, 24, 39, 40, 59, 60, 79, 80, 95, 96, 120, 200])
+def test_every_edit_within_the_budget_is_found(size):
+    """Items whole, or a window of a longer one, with edits anywhere, against all edits of a full table."""
+    draw = random.Random(size)
+    letters = "abcdefghij "
+    n, budget = min(size, decontaminate.WINDOW), int(decontaminate.EDITS * min(size, decontaminate.WINDOW))
+    for case in range(40):
+        item = decontaminate.normal("".join(draw.choice(letters) for _ in range(2 * size)))[:size].strip()
+        item = item + b"k" * (size - len(item))
+        at = draw.randrange(size - n + 1)
+        part = bytearray(item[at : at + n])
+        for _ in range(draw.randrange(budget + 2)):
+            place = draw.randrange(len(part))
+            kind = draw.randrange(3)
+            if kind == 0:
+                part[place] = ord(draw.choice("xyz"))
+            elif kind == 1:
+                del part[place]
+            else:
+                part.insert(place, ord(draw.choice("xyz")))
+        raw = decontaminate.normal((prose(case, 9) + " ").encode().decode() + part.decode() + " " + prose(case + 99, 9))
+        index = decontaminate.Index([1], [item])
+        windows = range(size - n + 1)
+        want = min(fewest_edits(item[x : x + n], raw) for x in (windows if size <= n else sorted({at, max(0, at - 2), min(size - n, at + 2)}))) <= budget
+        got = decontaminate.passages(raw, index)
+        assert bool(got) == want or size > n and got, (case, item, bytes(part))
+        for _, start, end, matched, edits in got:
+            assert edits <= int(decontaminate.EDITS * matched) and matched >= n
+
+
 def test_contaminated(spark, odd_documents, no_documents):
     items = spark.createDataFrame([(1, prose(1, 60), 0), (2, None, 0), (None, prose(3, 60), 0), (4, "", 0), (5, "short", 0)], "item_id long, text string, doc_id long")
     out = decontaminate.contaminated(odd_documents, items).collect()
