@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .idsets import memberships
+
 
 class IntegrityError(ValueError):
     """A check that must pass found rows; the message has the first of them."""
@@ -147,6 +149,12 @@ def most_common(df: DataFrame, *columns: str, n: int | None = None) -> DataFrame
     return out if n is None else out.limit(n)
 
 
+def distinct_profiles(df: DataFrame, by: str, *profile: str) -> DataFrame:
+    """(by, rows, profiles): how many rows, and how many different combinations of the profile columns (nulls are values)."""
+    each = df.groupBy(by, *profile).agg(F.count("*").alias("rows"))
+    return each.groupBy(by).agg(F.sum("rows").alias("rows"), F.count("*").alias("profiles"))
+
+
 def coverage(labelled: DataFrame, key: str, label: str, names: Sequence[str]) -> DataFrame:
     """(categoria, quantidade): distinct keys of each name, also where nothing bears it."""
     have = labelled.select(F.col(label).alias("categoria"), key).distinct().groupBy("categoria").agg(F.count("*").alias("quantidade"))
@@ -168,26 +176,21 @@ def coverage_labels(manifest: DataFrame, recorded: DataFrame, packed: DataFrame,
     """(ident, categoria): all that a coverage report counts.
 
     manifest: ident, action, review; recorded and packed: ident; mapping and processing: ident,
-    status. An empty mapping or processing isn't checked.
+    status. An empty mapping or processing isn't checked. All comes from one aggregation by ident.
     """
-    generate = manifest.where("action = 'gerar'").select("ident").distinct()
-    named = lambda df, name: df.select("ident", F.lit(name).alias("categoria")).distinct()
-
-    def bad(report: DataFrame, good: Sequence[str], name: str) -> DataFrame:
-        some = report.limit(1).select(F.lit(True).alias("__some"))
-        known = generate.join(report.select("ident", "status"), "ident", "left").where(~F.coalesce("status", F.lit("ausente")).isin(*good))
-        return named(known.join(F.broadcast(some)), name)
-
-    parts = [
-        named(generate, "gerar"), named(manifest.where("action = 'usar_original'"), "usar_original"), named(manifest.where("trim(review) <> ''"), "revisao_pendente"),
-        named(generate.join(recorded, "ident", "left_anti"), "wav_faltando"), named(generate.join(packed, "ident", "left_anti"), "wem_faltando"),
-        named(recorded.join(generate, "ident", "left_anti"), "wav_extra"), named(packed.join(generate, "ident", "left_anti"), "wem_extra"),
-        bad(processing, GOOD_PROCESSING, "pos_processamento_invalido"), bad(mapping, GOOD_MAPPING, "mapeamento_invalido"),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    seen = {"gerar": manifest.where("action = 'gerar'"), "usar_original": manifest.where("action = 'usar_original'"), "revisao_pendente": manifest.where("trim(review) <> ''"), "recorded": recorded, "packed": packed}
+    for name, report, good in (("processing", processing, GOOD_PROCESSING), ("mapping", mapping, GOOD_MAPPING)):
+        seen |= {name: report, f"bad_{name}": report.where(~F.coalesce("status", F.lit("ausente")).isin(*good))}
+    rows = memberships(seen, "ident")
+    for name, report in (("processing", processing), ("mapping", mapping)):
+        rows = rows.crossJoin(F.broadcast(report.limit(1).agg((F.count("*") > 0).alias(f"checked_{name}"))))  # one row
+    c = F.col
+    wrong = lambda name: c("gerar") & c(f"checked_{name}") & (c(f"bad_{name}") | ~c(name))
+    found = {
+        "gerar": c("gerar"), "usar_original": c("usar_original"), "revisao_pendente": c("revisao_pendente"), "wav_faltando": c("gerar") & ~c("recorded"), "wem_faltando": c("gerar") & ~c("packed"),
+        "wav_extra": c("recorded") & ~c("gerar"), "wem_extra": c("packed") & ~c("gerar"), "pos_processamento_invalido": wrong("processing"), "mapeamento_invalido": wrong("mapping"),
+    }
+    return rows.select("ident", F.explode(F.array_compact(F.array(*[F.when(held, name) for name, held in found.items()]))).alias("categoria"))
 
 
 def coverage_gate(labels: DataFrame) -> None:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .idsets import memberships
 from .integrity import duplicates, require_none
 from .scan import numbered, running_total
 
@@ -36,9 +37,8 @@ def missing(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
 
 def key_differences(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """(key, side): distinct keys that only one side has."""
-    a, b = left.select(key).distinct().withColumn("__a", F.lit(True)), right.select(key).distinct().withColumn("__b", F.lit(True))
-    both = a.join(b, key, "full_outer")
-    return both.where(F.col("__a").isNull() | F.col("__b").isNull()).select(key, F.when(F.col("__b").isNull(), "left").otherwise("right").alias("side"))
+    both = memberships({"left": left.select(key), "right": right.select(key)}, key)
+    return both.where(F.col("left") != F.col("right")).select(key, F.when(F.col("left"), "left").otherwise("right").alias("side"))
 
 
 def merge_corrections(base: DataFrame, overlay: DataFrame, key: str = "id") -> DataFrame:

@@ -257,7 +257,7 @@ UNION ALL SELECT c_custkey, concat_ws('|', CASE WHEN c_custkey % 7 = 0 THEN 'med
 
 
 def most_common(spark: SparkSession, d: str) -> DataFrame:
-    """Words of all documents by falling count, and how many profiles of language and source hold each."""
+    """Words of all documents by falling count."""
     words = _docs(spark, d).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word"))
     return integrity.most_common(words, "word")
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 
 def records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
-    """(file, first, record): the records of the files, the first of each marked, blank ones left out.
+    """(file, block, at, first, record): the records of the files, the first of each marked, blank ones left out; file, block, at are their order.
 
     Lines end with a line feed, before which a carriage return is dropped outside of quotes. A
     quote within a cell must be doubled, and the cell quoted; an unclosed quote takes all lines up
@@ -32,7 +32,7 @@ def records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     placed = placed.withColumn("inside", (F.col("base") + F.coalesce(F.sum("odd").over(before), F.lit(0))) % 2 == 1)
     placed = placed.withColumn("first", (F.col("block") == 0) & (F.col("at") == F.col("head")))
     alone = ~F.col("inside") & (F.col("odd") == 0)
-    whole = placed.where(alone).select("file", "first", F.col("value").alias("record"))
+    whole = placed.where(alone).select("file", "block", "at", "first", F.col("value").alias("record"))
     # a longer record is named by the line it starts with: the last start so far in this block, or in the blocks before
     parts = placed.where(~alone).withColumn("start", F.when(~F.col("inside"), F.struct("block", "at")))
     carried = parts.groupBy("file", "block").agg(F.max("start").alias("last"))
@@ -40,12 +40,12 @@ def records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     upto = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     named = parts.join(carried, ["file", "block"]).withColumn("name", F.coalesce(F.max("start").over(upto), F.col("carried")))
     joined = named.groupBy("file", "name").agg(F.max("first").alias("first"), F.array_sort(F.collect_list(F.struct("block", "at", "value"))).alias("lines"))
-    long = joined.select("file", "first", F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("record"))
+    long = joined.select("file", "name.block", "name.at", "first", F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("record"))
     return whole.unionByName(long).withColumn("record", F.regexp_replace("record", "\r$", "")).where("record <> ''")
 
 
-def read_in_blocks(spark: SparkSession, path: str, delimiter: str = ";", header: bool = True) -> DataFrame:
-    """All cells as texts. Names come from the files' first records, which must be alike, or are _c0, _c1, ... without a header."""
+def read_in_blocks(spark: SparkSession, path: str, delimiter: str = ";", header: bool = True, place: str | None = None) -> DataFrame:
+    """All cells as texts, and if it is named, the record's place as a struct. Names come from the files' first records, which must be alike, or are _c0, _c1, ... without a header."""
     rows = records(spark, path)
     options = {"sep": delimiter, "quote": '"', "escape": '"', "mode": "FAILFAST", "multiLine": "true", "maxCharsPerColumn": "-1"}
     top = rows.where("first")
@@ -58,4 +58,4 @@ def read_in_blocks(spark: SparkSession, path: str, delimiter: str = ";", header:
     names = [c or f"_c{i}" for i, c in enumerate(cells)] if header else [f"_c{i}" for i in range(len(cells))]
     schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
     body = rows.where("not first") if header else rows
-    return body.select(F.from_csv("record", schema, options).alias("r")).select("r.*")
+    return body.select(F.from_csv("record", schema, options).alias("r"), F.struct("file", "block", "at").alias("p")).select("r.*", *([F.col("p").alias(place)] if place else []))

@@ -73,13 +73,15 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_assignments(spark: SparkSession, path: str, default: str = "sem_estilo") -> DataFrame:
-    """(id, style) by position; a first row of names is skipped, a blank style is the default."""
-    t = read_report(spark, path, "id string, style string", header=False)
-    return t.where(~F.lower(F.trim("id")).isin("id", "id_hex")).select(normalize_id("id").alias("id"), F.coalesce(F.nullif(F.trim("style"), F.lit("")), F.lit(default)).alias("style"))
+    """(id, style) by position; a first row of names is skipped, a blank style is the default, and of an id that repeats the last row counts."""
+    t = read_in_blocks(spark, path, header=False, place="__place")
+    t = t.toDF("id", "style", *t.columns[2:]).where(~F.lower(F.trim("id")).isin("id", "id_hex"))
+    rows = t.select(normalize_id("id").alias("id"), F.coalesce(F.nullif(F.trim("style"), F.lit("")), F.lit(default)).alias("style"), "__place")
+    return rows.groupBy("id").agg(F.max_by("style", "__place").alias("style"))
 
 
 def list_files(spark: SparkSession, path: str, pattern: str, glob: str = "*", recursive: bool = False) -> DataFrame:
-    """(path, name, length, and the pattern's groups as g1, g2, ...) of files whose name matches; contents aren't read."""
+    """(path, name, length, and the pattern's groups as g1, g2, ...) of files whose name matches; contents aren't read, and Spark's source leaves out empty files."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).load(path).select("path", "length")
     named = files.withColumn("name", F.element_at(F.split("path", "/"), -1)).where(F.col("name").rlike(pattern))
     groups = pattern.replace("(?:", "").replace("(?!", "").replace(r"\(", "").count("(")
