@@ -26,6 +26,7 @@ TOKENIZER_SETTING = "spark.linecurate.tokenizer"
 ITEMS = 1024  # the model's items: most frequent ids, one for all others, one for a text's end
 COMMON = 1e-6  # words of this share of all tokens or more are broadcast: 1 / COMMON at most
 SHARD_WORDS = 500_000  # words of a shard, about, and of the documents that start the model
+MAX_TASKS = 20_000  # tasks that train at most; with more shards each takes several, one after another
 START_PASSES = 4
 START_RATE, RATE = 2e-2, 8e-3
 _MEMO = 600_000
@@ -140,12 +141,15 @@ def _count(ranks):
 
 
 def _shards(batches: Iterator[pd.DataFrame], tokens: Tokens) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """(first row's key, texts as items) of about SHARD_WORDS words at a time; more than once only
+    """(first row's key, texts as items) of each shard, which follow each other; of a shard in parts only
     where very many rows are equal or texts are very long."""
-    key, held, size = None, [], 0
+    key, held, size, now = None, [], 0, None
     for batch in batches:
-        for own, raw in zip(batch["key"], _raws(batch["text"])):
-            key = int(own) if key is None else key
+        for own, shard, raw in zip(batch["key"], batch["shard"], _raws(batch["text"])):
+            if held and shard != now:
+                yield key, held
+                key, held, size = None, [], 0
+            now, key = shard, int(own) if key is None else key
             held.append(tokens.model_items(tokens(raw)))
             size += len(held[-1])
             if size > 16 * SHARD_WORDS:
@@ -199,7 +203,7 @@ def train_model(training: DataFrame, words: int, ranks: bytes, counts: np.ndarra
     The same two steps at every size: documents of about SHARD_WORDS words (one at least), chosen
     by a hash of doc_id and text, start the model; then all training documents, those too, are
     dealt by another hash into shards of about SHARD_WORDS words, and each shard goes on from the
-    start in one pass over all of its windows. What is gathered is one model (of fixed size) a
+    start in one pass over all of its windows. Up to MAX_TASKS tasks take the shards. What is gathered is one model (of fixed size) a
     shard, weighted by windows and averaged 16 to 1 by tasks until one is left. Rows are sorted
     before they are learned from, and models before they are added up, so that reruns agree.
     """
@@ -214,12 +218,15 @@ def train_model(training: DataFrame, words: int, ranks: bytes, counts: np.ndarra
     first = max(least, SHARD_WORDS / max(1, words))
     order = ("key", "doc_id", "text")
     shared = spark.sparkContext.broadcast((ranks, counts))
-    got = row.where(draw <= first).repartition(1).sortWithinPartitions(*order).select("key", "text").mapInPandas(_start(shared), "model binary").collect()[0]
+    got = row.where(draw <= first).repartition(1).sortWithinPartitions(*order).select("key", F.lit(0).alias("shard"), "text").mapInPandas(_start(shared), "model binary").collect()[0]
     start = at.Model.from_bytes(got["model"], like)
     shards = max(1, math.ceil(words / SHARD_WORDS))
     shared = spark.sparkContext.broadcast((ranks, counts, start))
     schema = "key long, n long, model binary"
-    models = row.repartition(shards, "key").sortWithinPartitions(*order).select("key", "text").mapInPandas(_improve(shared), schema)
+    each = math.ceil(shards / MAX_TASKS)
+    tasks = math.ceil(shards / each)
+    dealt = row.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(each))).repartition(tasks, "key").sortWithinPartitions("shard", *order)
+    models = dealt.select("key", "shard", "text").mapInPandas(_improve(shared), schema)
     while True:
         shards = math.ceil(shards / 16)
         models = models.repartition(shards, "key").sortWithinPartitions("key", "n", "model").mapInPandas(_average, schema)

@@ -119,8 +119,11 @@ def test_every_character_is_a_subword():
         assert tokens.encoding.decode([int(ids[n]) for n in tokens(tb.lowered(text))]) == "".join(" " + w.decode() for w in tb.lowered(text).split())
 
 
-def test_every_training_document_is_learned_from(spark, monkeypatch):
+@pytest.mark.parametrize("tasks", [20_000, 3])
+def test_every_training_document_is_learned_from(spark, monkeypatch, tasks):
+    """Also where a task trains several shards."""
     monkeypatch.setattr(lm_scoring, "SHARD_WORDS", 300)
+    monkeypatch.setattr(lm_scoring, "MAX_TASKS", tasks)
 
     def learned(changed):
         rows = [(i, prose(i + 500 * (i == changed), 50)) for i in range(60)]
@@ -135,6 +138,43 @@ def test_every_training_document_is_learned_from(spark, monkeypatch):
     assert lm_scoring.train_model(spark.createDataFrame(rows, "doc_id long, text string"), 100, ranks(), subword_counts([t for _, t in rows])).size >= 20
 
 
+def test_shards_of_a_task_are_trained_one_by_one():
+    tokens = lm_scoring.Tokens(ranks())
+    import pandas as pd
+
+    batches = [pd.DataFrame({"key": [5, 6, 7], "shard": [0, 0, 1], "text": ["a", "b", "c"]}), pd.DataFrame({"key": [8, 9], "shard": [1, 2], "text": ["d", "e"]})]
+    assert [(key, len(texts)) for key, texts in lm_scoring._shards(iter(batches), tokens)] == [(5, 2), (7, 2), (9, 1)]
+
+
+def plain_score(model, tokens, raw):
+    """log10 probability of a text by a forward pass over one position after another."""
+    p, numbers = {k: v.astype(np.float64) for k, v in model.parts.items()}, tokens(raw)
+    wanted = tokens.model_items(numbers)
+    before = np.concatenate(([model.size], wanted[:-1]))
+    total = sum(tokens.logs[n] for n in numbers)
+    for i, target in enumerate(wanted):
+        seen = range(max(0, (i // attention.STEP - 1) * attention.STEP), i + 1)
+        score = np.array([p["query"][before[i]] @ p["key"][before[j]] / math.sqrt(attention.KEY) + p["lag"][i - j] for j in seen])
+        weight = np.exp(score - score.max())
+        mixed = (weight / weight.sum()) @ p["value"][before[list(seen)]]
+        h = np.maximum(0, mixed + p["self"][before[i]])
+        for z, k in ((h @ p["wc"] + p["bc"], target // attention.PLACES), (h @ p["wp"][target // attention.PLACES] + p["bp"][target // attention.PLACES], target % attention.PLACES)):
+            total += z[k] - z.max() - math.log(np.exp(z - z.max()).sum())
+    return total / math.log(10)
+
+
+def test_scores_are_those_of_a_plain_pass(spark, monkeypatch):
+    """A table's scores against a forward pass that knows neither windows nor tables, with the model that was learned."""
+    made, real = [], lm_scoring.train_model
+    monkeypatch.setattr(lm_scoring, "train_model", lambda *a: made.append((real(*a), a)) or made[0][0])
+    rows = [(i, prose(i, 7 + 9 * i)) for i in range(12)] + [(50, ""), (51, None), (52, "x" * 700), (53, "ção 你好 \U0001f600 zebra")]
+    out = {r["doc_id"]: r["score"] for r in lm_scoring.lm_scores(spark.createDataFrame(rows, "doc_id long, text string"), lm_scoring.TOKENIZER).collect()}
+    (model, (_, _, raw, counts)), = made
+    tokens = lm_scoring.Tokens(raw, counts)
+    for i, text in rows:
+        assert out[i] == pytest.approx(plain_score(model, tokens, tb.lowered(text)), rel=1e-4)
+
+
 def test_scores_of_held_out_texts_beat_unigrams(spark, small):
     """Against the same subwords' add-one unigram probabilities; and reruns on other partitions agree."""
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").where("text is not null")
