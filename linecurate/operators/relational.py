@@ -89,7 +89,8 @@ def top_n(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], n:
 def by_priority(column: Column | str, names: Sequence[str]) -> Column:
     """Sort key of an enumeration that isn't alphabetical; unknown names last."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.coalesce(F.array_position(F.array(*[F.lit(n) for n in names]), c).cast("int"), F.lit(0)).eqNullSafe(0).cast("int") * 1000 + F.coalesce(F.array_position(F.array(*[F.lit(n) for n in names]), c).cast("int"), F.lit(0))
+    place = F.coalesce(F.array_position(F.array(*[F.lit(n) for n in names]), c).cast("int"), F.lit(0))
+    return F.when(place > 0, place).otherwise(len(names) + 1)
 
 
 def limited(df: DataFrame, n: int) -> DataFrame:

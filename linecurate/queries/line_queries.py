@@ -98,8 +98,8 @@ def gender_decisions(spark: SparkSession, d: str) -> DataFrame:
     """Rules of all kinds on lines that have them; flagged lines without rules are approved."""
     docs = _docs(spark, d)
     lines = docs.select(F.col("doc_id").alias("ident"), F.concat(F.lit("Obrigado, sou um bruxo. Eu mesmo, nº "), "doc_id", F.lit(".")).alias("text"), F.when(F.col("doc_id") % 4 == 0, "revisar_genero").otherwise("").alias("flag"))
-    rules = spark.createDataFrame([(0, "word?", "obrigado", "obrigada"), (1, "literal?", "um bruxo", "uma bruxa"), (2, "literal?", "bruxo ", "x"), (3, "word", "mesmo", "mesma"), (4, "literal", "Eu mesma", "Sim, eu mesma")], "seq int, kind string, old string, new string")
-    ruled = docs.where("doc_id % 3 = 0").select(F.col("doc_id").alias("ident"), F.explode(F.array(*[F.struct(F.lit(i).alias("seq"), F.lit(k).alias("kind"), F.lit(a).alias("old"), F.lit(b).alias("new")) for i, k, a, b in rules.collect()])).alias("r")).select("ident", "r.*")
+    rules = [(0, "word?", "obrigado", "obrigada"), (1, "literal?", "um bruxo", "uma bruxa"), (2, "literal?", "bruxo ", "x"), (3, "word", "mesmo", "mesma"), (4, "literal", "Eu mesma", "Sim, eu mesma")]
+    ruled = docs.where("doc_id % 3 = 0").select(F.col("doc_id").alias("ident"), F.explode(F.array(*[F.struct(F.lit(i).alias("seq"), F.lit(k).alias("kind"), F.lit(a).alias("old"), F.lit(b).alias("new")) for i, k, a, b in rules])).alias("r")).select("ident", "r.*")
     reasons = docs.where("doc_id % 40 = 0").select(F.col("doc_id").alias("ident"), F.lit("Só os asteriscos saíram.").alias("reason"))
     gone = docs.where("doc_id % 25 = 7").select(F.col("doc_id").alias("ident"), F.lit("Fora dos pacotes.").alias("reason"))
     return prepare.gender_decisions(lines, ruled, reasons, gone)
