@@ -260,7 +260,7 @@ FROM s, range(3) r(c) WHERE status IN ('ok', 'duplicado_equivalente', 'id_high_e
 
 
 def edit_cascade(spark: SparkSession, d: str) -> DataFrame:
-    """Documents with planted thanks, witchers, words and selves in their texts, through the whole cascade of edits."""
+    """Documents with planted thanks, grouped, words and selves in their texts, through the whole cascade of edits."""
     key = F.col("doc_id")
     planted = F.when(key % 5 == 0, "Obrigado, disse o bruxo. ").when(key % 5 == 1, "Sou eu mesmo. Do bruxo? ").when(key % 5 == 2, "Estou cansado e OBRIGADO. ").when(key % 5 == 3, "Ele mesmo viu Um bruxo. ").otherwise("")
     lines = _t(spark, d, "documents").select(key.alias("ident"), F.concat(planted, F.substring("text", 1, 200), F.when(key % 4 == 0, " o mesmo").otherwise("")).alias("text"), F.when(key % 5 == 4, "termo").otherwise("").alias("flag"))

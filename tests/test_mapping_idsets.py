@@ -58,18 +58,18 @@ def test_profiles(spark):
     assert {tuple(r) for r in integrity.distinct_profiles(df, "g", "x", "y").collect()} == {(1, 4, 3), (2, 1, 1)}
 
 
-def cascade(spark, text, witcher=False, word=None, self_=False, phrase=None):
+def cascade(spark, text, grouped=False, word=None, self_=False, phrase=None):
     lines = spark.createDataFrame([(1, text, "")], "ident long, text string, flag string")
     some = lambda on: lines.select("ident") if on else lines.select("ident").limit(0)
     listed = lambda pair: spark.createDataFrame([(1, 1, *pair)] if pair else [], "ident long, seq int, old string, new string")
-    rules = P.cascade_rules(lines, "ident", some(witcher), listed(word), some(self_), listed(phrase))
+    rules = P.cascade_rules(lines, "ident", some(grouped), listed(word), some(self_), listed(phrase))
     empty = spark.createDataFrame([], "ident long, reason string")
     return prepare.gender_decisions(lines, rules, empty, empty).select("final", F.regexp_replace("reason", "^[^:]*: ", "").alias("why")).first()
 
 
 def test_edit_cascade(spark):
-    assert tuple(cascade(spark, "Obrigado, um bruxo!", witcher=True)) == ("Obrigada, uma bruxa!", "obrigado→obrigada; bruxo→bruxa (autorreferência).")
-    assert tuple(cascade(spark, "Nada.", witcher=True))[0] == "Nada."
+    assert tuple(cascade(spark, "Obrigado, um bruxo!", grouped=True)) == ("Obrigada, uma bruxa!", "obrigado→obrigada; bruxo→bruxa (autorreferência).")
+    assert tuple(cascade(spark, "Nada.", grouped=True))[0] == "Nada."
     assert tuple(cascade(spark, "Fui eu  mesmo. MESMO?", self_=True)) == ("Fui eu  mesma. MESMA?", "mesmo→mesma (autorreferência).")
     with pytest.raises(ValueError, match="missing"):
         cascade(spark, "Ele mesmo.", self_=True)
