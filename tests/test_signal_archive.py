@@ -151,3 +151,66 @@ def test_written_archive(spark, tmp_path):
     with pytest.raises(RuntimeError, match="1 entries differ"):
         archive_source.write_archive(items.withColumn("media", F.when(F.col("ident") == 3, F.lit(b"RIFX")).otherwise(F.col("media"))), path, "o", force=True)
     assert not (tmp_path / "new" / "all.w3").exists()
+
+
+@pytest.mark.parametrize("options", [{}, {"payload": "true"}, {"idents": "5,77,300"}, {"index": "true"}])
+def test_slices_read_each_byte_about_once(tmp_path, monkeypatch, options):
+    """However many slices a file has, all of them together read little more than the file."""
+    (tmp_path / "a.w3").write_bytes(archive.build([(i, 0, media(10 + i % 7), 5, b"side" * (i % 2)) for i in range(1000)]))
+    length, read = (tmp_path / "a.w3").stat().st_size, []
+    real = archive_source.file_system
+
+    class Counting:
+        def __init__(self, file):
+            self.file = file
+
+        def read_at(self, n, at):
+            got = self.file.read_at(n, at)
+            read.append(len(got))
+            return got
+
+        def __enter__(self):
+            self.file.__enter__()
+            return self
+
+        def __exit__(self, *error):
+            self.file.__exit__(*error)
+
+    class System:
+        def __init__(self, system):
+            self.system = system
+
+        def open_input_file(self, path):
+            return Counting(self.system.open_input_file(path))
+
+        def __getattr__(self, name):
+            return getattr(self.system, name)
+
+    monkeypatch.setattr(archive_source, "file_system", lambda path: (System(real(path)[0]), real(path)[1]))
+    reader = archive_source.ArchiveReader({"path": str(tmp_path), "slice_bytes": "1024", **options})
+    parts = reader.partitions()
+    idents = [x for p in parts for batch in reader.read(p) for x in batch.column("ident").to_pylist()]
+    assert len(parts) > 100 and sorted(idents) == ([5, 77, 300] if "idents" in options else list(range(1000)))
+    assert sum(read) < 2.5 * length
+
+
+@pytest.mark.parametrize("small", [100_000, 1])
+def test_repeated_ids_in_other_slices(spark, tmp_path, monkeypatch, small):
+    """All but the first of an id are errors, also where the first is damaged; a reserved field comes first, and another archive's ids count for themselves."""
+    items = [(i % 30, i % 2, media(100 + i), 5, b"") for i in range(90)]
+    raw = bytearray(archive.build(items))
+    struct.pack_into("<I", raw, 11 + 1 + 40 * 3 + 12, 1)  # reserved: the first of id 3
+    struct.pack_into("<I", raw, 11 + 1 + 40 * 34 + 12, 1)  # and the second of id 4
+    (tmp_path / "a.w3").write_bytes(raw)
+    (tmp_path / "b.w3").write_bytes(archive.build(items[:30]))
+    monkeypatch.setattr(archive_source, "SMALL", small)
+    for payload in (False, True):
+        for wanted in (None, {3, 4, 8}):
+            got = archive_source.read_archives(spark, str(tmp_path), wanted=wanted, slice_bytes=500, payload=payload)
+            rows = {(r["path"][-4:], r["entry_index"]): r for r in got.collect()}
+            expected = [(f, i) for f, n in (("a.w3", 90), ("b.w3", 30)) for i in range(n) if wanted is None or i % 30 in wanted]
+            assert sorted(rows) == expected
+            for (file, i), r in rows.items():
+                error = "reserved field set" if file == "a.w3" and i in (3, 34) else "repeated id" if i >= 30 else None
+                assert (r["error"], r["ident"], r["media_bytes"]) == (error, i % 30, None if error else len(media(100 + i)))
+                assert not payload or r["media"] == (None if error else media(100 + i))
