@@ -176,10 +176,8 @@ def _damaged(spark: SparkSession, d: str) -> DataFrame:
         key.cast("long").alias("ident"), F.lit(0).alias("ident_high"), F.when(key % 10 == 1, _media(F.col("c_name"), "RIFX")).otherwise(_media(F.col("c_name"))).alias("media"), F.lit(b"").alias("companion"),
         (F.octet_length("c_name") / 1000 + F.when(key % 10 == 2, 1).otherwise(0)).alias("duration"), F.lit(1).alias("trailer_kind"),
     ).withColumns({"media_bytes": F.length("media").cast("long"), "companion_bytes": F.lit(0).cast("long")})
-    placed = archive.layout(items, "ident")
-    columns = [F.col(c.split()[0]).cast(c.split()[1]) for c in archive_source.WRITTEN_SCHEMA.split(", ")]
-    spark.dataSource.register(archive_source.ArchiveSource)
-    placed.select(*columns).write.format("voice_archive").mode("overwrite").save(path)
+    placed = archive.layout(items, "ident").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "ident")  # not to be put together again
+    archive_source.write_placed(placed, path, "overwrite")
     return archive_source.read_archives(spark, path, slice_bytes=65_536)
 
 
