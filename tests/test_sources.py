@@ -18,6 +18,34 @@ def test_lines(spark, tmp_path):
     assert {r["ident"] for r in tables.read_lines(spark, str(tmp_path / "l.txt"), need_text=False).collect()} == {1, 2, 3}
 
 
+def test_line_numbers_go_on(spark, tmp_path):
+    """From file to file if they are joined, and through all blocks of a file, wherever they are read."""
+    (tmp_path / "l").mkdir()
+    names = ["part-00000-x.txt", "part-99999-x.txt", "part-100000-x.txt"]
+    for i, name in enumerate(names):
+        (tmp_path / "l" / name).write_text("".join(f"{1000 * i + k}|{'y' * (k % 13)}z\n\n" for k in range(400)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        whole = {r["ident"]: r["line_no"] for r in tables.read_lines(spark, str(tmp_path / "l"), joined=True).collect()}
+        each = {r["ident"]: r["line_no"] for r in tables.read_lines(spark, str(tmp_path / "l")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert whole == {1000 * i + k: 800 * i + 2 * k + 1 for i in range(3) for k in range(400)}
+    assert each == {1000 * i + k: 2 * k + 1 for i in range(3) for k in range(400)}
+
+
+def test_lines_are_written_by_several_tasks(spark, small, same_as_sql, monkeypatch, tmp_path):
+    from linecurate.queries import source_queries
+
+    monkeypatch.setattr(source_queries, "scratch", lambda *_: str(tmp_path / "lines"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        same_as_sql(source_queries.line_files, source_queries.LINES_SQL)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "lines").glob("part-*"))) == 4
+
+
 def test_report_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, 'a "quoted"; text\nover lines', ""), (2, "b", "é")], "id int, text string, note string")
     sinks.write_report(df, str(tmp_path / "r"), ["id", "text", "note"], order=["id"])
