@@ -1,8 +1,10 @@
 """Weighted fragments looked up in texts through an index of word runs.
 
-A lexicon is a table of any length: style, fragment, weight, and its place in the style's list. Texts
-are cut once into runs of as many words as fragments have, and joined with it. Fragments that end
-in * are found by the first letters of a run's last word, for each length that the lexicon has.
+A lexicon is a table of any length: style, fragment, weight, and its place in the style's list. A
+counted small lexicon is looked up by the first letters of each word, and the words from there on are
+compared with the fragment. For a longer one texts are cut once into runs of as many words as
+fragments have, and joined with it; fragments that end in * are found by the first letters of a
+run's last word, for each length that the lexicon has.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.text import given
 
 SMALL = 100_000  # fragments that are broadcast at most; they are counted
+FRONT = 4  # letters of a word by which fragments are looked up
 
 
 def table(spark: SparkSession, lexicon: Mapping[str, Sequence[tuple[str, float]]]) -> DataFrame:
@@ -46,22 +49,45 @@ def _runs(words: Column, n: int, stem: int) -> Column:
     return F.when(F.size(words) >= n, keyed).otherwise(F.array().cast("array<struct<words:int,stem:int,gram:string>>"))
 
 
+def _found_by_front(texts: DataFrame, key: str, folded: str, index: DataFrame) -> DataFrame:
+    """(key, style, place, weight) of all places where a fragment of a small index stands.
+
+    A word is looked up by its first FRONT letters, and by fewer where a fragment of one word is a
+    shorter stem, so a word gives FRONT rows at most.
+    """
+    head = F.element_at(F.split("gram", " "), 1)
+    letters = F.when((F.col("words") == 1) & (F.col("stem") > 0), F.least("stem", F.lit(FRONT))).otherwise(FRONT)
+    fronts = index.select("style", "place", "weight", "words", "stem", "gram", letters.alias("letters"), F.substring(head, F.lit(1), letters).alias("front"))
+    lengths = [r["letters"] for r in fronts.select("letters").distinct().orderBy("letters").collect()]
+    words = texts.where(F.col(folded).isNotNull()).select(key, F.split(folded, " ").alias("__words"))
+    words = words.select(key, "__words", F.posexplode("__words").alias("__at", "__word"))
+    asked = words.select("*", F.explode(F.array(*[F.struct(F.lit(n).alias("letters"), F.substring("__word", 1, n).alias("front")) for n in lengths])).alias("__f"))
+    asked = asked.select(key, "__words", "__at", "__word", "__f.letters", "__f.front")
+    run = F.when(F.col("words") == 1, F.col("__word")).otherwise(F.array_join(F.slice("__words", F.col("__at") + 1, F.col("words")), " "))
+    stands = F.when(F.col("stem") > 0, F.startswith(run, F.col("gram"))).otherwise(run == F.col("gram"))
+    return asked.join(F.broadcast(fronts), ["letters", "front"]).where(stands).select(key, "style", "place", "weight")
+
+
+def _found_by_runs(texts: DataFrame, key: str, folded: str, index: DataFrame) -> DataFrame:
+    """The same by joining all runs of words. The kinds of fragments (numbers of words, lengths of stems) are read from the index first, a row a kind."""
+    kinds = [(r["words"], r["stem"]) for r in index.select("words", "stem").distinct().orderBy("words", "stem").collect()]
+    grams = given(F.struct(F.split(folded, " ").alias("w")), lambda x: F.concat(*[_runs(x["w"], n, stem) for n, stem in kinds]))
+    grams = texts.where(F.col(folded).isNotNull()).select(key, F.explode(grams).alias("g")).select(key, "g.*")
+    return grams.join(index, ["words", "stem", "gram"]).select(key, "style", "place", "weight")
+
+
 def fragment_scores(texts: DataFrame, key: str, folded: str, lexicon: DataFrame) -> DataFrame:
     """(key, hits) of the texts that hold a fragment: array of (style, score), the weights of each style's fragments added up in their order.
 
-    key is unique. Each fragment counts once a text; * stands for any ending of its last word. The
-    kinds of fragments (numbers of words, lengths of stems) are read from the lexicon first, a row
-    a kind.
+    key is unique. Each fragment counts once a text; * stands for any ending of its last word.
     """
     index = _indexed(lexicon)
-    kinds = [(r["words"], r["stem"]) for r in index.select("words", "stem").distinct().orderBy("words", "stem").collect()]
-    if not kinds:
+    many = index.count()
+    if not many:
         return texts.select(key, F.array().cast("array<struct<style:string,score:double>>").alias("hits")).limit(0)
-    grams = given(F.struct(F.split(folded, " ").alias("w")), lambda x: F.concat(*[_runs(x["w"], n, stem) for n, stem in kinds]))
-    grams = texts.where(F.col(folded).isNotNull()).select(key, F.explode(grams).alias("g")).select(key, "g.*")
-    index = F.broadcast(index) if index.count() <= SMALL else index
-    # a fragment occurs once in the index and once in a text's runs of its kind, so no hit repeats
-    found = grams.join(index, ["words", "stem", "gram"]).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("style", "place", "weight"))).alias("found"))
+    # a style has one fragment a place, so a set counts each once
+    hits = _found_by_front(texts, key, folded, index) if many <= SMALL else _found_by_runs(texts, key, folded, index)
+    found = hits.groupBy(key).agg(F.array_sort(F.collect_set(F.struct("style", "place", "weight"))).alias("found"))
     styles = F.array_distinct(F.transform("found", lambda h: h["style"]))
     total = lambda s: F.aggregate(F.filter("found", lambda h: h["style"] == s), F.lit(0.0), lambda acc, h: acc + h["weight"])
     return found.select(key, F.transform(styles, lambda s: F.struct(s.alias("style"), total(s).alias("score"))).alias("hits"))

@@ -186,3 +186,18 @@ def test_long_lexicon(spark):
     want = {(i, s): sum(w for f, w in fs if stands(f, t)) for i, t in enumerate(texts) if t is not None for s, fs in lists.items()}
     assert got == {k: v for k, v in want.items() if v}
     assert lexicon.fragment_scores(df, "i", "t", lexicon.table(spark, {"one": [("*", 1.0)]})).count() == 0
+
+
+def test_ways_to_find_fragments_agree(spark, monkeypatch):
+    """Fragments are found alike by fronts and by runs, and by fronts a word isn't cut for each kind of fragment."""
+    draw = random.Random(8)
+    words = ["a", "ab", "abc", "abcd", "abcde", "abcdefghij", "b", "ba", "zzzz", "zzzzz"]
+    texts = [(i, " ".join(draw.choices(words, k=draw.randrange(0, 15)))) for i in range(80)] + [(80, None)]
+    df = spark.createDataFrame(texts, "i int, t string")
+    lists = {"one": [("abcdefghij"[:n] + "*", n / 4) for n in range(1, 11)] + [("zzzz", 1.0), ("ab a", 2.0)], "two": [("abcd zz*", 0.5), ("b", 0.25), ("b ba abc*", 3.0), ("zzzzz zzzz", 1.5)]}
+    table = lexicon.table(spark, lists)
+    made = lexicon.fragment_scores(df, "i", "t", table)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("substring") <= 2 * 4 + 1
+    fronts = {r["i"]: r["hits"] for r in made.collect()}
+    monkeypatch.setattr(lexicon, "SMALL", 0)
+    assert fronts and fronts == {r["i"]: r["hits"] for r in lexicon.fragment_scores(df, "i", "t", table).collect()}
