@@ -18,6 +18,7 @@ RUN = 8  # windows that training takes one after another
 RUNS = 32  # such runs in a batch
 _CLOSED = np.float32(-1e4)
 _MOST = np.float32(60)  # above this a score counts as this, so that its exponential is finite
+_MANY = 32
 _TABLES = ("query", "key", "value", "self")
 _LAG = np.arange(STEP)[:, None] + STEP - np.arange(2 * STEP)[None, :]  # how far a key lies before a query
 
@@ -86,6 +87,24 @@ def _lags(model: Model) -> np.ndarray:
     return np.where(_LAG >= 0, bias, _CLOSED)
 
 
+def _both(parts: dict[str, np.ndarray]) -> np.ndarray:
+    """For each class the columns of all classes, then of its own places, so that one product gives both; the last row are the biases."""
+    classes = parts["wc"].shape[1]
+    out = np.empty((classes, WIDTH + 1, classes + PLACES), np.float32)
+    out[:, :WIDTH, :classes], out[:, WIDTH, :classes] = parts["wc"], parts["bc"]
+    out[:, :WIDTH, classes:], out[:, WIDTH, classes:] = parts["wp"], parts["bp"]
+    return out
+
+
+def _by_class(flat: np.ndarray, classes: int) -> tuple[np.ndarray, list[int], np.ndarray, np.ndarray]:
+    """Where the targets lie in order of class (those of -1 left out), where each class begins, and the two columns of each target in _both."""
+    kind = flat // PLACES
+    order = np.argsort(kind.astype(np.int16), kind="stable")
+    order = order[np.searchsorted(kind[order], 0) :]
+    kind = kind[order]
+    return order, np.searchsorted(kind, np.arange(classes + 1)).tolist(), kind, classes + flat[order] - kind * PLACES
+
+
 class Scorer:
     """A model's tables laid out for scoring.
 
@@ -102,15 +121,8 @@ class Scorer:
         self.lag = np.exp(_lags(model))
         self.values = np.concatenate((np.concatenate((p["value"], np.ones((n + 1, 1), np.float32)), axis=1), np.zeros((1, WIDTH + 1), np.float32)))
         self.own = np.concatenate((p["self"], np.zeros((n + 1, 1), np.float32)), axis=1)
-        self.kinds = np.concatenate((p["wc"], p["bc"][None]))
-        self.inside = np.concatenate((p["wp"], p["bp"][:, None]), axis=1)
-        self.ones = np.ones(max(PLACES, self.kinds.shape[1]), np.float32)
-
-    def _log_sum(self, z: np.ndarray) -> np.ndarray:
-        if z.max() > 60:
-            top = z.max(axis=1)
-            return np.log(np.exp(z - top[:, None]) @ self.ones[: z.shape[1]]) + top
-        return np.log(np.exp(z) @ self.ones[: z.shape[1]])
+        self.both, self.classes = _both(p), p["wc"].shape[1]
+        self.halves = np.repeat(np.eye(2, dtype=np.float32), (self.classes, PLACES), axis=0)
 
     def __call__(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log probability of each target (0 where there is none)."""
@@ -118,31 +130,26 @@ class Scorer:
         weights = np.take(self.weights, (last * np.int32(self.places))[:, :, None] + inputs[:, None, :])
         weights *= self.lag
         mixed = (weights @ np.take(self.values, inputs, axis=0)).reshape(-1, WIDTH + 1)
-        flat, last = targets.ravel(), last.ravel()
-        real = np.flatnonzero(flat >= 0)
-        if len(real) < len(flat):
-            mixed, last = mixed[real], last[real]
-        wanted = flat[real]
-        mixed /= mixed[:, WIDTH:].copy()
-        mixed += np.take(self.own, last, axis=0)
-        h = np.maximum(mixed, 0, out=mixed)
-        kind = wanted // PLACES
-        place = wanted - kind * PLACES
-        z = h @ self.kinds
-        got = z[np.arange(len(real)), kind]
-        got -= self._log_sum(z)
-        order = np.argsort(kind.astype(np.int16), kind="stable")
-        h, place = np.take(h, order, axis=0), place[order]
-        edge = np.searchsorted(kind[order], np.arange(self.kinds.shape[1] + 1))
-        inner = np.empty(len(real), np.float32)
-        for c in range(len(edge) - 1):
-            a, b = edge[c], edge[c + 1]
+        flat = targets.ravel()
+        order, edge, kind, place = _by_class(flat, self.classes)
+        h = np.take(mixed, order, axis=0)
+        h /= h[:, WIDTH:].copy()
+        h += np.take(self.own, last.ravel()[order], axis=0)
+        np.maximum(h, 0, out=h)
+        z = np.empty((len(order), self.classes + PLACES), np.float32)
+        for c, (a, b) in enumerate(zip(edge, edge[1:])):
             if a < b:
-                z = h[a:b] @ self.inside[c]
-                inner[a:b] = z[np.arange(b - a), place[a:b]] - self._log_sum(z)
-        got[order] += inner
+                np.matmul(h[a:b], self.both[c], out=z[a:b])
+        rows = np.arange(len(order))
+        got = z[rows, kind] + z[rows, place]
+        if z.size and z.max() > _MOST:
+            for part in (z[:, : self.classes], z[:, self.classes :]):
+                top = part.max(axis=1)
+                part -= top[:, None]
+                got -= top
+        got -= np.log(np.exp(z, out=z) @ self.halves).sum(axis=1)
         out = np.zeros(len(flat), np.float32)
-        out[real] = got
+        out[order] = got
         return out.reshape(targets.shape)
 
 
@@ -160,78 +167,87 @@ def _gradients(parts: dict[str, np.ndarray], lags: np.ndarray, ids: np.ndarray,
     table, n = parts["table"], targets.shape[0] * targets.shape[1] * STEP
     scale = np.float32(KEY**-0.5)
     x = np.take(table, ids, axis=0)
-    q, k, v, own = x[:, 1:, :, :KEY], x[..., KEY : 2 * KEY], x[..., 2 * KEY : 2 * KEY + WIDTH], x[:, 1:, :, 2 * KEY + WIDTH :]
-    q = q * scale
-    weights = []
-    for half, at in ((0, k[:, :-1]), (1, k[:, 1:])):
-        w = q @ at.swapaxes(2, 3)
-        w += lags[:, half * STEP : (half + 1) * STEP]
-        weights.append(np.exp(np.minimum(w, _MOST, out=w), out=w))
-    before, now = weights
-    before[opens] = 0
-    ones = np.ones((STEP, 1), np.float32)
-    total = before @ ones
-    total += now @ ones
-    mixed = before @ v[:, :-1]
-    mixed += now @ v[:, 1:]
+    # a window's keys and values are its own block and the one before, which lie side by side
+    pairs = np.lib.stride_tricks.as_strided(x, (*targets.shape[:2], 2 * STEP, x.shape[3]), x.strides, writeable=False)
+    q, k, v = x[:, 1:, :, :KEY] * scale, pairs[..., KEY : 2 * KEY], pairs[..., 2 * KEY : 2 * KEY + WIDTH]
+    w = q @ k.swapaxes(2, 3)
+    w += lags
+    _exp(w)
+    w[opens, :, :STEP] = 0
+    total = w @ np.ones((2 * STEP, 1), np.float32)
+    mixed = w @ v
     mixed /= total
-    h = (mixed + own).reshape(n, WIDTH)
-    flat = targets.ravel()
-    kind = flat // PLACES
-    # in order of class; what has no target (class -1) comes first and is left out
-    order = np.argsort(kind.astype(np.int16), kind="stable")
-    order = order[np.searchsorted(kind[order], 0) :]
-    real, kind = max(1, len(order)), kind[order]
-    place = flat[order] - kind * PLACES
-    o = np.maximum(np.take(h, order, axis=0), 0)
+    h = (mixed + x[:, 1:, :, 2 * KEY + WIDTH :]).reshape(n, WIDTH)
+    classes, both = parts["wc"].shape[1], _both(parts)
+    order, edge, kind, place = _by_class(targets.ravel(), classes)
+    real = max(1, len(order))
+    o = np.ones((len(order), WIDTH + 1), np.float32)
+    np.maximum(np.take(h, order, axis=0), 0, out=o[:, :WIDTH])
+    parted = [(c, slice(a, b)) for c, (a, b) in enumerate(zip(edge, edge[1:])) if a < b]
+    z = np.empty((len(order), classes + PLACES), np.float32)
+    for c, rows in parted:
+        np.matmul(o[rows], both[c], out=z[rows])
+    _exp(z)
+    z[:, :classes] /= z[:, :classes] @ np.ones((classes, 1), np.float32)
+    z[:, classes:] /= z[:, classes:] @ np.ones((PLACES, 1), np.float32)
     rows = np.arange(len(order))
-    z = _softmax(o @ parts["wc"] + parts["bc"])
-    loss = -np.log(z[rows, kind]).sum(dtype=np.float64)
+    loss = -(np.log(z[rows, kind]) + np.log(z[rows, place])).sum(dtype=np.float64)
     z[rows, kind] -= 1
-    g = {"wc": o.T @ z, "bc": np.ones(len(z), np.float32) @ z, "wp": np.zeros_like(parts["wp"]), "bp": np.zeros_like(parts["bp"])}
-    do = z @ parts["wc"].T
-    edge = np.searchsorted(kind, np.arange(parts["wc"].shape[1] + 1))
-    for c in np.flatnonzero(np.diff(edge)):
-        a, b = edge[c], edge[c + 1]
-        z = _softmax(o[a:b] @ parts["wp"][c] + parts["bp"][c])
-        loss -= np.log(z[rows[: b - a], place[a:b]]).sum(dtype=np.float64)
-        z[rows[: b - a], place[a:b]] -= 1
-        g["wp"][c], g["bp"][c] = o[a:b].T @ z, np.ones(b - a, np.float32) @ z
-        do[a:b] += z @ parts["wp"][c].T
-    do *= o > 0
-    dx = np.zeros_like(x)
+    z[rows, place] -= 1
+    back, do = np.zeros_like(both), np.empty((len(order), WIDTH), np.float32)
+    for c, rows in parted:
+        np.matmul(o[rows].T, z[rows], out=back[c])
+        np.matmul(z[rows], both[c, :WIDTH].T, out=do[rows])
+    shared = back[:, :, :classes].sum(axis=0)
+    g = {"wc": shared[:WIDTH], "bc": shared[WIDTH], "wp": back[:, :WIDTH, classes:].copy(), "bp": back[:, WIDTH, classes:].copy()}
+    do *= o[:, :WIDTH] > 0
+    dx = np.empty_like(x)
+    dx[:, :1] = 0
     dh = np.zeros((n, WIDTH), np.float32)
     dh[order] = do
     dh = dh.reshape(mixed.shape)
     dx[:, 1:, :, 2 * KEY + WIDTH :] = dh
     dh = dh / total
-    level = (dh * mixed) @ np.ones((WIDTH, 1), np.float32)
-    dlag = []
-    for w, at in ((before, slice(0, -1)), (now, slice(1, None))):
-        dx[:, at, :, 2 * KEY : 2 * KEY + WIDTH] += w.swapaxes(2, 3) @ dh
-        ds = dh @ v[:, at].swapaxes(2, 3)
-        ds -= level
-        ds *= w
-        dlag.append((np.ones(n // STEP, np.float32) @ ds.reshape(n // STEP, STEP * STEP)).reshape(STEP, STEP))
-        dx[:, at, :, KEY : 2 * KEY] += ds.swapaxes(2, 3) @ q
-        dx[:, 1:, :, :KEY] += ds @ k[:, at]
-    dx[:, 1:, :, :KEY] *= scale
-    g["lag"] = np.bincount(np.clip(_LAG, 0, None).ravel(), weights=np.where(_LAG >= 0, np.concatenate(dlag, axis=1), 0).ravel(), minlength=2 * STEP)[: 2 * STEP].astype(np.float32)
-    places = ids.ravel()
-    order = np.argsort(places.astype(np.int16) if len(table) < 1 << 15 else places, kind="stable")  # short numbers are sorted by radix
-    places = places[order]
-    first = np.flatnonzero(np.diff(places, prepend=-1))
-    g["table"] = np.zeros_like(table)
-    g["table"][places[first]] = np.add.reduceat(np.take(dx.reshape(-1, table.shape[1]), order, axis=0), first, axis=0)
+    d = w.swapaxes(2, 3) @ dh
+    dx[:, 1:, :, 2 * KEY : 2 * KEY + WIDTH] = d[:, :, STEP:]
+    dx[:, :-1, :, 2 * KEY : 2 * KEY + WIDTH] += d[:, :, :STEP]
+    ds = dh @ v.swapaxes(2, 3)
+    ds -= (dh * mixed) @ np.ones((WIDTH, 1), np.float32)
+    ds *= w
+    d = ds.swapaxes(2, 3) @ q
+    dx[:, 1:, :, KEY : 2 * KEY] = d[:, :, STEP:]
+    dx[:, :-1, :, KEY : 2 * KEY] += d[:, :, :STEP]
+    d = ds @ k
+    np.multiply(d, scale, out=dx[:, 1:, :, :KEY])
+    dlag = (np.ones(n // STEP, np.float32) @ ds.reshape(n // STEP, 2 * STEP * STEP)).reshape(STEP, 2 * STEP)
+    g["lag"] = np.bincount(np.clip(_LAG, 0, None).ravel(), weights=np.where(_LAG >= 0, dlag, 0).ravel(), minlength=2 * STEP)[: 2 * STEP].astype(np.float32)
+    g["table"] = _sums(ids.ravel(), dx.reshape(-1, table.shape[1]), len(table))
     for d in g.values():
         d /= np.float32(real)
     return g, float(loss) / real
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    np.exp(np.minimum(z, _MOST, out=z), out=z)
-    z /= z @ np.ones((z.shape[1], 1), z.dtype)
-    return z
+def _exp(z: np.ndarray) -> None:
+    """In place; looking for large values costs less than a pass that caps them."""
+    if z.size and z.max() > _MOST:
+        np.minimum(z, _MOST, out=z)
+    np.exp(z, out=z)
+
+
+def _sums(places: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows of each place 0..size-1. Places with many rows are added up one by one, whole rows
+    at a time; reduceat, which goes down column by column, is left with the others."""
+    count, out = np.bincount(places, minlength=size), np.zeros((size, rows.shape[1]), np.float32)
+    order = np.argsort(places.astype(np.int16) if size < 1 << 15 else places, kind="stable")  # short numbers are sorted by radix
+    crowded = count >= _MANY
+    inside = np.repeat(crowded, count)
+    many, few = np.flatnonzero(crowded), np.flatnonzero((count > 0) & ~crowded)
+    part, edge = np.take(rows, order[inside], axis=0), [0, *np.cumsum(count[many]).tolist()]
+    for i, a, b in zip(many.tolist(), edge, edge[1:]):
+        np.add.reduce(part[a:b], axis=0, out=out[i])
+    if len(few):
+        out[few] = np.add.reduceat(np.take(rows, order[~inside], axis=0), np.cumsum(count[few]) - count[few], axis=0)
+    return out
 
 
 def _joined(model: Model) -> dict[str, np.ndarray]:

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import base64
 import math
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,23 +31,36 @@ MAX_TASKS = 20_000  # tasks that train at most; with more shards each takes seve
 START_PASSES = 4
 START_RATE, RATE = 2e-2, 8e-3
 _MEMO = 600_000
-_FLUSH = 1 << 22
+_MEET = 1 << 21
+_FLUSH_WORDS, _FLUSH_BYTES = 1 << 19, 1 << 26  # distinct words that a task holds at most, and bytes of texts they come from, about
 
 
 class _Memo(dict):
     """Numbers (int32 bytes) of a word's subwords, with a blank in front; of long words each 256 characters are
-    encoded by themselves. Keeps up to _MEMO words."""
+    encoded by themselves. Keeps up to _MEMO words, and those of the texts at hand."""
 
     def __init__(self, tokens: Tokens):
-        self.encode, self.number = tokens.encoding.encode_ordinary, tokens.number
+        self.encoding, self.number, self.lengths, self.passing = tokens.encoding, tokens.number, tokens.lengths, []
 
     def __missing__(self, word: bytes) -> bytes:
         text = " " + word.decode("utf-8", "replace")
-        ids = self.encode(text) if len(text) <= 256 else [i for k in range(0, len(text), 256) for i in self.encode(text[k : k + 256])]
-        got = self.number[ids].tobytes()
-        if len(self) < _MEMO and len(word) <= 64:
-            self[word] = got
-        return got
+        return self.number[[i for k in range(0, len(text), 256) for i in self.encoding.encode_ordinary(text[k : k + 256])]].tobytes()
+
+    def meet(self, words: Iterable[bytes]) -> None:
+        """Encodes the words that aren't known yet in one call, which costs a fraction of a call for each."""
+        for word in self.passing:
+            del self[word]
+        new = [w for w in words if w not in self]
+        long, short = [w for w in new if len(w) >= 64], [w for w in new if len(w) < 64]
+        room = max(0, _MEMO - len(self))
+        self.passing = short[room:] + long
+        if short:
+            ids = self.encoding.encode_to_numpy(" " + b" ".join(short).decode())
+            last = np.cumsum(np.fromiter(map(len, short), np.int64, len(short)) + 1)
+            edge = [0, *(np.searchsorted(np.cumsum(self.lengths[ids]), last) + 1).tolist()]
+            raw = self.number[ids].tobytes()
+            self.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(short, edge, edge[1:]))
+        self.update((w, self[w]) for w in long)
 
 
 class Tokens:
@@ -60,9 +74,11 @@ class Tokens:
         import tiktoken
 
         table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
-        # a word is one piece, whatever it holds
-        self.encoding = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=table, special_tokens={})
+        # a word and the blank in front are one piece, whatever the word holds, and so is a part of a long word
+        self.encoding = tiktoken.Encoding("words", pat_str=r" [^ ]+|[\s\S]+", mergeable_ranks=table, special_tokens={})
         ids = max(table.values()) + 1
+        self.lengths = np.zeros(ids, np.int64)
+        self.lengths[list(table.values())] = [len(x) for x in table]
         counts = np.zeros(ids, np.int64) if counts is None else counts
         order = np.argsort(-counts, kind="stable")
         self.number = np.empty(ids, np.int32)
@@ -75,6 +91,20 @@ class Tokens:
     def __call__(self, raw: bytes) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.memo.__getitem__, raw.split())), np.int32)
 
+    def all(self, raws: list[bytes]) -> list[np.ndarray]:
+        """Each text's numbers. Words are met by _MEET bytes of text."""
+        out, i = [], 0
+        while i < len(raws):
+            j, size = i, 0
+            while j < len(raws) and (j == i or size < _MEET):
+                size += len(raws[j])
+                j += 1
+            split = [r.split() for r in raws[i:j]]
+            self.memo.meet(set().union(*split))
+            out += [np.frombuffer(b"".join(map(self.memo.__getitem__, words)), np.int32) for words in split]
+            i = j
+        return out
+
     def model_items(self, numbers: np.ndarray) -> np.ndarray:
         """The model's items of a text's numbers, then the end."""
         return np.append(np.minimum(numbers, self.items), np.int32(self.items + 1))
@@ -94,7 +124,7 @@ def _tokens(ranks: bytes, counts: np.ndarray | None) -> Tokens:
 
 def score_texts(model: at.Scorer, tokens: Tokens, raws: list[bytes]) -> np.ndarray:
     """log10 probability of each text's subwords and its end."""
-    texts = [tokens(r) for r in raws]
+    texts = tokens.all(raws)
     total = np.array([tokens.logs[t].sum() for t in texts], np.float64)
     i = 0
     while i < len(texts):
@@ -116,21 +146,23 @@ def _raws(texts) -> list[bytes]:
 def _count(ranks):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         steady_memory()
-        held, size, tokens = [], 0, _tokens(ranks.value, None)
+        held, size, tokens = Counter(), 0, _tokens(ranks.value, None)
         subwords = np.zeros(len(tokens.number), np.int64)
 
         def flush() -> pd.DataFrame:
-            value, count = np.unique(np.concatenate([*held, np.zeros(0, np.uint64)]), return_counts=True)
+            words, count = list(held), np.fromiter(held.values(), np.int64, len(held))
             held.clear()
-            return pd.DataFrame({"kind": 0, "h": value.view(np.int64), "c": count.astype(np.int64)})
+            tokens.memo.meet(words)
+            parts = [tokens.memo[w] for w in words]
+            each = np.repeat(count, np.fromiter(map(len, parts), np.int64, len(parts)) // 4)
+            subwords[:] += np.bincount(np.frombuffer(b"".join(parts), np.int32), weights=each, minlength=len(subwords)).astype(np.int64)
+            return pd.DataFrame({"kind": 0, "h": tb.word_hashes([b" ".join(words)])[0].view(np.int64), "c": count})
 
         for batch in batches:
-            raws = _raws(batch["text"])
-            words, _ = tb.word_hashes(raws)
-            subwords += np.bincount(np.concatenate([np.zeros(0, np.int32), *map(tokens, raws)]), minlength=len(subwords))
-            held.append(words)
-            size += len(words)
-            if size >= _FLUSH:
+            for raw in _raws(batch["text"]):
+                held.update(raw.split())
+                size += len(raw)
+            if len(held) >= _FLUSH_WORDS or size >= _FLUSH_BYTES:
                 yield flush()
                 size = 0
         yield flush()
@@ -145,12 +177,12 @@ def _shards(batches: Iterator[pd.DataFrame], tokens: Tokens) -> Iterator[tuple[i
     where very many rows are equal or texts are very long."""
     key, held, size, now = None, [], 0, None
     for batch in batches:
-        for own, shard, raw in zip(batch["key"], batch["shard"], _raws(batch["text"])):
+        for own, shard, numbers in zip(batch["key"], batch["shard"], tokens.all(_raws(batch["text"]))):
             if held and shard != now:
                 yield key, held
                 key, held, size = None, [], 0
             now, key = shard, int(own) if key is None else key
-            held.append(tokens.model_items(tokens(raw)))
+            held.append(tokens.model_items(numbers))
             size += len(held[-1])
             if size > 16 * SHARD_WORDS:
                 yield key, held

@@ -119,6 +119,47 @@ def test_every_character_is_a_subword():
         assert tokens.encoding.decode([int(ids[n]) for n in tokens(tb.lowered(text))]) == "".join(" " + w.decode() for w in tb.lowered(text).split())
 
 
+@pytest.mark.parametrize("memo", [600_000, 5])
+def test_new_words_are_encoded_in_one_call(monkeypatch, memo):
+    """With the subwords of words encoded one by one, also where the memo is full and where words are long."""
+    monkeypatch.setattr(lm_scoring, "_MEMO", memo)
+    raws = [tb.lowered(t) for t in (prose(1, 300), prose(2, 300), "", None, "ção 你好 \U0001f600 \u3000a\u00a0b", "y" * 63 + " " + "z" * 64 + " " + "字" * 700, "one one two")]
+    tokens, calls = lm_scoring.Tokens(ranks()), []
+    for name in ("encode_ordinary", "encode_to_numpy"):
+        monkeypatch.setattr(type(tokens.encoding), name, lambda self, text, real=getattr(type(tokens.encoding), name): calls.append(text) or real(self, text))
+    got = tokens.all(raws)
+    assert len(calls) == 1 + 1 + 3  # all words; the two long ones, of 65 characters and of 701, by parts
+    plain = lm_scoring.Tokens(ranks())
+    for raw, numbers in zip(raws, got):
+        each = [plain.number[plain.encoding.encode_ordinary(x[k : k + 256])] for x in (" " + w.decode() for w in raw.split()) for k in range(0, len(x), 256)]
+        assert numbers.tolist() == np.concatenate([np.zeros(0, np.int32), *each]).tolist()
+    assert len(tokens.memo) <= memo + len(tokens.memo.passing)
+
+
+def test_counted_words_and_subwords(monkeypatch):
+    """Counts of a task that flushes often, against counting word by word."""
+    import pandas as pd
+
+    monkeypatch.setattr(lm_scoring, "_FLUSH_WORDS", 40)
+    texts = [prose(i % 7, 30) for i in range(40)] + ["", None, "ção " * 9, "x" * 700]
+    shared = type("Shared", (), {"value": ranks()})
+    out = pd.concat(lm_scoring._count(shared)(iter([pd.DataFrame({"text": texts[:25]}), pd.DataFrame({"text": texts[25:]})])))
+    got = out.groupby(["kind", "h"])["c"].sum()
+    raws = [tb.lowered(t) for t in texts]
+    hashes = Counter(tb.word_hashes(raws)[0].view(np.int64).tolist())
+    subwords = subword_counts(texts)
+    assert got[0].to_dict() == hashes and got[1].to_dict() == {int(i): int(subwords[i]) for i in np.flatnonzero(subwords)}
+
+
+@pytest.mark.parametrize("many", [1, 5, 10**9])
+def test_rows_are_added_up_by_place(monkeypatch, many):
+    monkeypatch.setattr(attention, "_MANY", many)
+    rng = np.random.default_rng(4)
+    places, rows = np.minimum(rng.integers(0, 40, 700) ** 2 // 40, 37).astype(np.int32), rng.normal(size=(700, 6)).astype(np.float32)
+    want = np.stack([np.bincount(places, weights=rows[:, i], minlength=50) for i in range(6)], axis=1)
+    assert np.allclose(attention._sums(places, rows, 50), want, atol=1e-4)
+
+
 @pytest.mark.parametrize("tasks", [20_000, 3])
 def test_every_training_document_is_learned_from(spark, monkeypatch, tasks):
     """Also where a task trains several shards."""
