@@ -10,26 +10,41 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _PLACE = (1 << 33) - 1  # the part of monotonically_increasing_id that counts within a partition
 
 
-def held(df: DataFrame) -> DataFrame:
-    """df written to the session's checkpoint folder (spark.checkpoint.dir); a local master gets a temporary one, a cluster without one an error."""
-    context = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
+def folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder (spark.checkpoint.dir); a local master gets a temporary one, a cluster without one an error."""
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
         if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir isn't set: it has to name a folder that all machines share")
-        folder = tempfile.mkdtemp(prefix="checkpoints-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        context.setCheckpointDir(folder)
+        made = tempfile.mkdtemp(prefix="checkpoints-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        context.setCheckpointDir(made)
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+
+
+def held(df: DataFrame) -> DataFrame:
+    """df written to the checkpoint folder."""
+    folder(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df written once as a Parquet table in the checkpoint folder and read again: its last stage runs once, and what needs some columns doesn't read the others."""
+    spark = df.sparkSession
+    path = f"{folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ranges(df: DataFrame, *order: str | Column, pieces: int | None = None) -> DataFrame:
     """df, written, with __piece (a range of the order, numbered in order) and __at (the row's place in it, from 0).
 

@@ -43,12 +43,13 @@ REPORT_SQL = "SELECT conv_id, turn, '\"' || role || '\"; ' || text || chr(10) ||
 
 
 def line_files(spark: SparkSession, d: str) -> DataFrame:
-    """Documents as a pipe-delimited corpus with comments and blank lines, in files that follow each other, read back with line numbers that go on from file to file."""
+    """Documents that have a text as a pipe-delimited corpus with comments and blank lines, in files that follow each other, read back with line numbers that go on from file to file."""
     path = scratch(spark, "lines")
-    flat = F.regexp_replace("text", r"[\r\n|]+", " ")
-    rows = F.concat_ws("\n", F.lit("; comment"), F.concat_ws("|", F.format_string("%010d", "doc_id"), "lang", flat), F.lit(""))
-    _t(spark, d, "documents").select("doc_id", rows.alias("value")).orderBy("doc_id").select("value").write.mode("overwrite").text(path)
-    return tables.read_lines(spark, path, joined=True).select("ident", "text", "line_no")
+    flat = lambda c: F.regexp_replace(c, r"[\r\n|]+", " ")
+    rows = F.concat_ws("\n", F.lit("; comment"), F.concat_ws("|", F.format_string("%010d", "doc_id"), flat("lang"), flat("text")), F.lit(""))
+    texts = _t(spark, d, "documents").where(F.rlike("text", F.lit(r"[^ \r\n|]")))  # the others aren't numbered
+    texts.select("doc_id", rows.alias("value")).orderBy(F.asc_nulls_last("doc_id")).select("value").write.mode("overwrite").text(path)
+    return tables.read_lines(spark, path, joined=True, wide=True).select("ident", "text", "line_no")
 
 
 LINES_SQL = "SELECT doc_id AS ident, trim(regexp_replace(text, '[\\r\\n|]+', ' ', 'g'), ' ') AS text, 3 * row_number() OVER (ORDER BY doc_id) - 1 AS line_no FROM documents WHERE trim(regexp_replace(text, '[\\r\\n|]+', ' ', 'g'), ' ') <> ''"

@@ -14,6 +14,18 @@ import io
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators import scan
+
+
+def lines_in_blocks(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """(value, file, block, at): the lines of text files, `at` in order within each file's blocks, without gaps.
+
+    They are written once. Spark cuts files by the cores that it has at the time, so what reads the
+    files twice can see other blocks, and other tasks' numbers, after cores came or went.
+    """
+    lines = spark.read.options(**options).text(path)
+    return scan.stored(lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")))
+
 
 def records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     """(file, block, at, first, record): the records of the files, the first of each marked, blank ones left out; file, block, at are their order.
@@ -22,7 +34,7 @@ def records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     quote within a cell must be doubled, and the cell quoted; an unclosed quote takes all lines up
     to the next quote.
     """
-    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    lines = lines_in_blocks(spark, path, lineSep="\n")
     lines = lines.withColumn("value", F.when(F.col("block") == 0, F.regexp_replace("value", "^﻿", "")).otherwise(F.col("value")))
     lines = lines.withColumn("odd", F.length(F.regexp_replace("value", f"[^{quote}]+", "")) % 2)
     blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("n"), F.min("at").alias("head"))

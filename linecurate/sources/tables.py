@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import given, normalize_id, parse_ident
-from .reports import read_in_blocks
+from .reports import lines_in_blocks, read_in_blocks
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -22,10 +22,10 @@ def spread(df: DataFrame) -> DataFrame:
 def numbered_lines(spark: SparkSession, path: str, joined: bool = False) -> DataFrame:
     """(line_no, line) of text files of any size; numbers start at 1 in each file, or go on from file to file, in order of Spark's part names, if joined.
 
-    Files are read in blocks, and lines stay where they are read. A line's number is its place in
-    its block and the lines of the blocks before it, of which there is one row each.
+    Files are read in blocks, and lines aren't shuffled. A line's number is its place in its block
+    and the lines of the blocks before it, of which there is one row each.
     """
-    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    rows = lines_in_blocks(spark, path)
     sizes = rows.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"))
     # part numbers of more than five digits make longer names
     order = Window.orderBy(F.char_length("file"), "file", "block") if joined else Window.partitionBy("file").orderBy("block")
@@ -34,12 +34,15 @@ def numbered_lines(spark: SparkSession, path: str, joined: bool = False) -> Data
     return placed.select((F.col("before") + F.col("at") - F.col("first") + 1).alias("line_no"), F.when(F.startswith("value", F.lit("\ufeff")), F.substr("value", F.lit(2))).otherwise(F.col("value")).alias("line"))
 
 
-def read_lines(spark: SparkSession, path: str, need_text: bool = True, joined: bool = False) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, need_text: bool = True, joined: bool = False, wide: bool = False) -> DataFrame:
     """(ident, text, line_no) of a pipe-delimited corpus: decimal id first, text last; blank lines,
     ; comments and rows without an id or a second column are skipped, and without a text if need_text.
-    If joined, the files of a folder are numbered as one."""
+    If joined, the files of a folder are numbered as one. Ids have 32 bits, or 64 with a sign if wide."""
     lines = numbered_lines(spark, path, joined).where(~F.trim("line").startswith(";") & (F.trim("line") != ""))
-    ident = lambda p: parse_ident(F.when(F.trim(p[0]).rlike("^[0-9]+$"), p[0]))
+    if wide:
+        ident = lambda p: F.when(F.trim(p[0]).rlike("^-?[0-9]+$"), F.trim(p[0])).try_cast("long")
+    else:
+        ident = lambda p: parse_ident(F.when(F.trim(p[0]).rlike("^[0-9]+$"), p[0]))
     cells = given(F.split("line", "[|]"), lambda p: F.struct(ident(p).alias("ident"), F.trim(F.element_at(p, -1)).alias("text"), F.size(p).alias("cells")))
     # by inline, so that a line is cut once and not again for each condition
     out = lines.select("line_no", F.inline(F.array(cells))).where("cells >= 2").select("ident", "text", "line_no")

@@ -46,6 +46,43 @@ def test_lines_are_written_by_several_tasks(spark, small, same_as_sql, monkeypat
     assert len(list((tmp_path / "lines").glob("part-*"))) == 4
 
 
+def test_line_files_of_odd_documents(spark, monkeypatch, tmp_path):
+    """Documents without a text aren't numbered, as the SQL's condition comes before its window; ids may have 64 bits."""
+    import duckdb
+
+    from linecurate.queries import source_queries
+
+    texts = ["one", None, "a|b\n\n c ", "", " \r\n| ", "\tx", "two\r", "|three", "\u00a0", None, "last"]
+    ids = [7, -3, 0, 1, 2, 5_000_000_000, 2**32, -(2**63), 2**63 - 1, 3, 4]
+    rows = [(i, t, None if i == 4 else "e\nn" if i == 0 else "en") for i, t in zip(ids, texts, strict=True)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(source_queries, "scratch", lambda *_: str(tmp_path / "lines"))
+    got = source_queries.line_files(spark, str(tmp_path)).select("ident", "text", "line_no").collect()
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(f"select ident, text, line_no from ({source_queries.LINES_SQL})").fetchall()
+    assert len(want) == 7 and sorted(map(tuple, got)) == sorted(want)
+
+
+@pytest.mark.parametrize("read", [lambda s, p: tables.read_lines(s, p, joined=True), lambda s, p: tables.read_report(s, p, "a string", delimiter="|")])
+def test_files_are_cut_once(spark, capsys, tmp_path, read):
+    """What gives lines their places and what uses them see the same blocks, so that cores that come or go between change nothing."""
+    for i in range(6):
+        (tmp_path / f"part-0000{i}.txt").write_text("a|b\n" + "".join(f"{1000 * i + k}|{'y' * (k % 13)}z\n" for k in range(300)))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", "16")
+    try:
+        out = read(spark, str(tmp_path))
+        before = sorted(map(tuple, out.collect()))
+        out.explain()
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "2")
+        assert sorted(map(tuple, read(spark, str(tmp_path)).collect())) == before and len(before) == 1800
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    assert capsys.readouterr().out.count("FileScan text") < 2
+
+
 def test_report_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, 'a "quoted"; text\nover lines', ""), (2, "b", "é")], "id int, text string, note string")
     sinks.write_report(df, str(tmp_path / "r"), ["id", "text", "note"], order=["id"])
